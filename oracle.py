@@ -1,0 +1,144 @@
+"""Independent DuckDB SQL for each registered query.
+
+The SQL never replays the Spark code: it derives each answer straight from
+the driver tables with the fixture formulas (see cvelake/sources/fixtures.py)
+and the documented table semantics, so a bug in the JSON path, the dedup
+order or a join shows up as a mismatch.
+"""
+
+from __future__ import annotations
+
+# ---------------------------------------------------------------- building blocks
+
+IDS = """
+ids AS (
+  SELECT doc_id AS n, text, lang,
+         CASE WHEN doc_id % 97 = 0 THEN 'cve-' ELSE 'CVE-' END
+           || CAST(2020 + doc_id % 5 AS VARCHAR) || '-' || printf('%05d', doc_id) AS cve_id
+  FROM documents
+)"""
+
+
+def _sev(x: str) -> str:
+    return (f"CASE WHEN {x} = 0 THEN 'NONE' WHEN {x} < 4 THEN 'LOW' WHEN {x} < 7 THEN 'MEDIUM' "
+            f"WHEN {x} < 9 THEN 'HIGH' ELSE 'CRITICAL' END")
+
+
+# Newest version per document: snapshot 2 exists when n % 4 = 0 and wins the
+# run-2 tie by snapshot date; snapshot 1 of n % 89 = 0 is a legacy item.
+CORE = f"""
+lv AS (
+  SELECT *, CASE WHEN n % 4 = 0 THEN 2 ELSE 1 END AS v,
+         (n % 101) / CAST(10 AS DOUBLE) AS s1
+  FROM ids
+),
+lv2 AS (
+  SELECT *, CASE WHEN v = 2 THEN least(s1 + CAST(0.1 AS DOUBLE), CAST(10 AS DOUBLE)) ELSE s1 END AS s
+  FROM lv
+),
+core_all AS (
+  SELECT cve_id, n,
+    CAST(DATE '2024-01-01' + CAST(n % 365 AS INTEGER) AS TIMESTAMP) AS published,
+    CASE WHEN v = 2 THEN TIMESTAMP '2024-01-16 08:00:00'
+         WHEN n % 53 = 0 THEN NULL
+         ELSE CAST(DATE '2024-01-01' + CAST(n % 365 + n % 13 AS INTEGER) AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 30 MINUTE
+    END AS last_modified,
+    CASE WHEN lang = 'en' AND NOT (v = 2 AND n % 28 = 0) AND NOT (v = 1 AND n % 89 = 0) THEN text END AS description,
+    CASE WHEN n % 3 IN (0, 1) AND NOT (v = 1 AND n % 89 = 0) THEN s END AS cvss_v3_score,
+    CASE WHEN n % 3 IN (0, 1) AND NOT (v = 1 AND n % 89 = 0) THEN {_sev('s')} END AS cvss_v3_severity,
+    CASE WHEN v = 1 AND n % 89 = 0 THEN NULL
+         WHEN n % 3 = 0 THEN 'CVSS:3.1/AV:N/AC:L/PR:N/UI:N/S:U/C:H/I:H/A:H'
+         WHEN n % 3 = 1 THEN 'CVSS:3.0/AV:N/AC:L/PR:N/UI:N/S:U/C:H/I:H/A:H' END AS cvss_v3_vector,
+    CASE WHEN n % 4 = 0 THEN CAST(n % 11 AS DOUBLE) END AS cvss_v2_score,
+    CASE WHEN n % 5 <> 0 AND n % 49 <> 0 AND NOT (v = 1 AND n % 89 = 0) THEN 'CWE-' || CAST(n % 40 AS VARCHAR) END AS cwe_id
+  FROM lv2
+),
+core AS (
+  SELECT cve_id, published, last_modified, description, cvss_v3_score, cvss_v3_severity,
+         cvss_v3_vector, cvss_v2_score, cwe_id
+  FROM core_all WHERE description IS NOT NULL
+)"""
+
+SIGNALS = """
+epss AS (
+  SELECT cve_id,
+    CASE WHEN n % 6 = 0 THEN ((n * 7919 + 500) % 1000) / CAST(1000 AS DOUBLE)
+         WHEN n % 211 = 0 THEN CAST(1.5 AS DOUBLE)
+         WHEN n % 67 = 0 THEN NULL
+         ELSE ((n * 7919) % 1000) / CAST(1000 AS DOUBLE) END AS epss_score,
+    ((n * 31) % 1000) / CAST(1000 AS DOUBLE) AS epss_percentile
+  FROM ids WHERE n % 10 <> 9
+),
+kev AS (
+  SELECT CASE WHEN doc_id % 97 = 0 THEN 'cve-' ELSE 'CVE-' END
+           || CAST(2020 + doc_id % 5 AS VARCHAR) || '-' || printf('%05d', doc_id) AS cve_id,
+    CASE WHEN doc_id % 17 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(doc_id % 60 AS INTEGER) END AS kev_date_added,
+    DATE '2024-01-01' + CAST(doc_id % 60 + 21 AS INTEGER) AS kev_due_date,
+    CASE WHEN doc_id % 2 = 0 THEN 'Known' ELSE 'Unknown' END AS kev_ransomware_use,
+    'Advisory ' || CAST(doc_id AS VARCHAR) AS kev_notes
+  FROM labels WHERE toxic = 1
+),
+signals AS (
+  SELECT coalesce(e.cve_id, k.cve_id) AS cve_id, e.epss_score, e.epss_percentile,
+         k.cve_id IS NOT NULL AS kev_flag, k.kev_date_added, k.kev_due_date, k.kev_ransomware_use, k.kev_notes
+  FROM epss e FULL OUTER JOIN kev k ON e.cve_id = k.cve_id
+)"""
+
+PRODUCTS = """
+cpe_k AS (
+  SELECT i.cve_id, i.n, k.k, (i.n * 7 + k.k * 13) % 200 AS pk
+  FROM ids i, LATERAL (SELECT unnest(range(0, CAST(i.n % 4 AS INTEGER) + 1)) AS k) k
+  WHERE i.n % 89 <> 0 OR i.n % 4 = 0
+),
+cpe_rows AS (
+  SELECT c.cve_id, c.n, c.k,
+    CASE WHEN (c.n + c.k) % 11 = 0 THEN '*' ELSE lower(replace(p.p_brand, '#', '_')) END AS vraw,
+    CASE WHEN (c.n + c.k) % 13 = 0 THEN '-' ELSE replace(p.p_name, ' ', '_') END AS praw,
+    CAST(p.p_size AS VARCHAR) AS version
+  FROM cpe_k c JOIN part p ON p.p_partkey = c.pk
+  WHERE (c.n + c.k) % 5 <> 0
+),
+products AS (
+  SELECT DISTINCT cve_id,
+    'cpe:2.3:a:' || vraw || ':' || praw || ':' || version || ':*:*:*:*:*:*:*' AS cpe_uri,
+    CASE WHEN vraw IN ('*', '-', '') THEN NULL ELSE vraw END AS vendor,
+    CASE WHEN praw IN ('*', '-', '') THEN NULL ELSE praw END AS product,
+    CASE WHEN version IN ('*', '-', '') THEN NULL ELSE version END AS version
+  FROM cpe_rows
+  WHERE vraw NOT IN ('*', '-', '')
+)"""
+
+DOCS = """
+plist AS (
+  SELECT cve_id,
+    coalesce(string_agg(DISTINCT vendor, ' | ' ORDER BY vendor), '') AS vendors_str,
+    coalesce(string_agg(DISTINCT product, ' | ' ORDER BY product), '') AS products_str
+  FROM products GROUP BY cve_id
+),
+docs_all AS (
+  SELECT c.cve_id,
+    concat_ws(' | ', c.description,
+      CASE WHEN pl.vendors_str <> '' THEN 'Affected vendors: ' || pl.vendors_str END,
+      CASE WHEN pl.products_str <> '' THEN 'Affected products: ' || pl.products_str END,
+      CASE WHEN c.cwe_id <> '' THEN 'Weakness: ' || c.cwe_id END) AS document_text,
+    c.published, c.cvss_v3_score, c.cvss_v3_severity, s.epss_score,
+    coalesce(s.kev_flag, false) AS kev_flag, pl.vendors_str, pl.products_str, c.cwe_id
+  FROM core c LEFT JOIN signals s ON c.cve_id = s.cve_id LEFT JOIN plist pl ON c.cve_id = pl.cve_id
+),
+docs AS (SELECT * FROM docs_all WHERE length(document_text) > 50)"""
+
+
+def with_(*blocks: str) -> str:
+    return "WITH " + ",".join(blocks)
+
+
+SILVER = (IDS, CORE, SIGNALS, PRODUCTS, DOCS)
+
+
+def sql() -> dict[str, str]:
+    return {
+        "cve_core_latest": with_(IDS, CORE) + " SELECT * FROM core",
+        "cve_signals": with_(IDS, SIGNALS) + " SELECT * FROM signals",
+        "affected_products": with_(IDS, PRODUCTS) + " SELECT * FROM products",
+        "cve_documents": with_(*SILVER) + " SELECT * FROM docs",
+    }
