@@ -69,3 +69,10 @@ def pipe_joined(values: Column) -> Column:
 
 def truncate_text(c: Column, n: int) -> Column:
     return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit("..."))).otherwise(c)
+
+
+def exact_mean(c: Column, scale: int = 1_000_000) -> Column:
+    """Mean of a score with at most 6 decimals, summed exactly in integer
+    micro-units: the result does not depend on summation order."""
+    units = F.sum(F.round(c * scale).cast("long"))
+    return units.cast("double") / F.count(c) / scale

@@ -13,6 +13,7 @@ the joins in :func:`cve_documents` reuse the partitioning of their inputs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -61,7 +62,7 @@ def _item_id() -> Column:
     return F.coalesce(F.col("p.cve.id"), F.col("cve_id"))
 
 
-def cve_core_records(parsed: DataFrame) -> DataFrame:
+def cve_core_records(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     cve = F.col("p.cve")
     v31 = F.get(cve["metrics"]["cvssMetricV31"], 0)["cvssData"]
     v30 = F.get(cve["metrics"]["cvssMetricV30"], 0)["cvssData"]
@@ -81,15 +82,15 @@ def cve_core_records(parsed: DataFrame) -> DataFrame:
         first_value(cwe).alias("cwe_id"),
         *PROVENANCE,
     )
-    return latest_per_key(rows, ["cve_id"]).select(*CVE_CORE_COLUMNS)
+    return latest_per_key(rows, ["cve_id"]).select(*CVE_CORE_COLUMNS, *keep)
 
 
 def cve_core(bronze_nvd: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
     return apply_expectations(cve_core_records(parsed if parsed is not None else parse_nvd(bronze_nvd)), CORE_RULES)
 
 
-def latest_epss(bronze_epss: DataFrame) -> DataFrame:
-    return latest_per_key(bronze_epss, ["cve_id"]).select("cve_id", "epss_score", "epss_percentile")
+def latest_epss(bronze_epss: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return latest_per_key(bronze_epss, ["cve_id"]).select("cve_id", "epss_score", "epss_percentile", *keep)
 
 
 def latest_kev(bronze_kev: DataFrame) -> DataFrame:
@@ -124,7 +125,7 @@ def cve_signals(bronze_epss: DataFrame, bronze_kev: DataFrame) -> DataFrame:
     return apply_expectations(cve_signals_records(bronze_epss, bronze_kev), SIGNALS_RULES)
 
 
-def affected_products_records(parsed: DataFrame, escape_aware: bool = False) -> DataFrame:
+def affected_products_records(parsed: DataFrame, escape_aware: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     # Inner explodes: rows without configurations would be removed by the
     # vulnerable filter right after anyway.
     cfg = parsed.select(_item_id().alias("cve_id"), F.explode("p.cve.configurations").alias("c"), *PROVENANCE)
@@ -139,7 +140,7 @@ def affected_products_records(parsed: DataFrame, escape_aware: bool = False) ->
         cpe_field(parts, CPE_VERSION).alias("version"),
         *PROVENANCE,
     )
-    return latest_per_key(rows, ["cve_id", "cpe_uri"]).select(*AFFECTED_PRODUCTS_COLUMNS)
+    return latest_per_key(rows, ["cve_id", "cpe_uri"]).select(*AFFECTED_PRODUCTS_COLUMNS, *keep)
 
 
 def cve_affected_products(bronze_nvd: DataFrame, parsed: DataFrame | None = None) -> DataFrame:

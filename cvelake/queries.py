@@ -2,7 +2,8 @@
 
 Every query reads the driver tables under ``sf_dir`` (through the fixture
 adapter) and runs the full Bronze -> Silver (-> Gold) chain it needs, so
-its work grows with the tables.
+its work grows with the tables. Array results are rendered as joined
+strings so they compare across engines.
 """
 
 from __future__ import annotations
@@ -10,45 +11,233 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from cvelake.operators import quality as q
+from cvelake.operators.changes import snapshot_diff
+from cvelake.operators.dedup import latest_per_key
+from cvelake.plans import dashboard as dash
+from cvelake.plans import gold as gd
+from cvelake.plans import questions as qs
+from cvelake.plans import quality_report as qr
 from cvelake.plans import silver as sv
 from cvelake.session import prepare
 from cvelake.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
+RUNS = (fx.RUN_1, fx.RUN_2)
 
 
-def _bronze(spark: SparkSession, sf_dir: str):
+def _bronze(spark: SparkSession, sf_dir: str, run_ts: str | None = None):
     prepare(spark)
-    return fx.bronze_nvd(spark, sf_dir), fx.bronze_epss(spark, sf_dir), fx.bronze_kev(spark, sf_dir)
+    b = fx.bronze_nvd(spark, sf_dir), fx.bronze_epss(spark, sf_dir), fx.bronze_kev(spark, sf_dir)
+    return b if run_ts is None else tuple(qr.as_of_run(x, run_ts) for x in b)
+
+
+def silver(spark: SparkSession, sf_dir: str, run_ts: str | None = None) -> sv.Silver:
+    return sv.silver_tables(*_bronze(spark, sf_dir, run_ts))
+
 
+def enriched(spark: SparkSession, sf_dir: str):
+    s = silver(spark, sf_dir)
+    return s, gd.vuln_enriched(s.core, s.signals, s.products)
 
-def silver(spark: SparkSession, sf_dir: str) -> sv.Silver:
-    return sv.silver_tables(*_bronze(spark, sf_dir))
 
+# ------------------------------------------------------------------ Silver
 
-def q_cve_core_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_cve_core_latest(spark, sf_dir):
     prepare(spark)
     return sv.cve_core(fx.bronze_nvd(spark, sf_dir))
 
 
-def q_cve_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_cve_signals(spark, sf_dir):
     prepare(spark)
     return sv.cve_signals(fx.bronze_epss(spark, sf_dir), fx.bronze_kev(spark, sf_dir))
 
 
-def q_affected_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_affected_products(spark, sf_dir):
     prepare(spark)
     return sv.cve_affected_products(fx.bronze_nvd(spark, sf_dir))
 
 
-def q_cve_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_cve_documents(spark, sf_dir):
     return silver(spark, sf_dir).documents
 
 
+def q_as_of_core(spark, sf_dir):
+    """cve_core as it stood after run 1 (time travel on append-only Bronze)."""
+    nvd, _, _ = _bronze(spark, sf_dir, fx.RUN_1)
+    return sv.cve_core(nvd)
+
+
+def q_snapshot_diff(spark, sf_dir):
+    """Change feed of cve_documents between run 1 and run 2."""
+    return snapshot_diff(silver(spark, sf_dir, fx.RUN_1).documents, silver(spark, sf_dir).documents, ["cve_id"])
+
+
+# ------------------------------------------------------------------ quality
+
+def q_dq_metrics(spark, sf_dir):
+    return sv.silver_metrics(*_bronze(spark, sf_dir), fx.RUN_2)
+
+
+def q_dq_severity(spark, sf_dir):
+    return q.warn_severity(q_dq_metrics(spark, sf_dir))
+
+
+def q_dq_trend(spark, sf_dir):
+    return q.failure_trend(qr.metrics_history(*_bronze(spark, sf_dir), RUNS))
+
+
+def q_dq_escalation(spark, sf_dir):
+    return qr.escalation_report(*_bronze(spark, sf_dir), RUNS)
+
+
+def q_dq_by_snapshot(spark, sf_dir):
+    prepare(spark)
+    return qr.snapshot_drop_counts(fx.bronze_nvd(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ Gold
+
+def q_vuln_enriched(spark, sf_dir):
+    return enriched(spark, sf_dir)[1]
+
+
+def q_vendor_risk_agg(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return gd.vendor_risk_agg(s.products, e)
+
+
+def q_kev_recent(spark, sf_dir):
+    return gd.kev_recent(enriched(spark, sf_dir)[1], fx.AS_OF)
+
+
+def q_gold_quality(spark, sf_dir):
+    return q.expectation_metrics(enriched(spark, sf_dir)[1], gd.GOLD_RULES, "vuln_enriched", fx.RUN_2)
+
+
+# ------------------------------------------------------------------ questions
+
+def _parsed(spark, sf_dir, s):
+    vendors = s.products.select("vendor").filter(F.col("vendor").isNotNull())
+    return qs.classify_questions(fx.questions(spark, sf_dir), vendors, fx.AS_OF)
+
+
+def q_classify_questions(spark, sf_dir):
+    p = _parsed(spark, sf_dir, silver(spark, sf_dir))
+    return p.select(
+        "question_id", "intent",
+        F.array_join("cve_ids", ",").alias("cve_ids"),
+        F.array_join("risk_tiers", ",").alias("risk_tiers"),
+        "kev_only",
+        F.array_join("vendors", ",").alias("vendors"),
+        "date_from",
+        F.col("search_text").isNotNull().alias("has_search_text"),
+    )
+
+
+def q_lookup_cve(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    ids = qs.question_ids(_parsed(spark, sf_dir, s), ["CVE_LOOKUP"])
+    r = qs.lookup_cves(ids, e, s.products)
+    return r.select(
+        "question_id", "cve_id", "description", "cvss_v3_score", "epss_score", "kev_flag", "risk_score",
+        "risk_tier", "published", "cwe_id",
+        F.array_join("vendors", " | ").alias("vendors"), F.array_join("products", " | ").alias("products"),
+    )
+
+
+def q_compare_cves(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    ids = qs.question_ids(_parsed(spark, sf_dir, s), ["COMPARISON"])
+    return qs.compare_cves(ids, e)
+
+
+def q_not_found_ids(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return qs.not_found(qs.question_ids(_parsed(spark, sf_dir, s)), e)
+
+
+FILTERS = qs.QueryFilters(vendors=("Brand_3", "brand_11"), risk_tiers=("high", "critical", "medium"), limit=25)
+
+
+def q_filtered_search(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return qs.filtered_search(e, s.products, FILTERS)
+
+
+def q_answer_filtered(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return qs.answer_filtered(_parsed(spark, sf_dir, s), e, s.products)
+
+
+def q_trend_vendors(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return qs.trend_vendors(e, s.products, fx.AS_OF)
+
+
+# ------------------------------------------------------------------ dashboard
+
+def q_tier_distribution(spark, sf_dir):
+    return dash.tier_distribution(enriched(spark, sf_dir)[1])
+
+
+def q_data_stats(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return dash.data_stats(e, s.products)
+
+
+def q_top_vendors(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return dash.top_vendors(s.products, e, 10)
+
+
+PRIORITY = qs.QueryFilters(kev_only=True, min_cvss=5.0, limit=50)
+
+
+def q_priority_list(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return qs.filtered_search(e, s.products, PRIORITY)
+
+
+# ------------------------------------------------------------------ generic dedup on events
+
+def q_latest_event_per_user(spark, sf_dir):
+    """Latest event per user (ties on ts broken by the higher event_id)."""
+    prepare(spark)
+    ev = fx.table(spark, sf_dir, "events")
+    return latest_per_key(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()]).select(
+        "user_id", "event_id", "ts", "event_type", "value"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "cve_core_latest": q_cve_core_latest,
     "cve_signals": q_cve_signals,
     "affected_products": q_affected_products,
     "cve_documents": q_cve_documents,
+    "as_of_core": q_as_of_core,
+    "snapshot_diff": q_snapshot_diff,
+    "dq_metrics": q_dq_metrics,
+    "dq_severity": q_dq_severity,
+    "dq_trend": q_dq_trend,
+    "dq_escalation": q_dq_escalation,
+    "dq_by_snapshot": q_dq_by_snapshot,
+    "vuln_enriched": q_vuln_enriched,
+    "vendor_risk_agg": q_vendor_risk_agg,
+    "kev_recent": q_kev_recent,
+    "gold_quality": q_gold_quality,
+    "classify_questions": q_classify_questions,
+    "lookup_cve": q_lookup_cve,
+    "compare_cves": q_compare_cves,
+    "not_found_ids": q_not_found_ids,
+    "filtered_search": q_filtered_search,
+    "answer_filtered": q_answer_filtered,
+    "trend_vendors": q_trend_vendors,
+    "tier_distribution": q_tier_distribution,
+    "data_stats": q_data_stats,
+    "top_vendors": q_top_vendors,
+    "priority_list": q_priority_list,
+    "latest_event_per_user": q_latest_event_per_user,
 }

@@ -4,19 +4,22 @@ The SQL never replays the Spark code: it derives each answer straight from
 the driver tables with the fixture formulas (see cvelake/sources/fixtures.py)
 and the documented table semantics, so a bug in the JSON path, the dedup
 order or a join shows up as a mismatch.
+
+Run r in {1, 2}: run 1 loaded snapshot 1 only; run 2 re-loaded snapshot 1
+and added snapshot 2 (documents with n % 4 = 0), which wins the run-2 tie.
 """
 
 from __future__ import annotations
 
-# ---------------------------------------------------------------- building blocks
+RUN_TS = {1: "2024-01-15 06:00:00", 2: "2024-01-16 06:00:00"}
+AS_OF = "DATE '2024-03-01'"
+NVD_FILE = {1: "nvd_modified_2024-01-15.json.gz", 2: "nvd_modified_2024-01-16.json.gz"}
+EPSS_FILE = {1: "epss_2024-01-15.csv", 2: "epss_2024-01-16.csv"}
 
-IDS = """
-ids AS (
-  SELECT doc_id AS n, text, lang,
-         CASE WHEN doc_id % 97 = 0 THEN 'cve-' ELSE 'CVE-' END
-           || CAST(2020 + doc_id % 5 AS VARCHAR) || '-' || printf('%05d', doc_id) AS cve_id
-  FROM documents
-)"""
+
+def _cve(n: str) -> str:
+    return (f"(CASE WHEN {n} % 97 = 0 THEN 'cve-' ELSE 'CVE-' END || CAST(2020 + {n} % 5 AS VARCHAR) "
+            f"|| '-' || printf('%05d', {n}))")
 
 
 def _sev(x: str) -> str:
@@ -24,98 +27,110 @@ def _sev(x: str) -> str:
             f"WHEN {x} < 9 THEN 'HIGH' ELSE 'CRITICAL' END")
 
 
-# Newest version per document: snapshot 2 exists when n % 4 = 0 and wins the
-# run-2 tie by snapshot date; snapshot 1 of n % 89 = 0 is a legacy item.
-CORE = f"""
-lv AS (
-  SELECT *, CASE WHEN n % 4 = 0 THEN 2 ELSE 1 END AS v,
+def _tier(x: str) -> str:
+    return f"CASE WHEN {x} >= 90 THEN 'CRITICAL' WHEN {x} >= 70 THEN 'HIGH' WHEN {x} >= 40 THEN 'MEDIUM' ELSE 'LOW' END"
+
+
+IDS = f"""
+ids AS (SELECT doc_id AS n, text, lang, {_cve('doc_id')} AS cve_id FROM documents)"""
+
+KEV = f"""
+kev AS (
+  SELECT {_cve('doc_id')} AS cve_id,
+    CASE WHEN doc_id % 17 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(doc_id % 60 AS INTEGER) END AS kev_date_added,
+    DATE '2024-01-01' + CAST(doc_id % 60 + 21 AS INTEGER) AS kev_due_date,
+    CASE WHEN doc_id % 2 = 0 THEN 'Known' ELSE 'Unknown' END AS kev_ransomware_use,
+    'Advisory ' || CAST(doc_id AS VARCHAR) AS kev_notes
+  FROM labels WHERE toxic = 1
+)"""
+
+
+def silver_blocks(r: int) -> list[str]:
+    """CTEs core_all{r}, core{r}, signals{r}, products_all{r}, products{r},
+    plist{r}, docs_all{r}, docs{r} for the state after run r."""
+    v2 = "TRUE" if r == 2 else "FALSE"
+    core = f"""
+lv{r} AS (
+  SELECT *, CASE WHEN n % 4 = 0 AND {v2} THEN 2 ELSE 1 END AS v,
          (n % 101) / CAST(10 AS DOUBLE) AS s1
   FROM ids
 ),
-lv2 AS (
-  SELECT *, CASE WHEN v = 2 THEN least(s1 + CAST(0.1 AS DOUBLE), CAST(10 AS DOUBLE)) ELSE s1 END AS s
-  FROM lv
+lvs{r} AS (
+  SELECT *, CASE WHEN v = 2 THEN least(s1 + CAST(0.1 AS DOUBLE), CAST(10 AS DOUBLE)) ELSE s1 END AS s,
+         (v = 1 AND n % 89 = 0) AS legacy
+  FROM lv{r}
 ),
-core_all AS (
-  SELECT cve_id, n,
-    CAST(DATE '2024-01-01' + CAST(n % 365 AS INTEGER) AS TIMESTAMP) AS published,
-    CASE WHEN v = 2 THEN TIMESTAMP '2024-01-16 08:00:00'
+core_all{r} AS (
+  SELECT cve_id, n, v,
+    CASE WHEN legacy THEN NULL ELSE CAST(DATE '2024-01-01' + CAST(n % 365 AS INTEGER) AS TIMESTAMP) END AS published,
+    CASE WHEN legacy THEN NULL
+         WHEN v = 2 THEN TIMESTAMP '2024-01-16 08:00:00'
          WHEN n % 53 = 0 THEN NULL
-         ELSE CAST(DATE '2024-01-01' + CAST(n % 365 + n % 13 AS INTEGER) AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 30 MINUTE
+         ELSE CAST(DATE '2024-01-01' + CAST(n % 365 + n % 13 AS INTEGER) AS TIMESTAMP) + INTERVAL 750 MINUTE
     END AS last_modified,
-    CASE WHEN lang = 'en' AND NOT (v = 2 AND n % 28 = 0) AND NOT (v = 1 AND n % 89 = 0) THEN text END AS description,
-    CASE WHEN n % 3 IN (0, 1) AND NOT (v = 1 AND n % 89 = 0) THEN s END AS cvss_v3_score,
-    CASE WHEN n % 3 IN (0, 1) AND NOT (v = 1 AND n % 89 = 0) THEN {_sev('s')} END AS cvss_v3_severity,
-    CASE WHEN v = 1 AND n % 89 = 0 THEN NULL
+    CASE WHEN lang = 'en' AND NOT (v = 2 AND n % 28 = 0) AND NOT legacy THEN text END AS description,
+    CASE WHEN n % 3 IN (0, 1) AND NOT legacy THEN s END AS cvss_v3_score,
+    CASE WHEN n % 3 IN (0, 1) AND NOT legacy THEN {_sev('s')} END AS cvss_v3_severity,
+    CASE WHEN legacy THEN NULL
          WHEN n % 3 = 0 THEN 'CVSS:3.1/AV:N/AC:L/PR:N/UI:N/S:U/C:H/I:H/A:H'
          WHEN n % 3 = 1 THEN 'CVSS:3.0/AV:N/AC:L/PR:N/UI:N/S:U/C:H/I:H/A:H' END AS cvss_v3_vector,
-    CASE WHEN n % 4 = 0 THEN CAST(n % 11 AS DOUBLE) END AS cvss_v2_score,
-    CASE WHEN n % 5 <> 0 AND n % 49 <> 0 AND NOT (v = 1 AND n % 89 = 0) THEN 'CWE-' || CAST(n % 40 AS VARCHAR) END AS cwe_id
-  FROM lv2
+    CASE WHEN n % 4 = 0 AND NOT legacy THEN CAST(n % 11 AS DOUBLE) END AS cvss_v2_score,
+    CASE WHEN n % 5 <> 0 AND n % 49 <> 0 AND NOT legacy THEN 'CWE-' || CAST(n % 40 AS VARCHAR) END AS cwe_id
+  FROM lvs{r}
 ),
-core AS (
+core{r} AS (
   SELECT cve_id, published, last_modified, description, cvss_v3_score, cvss_v3_severity,
          cvss_v3_vector, cvss_v2_score, cwe_id
-  FROM core_all WHERE description IS NOT NULL
+  FROM core_all{r} WHERE description IS NOT NULL
 )"""
-
-SIGNALS = """
-epss AS (
-  SELECT cve_id,
-    CASE WHEN n % 6 = 0 THEN ((n * 7919 + 500) % 1000) / CAST(1000 AS DOUBLE)
+    signals = f"""
+epss{r} AS (
+  SELECT cve_id, n,
+    CASE WHEN n % 6 = 0 AND {v2} THEN ((n * 7919 + 500) % 1000) / CAST(1000 AS DOUBLE)
          WHEN n % 211 = 0 THEN CAST(1.5 AS DOUBLE)
          WHEN n % 67 = 0 THEN NULL
          ELSE ((n * 7919) % 1000) / CAST(1000 AS DOUBLE) END AS epss_score,
     ((n * 31) % 1000) / CAST(1000 AS DOUBLE) AS epss_percentile
   FROM ids WHERE n % 10 <> 9
 ),
-kev AS (
-  SELECT CASE WHEN doc_id % 97 = 0 THEN 'cve-' ELSE 'CVE-' END
-           || CAST(2020 + doc_id % 5 AS VARCHAR) || '-' || printf('%05d', doc_id) AS cve_id,
-    CASE WHEN doc_id % 17 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(doc_id % 60 AS INTEGER) END AS kev_date_added,
-    DATE '2024-01-01' + CAST(doc_id % 60 + 21 AS INTEGER) AS kev_due_date,
-    CASE WHEN doc_id % 2 = 0 THEN 'Known' ELSE 'Unknown' END AS kev_ransomware_use,
-    'Advisory ' || CAST(doc_id AS VARCHAR) AS kev_notes
-  FROM labels WHERE toxic = 1
-),
-signals AS (
+signals{r} AS (
   SELECT coalesce(e.cve_id, k.cve_id) AS cve_id, e.epss_score, e.epss_percentile,
          k.cve_id IS NOT NULL AS kev_flag, k.kev_date_added, k.kev_due_date, k.kev_ransomware_use, k.kev_notes
-  FROM epss e FULL OUTER JOIN kev k ON e.cve_id = k.cve_id
+  FROM epss{r} e FULL OUTER JOIN kev k ON e.cve_id = k.cve_id
 )"""
-
-PRODUCTS = """
-cpe_k AS (
+    products = f"""
+cpe_k{r} AS (
   SELECT i.cve_id, i.n, k.k, (i.n * 7 + k.k * 13) % 200 AS pk
   FROM ids i, LATERAL (SELECT unnest(range(0, CAST(i.n % 4 AS INTEGER) + 1)) AS k) k
-  WHERE i.n % 89 <> 0 OR i.n % 4 = 0
+  WHERE i.n % 89 <> 0 OR (i.n % 4 = 0 AND {v2})
 ),
-cpe_rows AS (
+cpe_rows{r} AS (
   SELECT c.cve_id, c.n, c.k,
     CASE WHEN (c.n + c.k) % 11 = 0 THEN '*' ELSE lower(replace(p.p_brand, '#', '_')) END AS vraw,
     CASE WHEN (c.n + c.k) % 13 = 0 THEN '-' ELSE replace(p.p_name, ' ', '_') END AS praw,
     CAST(p.p_size AS VARCHAR) AS version
-  FROM cpe_k c JOIN part p ON p.p_partkey = c.pk
+  FROM cpe_k{r} c JOIN part p ON p.p_partkey = c.pk
   WHERE (c.n + c.k) % 5 <> 0
 ),
-products AS (
-  SELECT DISTINCT cve_id,
+products_all{r} AS (
+  SELECT DISTINCT cve_id, n,
     'cpe:2.3:a:' || vraw || ':' || praw || ':' || version || ':*:*:*:*:*:*:*' AS cpe_uri,
     CASE WHEN vraw IN ('*', '-', '') THEN NULL ELSE vraw END AS vendor,
     CASE WHEN praw IN ('*', '-', '') THEN NULL ELSE praw END AS product,
     CASE WHEN version IN ('*', '-', '') THEN NULL ELSE version END AS version
-  FROM cpe_rows
-  WHERE vraw NOT IN ('*', '-', '')
+  FROM cpe_rows{r}
+),
+products{r} AS (
+  SELECT cve_id, cpe_uri, vendor, product, version FROM products_all{r} WHERE vendor IS NOT NULL
 )"""
-
-DOCS = """
-plist AS (
+    docs = f"""
+plist{r} AS (
   SELECT cve_id,
     coalesce(string_agg(DISTINCT vendor, ' | ' ORDER BY vendor), '') AS vendors_str,
     coalesce(string_agg(DISTINCT product, ' | ' ORDER BY product), '') AS products_str
-  FROM products GROUP BY cve_id
+  FROM products{r} GROUP BY cve_id
 ),
-docs_all AS (
+docs_all{r} AS (
   SELECT c.cve_id,
     concat_ws(' | ', c.description,
       CASE WHEN pl.vendors_str <> '' THEN 'Affected vendors: ' || pl.vendors_str END,
@@ -123,22 +138,326 @@ docs_all AS (
       CASE WHEN c.cwe_id <> '' THEN 'Weakness: ' || c.cwe_id END) AS document_text,
     c.published, c.cvss_v3_score, c.cvss_v3_severity, s.epss_score,
     coalesce(s.kev_flag, false) AS kev_flag, pl.vendors_str, pl.products_str, c.cwe_id
-  FROM core c LEFT JOIN signals s ON c.cve_id = s.cve_id LEFT JOIN plist pl ON c.cve_id = pl.cve_id
+  FROM core{r} c LEFT JOIN signals{r} s ON c.cve_id = s.cve_id LEFT JOIN plist{r} pl ON c.cve_id = pl.cve_id
+),
+docs{r} AS (SELECT * FROM docs_all{r} WHERE length(document_text) > 50)"""
+    return [core, signals, products, docs]
+
+
+GOLD = f"""
+pv AS (
+  SELECT cve_id, vendor AS primary_vendor FROM (
+    SELECT cve_id, vendor, row_number() OVER (PARTITION BY cve_id ORDER BY cnt DESC, vendor) AS rn
+    FROM (SELECT cve_id, vendor, count(*) AS cnt FROM products2 WHERE vendor IS NOT NULL GROUP BY 1, 2)
+  ) WHERE rn = 1
+),
+pp AS (
+  SELECT cve_id, product AS primary_product FROM (
+    SELECT cve_id, product, row_number() OVER (PARTITION BY cve_id ORDER BY cnt DESC, product) AS rn
+    FROM (SELECT cve_id, product, count(*) AS cnt FROM products2 WHERE product IS NOT NULL GROUP BY 1, 2)
+  ) WHERE rn = 1
+),
+enr0 AS (
+  SELECT c.cve_id, c.published, c.last_modified, c.description, c.cvss_v3_score, c.cvss_v3_severity,
+    c.cvss_v3_vector, c.cvss_v2_score, c.cwe_id, s.epss_score, s.epss_percentile,
+    coalesce(s.kev_flag, false) AS kev_flag, s.kev_date_added, s.kev_due_date, s.kev_ransomware_use, s.kev_notes,
+    pv.primary_vendor, pp.primary_product
+  FROM core2 c LEFT JOIN signals2 s ON c.cve_id = s.cve_id
+  LEFT JOIN pv ON c.cve_id = pv.cve_id LEFT JOIN pp ON c.cve_id = pp.cve_id
+),
+enr1 AS (
+  SELECT *, CASE
+      WHEN kev_flag THEN 90 + coalesce(epss_score, 0) * 10
+      WHEN coalesce(epss_score, 0) > 0.5 THEN 70 + coalesce(epss_score, 0) * 20
+      WHEN coalesce(epss_score, 0) > 0.1 THEN 40 + coalesce(epss_score, 0) * 50
+      ELSE coalesce(cvss_v3_score, 0) * 4 END AS risk_score
+  FROM enr0
+),
+enriched AS (SELECT *, {_tier('risk_score')} AS risk_tier FROM enr1),
+vra AS (
+  SELECT p.vendor, count(*) AS total_cves,
+    count(*) FILTER (WHERE e.kev_flag) AS kev_count,
+    count(*) FILTER (WHERE e.risk_tier = 'CRITICAL') AS critical_count,
+    count(*) FILTER (WHERE e.risk_tier = 'HIGH') AS high_count,
+    CAST(sum(CAST(round(e.risk_score * 1000000) AS BIGINT)) AS DOUBLE) / count(*) / 1000000 AS avg_risk_score,
+    max(e.risk_score) AS max_risk_score
+  FROM (SELECT DISTINCT cve_id, vendor FROM products2 WHERE vendor IS NOT NULL) p
+  JOIN enriched e ON p.cve_id = e.cve_id
+  GROUP BY p.vendor
+)"""
+
+
+def _metric(r: int, table: str, rule: str, action: str, src: str, cond: str) -> str:
+    return (f"SELECT TIMESTAMP '{RUN_TS[r]}' AS run_ts, '{table}' AS tbl, '{rule}' AS rule, '{action}' AS action, "
+            f"count(*) AS total, count(*) FILTER (WHERE coalesce({cond}, false)) AS passed FROM {src}")
+
+
+def metrics_block(r: int) -> str:
+    fmt = "regexp_matches(cve_id, '^CVE-[0-9]{4}-[0-9]+$')"
+    parts = [
+        _metric(r, "cve_core", "valid_cve_id", "warn", f"core_all{r}", "cve_id IS NOT NULL"),
+        _metric(r, "cve_core", "valid_cve_format", "warn", f"core_all{r}", fmt),
+        _metric(r, "cve_core", "has_description", "drop", f"core_all{r}", "description IS NOT NULL"),
+        _metric(r, "cve_signals", "valid_epss_range", "warn", f"signals{r}",
+                "epss_score IS NULL OR (epss_score >= 0 AND epss_score <= 1)"),
+        _metric(r, "cve_affected_products", "valid_cve_id", "warn", f"products_all{r}", "cve_id IS NOT NULL"),
+        _metric(r, "cve_affected_products", "valid_cpe_uri", "warn", f"products_all{r}", "cpe_uri IS NOT NULL"),
+        _metric(r, "cve_affected_products", "has_vendor", "drop", f"products_all{r}", "vendor IS NOT NULL"),
+        _metric(r, "cve_documents", "valid_cve_id", "warn", f"docs_all{r}", "cve_id IS NOT NULL"),
+        _metric(r, "cve_documents", "has_document_text", "drop", f"docs_all{r}", "length(document_text) > 50"),
+    ]
+    union = "\n  UNION ALL ".join(parts)
+    return f"""
+m0_{r} AS ({union}),
+metrics{r} AS (
+  SELECT run_ts, tbl AS "table", rule, action, total, passed, total - passed AS failed,
+    CASE WHEN action = 'drop' THEN total - passed ELSE 0 END AS dropped,
+    passed / total AS pass_rate
+  FROM m0_{r}
+)"""
+
+
+QUESTIONS = f"""
+qraw AS (
+  SELECT conv_id * 1000 + turn AS question_id,
+    CASE (conv_id + turn) % 7
+      WHEN 0 THEN 'What is ' || {_cve('conv_id')} || '?'
+      WHEN 1 THEN 'Compare ' || {_cve('conv_id')} || ' and ' || {_cve('(conv_id + 1)')}
+      WHEN 2 THEN 'Critical vulns in brand_' || CAST(conv_id % 25 + 1 AS VARCHAR) || ' since 2024-01-'
+                  || printf('%02d', conv_id % 28 + 1)
+      WHEN 3 THEN text
+      WHEN 4 THEN 'What''s exploited this month?'
+      WHEN 5 THEN 'KEV vulnerabilities affecting brand_' || CAST(conv_id % 25 + 1 AS VARCHAR) || ' in the last '
+                  || CAST(conv_id % 90 + 1 AS VARCHAR) || ' days'
+      ELSE '' END AS raw_query
+  FROM conversations
+),
+qtok AS (
+  SELECT question_id, raw_query,
+    list_filter(string_split(regexp_replace(lower(coalesce(raw_query, '')), '[^a-z0-9_]+', ' ', 'g'), ' '), lambda t: t <> '') AS tok,
+    list_sort(list_distinct(list_transform(
+      regexp_extract_all(coalesce(raw_query, ''), '(?i)CVE-[0-9]{{4}}-[0-9]+'), lambda x: upper(x)))) AS cve_ids
+  FROM qraw
 ),
-docs AS (SELECT * FROM docs_all WHERE length(document_text) > 50)"""
+qpad AS (SELECT *, ' ' || array_to_string(tok, ' ') || ' ' AS pad FROM qtok),
+known AS (SELECT DISTINCT lower(vendor) AS v FROM products2 WHERE vendor IS NOT NULL),
+qvend AS (
+  SELECT question_id, list_sort(list(DISTINCT t)) AS vendors
+  FROM (SELECT question_id, unnest(tok) AS t FROM qtok) x JOIN known ON x.t = known.v
+  GROUP BY question_id
+),
+qflags AS (
+  SELECT q.*, coalesce(qv.vendors, []::VARCHAR[]) AS vendors,
+    list_has_any(tok, ['compare', 'comparison', 'versus', 'vs']) AS w_cmp,
+    list_has_any(tok, ['recent', 'new', 'latest', 'trending', 'exploited'])
+      OR pad LIKE '% this month %' OR pad LIKE '% this week %' AS w_trend,
+    list_has_any(tok, ['kev', 'exploited', 'cisa']) OR pad LIKE '% known exploited %' AS kev_only,
+    list_sort(list_transform(list_filter(['critical', 'high', 'medium', 'low'], lambda x: list_contains(tok, x)),
+      lambda x: upper(x))) AS risk_tiers,
+    regexp_extract(pad, ' last ([0-9]{{1,5}}) days ', 1) AS last_n,
+    regexp_extract(lower(coalesce(raw_query, '')), 'since ([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1) AS since
+  FROM qpad q LEFT JOIN qvend qv ON q.question_id = qv.question_id
+),
+parsed AS (
+  SELECT question_id, raw_query, cve_ids, risk_tiers, kev_only, vendors,
+    CASE
+      WHEN len(tok) = 0 AND len(cve_ids) = 0 THEN 'UNKNOWN'
+      WHEN len(cve_ids) = 1 THEN 'CVE_LOOKUP'
+      WHEN len(cve_ids) > 1 OR w_cmp THEN 'COMPARISON'
+      WHEN w_trend THEN 'TREND_ANALYSIS'
+      WHEN len(risk_tiers) > 0 OR kev_only OR len(vendors) > 0 THEN 'FILTERED_SEARCH'
+      ELSE 'SEMANTIC_SEARCH' END AS intent,
+    coalesce(
+      TRY_CAST(nullif(since, '') AS DATE),
+      CASE WHEN last_n <> '' THEN {AS_OF} - CAST(last_n AS INTEGER) END,
+      CASE WHEN pad LIKE '% this week %' THEN {AS_OF} - 7 END,
+      CASE WHEN pad LIKE '% this month %' THEN {AS_OF} - 30 END) AS date_from
+  FROM qflags
+),
+qids AS (SELECT question_id, intent, unnest(cve_ids) AS cve_id FROM parsed WHERE intent IN ('CVE_LOOKUP', 'COMPARISON'))"""
 
 
 def with_(*blocks: str) -> str:
     return "WITH " + ",".join(blocks)
 
 
-SILVER = (IDS, CORE, SIGNALS, PRODUCTS, DOCS)
+S1 = [IDS, KEV, *silver_blocks(1)]
+S2 = [IDS, KEV, *silver_blocks(2)]
+S12 = [IDS, KEV, *silver_blocks(1), *silver_blocks(2)]
+G = [*S2, GOLD]
+Q = [*G, QUESTIONS]
+
+
+def _rationale() -> str:
+    return ("concat_ws('; ', CASE WHEN kev_flag THEN 'actively exploited (KEV)' END, "
+            "CASE WHEN kev_ransomware_use = 'Known' THEN 'known ransomware use' END, "
+            "CASE WHEN epss_score IS NOT NULL THEN 'EPSS ' || CAST(round(epss_score * 100, 1) AS VARCHAR) || '%' END, "
+            "CASE WHEN cvss_v3_score IS NOT NULL THEN 'CVSS ' || CAST(round(cvss_v3_score, 1) AS VARCHAR) END)")
+
+
+DOC_COLS = ("document_text", "published", "cvss_v3_score", "cvss_v3_severity", "epss_score", "kev_flag",
+            "vendors_str", "products_str", "cwe_id")
+
+
+def _diff() -> str:
+    cols = ", ".join(DOC_COLS)
+    o_cols = ", ".join(f"o.{c}" for c in DOC_COLS)
+    n_cols = ", ".join(f"n.{c}" for c in DOC_COLS)
+    changed = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in DOC_COLS)
+    return f"""
+SELECT cve_id, {cols}, 'insert' AS _change_type FROM docs2 n
+  WHERE NOT EXISTS (SELECT 1 FROM docs1 o WHERE o.cve_id = n.cve_id)
+UNION ALL
+SELECT cve_id, {cols}, 'delete' AS _change_type FROM docs1 o
+  WHERE NOT EXISTS (SELECT 1 FROM docs2 n WHERE o.cve_id = n.cve_id)
+UNION ALL
+SELECT o.cve_id, {o_cols}, 'update_preimage' FROM docs1 o JOIN docs2 n ON o.cve_id = n.cve_id WHERE {changed}
+UNION ALL
+SELECT n.cve_id, {n_cols}, 'update_postimage' FROM docs1 o JOIN docs2 n ON o.cve_id = n.cve_id WHERE {changed}"""
+
+
+def _trend() -> str:
+    return """
+hist AS (SELECT * FROM metrics1 UNION ALL SELECT * FROM metrics2),
+trend AS (
+  SELECT run_ts, "table", rule, failed, round(failed / total, 6) AS failure_rate,
+    lag(round(failed / total, 6)) OVER (PARTITION BY "table", rule ORDER BY run_ts) AS prev_failure_rate
+  FROM hist
+),
+trend2 AS (SELECT *, coalesce(failure_rate > prev_failure_rate, false) AS rising FROM trend)"""
+
+
+# Winning Bronze file per Silver record of run 2 (for failure attribution).
+FILES2 = f"""
+core_f AS (SELECT *, CASE WHEN v = 2 THEN '{NVD_FILE[2]}' ELSE '{NVD_FILE[1]}' END AS source_file FROM core_all2),
+epss_f AS (SELECT *, CASE WHEN n % 6 = 0 THEN '{EPSS_FILE[2]}' ELSE '{EPSS_FILE[1]}' END AS source_file FROM epss2),
+prod_f AS (SELECT *, CASE WHEN n % 4 = 0 THEN '{NVD_FILE[2]}' ELSE '{NVD_FILE[1]}' END AS source_file FROM products_all2),
+fails AS (
+  SELECT 'cve_core' AS tbl, 'valid_cve_id' AS rule, source_file, count(*) FILTER (WHERE cve_id IS NULL) AS failed FROM core_f GROUP BY 3
+  UNION ALL SELECT 'cve_core', 'valid_cve_format', source_file,
+    count(*) FILTER (WHERE NOT coalesce(regexp_matches(cve_id, '^CVE-[0-9]{{4}}-[0-9]+$'), false)) FROM core_f GROUP BY 3
+  UNION ALL SELECT 'cve_core', 'has_description', source_file, count(*) FILTER (WHERE description IS NULL) FROM core_f GROUP BY 3
+  UNION ALL SELECT 'cve_signals', 'valid_epss_range', source_file,
+    count(*) FILTER (WHERE NOT (epss_score IS NULL OR (epss_score >= 0 AND epss_score <= 1))) FROM epss_f GROUP BY 3
+  UNION ALL SELECT 'cve_affected_products', 'valid_cve_id', source_file, count(*) FILTER (WHERE cve_id IS NULL) FROM prod_f GROUP BY 3
+  UNION ALL SELECT 'cve_affected_products', 'valid_cpe_uri', source_file, count(*) FILTER (WHERE cpe_uri IS NULL) FROM prod_f GROUP BY 3
+  UNION ALL SELECT 'cve_affected_products', 'has_vendor', source_file, count(*) FILTER (WHERE vendor IS NULL) FROM prod_f GROUP BY 3
+),
+nfiles AS (SELECT tbl, rule, count(*) AS files_with_failures FROM fails WHERE failed > 0 GROUP BY 1, 2)"""
 
 
 def sql() -> dict[str, str]:
-    return {
-        "cve_core_latest": with_(IDS, CORE) + " SELECT * FROM core",
-        "cve_signals": with_(IDS, SIGNALS) + " SELECT * FROM signals",
-        "affected_products": with_(IDS, PRODUCTS) + " SELECT * FROM products",
-        "cve_documents": with_(*SILVER) + " SELECT * FROM docs",
+    out = {
+        "cve_core_latest": with_(*S2) + " SELECT * FROM core2",
+        "cve_signals": with_(*S2) + " SELECT * FROM signals2",
+        "affected_products": with_(*S2) + " SELECT * FROM products2",
+        "cve_documents": with_(*S2) + " SELECT * FROM docs2",
+        "as_of_core": with_(*S1) + " SELECT * FROM core1",
+        "snapshot_diff": with_(*S12) + _diff(),
+        "dq_metrics": with_(*S2, metrics_block(2)) + " SELECT * FROM metrics2",
+        "dq_severity": with_(*S2, metrics_block(2)) + """
+ SELECT run_ts, "table", rule, action, failed, round(failed / total, 6) AS failure_rate,
+   CASE WHEN failed / total < 0.001 THEN 'LOW' WHEN failed / total <= 0.01 THEN 'MEDIUM'
+        WHEN failed / total > 0.01 THEN 'HIGH' END AS severity
+ FROM metrics2""",
+        "dq_trend": with_(*S12, metrics_block(1), metrics_block(2), _trend()) + " SELECT * FROM trend2",
+        "dq_escalation": with_(*S12, metrics_block(1), metrics_block(2), _trend(), FILES2) + """
+ SELECT t."table", t.rule, m.action, t.failed, t.failure_rate, t.rising,
+   coalesce(nf.files_with_failures, 0) AS files_with_failures,
+   CASE WHEN m.action = 'drop' AND m.dropped / m.total > 0.05 THEN 'CRITICAL'
+        WHEN t.rising THEN 'HIGH'
+        WHEN t.failed >= 10 AND coalesce(nf.files_with_failures, 0) = 1 THEN 'MEDIUM'
+        WHEN t.failed < 10 THEN 'LOW' ELSE 'MEDIUM' END AS escalation
+ FROM trend2 t JOIN metrics2 m ON t.run_ts = m.run_ts AND t."table" = m."table" AND t.rule = m.rule
+ LEFT JOIN nfiles nf ON nf.tbl = t."table" AND nf.rule = t.rule""",
+        "dq_by_snapshot": with_(IDS) + """
+ SELECT DATE '2024-01-15' AS snapshot_date, 2 * count(*) AS total_records,
+   2 * count(*) FILTER (WHERE NOT coalesce(lang = 'en' AND text IS NOT NULL, false) OR n % 89 = 0) AS would_drop
+ FROM ids
+ UNION ALL
+ SELECT DATE '2024-01-16', count(*),
+   count(*) FILTER (WHERE NOT coalesce(lang = 'en' AND text IS NOT NULL, false) OR n % 28 = 0)
+ FROM ids WHERE n % 4 = 0""",
+        "vuln_enriched": with_(*G) + " SELECT * FROM enriched",
+        "vendor_risk_agg": with_(*G) + " SELECT * FROM vra",
+        "kev_recent": with_(*G) + f"""
+ SELECT *, CAST({AS_OF} - kev_date_added AS INTEGER) AS days_since_added FROM enriched
+ WHERE kev_flag AND kev_date_added BETWEEN {AS_OF} - 30 AND {AS_OF}""",
+        "gold_quality": with_(*G) + f"""
+ SELECT TIMESTAMP '{RUN_TS[2]}' AS run_ts, 'vuln_enriched' AS "table", rule, 'warn' AS action, total, passed,
+   total - passed AS failed, 0::BIGINT AS dropped, passed / total AS pass_rate
+ FROM (
+   SELECT 'risk_score_in_range' AS rule, count(*) AS total,
+     count(*) FILTER (WHERE coalesce(risk_score BETWEEN 0 AND 100, false)) AS passed FROM enriched
+   UNION ALL
+   SELECT 'risk_tier_matches_score', count(*),
+     count(*) FILTER (WHERE coalesce(risk_tier = {_tier('risk_score')}, false)) FROM enriched)""",
+        "classify_questions": with_(*Q) + """
+ SELECT question_id, intent, array_to_string(cve_ids, ',') AS cve_ids,
+   array_to_string(risk_tiers, ',') AS risk_tiers, kev_only, array_to_string(vendors, ',') AS vendors,
+   date_from, intent = 'SEMANTIC_SEARCH' AS has_search_text
+ FROM parsed""",
+        "lookup_cve": with_(*Q) + """
+ SELECT q.question_id, e.cve_id, e.description, e.cvss_v3_score, e.epss_score, e.kev_flag, e.risk_score,
+   e.risk_tier, e.published, e.cwe_id, pl.vendors_str AS vendors, pl.products_str AS products
+ FROM qids q JOIN enriched e ON q.cve_id = e.cve_id LEFT JOIN plist2 pl ON e.cve_id = pl.cve_id
+ WHERE q.intent = 'CVE_LOOKUP'""",
+        "compare_cves": with_(*Q) + f"""
+ , ranked AS (
+   SELECT q.question_id,
+     CAST(row_number() OVER (PARTITION BY q.question_id ORDER BY e.risk_score DESC NULLS LAST, e.cve_id) AS INTEGER) AS rank,
+     e.cve_id, e.risk_score, e.risk_tier,
+     concat_ws('; ', CASE WHEN e.kev_flag THEN 'actively exploited (KEV)' END,
+       CASE WHEN e.kev_ransomware_use = 'Known' THEN 'known ransomware use' END,
+       CASE WHEN e.epss_score IS NOT NULL THEN 'EPSS ' || CAST(round(e.epss_score * 100, 1) AS VARCHAR) || '%' END,
+       CASE WHEN e.cvss_v3_score IS NOT NULL THEN 'CVSS ' || CAST(round(e.cvss_v3_score, 1) AS VARCHAR) END) AS rationale
+   FROM qids q JOIN enriched e ON q.cve_id = e.cve_id WHERE q.intent = 'COMPARISON')
+ SELECT *, CASE WHEN rank = 1 THEN 'Prioritize ' || cve_id || ' because '
+   || CASE WHEN rationale = '' THEN 'it has the highest risk score' ELSE rationale END END AS recommendation
+ FROM ranked""",
+        "not_found_ids": with_(*Q) + """
+ SELECT q.cve_id, q.question_id, regexp_matches(q.cve_id, '^CVE-[0-9]{4}-[0-9]+$') AS valid_format
+ FROM qids q WHERE NOT EXISTS (SELECT 1 FROM enriched e WHERE e.cve_id = q.cve_id)""",
+        "filtered_search": with_(*G) + """
+ SELECT cve_id, description, risk_score, risk_tier, kev_flag FROM enriched
+ WHERE risk_tier IN ('HIGH', 'CRITICAL', 'MEDIUM')
+   AND cve_id IN (SELECT cve_id FROM products2 WHERE lower(vendor) IN ('brand_3', 'brand_11'))
+ ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 25""",
+        "answer_filtered": with_(*Q) + """
+ , cand AS (
+   SELECT p.question_id, e.cve_id, e.description, e.risk_score, e.risk_tier, e.kev_flag
+   FROM parsed p JOIN enriched e
+     ON (len(p.risk_tiers) = 0 OR list_contains(p.risk_tiers, e.risk_tier))
+    AND (NOT p.kev_only OR e.kev_flag)
+    AND (p.date_from IS NULL OR e.published >= CAST(p.date_from AS TIMESTAMP))
+   WHERE p.intent = 'FILTERED_SEARCH'
+     AND (len(p.vendors) = 0 OR EXISTS (
+       SELECT 1 FROM products2 pr WHERE pr.cve_id = e.cve_id AND list_contains(p.vendors, lower(pr.vendor))))
+ ), ranked AS (
+   SELECT question_id,
+     CAST(row_number() OVER (PARTITION BY question_id ORDER BY risk_score DESC NULLS LAST, cve_id) AS INTEGER) AS rank,
+     cve_id, description, risk_score, risk_tier, kev_flag
+   FROM cand)
+ SELECT * FROM ranked WHERE rank <= 20""",
+        "trend_vendors": with_(*G) + f"""
+ SELECT p.vendor, count(*) AS recent_kev_count
+ FROM (SELECT DISTINCT cve_id, vendor FROM products2 WHERE vendor IS NOT NULL) p
+ WHERE p.cve_id IN (SELECT cve_id FROM enriched WHERE kev_flag AND kev_date_added BETWEEN {AS_OF} - 30 AND {AS_OF})
+ GROUP BY p.vendor""",
+        "tier_distribution": with_(*G) + " SELECT risk_tier, count(*) AS cve_count FROM enriched GROUP BY risk_tier",
+        "data_stats": with_(*G) + """
+ SELECT 'total_cves' AS metric, CAST(count(*) AS DOUBLE) AS value FROM enriched
+ UNION ALL SELECT 'kev_count', CAST(count(*) FILTER (WHERE kev_flag) AS DOUBLE) FROM enriched
+ UNION ALL SELECT 'critical_count', CAST(count(*) FILTER (WHERE risk_tier = 'CRITICAL') AS DOUBLE) FROM enriched
+ UNION ALL SELECT 'avg_risk_score', CAST(sum(CAST(round(risk_score * 1000000) AS BIGINT)) AS DOUBLE) / count(*) / 1000000 FROM enriched
+ UNION ALL SELECT 'vendor_count', CAST(count(DISTINCT vendor) AS DOUBLE) FROM products2""",
+        "top_vendors": with_(*G) + " SELECT * FROM vra ORDER BY kev_count DESC, avg_risk_score DESC, vendor LIMIT 10",
+        "priority_list": with_(*G) + """
+ SELECT cve_id, description, risk_score, risk_tier, kev_flag FROM enriched
+ WHERE kev_flag AND cvss_v3_score >= 5.0
+ ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 50""",
+        "latest_event_per_user": """
+ SELECT user_id, event_id, ts, event_type, value FROM events
+ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     }
+    return out
