@@ -20,6 +20,7 @@ from cvelake.plans import dashboard as dash
 from cvelake.plans import gold as gd
 from cvelake.plans import questions as qs
 from cvelake.plans import quality_report as qr
+from cvelake.plans import search as se
 from cvelake.plans import silver as sv
 from cvelake.session import prepare
 from cvelake.sources import fixtures as fx
@@ -201,6 +202,56 @@ def q_priority_list(spark, sf_dir):
     return qs.filtered_search(e, s.products, PRIORITY)
 
 
+# ------------------------------------------------------------------ search
+
+def _vector_frame(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return se.hits_frame(fx.query_vectors(spark, sf_dir), s.documents, e), s, e
+
+
+def _query_vector(spark, sf_dir, vec_id: int = 0):
+    row = fx.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") == vec_id).select("embedding").first()
+    return list(row[0])
+
+
+def q_vector_topk(spark, sf_dir):
+    frame, _, _ = _vector_frame(spark, sf_dir)
+    return se.semantic_search(frame, _query_vector(spark, sf_dir), 10)
+
+
+def q_vector_topk_filtered(spark, sf_dir):
+    frame, _, _ = _vector_frame(spark, sf_dir)
+    return se.semantic_search(frame, _query_vector(spark, sf_dir), 10, kev_only=False, min_cvss=4.0)
+
+
+def q_vector_topk_batch(spark, sf_dir):
+    """Top 5 documents for each label's first vector (one query per label)."""
+    frame, _, _ = _vector_frame(spark, sf_dir)
+    emb = fx.table(spark, sf_dir, "embeddings")
+    firsts = emb.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    queries = emb.join(firsts, ["label", "vec_id"]).select("label", "embedding")
+    return se.batch_search(frame, queries, "label", 5)
+
+
+def q_tfidf_search(spark, sf_dir):
+    """Top 5 CVE documents for each benchmark passage (whole text)."""
+    docs = silver(spark, sf_dir).documents
+    bench = fx.table(spark, sf_dir, "benchmark")
+    return se.tfidf_search(docs, "cve_id", "document_text", bench, "item_id", "text", 5)
+
+
+def q_answer_semantic(spark, sf_dir):
+    """Top 5 CVE documents for each free-text (semantic) question."""
+    s = silver(spark, sf_dir)
+    p = _parsed(spark, sf_dir, s).filter(F.col("intent") == "SEMANTIC_SEARCH")
+    return se.tfidf_search(s.documents, "cve_id", "document_text", p, "question_id", "raw_query", 5)
+
+
+def q_keyword_fallback(spark, sf_dir):
+    s, e = enriched(spark, sf_dir)
+    return se.keyword_search(e, s.documents, "Weakness: CWE-1", 10)
+
+
 # ------------------------------------------------------------------ generic dedup on events
 
 def q_latest_event_per_user(spark, sf_dir):
@@ -239,5 +290,11 @@ QUERIES: dict[str, Query] = {
     "data_stats": q_data_stats,
     "top_vendors": q_top_vendors,
     "priority_list": q_priority_list,
+    "vector_topk": q_vector_topk,
+    "vector_topk_filtered": q_vector_topk_filtered,
+    "vector_topk_batch": q_vector_topk_batch,
+    "tfidf_search": q_tfidf_search,
+    "answer_semantic": q_answer_semantic,
+    "keyword_fallback": q_keyword_fallback,
     "latest_event_per_user": q_latest_event_per_user,
 }

@@ -346,6 +346,45 @@ fails AS (
 nfiles AS (SELECT tbl, rule, count(*) AS files_with_failures FROM fails WHERE failed > 0 GROUP BY 1, 2)"""
 
 
+VEC = f"""
+vec AS (SELECT vec_id, label, {_cve('vec_id')} AS cve_id, CAST(embedding AS DOUBLE[]) AS ev FROM embeddings),
+cand AS (
+  SELECT v.cve_id, v.ev, d.cvss_v3_score, d.kev_flag, e.description, e.risk_tier
+  FROM vec v JOIN docs2 d ON v.cve_id = d.cve_id LEFT JOIN enriched e ON v.cve_id = e.cve_id
+),
+qvec AS (SELECT ev AS qv FROM vec WHERE vec_id = 0)"""
+
+
+def _vec_topk(where: str) -> str:
+    return with_(*G, VEC) + f"""
+ , scored AS (
+   SELECT c.*, list_dot_product(c.ev, q.qv) / (sqrt(list_dot_product(c.ev, c.ev)) * sqrt(list_dot_product(q.qv, q.qv))) AS s
+   FROM cand c, qvec q WHERE {where})
+ SELECT CAST(row_number() OVER (ORDER BY round(s, 9) DESC NULLS LAST, cve_id) AS INTEGER) AS rank,
+   cve_id, round(s, 6) AS score, description, risk_tier, kev_flag, cvss_v3_score
+ FROM scored ORDER BY round(s, 9) DESC NULLS LAST, cve_id LIMIT 10"""
+
+
+def _tfidf(queries: str) -> str:
+    tok = "list_filter(string_split(regexp_replace(lower({x}), '[^a-z0-9_]+', ' ', 'g'), ' '), lambda t: t <> '')"
+    return f"""
+ , dt AS (SELECT cve_id AS id, unnest({tok.format(x='document_text')}) AS term FROM docs2),
+ dtf AS (SELECT id, term, count(*) AS tf FROM dt GROUP BY 1, 2),
+ idf AS (
+   SELECT term, ln(CAST((SELECT count(*) FROM docs2) + 1 AS DOUBLE) / (count(*) + 1)) AS idf
+   FROM dtf GROUP BY term),
+ dw AS (SELECT d.id, d.term, d.tf * i.idf AS w FROM dtf d JOIN idf i ON d.term = i.term WHERE i.idf > 0),
+ dn AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM dw),
+ qsrc AS ({queries}),
+ qt AS (SELECT qid, unnest({tok.format(x='qtext')}) AS term FROM qsrc),
+ qtf AS (SELECT qid, term, count(*) AS tf FROM qt GROUP BY 1, 2),
+ qw AS (SELECT q.qid, q.term, q.tf * i.idf AS w FROM qtf q JOIN idf i ON q.term = i.term WHERE i.idf > 0),
+ qn AS (SELECT qid, term, w / sqrt(sum(w * w) OVER (PARTITION BY qid)) AS w FROM qw),
+ sc AS (SELECT qn.qid, dn.id, sum(qn.w * dn.w) AS s FROM qn JOIN dn ON qn.term = dn.term GROUP BY 1, 2),
+ rk AS (SELECT qid, id, s, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id) AS INTEGER) AS rank FROM sc)
+ SELECT qid AS query_id, rank, id AS cve_id, round(s, 6) AS score FROM rk WHERE rank <= 5"""
+
+
 def sql() -> dict[str, str]:
     out = {
         "cve_core_latest": with_(*S2) + " SELECT * FROM core2",
@@ -456,6 +495,25 @@ def sql() -> dict[str, str]:
  SELECT cve_id, description, risk_score, risk_tier, kev_flag FROM enriched
  WHERE kev_flag AND cvss_v3_score >= 5.0
  ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 50""",
+        "vector_topk": _vec_topk("TRUE"),
+        "vector_topk_filtered": _vec_topk("c.cvss_v3_score >= 4.0"),
+        "vector_topk_batch": with_(*G, VEC) + """
+ , firsts AS (SELECT label, min(vec_id) AS vec_id FROM vec GROUP BY label),
+ qs AS (SELECT v.label, v.ev AS qv FROM vec v JOIN firsts f ON v.label = f.label AND v.vec_id = f.vec_id),
+ scored AS (
+   SELECT q.label, c.cve_id,
+     list_dot_product(c.ev, q.qv) / (sqrt(list_dot_product(c.ev, c.ev)) * sqrt(list_dot_product(q.qv, q.qv))) AS s
+   FROM qs q, cand c),
+ rk AS (SELECT label, cve_id, s,
+   CAST(row_number() OVER (PARTITION BY label ORDER BY round(s, 9) DESC, cve_id) AS INTEGER) AS rank FROM scored)
+ SELECT label AS query_id, rank, cve_id, round(s, 6) AS score FROM rk WHERE rank <= 5""",
+        "tfidf_search": with_(*S2) + _tfidf("SELECT item_id AS qid, text AS qtext FROM benchmark"),
+        "answer_semantic": with_(*Q) + _tfidf(
+            "SELECT question_id AS qid, coalesce(raw_query, '') AS qtext FROM parsed WHERE intent = 'SEMANTIC_SEARCH'"),
+        "keyword_fallback": with_(*G) + """
+ SELECT cve_id, description, risk_score, risk_tier, kev_flag FROM enriched
+ WHERE cve_id IN (SELECT cve_id FROM docs2 WHERE contains(lower(document_text), 'weakness: cwe-1'))
+ ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 10""",
         "latest_event_per_user": """
  SELECT user_id, event_id, ts, event_type, value FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
