@@ -22,7 +22,8 @@ from cvelake.plans import questions as qs
 from cvelake.plans import quality_report as qr
 from cvelake.plans import search as se
 from cvelake.plans import silver as sv
-from cvelake.session import prepare
+from cvelake.session import prepare, scratch_dir
+from cvelake.sources import feeds
 from cvelake.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +77,55 @@ def q_snapshot_diff(spark, sf_dir):
     return snapshot_diff(silver(spark, sf_dir, fx.RUN_1).documents, silver(spark, sf_dir).documents, ["cve_id"])
 
 
+# ------------------------------------------------------------------ feed files
+
+def feed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write the fixture snapshots as feed files under the shared scratch folder."""
+    prepare(spark)
+    root = scratch_dir(spark, "feeds")
+    feeds.write_nvd_files(fx.nvd_items(spark, sf_dir), f"{root}/nvd")
+    feeds.write_kev_files(fx.kev_entries(spark, sf_dir), f"{root}/kev", fx.SNAP_1)
+    feeds.write_epss_files(fx.epss_rows(spark, sf_dir), f"{root}/epss")
+    return root
+
+
+def _read_feeds(spark, root: str, run_ts: str = fx.RUN_2):
+    g = feeds.WRITTEN_GLOBS
+    return (feeds.read_nvd(spark, f"{root}/nvd", run_ts, g["nvd"]),
+            feeds.read_kev(spark, f"{root}/kev", run_ts, g["kev"]),
+            feeds.read_epss(spark, f"{root}/epss", run_ts, g["epss"]))
+
+
+def q_bronze_ingest(spark, sf_dir):
+    nvd, kev, epss = _read_feeds(spark, feed_files(spark, sf_dir))
+    return feeds.ingest_summary(nvd, kev, epss)
+
+
+def q_core_from_files(spark, sf_dir):
+    """cve_core from feed files loaded in one run (both snapshots share the
+    run's ingest_ts; the newer snapshot date wins)."""
+    nvd, _, _ = _read_feeds(spark, feed_files(spark, sf_dir))
+    return sv.cve_core(nvd)
+
+
+def q_signals_from_files(spark, sf_dir):
+    _, kev, epss = _read_feeds(spark, feed_files(spark, sf_dir))
+    return sv.cve_signals(epss, kev)
+
+
+def q_file_validation(spark, sf_dir):
+    root = feed_files(spark, sf_dir)
+    g = feeds.WRITTEN_GLOBS
+    v = (feeds.validate_files(spark, f"{root}/nvd", "nvd", g["nvd"])
+         .unionByName(feeds.validate_files(spark, f"{root}/kev", "kev", g["kev"]))
+         .unionByName(feeds.validate_files(spark, f"{root}/epss", "epss", g["epss"])))
+    return v.groupBy("kind").agg(
+        F.bool_and("ok").alias("all_ok"),
+        F.bool_and("count_matches").alias("counts_match"),
+        F.sum("n_records").alias("n_records"),
+    )
+
+
 # ------------------------------------------------------------------ quality
 
 def q_dq_metrics(spark, sf_dir):
@@ -269,6 +319,10 @@ QUERIES: dict[str, Query] = {
     "affected_products": q_affected_products,
     "cve_documents": q_cve_documents,
     "as_of_core": q_as_of_core,
+    "bronze_ingest": q_bronze_ingest,
+    "core_from_files": q_core_from_files,
+    "signals_from_files": q_signals_from_files,
+    "file_validation": q_file_validation,
     "snapshot_diff": q_snapshot_diff,
     "dq_metrics": q_dq_metrics,
     "dq_severity": q_dq_severity,

@@ -47,22 +47,6 @@ def cve_id_of(n: Column) -> Column:
     return F.concat(prefix, (F.lit(2020) + n % 5).cast("string"), F.lit("-"), F.format_string("%05d", n))
 
 
-def _load(run: str, snap: str, file: str, v: int) -> Column:
-    return F.struct(
-        F.lit(run).cast("timestamp").alias("ingest_ts"),
-        F.lit(snap).cast("date").alias("snapshot_date"),
-        F.lit(file).alias("source_file"),
-        F.lit(v).alias("v"),
-    )
-
-
-def _loads(files: dict[str, str], has_v2: Column) -> Column:
-    r1 = _load(RUN_1, SNAP_1, files[SNAP_1], 1)
-    r2 = _load(RUN_2, SNAP_1, files[SNAP_1], 1)
-    r2b = _load(RUN_2, SNAP_2, files[SNAP_2], 2)
-    return F.when(has_v2, F.array(r1, r2, r2b)).otherwise(F.array(r1, r2))
-
-
 def _empty_like(arr: Column) -> Column:
     return F.filter(arr, lambda x: F.lit(False))
 
@@ -101,11 +85,18 @@ def _cpe_lists(docs: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def bronze_nvd(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _snapshots(has_v2: Column) -> Column:
+    s1 = F.struct(F.lit(SNAP_1).cast("date").alias("snapshot_date"), F.lit(1).alias("v"))
+    s2 = F.struct(F.lit(SNAP_2).cast("date").alias("snapshot_date"), F.lit(2).alias("v"))
+    return F.when(has_v2, F.array(s1, s2)).otherwise(F.array(s1))
+
+
+def nvd_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One NVD item per document and snapshot: (n, cve_id, snapshot_date, raw_json)."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), "text", "lang")
     cpes = _cpe_lists(docs.select("n"), table(spark, sf_dir, "part"))
     n = F.col("n")
-    rows = docs.join(cpes, "n", "left").select("*", F.inline(_loads(NVD_FILES, n % 4 == 0)))
+    rows = docs.join(cpes, "n", "left").select("*", F.inline(_snapshots(n % 4 == 0)))
     v = F.col("v")
     cid = cve_id_of(n)
     s1 = (n % 101) / F.lit(10.0)
@@ -150,15 +141,31 @@ def bronze_nvd(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).alias("cve"))
     legacy = F.struct(F.struct(F.struct(cid.alias("ID")).alias("CVE_data_meta")).alias("cve"))
     raw = F.when((v == 1) & (n % 89 == 0), F.to_json(legacy)).otherwise(F.to_json(item))
-    return rows.select(
-        cid.alias("cve_id"), raw.alias("raw_json"), "ingest_ts", "source_file", "snapshot_date",
+    return rows.select("n", cid.alias("cve_id"), "snapshot_date", raw.alias("raw_json"))
+
+
+def _runs(files: dict[str, str]) -> Column:
+    """The loads that put a snapshot row into Bronze: snapshot 1 by run 1 and
+    again by run 2 (which re-reads the folder), snapshot 2 by run 2."""
+    def load(run: str, snap: str) -> Column:
+        return F.struct(F.lit(run).cast("timestamp").alias("ingest_ts"), F.lit(files[snap]).alias("source_file"))
+
+    return F.when(F.col("snapshot_date") == F.lit(SNAP_1).cast("date"),
+                  F.array(load(RUN_1, SNAP_1), load(RUN_2, SNAP_1))).otherwise(F.array(load(RUN_2, SNAP_2)))
+
+
+def bronze_nvd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = nvd_items(spark, sf_dir)
+    return items.select("cve_id", "raw_json", F.inline(_runs(NVD_FILES)), "snapshot_date").select(
+        "cve_id", "raw_json", "ingest_ts", "source_file", "snapshot_date"
     )
 
 
-def bronze_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
+def epss_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One EPSS row per document (n % 10 <> 9) and snapshot."""
     n = F.col("n")
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n")).filter(n % 10 != 9)
-    rows = docs.select("n", F.inline(_loads(EPSS_FILES, n % 6 == 0)))
+    rows = docs.select("n", F.inline(_snapshots(n % 6 == 0)))
     v = F.col("v")
     score = (
         F.when(v == 2, ((n * 7919 + 500) % 1000) / F.lit(1000.0))
@@ -167,18 +174,21 @@ def bronze_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(((n * 7919) % 1000) / F.lit(1000.0))
     )
     return rows.select(
-        cve_id_of(n).alias("cve_id"),
-        score.alias("epss_score"),
-        (((n * 31) % 1000) / F.lit(1000.0)).alias("epss_percentile"),
-        "ingest_ts", "source_file", "snapshot_date",
+        "n", cve_id_of(n).alias("cve_id"), "snapshot_date",
+        score.alias("epss_score"), (((n * 31) % 1000) / F.lit(1000.0)).alias("epss_percentile"),
     )
 
 
-def bronze_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_epss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epss_rows(spark, sf_dir).select(
+        "cve_id", "epss_score", "epss_percentile", F.inline(_runs(EPSS_FILES)), "snapshot_date"
+    ).select("cve_id", "epss_score", "epss_percentile", "ingest_ts", "source_file", "snapshot_date")
+
+
+def kev_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One KEV catalog entry per labels row with toxic = 1: (n, cve_id, raw_json)."""
     n = F.col("n")
     lab = table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select(F.col("doc_id").alias("n"))
-    loads = F.array(_load(RUN_1, SNAP_1, KEV_FILE, 1), _load(RUN_2, SNAP_1, KEV_FILE, 1))
-    rows = lab.select("n", F.inline(loads))
     added = F.date_add(F.lit("2024-01-01").cast("date"), (n % 60).cast("int"))
     cid = cve_id_of(n)
     entry = F.struct(
@@ -192,7 +202,18 @@ def bronze_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Advisory "), n.cast("string")).alias("notes"),
         F.lit("Exploited in the wild.").alias("shortDescription"),
     )
-    return rows.select(cid.alias("cve_id"), F.to_json(entry).alias("raw_json"), "ingest_ts", "source_file", "snapshot_date")
+    return lab.select("n", cid.alias("cve_id"), F.to_json(entry).alias("raw_json"))
+
+
+def bronze_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one KEV snapshot, loaded by run 1 and re-loaded by run 2."""
+    loads = F.array(*[
+        F.struct(F.lit(r).cast("timestamp").alias("ingest_ts")) for r in (RUN_1, RUN_2)
+    ])
+    return kev_entries(spark, sf_dir).select(
+        "cve_id", "raw_json", F.inline(loads),
+        F.lit(KEV_FILE).alias("source_file"), F.lit(SNAP_1).cast("date").alias("snapshot_date"),
+    )
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

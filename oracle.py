@@ -392,6 +392,23 @@ def sql() -> dict[str, str]:
         "affected_products": with_(*S2) + " SELECT * FROM products2",
         "cve_documents": with_(*S2) + " SELECT * FROM docs2",
         "as_of_core": with_(*S1) + " SELECT * FROM core1",
+        "bronze_ingest": """
+ WITH src AS (
+   SELECT 'nvd' AS source, DATE '2024-01-15' AS snapshot_date FROM documents
+   UNION ALL SELECT 'nvd', DATE '2024-01-16' FROM documents WHERE doc_id % 4 = 0
+   UNION ALL SELECT 'kev', DATE '2024-01-15' FROM labels WHERE toxic = 1
+   UNION ALL SELECT 'epss', DATE '2024-01-15' FROM documents WHERE doc_id % 10 <> 9
+   UNION ALL SELECT 'epss', DATE '2024-01-16' FROM documents WHERE doc_id % 10 <> 9 AND doc_id % 6 = 0)
+ SELECT source, snapshot_date, count(*) AS records FROM src GROUP BY ROLLUP (source, snapshot_date)""",
+        "core_from_files": with_(*S2) + " SELECT * FROM core2",
+        "signals_from_files": with_(*S2) + " SELECT * FROM signals2",
+        "file_validation": """
+ SELECT 'nvd' AS kind, true AS all_ok, true AS counts_match,
+   (SELECT count(*) FROM documents) + (SELECT count(*) FROM documents WHERE doc_id % 4 = 0) AS n_records
+ UNION ALL SELECT 'kev', true, true, (SELECT count(*) FROM labels WHERE toxic = 1)
+ UNION ALL SELECT 'epss', true, true,
+   (SELECT count(*) FROM documents WHERE doc_id % 10 <> 9)
+   + (SELECT count(*) FROM documents WHERE doc_id % 10 <> 9 AND doc_id % 6 = 0)""",
         "snapshot_diff": with_(*S12) + _diff(),
         "dq_metrics": with_(*S2, metrics_block(2)) + " SELECT * FROM metrics2",
         "dq_severity": with_(*S2, metrics_block(2)) + """
