@@ -62,14 +62,15 @@ def _item_id() -> Column:
     return F.coalesce(F.col("p.cve.id"), F.col("cve_id"))
 
 
-def cve_core_records(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def core_rows(parsed: DataFrame) -> DataFrame:
+    """Core fields of every Bronze row (no dedup), with provenance."""
     cve = F.col("p.cve")
     v31 = F.get(cve["metrics"]["cvssMetricV31"], 0)["cvssData"]
     v30 = F.get(cve["metrics"]["cvssMetricV30"], 0)["cvssData"]
     v2 = F.get(cve["metrics"]["cvssMetricV2"], 0)["cvssData"]
     # FLATTEN is NULL when any weakness lacks a description: cwe_id is then NULL.
     cwe = F.flatten(F.transform(cve["weaknesses"], lambda w: w["description"]))
-    rows = parsed.select(
+    return parsed.select(
         _item_id().alias("cve_id"),
         F.try_to_timestamp(cve["published"]).alias("published"),
         F.try_to_timestamp(cve["lastModified"]).alias("last_modified"),
@@ -82,7 +83,10 @@ def cve_core_records(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         first_value(cwe).alias("cwe_id"),
         *PROVENANCE,
     )
-    return latest_per_key(rows, ["cve_id"]).select(*CVE_CORE_COLUMNS, *keep)
+
+
+def cve_core_records(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return latest_per_key(core_rows(parsed), ["cve_id"]).select(*CVE_CORE_COLUMNS, *keep)
 
 
 def cve_core(bronze_nvd: DataFrame, parsed: DataFrame | None = None) -> DataFrame:

@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 
 from cvelake.operators import quality as q
 from cvelake.operators.changes import snapshot_diff
-from cvelake.operators.dedup import latest_per_key
+from cvelake.operators.dedup import bronze_recency, latest_per_key
 from cvelake.plans import dashboard as dash
 from cvelake.plans import gold as gd
 from cvelake.plans import questions as qs
 from cvelake.plans import quality_report as qr
 from cvelake.plans import search as se
 from cvelake.plans import silver as sv
+from cvelake.schemas import BRONZE_JSON, CVE_CORE_COLUMNS
 from cvelake.session import prepare, scratch_dir
+from cvelake.streaming import incremental as inc
 from cvelake.sources import feeds
 from cvelake.sources import fixtures as fx
 
@@ -313,6 +315,65 @@ def q_latest_event_per_user(spark, sf_dir):
     )
 
 
+# ------------------------------------------------------------------ incremental (streaming)
+
+EVENT_SPLIT = "2024-01-15 00:00:00"  # events land in two arrivals: before / from this time
+EVENT_COLUMNS = ["user_id", "event_id", "ts", "event_type", "value"]
+
+
+def _events(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    # Watermarks need TIMESTAMP (the driver files hold TIMESTAMP_NTZ).
+    return ev.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def q_incremental_core(spark, sf_dir):
+    """cve_core maintained by a stream over Bronze files that land run by run."""
+    prepare(spark)
+    root = scratch_dir(spark, "incremental-core")
+    bronze = fx.bronze_nvd(spark, sf_dir)
+    src, state = f"{root}/bronze_nvd", f"{root}/core_state"
+    for run in RUNS:
+        bronze.filter(F.col("ingest_ts") == F.lit(run).cast("timestamp")).write.mode("append").parquet(src)
+        inc.run_latest_wins(
+            spark, src, BRONZE_JSON, lambda df: sv.core_rows(sv.parse_nvd(df)), state, f"{root}/ckpt",
+            ["cve_id"], bronze_recency, buckets=16,
+        )
+    return q.apply_expectations(inc.read_state(spark, state).select(*CVE_CORE_COLUMNS), sv.CORE_RULES)
+
+
+def q_incremental_events(spark, sf_dir):
+    """Latest event per user, maintained by a stream over two arrivals."""
+    prepare(spark)
+    root = scratch_dir(spark, "incremental-events")
+    ev = _events(spark, sf_dir)
+    src, state = f"{root}/events", f"{root}/state"
+    cut = F.lit(EVENT_SPLIT).cast("timestamp")
+    for part in (ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)):
+        part.write.mode("append").parquet(src)
+        inc.run_latest_wins(
+            spark, src, ev.schema, lambda df: df, state, f"{root}/ckpt", ["user_id"],
+            lambda: [F.col("ts").desc(), F.col("event_id").desc()], buckets=16,
+        )
+    return inc.read_state(spark, state).select(*EVENT_COLUMNS)
+
+
+def q_stream_dedup_events(spark, sf_dir):
+    """Events delivered twice (a replay) come out once: watermark dedup."""
+    prepare(spark)
+    root = scratch_dir(spark, "stream-dedup")
+    ev = _events(spark, sf_dir)
+    src, out = f"{root}/events", f"{root}/out"
+    for _ in range(2):
+        ev.write.mode("append").parquet(src)
+    stream = inc.dedup_replayed(spark.readStream.schema(ev.schema).parquet(src), ["event_id"], "ts", "1 hour")
+    qy = (stream.writeStream.format("parquet").option("path", out)
+          .option("checkpointLocation", f"{root}/ckpt").outputMode("append")
+          .trigger(availableNow=True).start())
+    qy.awaitTermination()
+    return spark.read.schema(ev.schema).parquet(out).select(*EVENT_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "cve_core_latest": q_cve_core_latest,
     "cve_signals": q_cve_signals,
@@ -351,4 +412,7 @@ QUERIES: dict[str, Query] = {
     "answer_semantic": q_answer_semantic,
     "keyword_fallback": q_keyword_fallback,
     "latest_event_per_user": q_latest_event_per_user,
+    "incremental_core": q_incremental_core,
+    "incremental_events": q_incremental_events,
+    "stream_dedup_events": q_stream_dedup_events,
 }
