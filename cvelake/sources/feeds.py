@@ -124,8 +124,8 @@ def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None =
 
     nvd: readable gzip, JSON, ``CVE_Items`` present and a list;
     kev: JSON, ``vulnerabilities`` present and a list;
-    epss: at least 2 lines, header names ``cve`` and ``epss``, first data
-    row has 2+ fields and starts with ``CVE-``.
+    epss: at least 2 lines (blank and ``#`` lines ignored), header names
+    ``cve`` and ``epss``, first data row has 2+ fields and starts with ``CVE-``.
     """
     glob = glob or {"nvd": NVD_GLOB, "kev": KEV_GLOB, "epss": EPSS_GLOB}[kind]
     files = _whole_files(spark, path, glob)
@@ -149,7 +149,8 @@ def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None =
             "declared_records",
         )
     elif kind == "epss":
-        lines = F.filter(F.split(v, r"\R"), lambda x: F.trim(x) != "")
+        # Blank and '#' comment lines are skipped, as the reader skips them.
+        lines = F.filter(F.split(v, r"\R"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("#"))
         header = F.lower(F.trim(F.get(lines, 0)))
         first = F.split(F.trim(F.get(lines, 1)), ",")
         checked = files.select(
