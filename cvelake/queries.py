@@ -23,7 +23,7 @@ from cvelake.plans import quality_report as qr
 from cvelake.plans import search as se
 from cvelake.plans import silver as sv
 from cvelake.schemas import BRONZE_JSON, CVE_CORE_COLUMNS
-from cvelake.session import prepare, scratch_dir
+from cvelake.session import prepare, scratch_dir, stage
 from cvelake.streaming import incremental as inc
 from cvelake.sources import feeds
 from cvelake.sources import fixtures as fx
@@ -38,13 +38,26 @@ def _bronze(spark: SparkSession, sf_dir: str, run_ts: str | None = None):
     return b if run_ts is None else tuple(qr.as_of_run(x, run_ts) for x in b)
 
 
-def silver(spark: SparkSession, sf_dir: str, run_ts: str | None = None) -> sv.Silver:
-    return sv.silver_tables(*_bronze(spark, sf_dir, run_ts))
+def silver(spark: SparkSession, sf_dir: str, run_ts: str | None = None, staged: bool = False) -> sv.Silver:
+    """The Silver tables as one lazy plan; with ``staged`` the affected
+    products (read by several later steps) are first written to the shared
+    folder, so those steps read the table instead of re-parsing Bronze."""
+    nvd, epss, kev = _bronze(spark, sf_dir, run_ts)
+    parsed = sv.parse_nvd(nvd)
+    core = sv.cve_core(nvd, parsed)
+    signals = sv.cve_signals(epss, kev)
+    products = sv.cve_affected_products(nvd, parsed)
+    if staged:
+        products = stage(products, "cve_affected_products")
+    return sv.Silver(core, signals, products, sv.cve_documents(core, signals, products))
 
 
-def enriched(spark: SparkSession, sf_dir: str):
-    s = silver(spark, sf_dir)
-    return s, gd.vuln_enriched(s.core, s.signals, s.products)
+def enriched(spark: SparkSession, sf_dir: str, staged: bool = False):
+    """Silver + vuln_enriched. Queries that read the Gold table several times
+    pass ``staged`` so it is written once (as the Gold table is) and re-read."""
+    s = silver(spark, sf_dir, staged=staged)
+    e = gd.vuln_enriched(s.core, s.signals, s.products)
+    return s, (stage(e, "vuln_enriched") if staged else e)
 
 
 # ------------------------------------------------------------------ Silver
@@ -191,7 +204,7 @@ def q_classify_questions(spark, sf_dir):
 
 
 def q_lookup_cve(spark, sf_dir):
-    s, e = enriched(spark, sf_dir)
+    s, e = enriched(spark, sf_dir, staged=True)
     ids = qs.question_ids(_parsed(spark, sf_dir, s), ["CVE_LOOKUP"])
     r = qs.lookup_cves(ids, e, s.products)
     return r.select(
@@ -202,13 +215,13 @@ def q_lookup_cve(spark, sf_dir):
 
 
 def q_compare_cves(spark, sf_dir):
-    s, e = enriched(spark, sf_dir)
+    s, e = enriched(spark, sf_dir, staged=True)
     ids = qs.question_ids(_parsed(spark, sf_dir, s), ["COMPARISON"])
     return qs.compare_cves(ids, e)
 
 
 def q_not_found_ids(spark, sf_dir):
-    s, e = enriched(spark, sf_dir)
+    s, e = enriched(spark, sf_dir, staged=True)
     return qs.not_found(qs.question_ids(_parsed(spark, sf_dir, s)), e)
 
 
@@ -221,7 +234,7 @@ def q_filtered_search(spark, sf_dir):
 
 
 def q_answer_filtered(spark, sf_dir):
-    s, e = enriched(spark, sf_dir)
+    s, e = enriched(spark, sf_dir, staged=True)
     return qs.answer_filtered(_parsed(spark, sf_dir, s), e, s.products)
 
 
@@ -257,7 +270,7 @@ def q_priority_list(spark, sf_dir):
 # ------------------------------------------------------------------ search
 
 def _vector_frame(spark, sf_dir):
-    s, e = enriched(spark, sf_dir)
+    s, e = enriched(spark, sf_dir, staged=True)
     return se.hits_frame(fx.query_vectors(spark, sf_dir), s.documents, e), s, e
 
 

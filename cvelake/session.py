@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -72,6 +72,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Materialise ``df`` as Parquet in the shared checkpoint folder and read it
+    back: later uses read the written table instead of recomputing the
+    lineage, and a lost executor costs a re-read, not a rebuild."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared checkpoint folder for one job's output."""
     base = ensure_checkpoint_dir(spark)

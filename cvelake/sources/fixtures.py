@@ -58,31 +58,38 @@ def _severity(score: Column) -> Column:
     )
 
 
-def _cpe_lists(docs: DataFrame, part: DataFrame) -> DataFrame:
-    """(n, cpes) with 1..4 CPE match entries per document."""
-    lookup = part.filter(F.col("p_partkey") < N_PARTS).select(
+def _part_lookup(part: DataFrame) -> Column:
+    """part key -> (brand, name, size) for keys 0..N_PARTS-1, as one map-valued
+    scalar subquery: computed once, shipped to every task with the plan, so
+    building CPE lists needs no join and no shuffle of the document rows."""
+    lk = part.filter(F.col("p_partkey") < N_PARTS).agg(F.map_from_entries(F.collect_list(F.struct(
         F.col("p_partkey"),
-        F.lower(F.regexp_replace("p_brand", "#", "_")).alias("brand"),
-        F.regexp_replace("p_name", " ", "_").alias("pname"),
-        F.col("p_size").cast("string").alias("psize"),
-    )
-    n, k = F.col("n"), F.col("k")
-    ks = docs.select("n", F.explode(F.sequence(F.lit(0), (n % 4).cast("int"))).alias("k"))
-    ks = ks.withColumn("p_partkey", (n * 7 + k * 13) % N_PARTS)
-    # The lookup is bounded by N_PARTS rows whatever the scale: safe to broadcast.
-    j = ks.join(F.broadcast(lookup), "p_partkey")
-    vendor = F.when((n + k) % 11 == 0, F.lit("*")).otherwise(F.col("brand"))
-    product = F.when((n + k) % 13 == 0, F.lit("-")).otherwise(F.col("pname"))
-    criteria = F.concat_ws(":", F.lit("cpe"), F.lit("2.3"), F.lit("a"), vendor, product, F.col("psize"),
-                           *[F.lit("*")] * 7)
-    cpe = F.struct(
-        ((n + k) % 5 != 0).alias("vulnerable"),
-        criteria.alias("criteria"),
-        F.concat(F.lit("m-"), n.cast("string"), F.lit("-"), k.cast("string")).alias("matchCriteriaId"),
-    )
-    return j.groupBy("n").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), cpe.alias("c")))), lambda x: x["c"]).alias("cpes")
-    )
+        F.struct(
+            F.lower(F.regexp_replace("p_brand", "#", "_")).alias("brand"),
+            F.regexp_replace("p_name", " ", "_").alias("pname"),
+            F.col("p_size").cast("string").alias("psize"),
+        ),
+    ))))
+    return lk.scalar()
+
+
+def _cpe_list(n: Column, lookup: Column) -> Column:
+    """1..4 CPE match entries for document ``n`` (entries whose part key is
+    absent from ``part`` are left out)."""
+    def entry(k: Column) -> Column:
+        p = F.try_element_at(lookup, (n * 7 + k * 13) % N_PARTS)
+        vendor = F.when((n + k) % 11 == 0, F.lit("*")).otherwise(p["brand"])
+        product = F.when((n + k) % 13 == 0, F.lit("-")).otherwise(p["pname"])
+        criteria = F.concat_ws(":", F.lit("cpe"), F.lit("2.3"), F.lit("a"), vendor, product, p["psize"],
+                               *[F.lit("*")] * 7)
+        return F.when(p.isNotNull(), F.struct(
+            ((n + k) % 5 != 0).alias("vulnerable"),
+            criteria.alias("criteria"),
+            F.concat(F.lit("m-"), n.cast("string"), F.lit("-"), k.cast("string")).alias("matchCriteriaId"),
+        ))
+
+    ks = F.sequence(F.lit(0).cast("long"), n % 4)
+    return F.filter(F.transform(ks, entry), lambda c: c.isNotNull())
 
 
 def _snapshots(has_v2: Column) -> Column:
@@ -93,10 +100,12 @@ def _snapshots(has_v2: Column) -> Column:
 
 def nvd_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One NVD item per document and snapshot: (n, cve_id, snapshot_date, raw_json)."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), "text", "lang")
-    cpes = _cpe_lists(docs.select("n"), table(spark, sf_dir, "part"))
     n = F.col("n")
-    rows = docs.join(cpes, "n", "left").select("*", F.inline(_snapshots(n % 4 == 0)))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), "text", "lang")
+    # A subquery cannot sit inside a lambda: project it first, then use the column.
+    docs = docs.withColumn("_lk", _part_lookup(table(spark, sf_dir, "part")))
+    docs = docs.withColumn("cpes", _cpe_list(n, F.col("_lk"))).drop("_lk")
+    rows = docs.select("*", F.inline(_snapshots(n % 4 == 0)))
     v = F.col("v")
     cid = cve_id_of(n)
     s1 = (n % 101) / F.lit(10.0)
