@@ -118,3 +118,19 @@ def build_run(
 def inspect(df: DataFrame, n: int = 5) -> tuple[int, str, DataFrame]:
     """Row count, schema string and a sample of ``n`` rows."""
     return df.count(), df.schema.simpleString(), df.limit(n)
+
+
+def partition_by_month(df: DataFrame, ts_col: str = "published") -> DataFrame:
+    """Add ``year`` and ``month`` partition columns from a timestamp."""
+    return df.withColumn("year", F.year(ts_col)).withColumn("month", F.month(ts_col))
+
+
+def write_by_month(df: DataFrame, path: str, ts_col: str = "published") -> None:
+    """Write a Silver table partitioned by year/month: a date filter on read
+    then prunes whole folders."""
+    partition_by_month(df, ts_col).write.mode("overwrite").partitionBy("year", "month").parquet(path)
+
+
+def export_csv(df: DataFrame, path: str) -> None:
+    """Download form of a filtered list: CSV with a header row."""
+    df.write.mode("overwrite").option("header", True).csv(path)

@@ -72,3 +72,26 @@ def snapshot_drop_counts(bronze_nvd: DataFrame) -> DataFrame:
         )
         .orderBy(F.col("snapshot_date").desc())
     )
+
+
+def malformed_ids(bronze_nvd: DataFrame, with_payload: bool = False) -> DataFrame:
+    """Bronze rows whose id breaks the CVE format, to trace a warn failure
+    back to its source file."""
+    from cvelake.functions.columns import CVE_ID_PATTERN
+
+    cols = ["cve_id", "source_file", "snapshot_date", "ingest_ts"] + (["raw_json"] if with_payload else [])
+    return bronze_nvd.filter(~F.coalesce(F.col("cve_id").rlike(CVE_ID_PATTERN), F.lit(False))).select(*cols)
+
+
+def short_description_count(core: DataFrame, signals: DataFrame, limit: int = 50) -> DataFrame:
+    """Simulated document-length test: core rows (left-joined to signals)
+    whose description alone is at most ``limit`` characters."""
+    j = core.join(signals, "cve_id", "left")
+    return j.agg(F.count_if(F.length("description") <= limit).alias("would_fail"))
+
+
+def records_per_file(bronze: DataFrame, source: str) -> DataFrame:
+    """Accumulated Bronze records per source file and snapshot."""
+    return bronze.groupBy("source_file", "snapshot_date").agg(F.count(F.lit(1)).alias("records")).select(
+        F.lit(source).alias("source"), "source_file", "snapshot_date", "records"
+    )

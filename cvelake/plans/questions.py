@@ -14,15 +14,17 @@ deterministic; each tool is a keyed join against the Gold tables:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cvelake.functions import text as tx
+from cvelake.functions.columns import truncate_text
 from cvelake.plans.gold import as_of_date, recent_kev_filter
 
 RESULT_COLUMNS = ["cve_id", "description", "risk_score", "risk_tier", "kev_flag"]
+SUMMARY_CHARS = 300  # description length shown in a lookup summary
 
 
 # ------------------------------------------------------------------ routing
@@ -106,7 +108,7 @@ def lookup_cves(ids: DataFrame, enriched: DataFrame, products: DataFrame) -> Dat
     give no row (see :func:`not_found`)."""
     rec = enriched.select(
         "cve_id", "description", "cvss_v3_score", "epss_score", "kev_flag", "risk_score", "risk_tier",
-        "published", "cwe_id",
+        "published", "cwe_id", truncate_text(F.col("description"), SUMMARY_CHARS).alias("description_short"),
     )
     return ids.join(rec, "cve_id").join(product_arrays(products), "cve_id", "left")
 
@@ -166,7 +168,6 @@ class QueryFilters:
     date_from: str | None = None
     date_to: str | None = None
     limit: int = 20
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
 
 def filter_predicate(f: QueryFilters) -> Column:

@@ -164,6 +164,54 @@ def q_dq_by_snapshot(spark, sf_dir):
     return qr.snapshot_drop_counts(fx.bronze_nvd(spark, sf_dir))
 
 
+def q_malformed_ids(spark, sf_dir):
+    prepare(spark)
+    return qr.malformed_ids(fx.bronze_nvd(spark, sf_dir))
+
+
+def q_dq_length_check(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return qr.short_description_count(s.core, s.signals)
+
+
+def q_bronze_file_counts(spark, sf_dir):
+    nvd, epss, kev = _bronze(spark, sf_dir)
+    return (qr.records_per_file(nvd, "nvd").unionByName(qr.records_per_file(kev, "kev"))
+            .unionByName(qr.records_per_file(epss, "epss")))
+
+
+def q_distinct_vendors(spark, sf_dir):
+    prepare(spark)
+    p = sv.cve_affected_products(fx.bronze_nvd(spark, sf_dir))
+    return p.filter(F.col("vendor").isNotNull()).select("vendor").distinct()
+
+
+def q_core_by_month(spark, sf_dir):
+    """cve_core written partitioned by year/month, read back per partition."""
+    from cvelake.plans import build
+
+    prepare(spark)
+    path = scratch_dir(spark, "core-by-month")
+    build.write_by_month(sv.cve_core(fx.bronze_nvd(spark, sf_dir)), path)
+    return spark.read.parquet(path).groupBy("year", "month").agg(F.count(F.lit(1)).alias("cves"))
+
+
+def doc_index(documents: DataFrame) -> DataFrame:
+    """A keyed table derived from cve_documents (the part of a search index
+    kept next to each embedding): recomputed only for changed keys."""
+    return documents.select("cve_id", F.length("document_text").alias("text_length"), "kev_flag", "cvss_v3_score")
+
+
+def q_index_sync(spark, sf_dir):
+    """Index built on run 1's documents, synced with the run1 -> run2 change feed."""
+    from cvelake.operators.changes import apply_changes
+
+    old = silver(spark, sf_dir, fx.RUN_1).documents
+    new = silver(spark, sf_dir).documents
+    changes = snapshot_diff(old, new, ["cve_id"])
+    return apply_changes(doc_index(old), changes, ["cve_id"], doc_index(new))
+
+
 # ------------------------------------------------------------------ Gold
 
 def q_vuln_enriched(spark, sf_dir):
@@ -209,7 +257,7 @@ def q_lookup_cve(spark, sf_dir):
     r = qs.lookup_cves(ids, e, s.products)
     return r.select(
         "question_id", "cve_id", "description", "cvss_v3_score", "epss_score", "kev_flag", "risk_score",
-        "risk_tier", "published", "cwe_id",
+        "risk_tier", "published", "cwe_id", "description_short",
         F.array_join("vendors", " | ").alias("vendors"), F.array_join("products", " | ").alias("products"),
     )
 
@@ -403,6 +451,12 @@ QUERIES: dict[str, Query] = {
     "dq_trend": q_dq_trend,
     "dq_escalation": q_dq_escalation,
     "dq_by_snapshot": q_dq_by_snapshot,
+    "malformed_ids": q_malformed_ids,
+    "dq_length_check": q_dq_length_check,
+    "bronze_file_counts": q_bronze_file_counts,
+    "distinct_vendors": q_distinct_vendors,
+    "core_by_month": q_core_by_month,
+    "index_sync": q_index_sync,
     "vuln_enriched": q_vuln_enriched,
     "vendor_risk_agg": q_vendor_risk_agg,
     "kev_recent": q_kev_recent,

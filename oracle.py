@@ -434,6 +434,26 @@ def sql() -> dict[str, str]:
  SELECT DATE '2024-01-16', count(*),
    count(*) FILTER (WHERE NOT coalesce(lang = 'en' AND text IS NOT NULL, false) OR n % 28 = 0)
  FROM ids WHERE n % 4 = 0""",
+        "malformed_ids": with_(IDS) + f"""
+ SELECT cve_id, '{NVD_FILE[1]}' AS source_file, DATE '2024-01-15' AS snapshot_date, TIMESTAMP '{RUN_TS[1]}' AS ingest_ts
+ FROM ids WHERE n % 97 = 0
+ UNION ALL SELECT cve_id, '{NVD_FILE[1]}', DATE '2024-01-15', TIMESTAMP '{RUN_TS[2]}' FROM ids WHERE n % 97 = 0
+ UNION ALL SELECT cve_id, '{NVD_FILE[2]}', DATE '2024-01-16', TIMESTAMP '{RUN_TS[2]}' FROM ids WHERE n % 97 = 0 AND n % 4 = 0""",
+        "dq_length_check": with_(*S2) + """
+ SELECT count(*) FILTER (WHERE length(c.description) <= 50) AS would_fail
+ FROM core2 c LEFT JOIN signals2 s ON c.cve_id = s.cve_id""",
+        "bronze_file_counts": f"""
+ SELECT 'nvd' AS source, '{NVD_FILE[1]}' AS source_file, DATE '2024-01-15' AS snapshot_date, 2 * count(*) AS records FROM documents
+ UNION ALL SELECT 'nvd', '{NVD_FILE[2]}', DATE '2024-01-16', count(*) FROM documents WHERE doc_id % 4 = 0
+ UNION ALL SELECT 'kev', 'cisa_kev_2024-01-15.json', DATE '2024-01-15', 2 * count(*) FROM labels WHERE toxic = 1
+ UNION ALL SELECT 'epss', '{EPSS_FILE[1]}', DATE '2024-01-15', 2 * count(*) FROM documents WHERE doc_id % 10 <> 9
+ UNION ALL SELECT 'epss', '{EPSS_FILE[2]}', DATE '2024-01-16', count(*) FROM documents
+   WHERE doc_id % 10 <> 9 AND doc_id % 6 = 0""",
+        "distinct_vendors": with_(*S2) + " SELECT DISTINCT vendor FROM products2",
+        "core_by_month": with_(*S2) + """
+ SELECT CAST(year(published) AS INTEGER) AS year, CAST(month(published) AS INTEGER) AS month, count(*) AS cves
+ FROM core2 GROUP BY 1, 2""",
+        "index_sync": with_(*S2) + " SELECT cve_id, CAST(length(document_text) AS INTEGER) AS text_length, kev_flag, cvss_v3_score FROM docs2",
         "vuln_enriched": with_(*G) + " SELECT * FROM enriched",
         "vendor_risk_agg": with_(*G) + " SELECT * FROM vra",
         "kev_recent": with_(*G) + f"""
@@ -455,7 +475,9 @@ def sql() -> dict[str, str]:
  FROM parsed""",
         "lookup_cve": with_(*Q) + """
  SELECT q.question_id, e.cve_id, e.description, e.cvss_v3_score, e.epss_score, e.kev_flag, e.risk_score,
-   e.risk_tier, e.published, e.cwe_id, pl.vendors_str AS vendors, pl.products_str AS products
+   e.risk_tier, e.published, e.cwe_id, pl.vendors_str AS vendors, pl.products_str AS products,
+   CASE WHEN length(e.description) > 300 THEN substring(e.description, 1, 300) || '...' ELSE e.description END
+     AS description_short
  FROM qids q JOIN enriched e ON q.cve_id = e.cve_id LEFT JOIN plist2 pl ON e.cve_id = pl.cve_id
  WHERE q.intent = 'CVE_LOOKUP'""",
         "compare_cves": with_(*Q) + f"""

@@ -109,3 +109,21 @@ def test_fail_rule_stops_before_write(spark, tmp):
     df = spark.createDataFrame([(None,)], "cve_id string")
     with pytest.raises(ExpectationFailed):
         q.enforce(q.expectation_metrics(df, [q.Expectation("id", "cve_id IS NOT NULL", "fail")], "t", RUN1))
+
+
+def test_month_partitions_prune_and_csv_export(spark, tmp):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(
+        [("C1", dt.datetime(2024, 1, 5)), ("C2", dt.datetime(2024, 2, 5)), ("C3", dt.datetime(2023, 12, 1))],
+        "cve_id string, published timestamp")
+    build.write_by_month(df, f"{tmp}/m")
+    r = spark.read.parquet(f"{tmp}/m").filter((F.col("year") == 2024) & (F.col("month") == 2))
+    assert [x["cve_id"] for x in r.collect()] == ["C2"]
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "month" in plan
+    build.export_csv(df.select("cve_id"), f"{tmp}/csv")
+    back = spark.read.option("header", True).csv(f"{tmp}/csv")
+    assert sorted(x["cve_id"] for x in back.collect()) == ["C1", "C2", "C3"]
