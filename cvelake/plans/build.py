@@ -63,8 +63,8 @@ def register(spark: SparkSession, schema: str, table: str, path: str) -> None:
 
 
 def ingest(spark: SparkSession, root: str, feed_dir: str, run_ts: str, globs: dict[str, str] | None = None) -> DataFrame:
-    """Append every feed file in ``feed_dir`` to Bronze (the reference's
-    behaviour: each run re-reads the whole folder). Returns the summary."""
+    """Append every feed file in ``feed_dir`` to Bronze (each run re-reads the
+    whole folder, as the original loader does). Returns the run's summary."""
     g = globs or {"nvd": feeds.NVD_GLOB, "kev": feeds.KEV_GLOB, "epss": feeds.EPSS_GLOB}
     nvd = feeds.read_nvd(spark, f"{feed_dir}/nvd", run_ts, g["nvd"])
     kev = feeds.read_kev(spark, f"{feed_dir}/kev", run_ts, g["kev"])
