@@ -72,19 +72,26 @@ def run_latest_wins(
     order: Callable[[], Sequence[Column]],
     buckets: int = 64,
     max_files_per_trigger: int | None = None,
-) -> None:
-    """Process every Bronze file not yet seen, then stop (availableNow)."""
+    processing_time: str | None = None,
+):
+    """Process every Bronze file not yet seen, then stop (availableNow).
+
+    With ``processing_time`` (e.g. ``"10 minutes"``) the same query keeps
+    running as a continuous sync and the running query handle is returned.
+    """
     reader = spark.readStream.schema(source_schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     records = to_records(reader.load(source_dir))
-    q = (
+    w = (
         records.writeStream.foreachBatch(upsert_latest(target, keys, order, buckets, f"{checkpoint}/staging"))
         .option("checkpointLocation", f"{checkpoint}/offsets")
-        .trigger(availableNow=True)
-        .start()
     )
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
+    return None
 
 
 def read_state(spark: SparkSession, target: str) -> DataFrame:
