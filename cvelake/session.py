@@ -53,23 +53,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local runs and tests) do we pick a fresh local folder.
     """
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: no SparkContext on this side
+        sc = None
+    d = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not d:
         try:
             d = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:  # not exposed on this session
             d = None
-    if d:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(d)
-        return d.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    d = tempfile.mkdtemp(prefix="cvelake-ckpt-")
-    sc.setCheckpointDir(d)
-    return d
+    if not d and sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    if not d:
+        d = tempfile.mkdtemp(prefix="cvelake-ckpt-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # a static setting on some sessions; the folder is still used
+            pass
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return d.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
