@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from cvelake.functions import text as tx
 from cvelake.functions.columns import truncate_text
 from cvelake.plans.gold import as_of_date, recent_kev_filter
+from cvelake.session import stage
 
 RESULT_COLUMNS = ["cve_id", "description", "risk_score", "risk_tier", "kev_flag"]
 SUMMARY_CHARS = 300  # description length shown in a lookup summary
@@ -204,9 +205,14 @@ def filtered_search(enriched: DataFrame, products: DataFrame, f: QueryFilters) -
 
 def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame, limit: int = 20) -> DataFrame:
     """Best ``limit`` CVEs for every FILTERED_SEARCH question, ranked."""
-    q = parsed.filter(F.col("intent") == "FILTERED_SEARCH")
     sig_cols = ["vendors", "risk_tiers", "kev_only", "date_from"]
-    q = q.withColumn("_sig", F.xxhash64(*sig_cols))
+    # Written once: the three routes below and the final join all read it.
+    q = stage(
+        parsed.filter(F.col("intent") == "FILTERED_SEARCH")
+        .select("question_id", *sig_cols)
+        .withColumn("_sig", F.xxhash64(*sig_cols)),
+        "filtered-questions",
+    )
     sigs = q.select("_sig", *sig_cols).dropDuplicates(["_sig"])
 
     e = enriched.select(*RESULT_COLUMNS, "published")
@@ -229,8 +235,10 @@ def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame,
     )
     # Tier and KEV keys are few and hot: the filter-set side is tiny (distinct
     # sets), so AQE turns these into broadcast joins at run time, or splits
-    # the hot partition with its skew-join handling.
-    kev_pairs = by_kev.withColumn("kev_flag", F.lit(True)).join(e.filter(F.col("kev_flag")), "kev_flag")
+    # the hot partition with its skew-join handling. The KEV route joins on
+    # the data column kev_only (true for these sets): a literal key would be
+    # constant-folded into a filter, leaving a join without keys.
+    kev_pairs = by_kev.join(e, by_kev["kev_only"] == e["kev_flag"])
     cols = ["_sig", *sig_cols, *RESULT_COLUMNS, "published"]
     cand = vend_pairs.select(*cols).unionByName(tier_pairs.select(*cols)).unionByName(kev_pairs.select(*cols))
     ok = (
