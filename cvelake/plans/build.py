@@ -90,9 +90,11 @@ def build_run(
 ) -> DataFrame:
     """Build Silver and Gold for one run; returns the run's quality metrics."""
     nvd, kev, epss = bronze(spark, root)
-    metrics = sv.silver_metrics(nvd, epss, kev, run_ts)
+    # Bronze is parsed once; the pre-rule records feed both metrics and tables.
+    records = sv.silver_records(nvd, epss, kev, staged=True)
+    metrics = sv.metrics_from_records(records, run_ts)
     q.enforce(metrics)  # raise before writing if an expect_or_fail rule is violated
-    s = sv.silver_tables(nvd, epss, kev)
+    s = sv.tables_from_records(records)
     for name, df in (("cve_core", s.core), ("cve_signals", s.signals), ("cve_affected_products", s.products)):
         df.repartition("cve_id").write.mode("overwrite").parquet(silver_path(root, run_id, name))
     # Documents read the three written tables, as separate tables would.

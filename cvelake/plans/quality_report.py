@@ -19,11 +19,12 @@ def as_of_run(bronze: DataFrame, run_ts: str) -> DataFrame:
 
 
 def metrics_history(
-    bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame, runs: Sequence[str]
+    bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame, runs: Sequence[str], staged: bool = False,
 ) -> DataFrame:
     out = None
     for r in runs:
-        m = sv.silver_metrics(as_of_run(bronze_nvd, r), as_of_run(bronze_epss, r), as_of_run(bronze_kev, r), r)
+        m = sv.silver_metrics(as_of_run(bronze_nvd, r), as_of_run(bronze_epss, r), as_of_run(bronze_kev, r), r,
+                              staged=staged)
         out = m if out is None else out.unionByName(m)
     return out
 
@@ -55,7 +56,7 @@ def failures_by_file(bronze_nvd: DataFrame, bronze_epss: DataFrame, run_ts: str)
 def escalation_report(
     bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame, runs: Sequence[str]
 ) -> DataFrame:
-    history = metrics_history(bronze_nvd, bronze_epss, bronze_kev, runs)
+    history = metrics_history(bronze_nvd, bronze_epss, bronze_kev, runs, staged=True)
     return q.escalation(history, failures_by_file(bronze_nvd, bronze_epss, runs[-1]))
 
 

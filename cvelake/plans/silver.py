@@ -198,23 +198,52 @@ def silver_tables(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: Dat
     return Silver(core, signals, products, cve_documents(core, signals, products))
 
 
-def silver_metrics(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame, run_ts: str) -> DataFrame:
-    """Expectation metrics of all four Silver tables for one run."""
+class Records(NamedTuple):
+    """Deduplicated rows before the expectations: what the rules count on."""
+    core: DataFrame
+    signals: DataFrame
+    products: DataFrame
+
+
+def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame,
+                   staged: bool = False) -> Records:
+    """Pre-rule records of core, signals and products (Bronze parsed once).
+    With ``staged`` each is written once to the shared folder, so metrics and
+    clean tables both read it instead of re-parsing Bronze."""
     parsed = parse_nvd(bronze_nvd)
-    core_r = cve_core_records(parsed)
-    sig_r = cve_signals_records(bronze_epss, bronze_kev)
-    prod_r = affected_products_records(parsed)
-    core = apply_expectations(core_r, CORE_RULES)
-    prod = apply_expectations(prod_r, PRODUCTS_RULES)
-    sig = apply_expectations(sig_r, SIGNALS_RULES)
-    docs_r = cve_documents_records(core, sig, prod)
+    r = Records(cve_core_records(parsed), cve_signals_records(bronze_epss, bronze_kev),
+                affected_products_records(parsed))
+    if staged:
+        from cvelake.session import stage
+
+        r = Records(*(stage(x, f"records-{n}") for x, n in zip(r, r._fields)))
+    return r
+
+
+def tables_from_records(r: Records) -> Silver:
+    core = apply_expectations(r.core, CORE_RULES)
+    signals = apply_expectations(r.signals, SIGNALS_RULES)
+    products = apply_expectations(r.products, PRODUCTS_RULES)
+    return Silver(core, signals, products, cve_documents(core, signals, products))
+
+
+def metrics_from_records(r: Records, run_ts: str) -> DataFrame:
+    """Expectation metrics of all four Silver tables for one run."""
+    t = tables_from_records(r)
     parts = [
-        expectation_metrics(core_r, CORE_RULES, "cve_core", run_ts),
-        expectation_metrics(sig_r, SIGNALS_RULES, "cve_signals", run_ts),
-        expectation_metrics(prod_r, PRODUCTS_RULES, "cve_affected_products", run_ts),
-        expectation_metrics(docs_r, DOCUMENTS_RULES, "cve_documents", run_ts),
+        expectation_metrics(r.core, CORE_RULES, "cve_core", run_ts),
+        expectation_metrics(r.signals, SIGNALS_RULES, "cve_signals", run_ts),
+        expectation_metrics(r.products, PRODUCTS_RULES, "cve_affected_products", run_ts),
+        expectation_metrics(cve_documents_records(t.core, t.signals, t.products), DOCUMENTS_RULES,
+                            "cve_documents", run_ts),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def silver_metrics(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame, run_ts: str,
+                   staged: bool = False) -> DataFrame:
+    """Expectation metrics of all four Silver tables for one run."""
+    return metrics_from_records(silver_records(bronze_nvd, bronze_epss, bronze_kev, staged), run_ts)

@@ -144,7 +144,7 @@ def q_file_validation(spark, sf_dir):
 # ------------------------------------------------------------------ quality
 
 def q_dq_metrics(spark, sf_dir):
-    return sv.silver_metrics(*_bronze(spark, sf_dir), fx.RUN_2)
+    return sv.silver_metrics(*_bronze(spark, sf_dir), fx.RUN_2, staged=True)
 
 
 def q_dq_severity(spark, sf_dir):
@@ -152,7 +152,7 @@ def q_dq_severity(spark, sf_dir):
 
 
 def q_dq_trend(spark, sf_dir):
-    return q.failure_trend(qr.metrics_history(*_bronze(spark, sf_dir), RUNS))
+    return q.failure_trend(qr.metrics_history(*_bronze(spark, sf_dir), RUNS, staged=True))
 
 
 def q_dq_escalation(spark, sf_dir):
@@ -206,8 +206,9 @@ def q_index_sync(spark, sf_dir):
     """Index built on run 1's documents, synced with the run1 -> run2 change feed."""
     from cvelake.operators.changes import apply_changes
 
-    old = silver(spark, sf_dir, fx.RUN_1).documents
-    new = silver(spark, sf_dir).documents
+    # Each version is read twice (diff and index): write each once.
+    old = stage(silver(spark, sf_dir, fx.RUN_1).documents, "documents-run1")
+    new = stage(silver(spark, sf_dir).documents, "documents-run2")
     changes = snapshot_diff(old, new, ["cve_id"])
     return apply_changes(doc_index(old), changes, ["cve_id"], doc_index(new))
 
