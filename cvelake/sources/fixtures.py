@@ -37,8 +37,18 @@ EPSS_FILES = {SNAP_1: "epss_2024-01-15.csv", SNAP_2: "epss_2024-01-16.csv"}
 KEV_FILE = "cisa_kev_2024-01-15.json"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. With ``spread``, a scan that yields fewer partitions
+    than the session's parallelism (one row group = one task) is spread
+    round-robin first, so the per-row work after it (JSON building and
+    parsing, text tokenising) uses every core. Large inputs already have
+    enough splits and are read as they are."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 def cve_id_of(n: Column) -> Column:
@@ -101,7 +111,7 @@ def _snapshots(has_v2: Column) -> Column:
 def nvd_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One NVD item per document and snapshot: (n, cve_id, snapshot_date, raw_json)."""
     n = F.col("n")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), "text", "lang")
+    docs = table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").alias("n"), "text", "lang")
     # A subquery cannot sit inside a lambda: project it first, then use the column.
     docs = docs.withColumn("_lk", _part_lookup(table(spark, sf_dir, "part")))
     docs = docs.withColumn("cpes", _cpe_list(n, F.col("_lk"))).drop("_lk")
@@ -227,7 +237,7 @@ def bronze_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question per conversation turn: (question_id, raw_query)."""
-    c = table(spark, sf_dir, "conversations")
+    c = table(spark, sf_dir, "conversations", spread=True)
     conv, turn = F.col("conv_id"), F.col("turn")
     m = (conv + turn) % 7
     x, y = cve_id_of(conv), cve_id_of(conv + 1)
