@@ -19,6 +19,7 @@ in one Spark job.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,12 +112,20 @@ def ingest_summary(nvd: DataFrame, kev: DataFrame, epss: DataFrame) -> DataFrame
 
 # ------------------------------------------------------------------ validation
 
-def _inventory(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    # binaryFile lists files; content is not read when only path/length are selected.
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-        .load(path).select(F.col("path").alias("file_path"), "length")
-    )
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(file_path, length) of the plain files under ``path`` matching ``glob``;
+    an empty frame when the folder is missing or unreadable. binaryFile only
+    lists: content is not read when only path and length are selected."""
+    try:
+        return (
+            spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+            .load(path).select(F.col("path").alias("file_path"), "length")
+        )
+    except AnalysisException:
+        return spark.createDataFrame([], "file_path string, length long")
+
+
+_inventory = list_files
 
 
 def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None = None) -> DataFrame:
