@@ -13,14 +13,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+TIEBREAK = "_tb"
+
+
+def content_hash(*cols: str) -> Column:
+    """Last tiebreak of the Bronze order: a hash of the record's content."""
+    return F.xxhash64(*cols).alias(TIEBREAK)
+
+
 # Ordering of Bronze provenance: newest run first; rows loaded by the same run
 # (same ingest_ts) are ordered by the date in the file name, then file name,
 # so one run that loads several snapshots still has a deterministic winner.
+# The content hash settles what is left (one file holding a key twice), so a
+# retried task picks the same row as the first attempt.
 def bronze_recency() -> tuple[Column, ...]:
     return (
         F.col("ingest_ts").desc_nulls_last(),
         F.col("snapshot_date").desc_nulls_last(),
         F.col("source_file").desc_nulls_last(),
+        F.col(TIEBREAK).desc_nulls_last(),
     )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cvelake.functions.columns import (
     CPE_PRODUCT, CPE_VENDOR, CPE_VERSION, cpe_field, cpe_parts, first_value, labelled, pipe_joined,
 )
-from cvelake.operators.dedup import latest_per_key
+from cvelake.operators.dedup import TIEBREAK, content_hash, latest_per_key
 from cvelake.operators.quality import Expectation, apply_expectations, expectation_metrics
 from cvelake.schemas import (
     AFFECTED_PRODUCTS_COLUMNS, CVE_CORE_COLUMNS, CVE_DOCUMENTS_COLUMNS, CVE_SIGNALS_COLUMNS, KEV_ITEM, NVD_ITEM,
@@ -47,13 +47,13 @@ DOCUMENTS_RULES = (
     Expectation("has_document_text", "LENGTH(document_text) > 50", "drop"),
 )
 
-PROVENANCE = ("ingest_ts", "snapshot_date", "source_file")
+PROVENANCE = ("ingest_ts", "snapshot_date", "source_file", TIEBREAK)
 
 
 def parse_nvd(bronze_nvd: DataFrame) -> DataFrame:
     """Bronze NVD rows with the item parsed once under the merged schema."""
     return bronze_nvd.select(
-        "cve_id", F.from_json("raw_json", NVD_ITEM).alias("p"), *PROVENANCE,
+        "cve_id", F.from_json("raw_json", NVD_ITEM).alias("p"), *PROVENANCE[:3], content_hash("raw_json"),
     )
 
 
@@ -94,7 +94,8 @@ def cve_core(bronze_nvd: DataFrame, parsed: DataFrame | None = None) -> DataFram
 
 
 def latest_epss(bronze_epss: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return latest_per_key(bronze_epss, ["cve_id"]).select("cve_id", "epss_score", "epss_percentile", *keep)
+    rows = bronze_epss.withColumn(TIEBREAK, content_hash("epss_score", "epss_percentile"))
+    return latest_per_key(rows, ["cve_id"]).select("cve_id", "epss_score", "epss_percentile", *keep)
 
 
 def latest_kev(bronze_kev: DataFrame) -> DataFrame:
@@ -105,7 +106,8 @@ def latest_kev(bronze_kev: DataFrame) -> DataFrame:
         F.try_to_date(p["dueDate"], "yyyy-MM-dd").alias("kev_due_date"),
         p["knownRansomwareCampaignUse"].alias("kev_ransomware_use"),
         p["notes"].alias("kev_notes"),
-        *PROVENANCE,
+        *PROVENANCE[:3],
+        content_hash("raw_json"),
     )
     return latest_per_key(rows, ["cve_id"]).select(
         "cve_id", "kev_date_added", "kev_due_date", "kev_ransomware_use", "kev_notes",

@@ -123,3 +123,16 @@ def test_dedup_keys_unique_and_metrics_balance(spark):
     records = sv.cve_core_records(sv.parse_nvd(nvd)).count()
     assert m["has_description"]["total"] == records
     assert records - m["has_description"]["dropped"] == core.count()
+
+
+def test_same_key_twice_in_one_file_has_a_fixed_winner(spark):
+    rows = [
+        ("CVE-2024-0020", nvd_item("CVE-2024-0020", v31=3.0), RUN, F1, D1),
+        ("CVE-2024-0020", nvd_item("CVE-2024-0020", v31=8.0), RUN, F1, D1),
+    ]
+    b = bronze_rows(spark, rows)
+    winners = {
+        sv.cve_core(x).first()["cvss_v3_score"]
+        for x in (b, b.repartition(2), b.orderBy("raw_json"), b.orderBy(b["raw_json"].desc()))
+    }
+    assert len(winners) == 1
