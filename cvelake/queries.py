@@ -128,6 +128,18 @@ def q_signals_from_files(spark, sf_dir):
     return sv.cve_signals(epss, kev)
 
 
+def q_build_job(spark, sf_dir):
+    """The production batch job end to end: feed files -> Bronze append ->
+    Silver and Gold written per run -> the written vendor_risk_agg table."""
+    from cvelake.plans import build
+
+    root = feed_files(spark, sf_dir)
+    tables = f"{root}/tables"
+    build.ingest(spark, tables, root, fx.RUN_2, feeds.WRITTEN_GLOBS).count()
+    build.build_run(spark, tables, "r2", fx.RUN_2, fx.AS_OF)
+    return spark.read.parquet(f"{tables}/gold/run=r2/vendor_risk_agg")
+
+
 def q_file_validation(spark, sf_dir):
     root = feed_files(spark, sf_dir)
     g = feeds.WRITTEN_GLOBS
@@ -446,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "core_from_files": q_core_from_files,
     "signals_from_files": q_signals_from_files,
     "file_validation": q_file_validation,
+    "build_job": q_build_job,
     "snapshot_diff": q_snapshot_diff,
     "dq_metrics": q_dq_metrics,
     "dq_severity": q_dq_severity,

@@ -45,9 +45,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     enough splits and are read as they are."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
+        try:
+            want = spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < want:
+                df = df.repartition(want)
+        except Exception:  # no RDD access on this session (e.g. Spark Connect): read as is
+            pass
     return df
 
 

@@ -456,6 +456,7 @@ def sql() -> dict[str, str]:
         "index_sync": with_(*S2) + " SELECT cve_id, CAST(length(document_text) AS INTEGER) AS text_length, kev_flag, cvss_v3_score FROM docs2",
         "vuln_enriched": with_(*G) + " SELECT * FROM enriched",
         "vendor_risk_agg": with_(*G) + " SELECT * FROM vra",
+        "build_job": with_(*G) + " SELECT * FROM vra",
         "kev_recent": with_(*G) + f"""
  SELECT *, CAST({AS_OF} - kev_date_added AS INTEGER) AS days_since_added FROM enriched
  WHERE kev_flag AND kev_date_added BETWEEN {AS_OF} - 30 AND {AS_OF}""",
