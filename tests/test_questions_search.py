@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cvelake.operators.changes import apply_changes, snapshot_diff
 from cvelake.operators.vector import batch_cosine_topk, cosine_topk
@@ -99,3 +100,25 @@ def test_tfidf_matches_brute_force(spark):
         for r in got:
             if r["query_id"] == qi:
                 assert r["score"] == pytest.approx(dict(sc)[r["id"]], abs=1e-6)
+
+
+def test_semantic_search_prefilters(spark):
+    rows = [
+        ("C1", [1.0, 0.0], 9.8, "CRITICAL", 0.9, True, "acme | globex", "rocket", "CWE-79"),
+        ("C2", [0.9, 0.1], 5.0, "MEDIUM", 0.1, False, "acme", "anvil", "CWE-20"),
+        ("C3", [0.0, 1.0], 7.5, "HIGH", 0.5, True, "initech", "", None),
+    ]
+    f = spark.createDataFrame(rows, "cve_id string, embedding array<float>, cvss_v3_score double, "
+                              "cvss_v3_severity string, epss_score double, kev_flag boolean, vendors_str string, "
+                              "products_str string, cwe_id string").withColumn(
+        "description", F.lit("d")).withColumn("risk_tier", F.lit("HIGH"))
+
+    def ids(**kw):
+        return [r["cve_id"] for r in se.semantic_search(f, [1.0, 0.0], 10, **kw).orderBy("rank").collect()]
+
+    assert ids() == ["C1", "C2", "C3"]
+    assert ids(kev_only=True) == ["C1", "C3"]
+    assert ids(min_cvss=7.0, severities=["high"]) == ["C3"]
+    assert ids(vendors=["ACME"]) == ["C1", "C2"]
+    assert ids(products=["anvil"], min_epss=0.05) == ["C2"]
+    assert ids(cwes=["cwe-79"]) == ["C1"]
