@@ -255,6 +255,31 @@ def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame,
 
 # ------------------------------------------------------------------ trends
 
+def answer_trends(parsed: DataFrame, enriched: DataFrame, as_of: str | Column | None = None,
+                  days: int = 30, limit: int = 20) -> DataFrame:
+    """Per TREND_ANALYSIS question: the newest KEV additions since its date
+    (its parsed date phrase, else the last ``days`` days), up to ``limit``.
+
+    Questions are reduced to their distinct start dates; each date is
+    answered once against the KEV rows and joined back to its questions.
+    """
+    d = as_of_date(as_of)
+    q = parsed.filter(F.col("intent") == "TREND_ANALYSIS").select(
+        "question_id", F.coalesce(F.col("date_from"), F.date_sub(d, days)).alias("since")
+    )
+    starts = q.select("since").distinct().withColumn("_kev", F.col("since").isNotNull())
+    kev = enriched.filter(F.col("kev_flag") & (F.col("kev_date_added") <= d)).select(
+        "cve_id", "kev_date_added", "risk_score", "risk_tier", "kev_flag"
+    )
+    # Equi-join on a data column (true for every start date), then the range test.
+    cand = starts.join(kev, starts["_kev"] == kev["kev_flag"]).filter(F.col("kev_date_added") >= F.col("since"))
+    w = Window.partitionBy("since").orderBy(F.col("kev_date_added").desc(), F.col("cve_id"))
+    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+    return q.join(top.drop("_kev", "kev_flag"), "since").select(
+        "question_id", "rank", "cve_id", "kev_date_added", "risk_score", "risk_tier",
+    )
+
+
 def trend_vendors(enriched: DataFrame, products: DataFrame, as_of: str | Column | None = None, days: int = 30) -> DataFrame:
     """Vendors of the KEV entries added in the last ``days`` days, by count."""
     recent = enriched.filter(recent_kev_filter(days, as_of)).select("cve_id")

@@ -299,6 +299,11 @@ def q_answer_filtered(spark, sf_dir):
     return qs.answer_filtered(_parsed(spark, sf_dir, s), e, s.products)
 
 
+def q_answer_trends(spark, sf_dir):
+    s, e = enriched(spark, sf_dir, staged=True)
+    return qs.answer_trends(_parsed(spark, sf_dir, s), e, fx.AS_OF)
+
+
 def q_trend_vendors(spark, sf_dir):
     s, e = enriched(spark, sf_dir)
     return qs.trend_vendors(e, s.products, fx.AS_OF)
@@ -482,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "filtered_search": q_filtered_search,
     "answer_filtered": q_answer_filtered,
     "trend_vendors": q_trend_vendors,
+    "answer_trends": q_answer_trends,
     "tier_distribution": q_tier_distribution,
     "data_stats": q_data_stats,
     "top_vendors": q_top_vendors,

@@ -518,6 +518,13 @@ def sql() -> dict[str, str]:
      cve_id, description, risk_score, risk_tier, kev_flag
    FROM cand)
  SELECT * FROM ranked WHERE rank <= 20""",
+        "answer_trends": with_(*Q) + f"""
+ , tq AS (SELECT question_id, coalesce(date_from, {AS_OF} - 30) AS since FROM parsed WHERE intent = 'TREND_ANALYSIS'),
+ cand AS (
+   SELECT tq.question_id, e.cve_id, e.kev_date_added, e.risk_score, e.risk_tier,
+     CAST(row_number() OVER (PARTITION BY tq.question_id ORDER BY e.kev_date_added DESC, e.cve_id) AS INTEGER) AS rank
+   FROM tq JOIN enriched e ON e.kev_flag AND e.kev_date_added >= tq.since AND e.kev_date_added <= {AS_OF})
+ SELECT question_id, rank, cve_id, kev_date_added, risk_score, risk_tier FROM cand WHERE rank <= 20""",
         "trend_vendors": with_(*G) + f"""
  SELECT p.vendor, count(*) AS recent_kev_count
  FROM (SELECT DISTINCT cve_id, vendor FROM products2 WHERE vendor IS NOT NULL) p
