@@ -34,27 +34,32 @@ def first_value(arr: Column, lang: str = "en") -> Column:
     return F.get(F.filter(arr, lambda x: x["lang"] == lang), 0)["value"]
 
 
+# The risk score bands, in order (base + EPSS x weight, taken
+# when EPSS is above the floor; KEV entries always take the first band), the
+# CVSS multiplier for everything else, and the tier thresholds.
+KEV_BAND = (90.0, 10)
+EPSS_BANDS = ((0.5, 70.0, 20), (0.1, 40.0, 50))  # (EPSS above, base, weight)
+CVSS_WEIGHT = 4
+TIERS = ((90, "CRITICAL"), (70, "HIGH"), (40, "MEDIUM"))  # else LOW
+
+
 def risk_score(kev_flag: Column, epss: Column, cvss_v3: Column) -> Column:
     """0-100 priority score: KEV first, then EPSS bands, then CVSS v3.
 
     NULL EPSS counts as 0 and a NULL CVSS score as 0.
     """
     e = F.coalesce(epss, F.lit(0.0))
-    return (
-        F.when(F.coalesce(kev_flag, F.lit(False)), F.lit(90.0) + e * 10)
-        .when(e > 0.5, F.lit(70.0) + e * 20)
-        .when(e > 0.1, F.lit(40.0) + e * 50)
-        .otherwise(F.coalesce(cvss_v3, F.lit(0.0)) * 4)
-    )
+    out = F.when(F.coalesce(kev_flag, F.lit(False)), F.lit(KEV_BAND[0]) + e * KEV_BAND[1])
+    for floor, base, weight in EPSS_BANDS:
+        out = out.when(e > floor, F.lit(base) + e * weight)
+    return out.otherwise(F.coalesce(cvss_v3, F.lit(0.0)) * CVSS_WEIGHT)
 
 
 def risk_tier(score: Column) -> Column:
-    return (
-        F.when(score >= 90, "CRITICAL")
-        .when(score >= 70, "HIGH")
-        .when(score >= 40, "MEDIUM")
-        .otherwise("LOW")
-    )
+    out = None
+    for threshold, name in TIERS:
+        out = F.when(score >= threshold, name) if out is None else out.when(score >= threshold, name)
+    return out.otherwise("LOW")
 
 
 def labelled(label: str, c: Column) -> Column:

@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 ACTIONS = ("warn", "drop", "fail")
 
-METRICS_SCHEMA = (
-    "run_ts timestamp, table string, rule string, action string, total long, "
-    "passed long, failed long, dropped long, pass_rate double"
-)
-
+# Warn-rate bands (below LOW_RATE low, up to MEDIUM_RATE medium,
+# above high) and the escalation limits (fewer than FEW_FAILURES failures is
+# isolated; a drop rate above CRITICAL_DROP_RATE is critical).
+LOW_RATE, MEDIUM_RATE = 0.001, 0.01
+FEW_FAILURES, CRITICAL_DROP_RATE = 10, 0.05
 
 @dataclass(frozen=True)
 class Expectation:
@@ -99,7 +99,8 @@ def warn_severity(metrics: DataFrame) -> DataFrame:
     return metrics.select(
         "run_ts", "table", "rule", "action", "failed",
         F.round(rate, 6).alias("failure_rate"),
-        F.when(rate < 0.001, "LOW").when(rate <= 0.01, "MEDIUM").when(rate > 0.01, "HIGH").alias("severity"),
+        F.when(rate < LOW_RATE, "LOW").when(rate <= MEDIUM_RATE, "MEDIUM").when(rate > MEDIUM_RATE, "HIGH")
+        .alias("severity"),
     )
 
 
@@ -141,10 +142,10 @@ def escalation(history: DataFrame, failures_by_file: DataFrame) -> DataFrame:
     j = newest.join(files, ["table", "rule"], "left")
     drop_rate = F.try_divide(F.col("dropped"), F.col("total"))
     level = (
-        F.when((F.col("action") == "drop") & (drop_rate > 0.05), "CRITICAL")
+        F.when((F.col("action") == "drop") & (drop_rate > CRITICAL_DROP_RATE), "CRITICAL")
         .when(F.col("rising"), "HIGH")
-        .when((F.col("failed") >= 10) & (F.coalesce(F.col("files_with_failures"), F.lit(0)) == 1), "MEDIUM")
-        .when(F.col("failed") < 10, "LOW")
+        .when((F.col("failed") >= FEW_FAILURES) & (F.coalesce(F.col("files_with_failures"), F.lit(0)) == 1), "MEDIUM")
+        .when(F.col("failed") < FEW_FAILURES, "LOW")
         .otherwise("MEDIUM")
     )
     return j.select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cvelake.functions.columns import exact_mean, risk_score, risk_tier
+from cvelake.functions.columns import TIERS, exact_mean, risk_score, risk_tier
 from cvelake.operators.quality import Expectation
 
 SIGNAL_VALUE_COLUMNS = [
@@ -20,13 +20,10 @@ ENRICHED_COLUMNS = [
     "cvss_v2_score", "cwe_id", *SIGNAL_VALUE_COLUMNS, "primary_vendor", "primary_product", "risk_score", "risk_tier",
 ]
 
+_TIER_CASE = "CASE " + " ".join(f"WHEN risk_score >= {t} THEN '{n}'" for t, n in TIERS) + " ELSE 'LOW' END"
 GOLD_RULES = (
     Expectation("risk_score_in_range", "risk_score BETWEEN 0 AND 100"),
-    Expectation(
-        "risk_tier_matches_score",
-        "risk_tier = CASE WHEN risk_score >= 90 THEN 'CRITICAL' WHEN risk_score >= 70 THEN 'HIGH' "
-        "WHEN risk_score >= 40 THEN 'MEDIUM' ELSE 'LOW' END",
-    ),
+    Expectation("risk_tier_matches_score", f"risk_tier = {_TIER_CASE}"),
 )
 
 

@@ -23,11 +23,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The snapshot date pattern in file names, the feed file
+# suffixes, and the NVD page size (items per file).
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 NVD_GLOB, KEV_GLOB, EPSS_GLOB = "*.json.gz", "*.json", "*.csv"
 # Globs of the files Spark's text/csv writers produce (write_*_files).
 WRITTEN_GLOBS = {"nvd": "*.txt.gz", "kev": "*.txt", "epss": "*.csv"}
-PAGE_SIZE = 2000  # items per NVD file: the API's page size
+PAGE_SIZE = 2000
 
 
 def _date_from(c: Column) -> Column:
