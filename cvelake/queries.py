@@ -437,6 +437,20 @@ def q_incremental_events(spark, sf_dir):
     return inc.read_state(spark, state).select(*EVENT_COLUMNS)
 
 
+def q_stream_ingest(spark, sf_dir):
+    """Feed files ingested by a stream, run twice: the second run finds no
+    new file, so Bronze holds every item exactly once."""
+    root = feed_files(spark, sf_dir)
+    bronze, ck = f"{root}/bronze_nvd", f"{root}/ingest-ckpt"
+    for run in RUNS:
+        inc.stream_ingest_nvd(spark, f"{root}/nvd", bronze, ck, run, feeds.WRITTEN_GLOBS["nvd"])
+    b = spark.read.schema(BRONZE_JSON).parquet(bronze)
+    return b.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("ingest_ts").alias("runs"),
+    )
+
+
 def q_stream_dedup_events(spark, sf_dir):
     """Events delivered twice (a replay) come out once: watermark dedup."""
     prepare(spark)
@@ -502,4 +516,5 @@ QUERIES: dict[str, Query] = {
     "incremental_core": q_incremental_core,
     "incremental_events": q_incremental_events,
     "stream_dedup_events": q_stream_dedup_events,
+    "stream_ingest": q_stream_ingest,
 }

@@ -101,3 +101,30 @@ def read_state(spark: SparkSession, target: str) -> DataFrame:
 def dedup_replayed(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop rows replayed within ``delay`` of the first copy (keeps the first)."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def stream_ingest_nvd(spark: SparkSession, feed_dir: str, bronze_dir: str, checkpoint: str, run_ts: str,
+                      glob: str = "*.json.gz") -> None:
+    """Append NVD feed files not ingested before to Bronze (opt-in skip of
+    files already loaded): the file source's checkpoint remembers every file
+    it has read, so a rerun over the same folder adds only new files. The
+    parquet sink commits each micro-batch exactly once."""
+    from cvelake.sources.feeds import snapshot_date
+
+    raw = (
+        spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+        .text(feed_dir, wholetext=True)
+        .select("value", F.col("_metadata.file_name").alias("source_file"), snapshot_date().alias("snapshot_date"))
+    )
+    env = F.from_json("value", "CVE_Items array<string>")
+    items = raw.select(F.explode(env["CVE_Items"]).alias("raw_json"), "source_file", "snapshot_date")
+    cid = F.coalesce(F.get_json_object("raw_json", "$.cve.id"), F.get_json_object("raw_json", "$.cve.CVE_data_meta.ID"))
+    bronze = (
+        items.withColumn("cve_id", cid)
+        .filter(F.col("cve_id").isNotNull() & (F.col("cve_id") != ""))
+        .select("cve_id", "raw_json", F.lit(run_ts).cast("timestamp").alias("ingest_ts"), "source_file",
+                "snapshot_date")
+    )
+    q = (bronze.writeStream.format("parquet").option("path", bronze_dir)
+         .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()

@@ -565,6 +565,9 @@ def sql() -> dict[str, str]:
         "incremental_events": """
  SELECT user_id, event_id, ts, event_type, value FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "stream_ingest": """
+ SELECT DATE '2024-01-15' AS snapshot_date, count(*) AS records, CAST(1 AS BIGINT) AS runs FROM documents
+ UNION ALL SELECT DATE '2024-01-16', count(*), CAST(1 AS BIGINT) FROM documents WHERE doc_id % 4 = 0""",
         "stream_dedup_events": """
  SELECT DISTINCT user_id, event_id, ts, event_type, value FROM events""",
         "latest_event_per_user": """
