@@ -45,3 +45,16 @@ def test_replay_dedup_keeps_one_copy(spark, tmp):
     q.awaitTermination()
     back = spark.read.schema(ev.schema).parquet(out)
     assert back.count() == ev.count() == back.select("event_id").distinct().count()
+
+
+def test_processing_time_trigger_runs_as_a_continuous_sync(spark, tmp):
+    ev = _events(spark)
+    src, state, ck = f"{tmp}/src", f"{tmp}/state", f"{tmp}/ck"
+    ev.write.mode("append").parquet(src)
+    q = inc.run_latest_wins(spark, src, ev.schema, lambda d: d, state, ck, ["user_id"], ORDER, buckets=4,
+                            processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert _rows(inc.read_state(spark, state)) == _rows(latest_per_key(ev, ["user_id"], ORDER()))
