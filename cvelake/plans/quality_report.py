@@ -29,11 +29,9 @@ def metrics_history(
     return out
 
 
-def failures_by_file(bronze_nvd: DataFrame, bronze_epss: DataFrame, run_ts: str) -> DataFrame:
-    """(table, rule, source_file, failed) for the Silver records of one run,
-    attributed to the Bronze file each surviving record came from."""
-    nvd = as_of_run(bronze_nvd, run_ts)
-    parsed = sv.parse_nvd(nvd)
+def failures_from_records(records: sv.Records, bronze_epss: DataFrame) -> DataFrame:
+    """(table, rule, source_file, failed) from pre-rule records that carry
+    ``source_file`` (the Bronze file each surviving record came from)."""
     parts = []
 
     def per_file(df: DataFrame, rules, table: str) -> None:
@@ -44,20 +42,37 @@ def failures_by_file(bronze_nvd: DataFrame, bronze_epss: DataFrame, run_ts: str)
                 )
             )
 
-    per_file(sv.cve_core_records(parsed, keep=["source_file"]), sv.CORE_RULES, "cve_core")
-    per_file(sv.latest_epss(as_of_run(bronze_epss, run_ts), keep=["source_file"]), sv.SIGNALS_RULES, "cve_signals")
-    per_file(sv.affected_products_records(parsed, keep=["source_file"]), sv.PRODUCTS_RULES, "cve_affected_products")
+    per_file(records.core, sv.CORE_RULES, "cve_core")
+    per_file(sv.latest_epss(bronze_epss, keep=["source_file"]), sv.SIGNALS_RULES, "cve_signals")
+    per_file(records.products, sv.PRODUCTS_RULES, "cve_affected_products")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def failures_by_file(bronze_nvd: DataFrame, bronze_epss: DataFrame, run_ts: str) -> DataFrame:
+    """(table, rule, source_file, failed) for the Silver records of one run."""
+    nvd, epss = as_of_run(bronze_nvd, run_ts), as_of_run(bronze_epss, run_ts)
+    parsed = sv.parse_nvd(nvd)
+    rec = sv.Records(sv.cve_core_records(parsed, keep=["source_file"]), None,
+                     sv.affected_products_records(parsed, keep=["source_file"]))
+    return failures_from_records(rec, epss)
+
+
 def escalation_report(
     bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame, runs: Sequence[str]
 ) -> DataFrame:
-    history = metrics_history(bronze_nvd, bronze_epss, bronze_kev, runs, staged=True)
-    return q.escalation(history, failures_by_file(bronze_nvd, bronze_epss, runs[-1]))
+    """Escalation of the newest run; each run's Bronze is parsed once and its
+    staged records feed both the metrics and the per-file attribution."""
+    history, last = None, None
+    for r in runs:
+        rec = sv.silver_records(as_of_run(bronze_nvd, r), as_of_run(bronze_epss, r), as_of_run(bronze_kev, r),
+                                staged=True, keep=("source_file",))
+        m = sv.metrics_from_records(rec, r)
+        history = m if history is None else history.unionByName(m)
+        last = rec
+    return q.escalation(history, failures_from_records(last, as_of_run(bronze_epss, runs[-1])))
 
 
 def snapshot_drop_counts(bronze_nvd: DataFrame) -> DataFrame:

@@ -208,13 +208,14 @@ class Records(NamedTuple):
 
 
 def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame,
-                   staged: bool = False) -> Records:
+                   staged: bool = False, keep: Sequence[str] = ()) -> Records:
     """Pre-rule records of core, signals and products (Bronze parsed once).
     With ``staged`` each is written once to the shared folder, so metrics and
-    clean tables both read it instead of re-parsing Bronze."""
+    clean tables both read it instead of re-parsing Bronze. ``keep`` carries
+    provenance columns (e.g. source_file) on core and products records."""
     parsed = parse_nvd(bronze_nvd)
-    r = Records(cve_core_records(parsed), cve_signals_records(bronze_epss, bronze_kev),
-                affected_products_records(parsed))
+    r = Records(cve_core_records(parsed, keep=keep), cve_signals_records(bronze_epss, bronze_kev),
+                affected_products_records(parsed, keep=keep))
     if staged:
         from cvelake.session import stage
 
@@ -223,9 +224,9 @@ def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: Da
 
 
 def tables_from_records(r: Records) -> Silver:
-    core = apply_expectations(r.core, CORE_RULES)
-    signals = apply_expectations(r.signals, SIGNALS_RULES)
-    products = apply_expectations(r.products, PRODUCTS_RULES)
+    core = apply_expectations(r.core, CORE_RULES).select(*CVE_CORE_COLUMNS)
+    signals = apply_expectations(r.signals, SIGNALS_RULES).select(*CVE_SIGNALS_COLUMNS)
+    products = apply_expectations(r.products, PRODUCTS_RULES).select(*AFFECTED_PRODUCTS_COLUMNS)
     return Silver(core, signals, products, cve_documents(core, signals, products))
 
 
