@@ -13,8 +13,8 @@ Each run writes into its own folder, so a run never overwrites what it
 reads, a failed run leaves the previous snapshot intact, and the change feed
 of ``cve_documents`` is the keyed diff between consecutive run folders.
 ``expect_or_fail`` rules are checked before anything of the run is written.
-Silver tables are clustered by ``cve_id`` (hash-repartitioned before the
-write) so later keyed reads see co-located keys.
+Silver tables are clustered by ``cve_id`` with a rebalance (AQE splits a
+skewed key's partition) so later keyed reads see co-located keys.
 """
 
 from __future__ import annotations
@@ -69,8 +69,9 @@ def ingest(spark: SparkSession, root: str, feed_dir: str, run_ts: str, globs: di
     nvd = feeds.read_nvd(spark, f"{feed_dir}/nvd", run_ts, g["nvd"])
     kev = feeds.read_kev(spark, f"{feed_dir}/kev", run_ts, g["kev"])
     epss = feeds.read_epss(spark, f"{feed_dir}/epss", run_ts, g["epss"])
-    # gzip files are unsplittable: spread the exploded items before writing.
-    nvd.repartition("cve_id").write.mode("append").parquet(f"{root}/bronze/nvd_raw")
+    # gzip files are unsplittable: spread the exploded items before writing
+    # (rebalance: even partitions, skewed ones split by AQE).
+    nvd.hint("rebalance").write.mode("append").parquet(f"{root}/bronze/nvd_raw")
     kev.write.mode("append").parquet(f"{root}/bronze/kev_raw")
     epss.write.mode("append").parquet(f"{root}/bronze/epss_raw")
     b = bronze(spark, root)
@@ -96,7 +97,9 @@ def build_run(
     q.enforce(metrics)  # raise before writing if an expect_or_fail rule is violated
     s = sv.tables_from_records(records)
     for name, df in (("cve_core", s.core), ("cve_signals", s.signals), ("cve_affected_products", s.products)):
-        df.repartition("cve_id").write.mode("overwrite").parquet(silver_path(root, run_id, name))
+        # Clustered by cve_id; AQE splits a skewed partition (a CVE with a
+        # huge CPE list) instead of writing it from one task.
+        df.hint("rebalance", "cve_id").write.mode("overwrite").parquet(silver_path(root, run_id, name))
     # Documents read the three written tables, as separate tables would.
     core, signals, products = (spark.read.parquet(silver_path(root, run_id, t))
                                for t in ("cve_core", "cve_signals", "cve_affected_products"))
