@@ -98,7 +98,7 @@ def warn_severity(metrics: DataFrame) -> DataFrame:
     rate = F.try_divide(F.col("failed"), F.col("total")).cast("double")
     return metrics.select(
         "run_ts", "table", "rule", "action", "failed",
-        F.round(rate, 6).alias("failure_rate"),
+        rate.alias("failure_rate"),
         F.when(rate < LOW_RATE, "LOW").when(rate <= MEDIUM_RATE, "MEDIUM").when(rate > MEDIUM_RATE, "HIGH")
         .alias("severity"),
     )
@@ -107,7 +107,8 @@ def warn_severity(metrics: DataFrame) -> DataFrame:
 def failure_trend(history: DataFrame) -> DataFrame:
     """Failure rate per rule compared with the previous run of the same rule."""
     w = Window.partitionBy("table", "rule").orderBy("run_ts")
-    rate = F.round(F.try_divide(F.col("failed"), F.col("total")).cast("double"), 6)
+    # Unrounded: one IEEE division of two counts, the same in every engine.
+    rate = F.try_divide(F.col("failed"), F.col("total")).cast("double")
     return (
         history.withColumn("failure_rate", rate)
         .withColumn("prev_failure_rate", F.lag("failure_rate").over(w))

@@ -320,8 +320,8 @@ def _trend() -> str:
     return """
 hist AS (SELECT * FROM metrics1 UNION ALL SELECT * FROM metrics2),
 trend AS (
-  SELECT run_ts, "table", rule, failed, round(failed / total, 6) AS failure_rate,
-    lag(round(failed / total, 6)) OVER (PARTITION BY "table", rule ORDER BY run_ts) AS prev_failure_rate
+  SELECT run_ts, "table", rule, failed, failed / total AS failure_rate,
+    lag(failed / total) OVER (PARTITION BY "table", rule ORDER BY run_ts) AS prev_failure_rate
   FROM hist
 ),
 trend2 AS (SELECT *, coalesce(failure_rate > prev_failure_rate, false) AS rising FROM trend)"""
@@ -412,7 +412,7 @@ def sql() -> dict[str, str]:
         "snapshot_diff": with_(*S12) + _diff(),
         "dq_metrics": with_(*S2, metrics_block(2)) + " SELECT * FROM metrics2",
         "dq_severity": with_(*S2, metrics_block(2)) + """
- SELECT run_ts, "table", rule, action, failed, round(failed / total, 6) AS failure_rate,
+ SELECT run_ts, "table", rule, action, failed, failed / total AS failure_rate,
    CASE WHEN failed / total < 0.001 THEN 'LOW' WHEN failed / total <= 0.01 THEN 'MEDIUM'
         WHEN failed / total > 0.01 THEN 'HIGH' END AS severity
  FROM metrics2""",
