@@ -88,8 +88,14 @@ def silver_path(root: str, run_id: str, table: str) -> str:
 
 def build_run(
     spark: SparkSession, root: str, run_id: str, run_ts: str, as_of: str, previous_run_id: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Build Silver and Gold for one run; returns the run's quality metrics."""
+    """Build Silver and Gold for one run; returns the run's quality metrics.
+
+    With ``buckets``, core, signals and products are also saved as tables
+    bucketed by cve_id (same bucket count), and documents and Gold are built
+    from those: their joins and per-CVE aggregates then need no shuffle.
+    """
     nvd, kev, epss = bronze(spark, root)
     # Bronze is parsed once; the pre-rule records feed both metrics and tables.
     records = sv.silver_records(nvd, epss, kev, staged=True)
@@ -103,6 +109,9 @@ def build_run(
     # Documents read the three written tables, as separate tables would.
     core, signals, products = (spark.read.parquet(silver_path(root, run_id, t))
                                for t in ("cve_core", "cve_signals", "cve_affected_products"))
+    if buckets:
+        b = bucketed_silver(spark, sv.Silver(core, signals, products, None), root, run_id, buckets)
+        core, signals, products = b.core, b.signals, b.products
     docs = sv.cve_documents(core, signals, products)
     docs.write.mode("overwrite").parquet(silver_path(root, run_id, "cve_documents"))
     docs = spark.read.parquet(silver_path(root, run_id, "cve_documents"))
@@ -139,3 +148,23 @@ def write_by_month(df: DataFrame, path: str, ts_col: str = "published") -> None:
 def export_csv(df: DataFrame, path: str) -> None:
     """Download form of a filtered list: CSV with a header row."""
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "cve_id") -> DataFrame:
+    """Write ``df`` as an external table bucketed and sorted by ``key`` at
+    ``path`` (in the shared folder) and return the table. Tables bucketed the
+    same way join and group on ``key`` without any shuffle."""
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def bucketed_silver(spark: SparkSession, s: sv.Silver, root: str, run_id: str, buckets: int) -> sv.Silver:
+    """Core, signals and products as tables bucketed by cve_id into the same
+    number of buckets; documents are derived from them lazily."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    out = []
+    for name, df in (("cve_core", s.core), ("cve_signals", s.signals), ("cve_affected_products", s.products)):
+        out.append(save_bucketed(df, f"silver.{name}_{run_id}", f"{root}/silver_bucketed/run={run_id}/{name}", buckets))
+    core, signals, products = out
+    return sv.Silver(core, signals, products, sv.cve_documents(core, signals, products))

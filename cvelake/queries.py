@@ -136,7 +136,7 @@ def q_build_job(spark, sf_dir):
     root = feed_files(spark, sf_dir)
     tables = f"{root}/tables"
     build.ingest(spark, tables, root, fx.RUN_2, feeds.WRITTEN_GLOBS).count()
-    build.build_run(spark, tables, "r2", fx.RUN_2, fx.AS_OF)
+    build.build_run(spark, tables, "r2", fx.RUN_2, fx.AS_OF, buckets=8)
     return spark.read.parquet(f"{tables}/gold/run=r2/vendor_risk_agg")
 
 

@@ -86,7 +86,7 @@ def test_build_runs_and_change_feed(spark, tmp):
     _nvd_file(f"{feed}/nvd/nvd_modified_2024-01-18.json.gz",
               [nvd_item("CVE-2024-0002", v31=4.4), nvd_item("CVE-2024-0004")])
     build.ingest(spark, root, feed, RUN2, g)  # re-reads the folder: appends again
-    build.build_run(spark, root, "r2", RUN2, "2024-03-01", previous_run_id="r1")
+    build.build_run(spark, root, "r2", RUN2, "2024-03-01", previous_run_id="r1", buckets=4)
     core = {r["cve_id"]: r for r in spark.read.parquet(build.silver_path(root, "r2", "cve_core")).collect()}
     assert core["CVE-2024-0001"]["cvss_v3_score"] == 9.8 and core["CVE-2024-0002"]["cvss_v3_score"] == 4.4
     changes = {(r["cve_id"], r["_change_type"]) for r in
@@ -127,3 +127,18 @@ def test_month_partitions_prune_and_csv_export(spark, tmp):
     build.export_csv(df.select("cve_id"), f"{tmp}/csv")
     back = spark.read.option("header", True).csv(f"{tmp}/csv")
     assert sorted(x["cve_id"] for x in back.collect()) == ["C1", "C2", "C3"]
+
+
+def test_bucketed_silver_joins_without_shuffle(spark, tmp):
+    import re
+
+    from cvelake.plans import gold as gd
+    from cvelake.queries import silver
+
+    s = silver(spark, "/root/testdata/sf0.001")
+    b = build.bucketed_silver(spark, s, tmp, "t1", 8)
+    e = gd.vuln_enriched(b.core, b.signals, b.products)
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(cve_id", plan)
+    want = gd.vuln_enriched(s.core, s.signals, s.products)
+    assert sorted(map(tuple, e.collect())) == sorted(map(tuple, want.collect()))
