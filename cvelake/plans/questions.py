@@ -290,3 +290,41 @@ def trend_vendors(enriched: DataFrame, products: DataFrame, as_of: str | Column
         .agg(F.count(F.lit(1)).alias("recent_kev_count"))
         .orderBy(F.col("recent_kev_count").desc(), F.col("vendor"))
     )
+
+
+# ------------------------------------------------------------------ orchestration
+
+# The tool that serves each intent.
+TOOLS = {
+    "CVE_LOOKUP": "cve_lookup",
+    "COMPARISON": "comparison",
+    "FILTERED_SEARCH": "sql_query",
+    "TREND_ANALYSIS": "sql_query",
+    "SEMANTIC_SEARCH": "vector_search",
+}
+
+
+def answer_questions(parsed: DataFrame, enriched: DataFrame, products: DataFrame, semantic_hits: DataFrame,
+                     as_of: str | Column | None = None) -> DataFrame:
+    """Per question: intent, the tool that answered it and how many result
+    rows it returned (0 when nothing matched; UNKNOWN gets no tool).
+
+    ``semantic_hits`` holds (query_id, ...) rows of the semantic search run
+    over the SEMANTIC_SEARCH questions.
+    """
+    def counts(df: DataFrame, key: str = "question_id") -> DataFrame:
+        return df.groupBy(F.col(key).alias("question_id")).agg(F.count(F.lit(1)).alias("n"))
+
+    per_tool = (
+        counts(lookup_cves(question_ids(parsed, ["CVE_LOOKUP"]), enriched, products))
+        .unionByName(counts(question_ids(parsed, ["COMPARISON"]).join(enriched.select("cve_id"), "cve_id")))
+        .unionByName(counts(answer_filtered(parsed, enriched, products)))
+        .unionByName(counts(answer_trends(parsed, enriched, as_of)))
+        .unionByName(counts(semantic_hits, "query_id"))
+    )
+    tool = F.lit(None).cast("string")
+    for intent, name in TOOLS.items():
+        tool = F.when(F.col("intent") == intent, F.lit(name)).otherwise(tool)
+    return parsed.select("question_id", "intent").join(per_tool, "question_id", "left").select(
+        "question_id", "intent", tool.alias("tool"), F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("results"),
+    )

@@ -304,6 +304,15 @@ def q_answer_trends(spark, sf_dir):
     return qs.answer_trends(_parsed(spark, sf_dir, s), e, fx.AS_OF)
 
 
+def q_answer_questions(spark, sf_dir):
+    """Every question routed and answered: intent, tool, result count."""
+    s, e = enriched(spark, sf_dir, staged=True)
+    p = stage(_parsed(spark, sf_dir, s), "parsed-questions")
+    sem = se.tfidf_search(s.documents, "cve_id", "document_text", p.filter(F.col("intent") == "SEMANTIC_SEARCH"),
+                          "question_id", "raw_query", 5)
+    return qs.answer_questions(p, e, s.products, sem, fx.AS_OF)
+
+
 def q_trend_vendors(spark, sf_dir):
     s, e = enriched(spark, sf_dir)
     return qs.trend_vendors(e, s.products, fx.AS_OF)
@@ -502,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "answer_filtered": q_answer_filtered,
     "trend_vendors": q_trend_vendors,
     "answer_trends": q_answer_trends,
+    "answer_questions": q_answer_questions,
     "tier_distribution": q_tier_distribution,
     "data_stats": q_data_stats,
     "top_vendors": q_top_vendors,

@@ -574,4 +574,15 @@ def sql() -> dict[str, str]:
  SELECT user_id, event_id, ts, event_type, value FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     }
+    per_tool = " UNION ALL ".join(
+        f"SELECT question_id, count(*) AS n FROM ({out[k]}) GROUP BY 1"
+        for k in ("lookup_cve", "compare_cves", "answer_filtered", "answer_trends")
+    ) + f" UNION ALL SELECT query_id AS question_id, count(*) AS n FROM ({out['answer_semantic']}) GROUP BY 1"
+    out["answer_questions"] = with_(*Q) + f"""
+ SELECT p.question_id, p.intent,
+   CASE p.intent WHEN 'CVE_LOOKUP' THEN 'cve_lookup' WHEN 'COMPARISON' THEN 'comparison'
+     WHEN 'FILTERED_SEARCH' THEN 'sql_query' WHEN 'TREND_ANALYSIS' THEN 'sql_query'
+     WHEN 'SEMANTIC_SEARCH' THEN 'vector_search' END AS tool,
+   coalesce(c.n, 0) AS results
+ FROM parsed p LEFT JOIN ({per_tool}) c ON p.question_id = c.question_id"""
     return out
