@@ -7,9 +7,10 @@
 * :func:`batch_cosine_topk` scores many query vectors at once. The query
   matrix is size-checked before it is shipped to the tasks (queries beyond
   the bound are processed in further passes); each Arrow batch is scored by
-  one matrix product and keeps, per query, every candidate at or above its
-  k-th best score (ties included, so the final cut stays exact). A window
-  per query then takes the final top k, pre-limited map-side by Spark.
+  matrix products over blocks of queries (each score block size-bounded)
+  and keeps, per query, every candidate at or above its k-th best score
+  (ties included, so the final cut stays exact). A window per query then
+  takes the final top k, pre-limited map-side by Spark.
 
 Scores are ranked on their value rounded to 9 decimals, then on the id, so
 near-equal scores from different summation orders rank the same way.
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_QUERY_BYTES = 64 << 20  # bound on the query matrix shipped to every task
+MAX_SCORE_BYTES = 64 << 20  # bound on one task's score block (rows x queries)
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -53,6 +55,7 @@ def cosine_topk(candidates: DataFrame, vec_col: str, query: Sequence[float], k:
     return top.withColumn("rank", F.row_number().over(w)).withColumn("score", F.round("_score", 6)).drop("_score")
 
 
+
 def _score_batches(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
     qn = np.linalg.norm(qmat, axis=1)
     qn[qn == 0] = np.nan
@@ -64,16 +67,20 @@ def _score_batches(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_
             x = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
             xn = np.linalg.norm(x, axis=1)
             xn[xn == 0] = np.nan
-            s = (x @ qmat.T) / np.outer(xn, qn)
-            r = np.where(np.isnan(s), -np.inf, np.round(s, 9))
-            n = r.shape[0]
+            ids = pdf[id_col].to_numpy()
+            n = x.shape[0]
             kk = min(k, n)
-            # k-th best rounded score per query; keep every row at or above it.
-            kth = np.partition(r, n - kk, axis=0)[n - kk]
-            rows, cols = np.nonzero((r >= kth[None, :]) & np.isfinite(r))
-            if len(rows):
-                yield pd.DataFrame({"query_id": qids[cols], id_col: pdf[id_col].to_numpy()[rows],
-                                    "_score": s[rows, cols]})
+            # Queries in column blocks so one score block stays under the bound.
+            step = max(1, MAX_SCORE_BYTES // (8 * n))
+            for lo in range(0, len(qids), step):
+                hi = min(lo + step, len(qids))
+                s = (x @ qmat[lo:hi].T) / np.outer(xn, qn[lo:hi])
+                r = np.where(np.isnan(s), -np.inf, np.round(s, 9))
+                # k-th best rounded score per query; keep every row at or above it.
+                kth = np.partition(r, n - kk, axis=0)[n - kk]
+                rows, cols = np.nonzero((r >= kth[None, :]) & np.isfinite(r))
+                if len(rows):
+                    yield pd.DataFrame({"query_id": qids[lo:hi][cols], id_col: ids[rows], "_score": s[rows, cols]})
 
     return run
 
@@ -90,7 +97,8 @@ def batch_cosine_topk(
             [], f"query_id {qid_type}, rank int, {id_col} {id_type}, score double")
     dim = len(queries.select(query_vec).first()[0])
     per_pass = max(1, MAX_QUERY_BYTES // (8 * max(dim, 1)))
-    n_pass = -(-n_q // per_pass)
+    # Passes split queries by hash, so leave a quarter of margin for uneven chunks.
+    n_pass = -(-n_q // max(1, per_pass * 3 // 4))
     cands = candidates.select(id_col, vec_col)
     parts = []
     for p in range(n_pass):
