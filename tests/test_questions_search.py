@@ -122,3 +122,18 @@ def test_semantic_search_prefilters(spark):
     assert ids(vendors=["ACME"]) == ["C1", "C2"]
     assert ids(products=["anvil"], min_epss=0.05) == ["C2"]
     assert ids(cwes=["cwe-79"]) == ["C1"]
+
+
+def test_batch_search_in_several_passes_and_blocks(spark, monkeypatch):
+    import cvelake.operators.vector as vec
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(200, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(200)], "id int, embedding array<float>")
+    qdf = spark.createDataFrame([(j, x[j].tolist()) for j in range(12)], "qid int, embedding array<float>")
+    monkeypatch.setattr(vec, "MAX_QUERY_BYTES", 8 * 8 * 3)  # 3 queries per pass -> 6 passes with margin
+    monkeypatch.setattr(vec, "MAX_SCORE_BYTES", 8 * 200 * 2)  # 2 queries per score block
+    b = batch_cosine_topk(df.repartition(3), "embedding", "id", qdf, "qid", "embedding", 4).collect()
+    for j in range(12):
+        ids = [r["id"] for r in sorted((r for r in b if r["query_id"] == j), key=lambda r: r["rank"])]
+        assert ids == _brute(x.astype(np.float64), x[j].astype(np.float64), 4)
