@@ -19,6 +19,8 @@ skewed key's partition) so later keyed reads see co-located keys.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,8 +165,10 @@ def bucketed_silver(spark: SparkSession, s: sv.Silver, root: str, run_id: str, b
     """Core, signals and products as tables bucketed by cve_id into the same
     number of buckets; documents are derived from them lazily."""
     spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    tag = uuid.uuid4().hex[:8]  # one build's table names never collide with another's
     out = []
     for name, df in (("cve_core", s.core), ("cve_signals", s.signals), ("cve_affected_products", s.products)):
-        out.append(save_bucketed(df, f"silver.{name}_{run_id}", f"{root}/silver_bucketed/run={run_id}/{name}", buckets))
+        out.append(save_bucketed(df, f"silver.{name}_{run_id}_{tag}", f"{root}/silver_bucketed/run={run_id}/{name}",
+                                 buckets))
     core, signals, products = out
     return sv.Silver(core, signals, products, sv.cve_documents(core, signals, products))
