@@ -19,6 +19,7 @@ skewed key's partition) so later keyed reads see co-located keys.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,9 +167,10 @@ def bucketed_silver(spark: SparkSession, s: sv.Silver, root: str, run_id: str, b
     number of buckets; documents are derived from them lazily."""
     spark.sql("CREATE DATABASE IF NOT EXISTS silver")
     tag = uuid.uuid4().hex[:8]  # one build's table names never collide with another's
+    safe_run = re.sub(r"[^A-Za-z0-9_]", "_", run_id)  # e.g. a date: 2024-01-16 -> 2024_01_16
     out = []
     for name, df in (("cve_core", s.core), ("cve_signals", s.signals), ("cve_affected_products", s.products)):
-        out.append(save_bucketed(df, f"silver.{name}_{run_id}_{tag}", f"{root}/silver_bucketed/run={run_id}/{name}",
-                                 buckets))
+        table = f"silver.{name}_{safe_run}_{tag}"
+        out.append(save_bucketed(df, table, f"{root}/silver_bucketed/run={run_id}/{name}", buckets))
     core, signals, products = out
     return sv.Silver(core, signals, products, sv.cve_documents(core, signals, products))

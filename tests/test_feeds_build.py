@@ -136,7 +136,7 @@ def test_bucketed_silver_joins_without_shuffle(spark, tmp):
     from cvelake.queries import silver
 
     s = silver(spark, "/root/testdata/sf0.001")
-    b = build.bucketed_silver(spark, s, tmp, "t1", 8)
+    b = build.bucketed_silver(spark, s, tmp, "2024-01-16", 8)  # a date-style run id
     e = gd.vuln_enriched(b.core, b.signals, b.products)
     plan = e._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Exchange hashpartitioning\(cve_id", plan)
