@@ -13,27 +13,42 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_DEFAULTS = {
+# Settings the engine relies on wherever it runs.
+_ALWAYS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# Local runs and tests: few cores, small data, no UI server.
+_LOCAL = {
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# Cluster runs: the launcher sizes spark.sql.shuffle.partitions to the data
+# (it is only an upper bound for AQE, which coalesces small partitions and
+# splits skewed ones); these keep partitions near 128 MB.
+_CLUSTER = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.files.maxPartitionBytes": str(128 << 20),
 }
 
 
 def get_session(master: str | None = None, app: str = "cvelake", **conf: str) -> SparkSession:
     """Build (or reuse) a session with the engine defaults.
 
-    On a cluster, ``master`` stays None and the launcher's settings win;
-    explicit ``conf`` overrides the defaults.
+    ``master`` "local[...]" applies the local defaults; on a cluster (no
+    master given) the launcher's settings win and only the settings the
+    engine relies on are added. Explicit ``conf`` overrides both.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**_DEFAULTS, **conf}.items():
+    local = (master or "").startswith("local")
+    for k, v in {**_ALWAYS, **(_LOCAL if local else _CLUSTER), **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
