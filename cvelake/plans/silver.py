@@ -131,7 +131,8 @@ def cve_signals(bronze_epss: DataFrame, bronze_kev: DataFrame) -> DataFrame:
     return apply_expectations(cve_signals_records(bronze_epss, bronze_kev), SIGNALS_RULES)
 
 
-def affected_products_records(parsed: DataFrame, escape_aware: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+def product_rows(parsed: DataFrame, escape_aware: bool = False) -> DataFrame:
+    """Vulnerable CPE rows of every Bronze row (no dedup), with provenance."""
     # Inner explodes: rows without configurations would be removed by the
     # vulnerable filter right after anyway.
     cfg = parsed.select(_item_id().alias("cve_id"), F.explode("p.cve.configurations").alias("c"), *PROVENANCE)
@@ -146,6 +147,11 @@ def affected_products_records(parsed: DataFrame, escape_aware: bool = False, kee
         cpe_field(parts, CPE_VERSION).alias("version"),
         *PROVENANCE,
     )
+    return rows
+
+
+def affected_products_records(parsed: DataFrame, escape_aware: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    rows = product_rows(parsed, escape_aware)
     return latest_per_key(rows, ["cve_id", "cpe_uri"]).select(*AFFECTED_PRODUCTS_COLUMNS, *keep)
 
 

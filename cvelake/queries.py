@@ -22,7 +22,7 @@ from cvelake.plans import questions as qs
 from cvelake.plans import quality_report as qr
 from cvelake.plans import search as se
 from cvelake.plans import silver as sv
-from cvelake.schemas import BRONZE_JSON, CVE_CORE_COLUMNS
+from cvelake.schemas import AFFECTED_PRODUCTS_COLUMNS, BRONZE_JSON, CVE_CORE_COLUMNS
 from cvelake.session import prepare, scratch_dir, stage
 from cvelake.streaming import incremental as inc
 from cvelake.sources import feeds
@@ -430,6 +430,22 @@ def q_incremental_core(spark, sf_dir):
     return q.apply_expectations(inc.read_state(spark, state).select(*CVE_CORE_COLUMNS), sv.CORE_RULES)
 
 
+def q_incremental_products(spark, sf_dir):
+    """cve_affected_products maintained by a stream over Bronze files that
+    land run by run (state keyed by cve_id + cpe_uri)."""
+    prepare(spark)
+    root = scratch_dir(spark, "incremental-products")
+    bronze = fx.bronze_nvd(spark, sf_dir)
+    src, state = f"{root}/bronze_nvd", f"{root}/products_state"
+    for run in RUNS:
+        bronze.filter(F.col("ingest_ts") == F.lit(run).cast("timestamp")).write.mode("append").parquet(src)
+        inc.run_latest_wins(
+            spark, src, BRONZE_JSON, lambda df: sv.product_rows(sv.parse_nvd(df)), state, f"{root}/ckpt",
+            ["cve_id", "cpe_uri"], bronze_recency, buckets=16,
+        )
+    return q.apply_expectations(inc.read_state(spark, state).select(*AFFECTED_PRODUCTS_COLUMNS), sv.PRODUCTS_RULES)
+
+
 def q_incremental_events(spark, sf_dir):
     """Latest event per user, maintained by a stream over two arrivals."""
     prepare(spark)
@@ -524,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "keyword_fallback": q_keyword_fallback,
     "latest_event_per_user": q_latest_event_per_user,
     "incremental_core": q_incremental_core,
+    "incremental_products": q_incremental_products,
     "incremental_events": q_incremental_events,
     "stream_dedup_events": q_stream_dedup_events,
     "stream_ingest": q_stream_ingest,
