@@ -94,13 +94,18 @@ def cve_core(bronze_nvd: DataFrame, parsed: DataFrame | None = None) -> DataFram
 
 
 def latest_epss(bronze_epss: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    rows = bronze_epss.withColumn(TIEBREAK, content_hash("epss_score", "epss_percentile"))
-    return latest_per_key(rows, ["cve_id"]).select("cve_id", "epss_score", "epss_percentile", *keep)
+    return latest_per_key(epss_rows(bronze_epss), ["cve_id"]).select("cve_id", "epss_score", "epss_percentile", *keep)
 
 
-def latest_kev(bronze_kev: DataFrame) -> DataFrame:
+def epss_rows(bronze_epss: DataFrame) -> DataFrame:
+    """EPSS Bronze rows with the dedup tiebreak (no dedup)."""
+    return bronze_epss.withColumn(TIEBREAK, content_hash("epss_score", "epss_percentile"))
+
+
+def kev_rows(bronze_kev: DataFrame) -> DataFrame:
+    """KEV entries parsed, with provenance (no dedup)."""
     p = F.from_json("raw_json", KEV_ITEM)
-    rows = bronze_kev.select(
+    return bronze_kev.select(
         F.coalesce(p["cveID"], F.col("cve_id")).alias("cve_id"),
         F.try_to_date(p["dateAdded"], "yyyy-MM-dd").alias("kev_date_added"),
         F.try_to_date(p["dueDate"], "yyyy-MM-dd").alias("kev_due_date"),
@@ -109,17 +114,27 @@ def latest_kev(bronze_kev: DataFrame) -> DataFrame:
         *PROVENANCE[:3],
         content_hash("raw_json"),
     )
-    return latest_per_key(rows, ["cve_id"]).select(
+
+
+def latest_kev(bronze_kev: DataFrame) -> DataFrame:
+    return latest_per_key(kev_rows(bronze_kev), ["cve_id"]).select(
         "cve_id", "kev_date_added", "kev_due_date", "kev_ransomware_use", "kev_notes",
         F.lit(True).alias("kev_flag"),
     )
 
 
 def cve_signals_records(bronze_epss: DataFrame, bronze_kev: DataFrame) -> DataFrame:
+    return signals_from_latest(latest_epss(bronze_epss), latest_kev(bronze_kev))
+
+
+def signals_from_latest(epss: DataFrame, kev: DataFrame) -> DataFrame:
+    """Signals from the latest EPSS row and latest KEV entry per CVE."""
     # Full outer join: a CVE in either feed gets a row (the KEV side is small,
     # but a full outer join cannot broadcast; both sides arrive partitioned by
     # cve_id from their dedup windows, so the join adds no exchange).
-    j = latest_epss(bronze_epss).join(latest_kev(bronze_kev), "cve_id", "full_outer")
+    kev = kev.select("cve_id", "kev_date_added", "kev_due_date", "kev_ransomware_use", "kev_notes",
+                     F.lit(True).alias("kev_flag"))
+    j = epss.select("cve_id", "epss_score", "epss_percentile").join(kev, "cve_id", "full_outer")
     return j.select(
         "cve_id", "epss_score", "epss_percentile",
         F.coalesce(F.col("kev_flag"), F.lit(False)).alias("kev_flag"),

@@ -446,6 +446,23 @@ def q_incremental_products(spark, sf_dir):
     return q.apply_expectations(inc.read_state(spark, state).select(*AFFECTED_PRODUCTS_COLUMNS), sv.PRODUCTS_RULES)
 
 
+def q_incremental_signals(spark, sf_dir):
+    """cve_signals from two streamed latest-wins states (EPSS, KEV) joined."""
+    prepare(spark)
+    root = scratch_dir(spark, "incremental-signals")
+    epss, kev = fx.bronze_epss(spark, sf_dir), fx.bronze_kev(spark, sf_dir)
+    for run in RUNS:
+        at = F.col("ingest_ts") == F.lit(run).cast("timestamp")
+        epss.filter(at).write.mode("append").parquet(f"{root}/bronze_epss")
+        kev.filter(at).write.mode("append").parquet(f"{root}/bronze_kev")
+        inc.run_latest_wins(spark, f"{root}/bronze_epss", epss.schema, sv.epss_rows, f"{root}/epss_state",
+                            f"{root}/ckpt-epss", ["cve_id"], bronze_recency, buckets=16)
+        inc.run_latest_wins(spark, f"{root}/bronze_kev", kev.schema, sv.kev_rows, f"{root}/kev_state",
+                            f"{root}/ckpt-kev", ["cve_id"], bronze_recency, buckets=16)
+    rec = sv.signals_from_latest(inc.read_state(spark, f"{root}/epss_state"), inc.read_state(spark, f"{root}/kev_state"))
+    return q.apply_expectations(rec, sv.SIGNALS_RULES)
+
+
 def q_incremental_events(spark, sf_dir):
     """Latest event per user, maintained by a stream over two arrivals."""
     prepare(spark)
@@ -541,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "latest_event_per_user": q_latest_event_per_user,
     "incremental_core": q_incremental_core,
     "incremental_products": q_incremental_products,
+    "incremental_signals": q_incremental_signals,
     "incremental_events": q_incremental_events,
     "stream_dedup_events": q_stream_dedup_events,
     "stream_ingest": q_stream_ingest,

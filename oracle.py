@@ -563,6 +563,7 @@ def sql() -> dict[str, str]:
  ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 10""",
         "incremental_core": with_(*S2) + " SELECT * FROM core2",
         "incremental_products": with_(*S2) + " SELECT * FROM products2",
+        "incremental_signals": with_(*S2) + " SELECT * FROM signals2",
         "incremental_events": """
  SELECT user_id, event_id, ts, event_type, value FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
