@@ -27,6 +27,7 @@ from cvelake.operators.quality import Expectation, apply_expectations, expectati
 from cvelake.schemas import (
     AFFECTED_PRODUCTS_COLUMNS, CVE_CORE_COLUMNS, CVE_DOCUMENTS_COLUMNS, CVE_SIGNALS_COLUMNS, KEV_ITEM, NVD_ITEM,
 )
+from cvelake.session import stage
 
 # Rule names, predicates and actions of the Silver tables.
 CORE_RULES = (
@@ -130,8 +131,9 @@ def cve_signals_records(bronze_epss: DataFrame, bronze_kev: DataFrame) -> DataFr
 def signals_from_latest(epss: DataFrame, kev: DataFrame) -> DataFrame:
     """Signals from the latest EPSS row and latest KEV entry per CVE."""
     # Full outer join: a CVE in either feed gets a row (the KEV side is small,
-    # but a full outer join cannot broadcast; both sides arrive partitioned by
-    # cve_id from their dedup windows, so the join adds no exchange).
+    # but a full outer join cannot broadcast). In the batch path both sides
+    # arrive partitioned by cve_id from their dedup windows, so the join adds
+    # no exchange.
     kev = kev.select("cve_id", "kev_date_added", "kev_due_date", "kev_ransomware_use", "kev_notes",
                      F.lit(True).alias("kev_flag"))
     j = epss.select("cve_id", "epss_score", "epss_percentile").join(kev, "cve_id", "full_outer")
@@ -238,8 +240,6 @@ def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: Da
     r = Records(cve_core_records(parsed, keep=keep), cve_signals_records(bronze_epss, bronze_kev),
                 affected_products_records(parsed, keep=keep))
     if staged:
-        from cvelake.session import stage
-
         r = Records(*(stage(x, f"records-{n}") for x, n in zip(r, r._fields)))
     return r
 
