@@ -132,6 +132,13 @@ def build_run(
     return metrics
 
 
+def quality_history(spark: SparkSession, root: str) -> DataFrame:
+    """The appended expectation metrics of every run, newest run first."""
+    return spark.read.parquet(f"{root}/silver/dq_metrics").orderBy(
+        F.col("run_ts").desc(), F.col("table"), F.col("rule")
+    )
+
+
 def inspect(df: DataFrame, n: int = 5) -> tuple[int, str, DataFrame]:
     """Row count, schema string and a sample of ``n`` rows."""
     return df.count(), df.schema.simpleString(), df.limit(n)

@@ -93,8 +93,9 @@ def test_build_runs_and_change_feed(spark, tmp):
                spark.read.parquet(f"{root}/silver/cve_documents_changes").collect()}
     assert changes == {("CVE-2024-0002", "update_preimage"), ("CVE-2024-0002", "update_postimage"),
                        ("CVE-2024-0004", "insert")}
-    hist = spark.read.parquet(f"{root}/silver/dq_metrics")
+    hist = build.quality_history(spark, root)
     assert hist.select("run").distinct().count() == 2
+    assert hist.first()["run"] == "r2"  # newest run first
     enriched = spark.read.parquet(f"{root}/gold/run=r2/vuln_enriched").collect()
     assert {r["cve_id"] for r in enriched} == {"CVE-2024-0001", "CVE-2024-0002", "CVE-2024-0003", "CVE-2024-0004"}
     dbs = {r[0] for r in build.create_schemas(spark).collect()}
