@@ -65,6 +65,18 @@ def register(spark: SparkSession, schema: str, table: str, path: str) -> None:
         spark.sql(f"COMMENT ON TABLE {schema}.{table} IS '{TABLE_COMMENTS[table]}'")
 
 
+def register_run(spark: SparkSession, root: str, run_id: str) -> list[str]:
+    """Expose a run's Silver and Gold folders as ``silver.*`` / ``gold.*``
+    tables (with their comments); returns the table names."""
+    names = []
+    for schema, tables in (("silver", ("cve_core", "cve_signals", "cve_affected_products", "cve_documents")),
+                           ("gold", ("vuln_enriched", "vendor_risk_agg", "kev_recent"))):
+        for t in tables:
+            register(spark, schema, t, f"{root}/{schema}/run={run_id}/{t}")
+            names.append(f"{schema}.{t}")
+    return names
+
+
 def ingest(spark: SparkSession, root: str, feed_dir: str, run_ts: str, globs: dict[str, str] | None = None) -> DataFrame:
     """Append every feed file in ``feed_dir`` to Bronze (each run re-reads the
     whole folder, as the original loader does). Returns the run's summary."""

@@ -100,8 +100,10 @@ def test_build_runs_and_change_feed(spark, tmp):
     assert {r["cve_id"] for r in enriched} == {"CVE-2024-0001", "CVE-2024-0002", "CVE-2024-0003", "CVE-2024-0004"}
     dbs = {r[0] for r in build.create_schemas(spark).collect()}
     assert {"bronze", "silver", "gold", "agent"} <= dbs
-    build.register(spark, "silver", "cve_core", build.silver_path(root, "r2", "cve_core"))
-    assert spark.table("silver.cve_core").count() == len(core)
+    names = build.register_run(spark, root, "r2")
+    assert spark.table("silver.cve_core").count() == len(core) and "gold.vendor_risk_agg" in names
+    comment = [r for r in spark.sql("DESCRIBE TABLE EXTENDED silver.cve_core").collect() if r[0] == "Comment"]
+    assert comment and "latest record per CVE" in comment[0][1]
 
 
 def test_fail_rule_stops_before_write(spark, tmp):
