@@ -10,6 +10,7 @@ from cvelake.plans.gold import vendor_risk_agg
 
 
 def tier_distribution(enriched: DataFrame) -> DataFrame:
+    """Number of CVEs per risk tier."""
     return enriched.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("cve_count")).orderBy("risk_tier")
 
 
@@ -35,4 +36,5 @@ def data_stats(enriched: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def top_vendors(products: DataFrame, enriched: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows of the vendor risk aggregate."""
     return vendor_risk_agg(products, enriched).limit(n)

@@ -28,6 +28,7 @@ GOLD_RULES = (
 
 
 def as_of_date(as_of: str | Column | None) -> Column:
+    """The reference date as a Column (``current_date()`` when not given)."""
     if as_of is None:
         return F.current_date()
     return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
@@ -44,6 +45,7 @@ def primary_products(products: DataFrame) -> DataFrame:
 
 
 def vuln_enriched(core: DataFrame, signals: DataFrame, products: DataFrame) -> DataFrame:
+    """Core + signals + primary vendor/product per CVE, with risk score and tier."""
     j = core.join(signals, "cve_id", "left").join(primary_products(products), "cve_id", "left")
     j = j.withColumn("kev_flag", F.coalesce(F.col("kev_flag"), F.lit(False)))
     score = risk_score(F.col("kev_flag"), F.col("epss_score"), F.col("cvss_v3_score"))
@@ -71,11 +73,13 @@ def vendor_risk_agg(products: DataFrame, enriched: DataFrame) -> DataFrame:
 
 
 def recent_kev_filter(days: int, as_of: str | Column | None) -> Column:
+    """KEV rows whose date added lies in [as_of - days, as_of]."""
     d = as_of_date(as_of)
     return F.col("kev_flag") & F.col("kev_date_added").between(F.date_sub(d, days), d)
 
 
 def kev_recent(enriched: DataFrame, as_of: str | Column | None = None, days: int = 30) -> DataFrame:
+    """KEV entries added in the last ``days`` days before ``as_of``, newest first."""
     d = as_of_date(as_of)
     return (
         enriched.filter(recent_kev_filter(days, as_of))

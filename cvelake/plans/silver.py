@@ -87,14 +87,17 @@ def core_rows(parsed: DataFrame) -> DataFrame:
 
 
 def cve_core_records(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Latest core record per cve_id, before the core rules."""
     return latest_per_key(core_rows(parsed), ["cve_id"]).select(*CVE_CORE_COLUMNS, *keep)
 
 
 def cve_core(bronze_nvd: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    """The cve_core table: latest record per CVE, rules applied (no English description: dropped)."""
     return apply_expectations(cve_core_records(parsed if parsed is not None else parse_nvd(bronze_nvd)), CORE_RULES)
 
 
 def latest_epss(bronze_epss: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Latest EPSS score and percentile per cve_id."""
     return latest_per_key(epss_rows(bronze_epss), ["cve_id"]).select("cve_id", "epss_score", "epss_percentile", *keep)
 
 
@@ -118,6 +121,7 @@ def kev_rows(bronze_kev: DataFrame) -> DataFrame:
 
 
 def latest_kev(bronze_kev: DataFrame) -> DataFrame:
+    """Latest KEV entry per cve_id, flagged kev_flag = true."""
     return latest_per_key(kev_rows(bronze_kev), ["cve_id"]).select(
         "cve_id", "kev_date_added", "kev_due_date", "kev_ransomware_use", "kev_notes",
         F.lit(True).alias("kev_flag"),
@@ -125,6 +129,7 @@ def latest_kev(bronze_kev: DataFrame) -> DataFrame:
 
 
 def cve_signals_records(bronze_epss: DataFrame, bronze_kev: DataFrame) -> DataFrame:
+    """EPSS and KEV joined per CVE, before the signals rule."""
     return signals_from_latest(latest_epss(bronze_epss), latest_kev(bronze_kev))
 
 
@@ -145,6 +150,7 @@ def signals_from_latest(epss: DataFrame, kev: DataFrame) -> DataFrame:
 
 
 def cve_signals(bronze_epss: DataFrame, bronze_kev: DataFrame) -> DataFrame:
+    """The cve_signals table (its EPSS range rule only warns)."""
     return apply_expectations(cve_signals_records(bronze_epss, bronze_kev), SIGNALS_RULES)
 
 
@@ -168,11 +174,13 @@ def product_rows(parsed: DataFrame, escape_aware: bool = False) -> DataFrame:
 
 
 def affected_products_records(parsed: DataFrame, escape_aware: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Latest row per (cve_id, cpe_uri) of the vulnerable CPEs, before the rules."""
     rows = product_rows(parsed, escape_aware)
     return latest_per_key(rows, ["cve_id", "cpe_uri"]).select(*AFFECTED_PRODUCTS_COLUMNS, *keep)
 
 
 def cve_affected_products(bronze_nvd: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    """The cve_affected_products table (rows without a vendor dropped)."""
     p = parsed if parsed is not None else parse_nvd(bronze_nvd)
     return apply_expectations(affected_products_records(p), PRODUCTS_RULES)
 
@@ -190,6 +198,7 @@ def product_lists(products: DataFrame) -> DataFrame:
 
 
 def cve_documents_records(core: DataFrame, signals: DataFrame, products: DataFrame) -> DataFrame:
+    """Core, signals and product lists joined into one searchable text per CVE."""
     j = core.join(signals, "cve_id", "left").join(product_lists(products), "cve_id", "left")
     text = F.concat_ws(
         " | ",
@@ -205,6 +214,7 @@ def cve_documents_records(core: DataFrame, signals: DataFrame, products: DataFra
 
 
 def cve_documents(core: DataFrame, signals: DataFrame, products: DataFrame) -> DataFrame:
+    """The cve_documents table (texts of 50 characters or fewer dropped)."""
     return apply_expectations(cve_documents_records(core, signals, products), DOCUMENTS_RULES)
 
 
@@ -216,6 +226,7 @@ class Silver(NamedTuple):
 
 
 def silver_tables(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame) -> Silver:
+    """All four Silver tables as lazy plans over the Bronze frames."""
     parsed = parse_nvd(bronze_nvd)
     core = cve_core(bronze_nvd, parsed)
     signals = cve_signals(bronze_epss, bronze_kev)
@@ -245,6 +256,7 @@ def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: Da
 
 
 def tables_from_records(r: Records) -> Silver:
+    """Clean Silver tables (contract columns) from pre-rule records."""
     core = apply_expectations(r.core, CORE_RULES).select(*CVE_CORE_COLUMNS)
     signals = apply_expectations(r.signals, SIGNALS_RULES).select(*CVE_SIGNALS_COLUMNS)
     products = apply_expectations(r.products, PRODUCTS_RULES).select(*AFFECTED_PRODUCTS_COLUMNS)

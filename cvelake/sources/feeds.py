@@ -38,6 +38,7 @@ def _date_from(c: Column) -> Column:
 
 
 def snapshot_date() -> Column:
+    """First yyyy-MM-dd in the file name, else in its path; NULL when none."""
     return F.coalesce(_date_from(F.col("_metadata.file_name")), _date_from(F.col("_metadata.file_path")))
 
 
@@ -72,17 +73,20 @@ def _bronze(items: DataFrame, cve_id: Column, run_ts: str) -> DataFrame:
 
 
 def read_nvd(spark: SparkSession, path: str, run_ts: str, glob: str = NVD_GLOB) -> DataFrame:
+    """NVD feed files -> Bronze rows (one per item with an id; legacy layout accepted)."""
     items = _items(_whole_files(spark, path, glob), "CVE_Items")
     cid = F.coalesce(F.get_json_object("raw_json", "$.cve.id"), F.get_json_object("raw_json", "$.cve.CVE_data_meta.ID"))
     return _bronze(items, cid, run_ts)
 
 
 def read_kev(spark: SparkSession, path: str, run_ts: str, glob: str = KEV_GLOB) -> DataFrame:
+    """KEV feed files -> Bronze rows (one per catalog entry with an id)."""
     items = _items(_whole_files(spark, path, glob), "vulnerabilities")
     return _bronze(items, F.get_json_object("raw_json", "$.cveID"), run_ts)
 
 
 def read_epss(spark: SparkSession, path: str, run_ts: str, glob: str = EPSS_GLOB) -> DataFrame:
+    """EPSS CSV files -> Bronze rows with scores cast to double (bad values become NULL)."""
     raw = (
         spark.read.option("header", True)
         .option("comment", "#")
@@ -208,6 +212,7 @@ def write_nvd_files(items: DataFrame, out_dir: str, page_size: int = PAGE_SIZE)
 
 
 def write_kev_files(entries: DataFrame, out_dir: str, snapshot: str, page_size: int = PAGE_SIZE) -> None:
+    """Write KEV entries as JSON envelopes of at most ``page_size`` entries per file."""
     page = F.floor(F.col("n") / page_size)
     stem = F.concat(F.lit(f"cisa_kev_{snapshot}_p"), F.format_string("%06d", page))
     grouped = entries.groupBy(stem.alias("file")).agg(

@@ -95,6 +95,7 @@ def run_latest_wins(
 
 
 def read_state(spark: SparkSession, target: str) -> DataFrame:
+    """The current state table, without its bucket column."""
     return spark.read.parquet(target).drop(BUCKET)
 
 
