@@ -184,7 +184,9 @@ def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str =
 def bucketed_silver(spark: SparkSession, s: sv.Silver, root: str, run_id: str, buckets: int) -> sv.Silver:
     """Core, signals and products as tables bucketed by cve_id into the same
     number of buckets; documents are derived from them lazily."""
-    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    # If the build has to create the schema, it lives in the build's folder,
+    # not in the session's default warehouse.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS silver LOCATION '{root}/warehouse/silver.db'")
     tag = uuid.uuid4().hex[:8]  # one build's table names never collide with another's
     safe_run = re.sub(r"[^A-Za-z0-9_]", "_", run_id)  # e.g. a date: 2024-01-16 -> 2024_01_16
     out = []
