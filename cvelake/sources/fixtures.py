@@ -39,16 +39,17 @@ KEV_FILE = "cisa_kev_2024-01-15.json"
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A driver table. With ``spread``, a scan that yields fewer partitions
-    than the session's parallelism (one row group = one task) is spread
-    round-robin first, so the per-row work after it (JSON building and
-    parsing, text tokenising) uses every core. Large inputs already have
-    enough splits and are read as they are."""
+    than the session's parallelism (one row group = one task) is rebalanced
+    first, so the per-row work after it (JSON building and parsing, text
+    tokenising) uses every core. Large inputs already have enough splits
+    and are read as they are."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
         try:
-            want = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want:
-                df = df.repartition(want)
+            if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+                # rebalance: AQE sizes the partitions from the data (small
+                # inputs get up to one per core, never thousands of slivers).
+                df = df.hint("rebalance")
         except Exception:  # no RDD access on this session (e.g. Spark Connect): read as is
             pass
     return df
