@@ -7,22 +7,29 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cvelake.llm import packing
+from cvelake.llm import huffman, packing
 from cvelake.llm.common import table
+from cvelake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_BPE, WORD_END = "word_bpe_49k.json", 1
 BYTE_BPE, BYTE_END = "byte_bpe_50k.json", 0
 
 
+def op7_huffman_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_dir(spark, "huffman")
+    huffman.write(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(BYTE_BPE), BYTE_END, out)
+    return huffman.read(spark, out)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, public_tokenizers.path(WORD_BPE), WORD_END)
 
 
 QUERIES: dict[str, Query] = {
+    "op7_huffman_token_ids": op7_huffman_token_ids,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
