@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cvelake.llm import huffman, packing
+from cvelake.llm import huffman, packing, secrets
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -17,6 +18,21 @@ WORD_BPE, WORD_END = "word_bpe_49k.json", 1
 BYTE_BPE, BYTE_END = "byte_bpe_50k.json", 0
 
 
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        of_kind(0).alias("n_assign"),
+        of_kind(1).alias("n_access"),
+        of_kind(2).alias("n_hex"),
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        "n_live",
+        "n_copied",
+    )
+
+
 def op7_huffman_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "huffman")
     huffman.write(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(BYTE_BPE), BYTE_END, out)
@@ -29,6 +45,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_secret_ownership": op3_secret_ownership,
     "op7_huffman_token_ids": op7_huffman_token_ids,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
