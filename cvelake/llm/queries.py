@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvelake.llm import huffman, packing, secrets
+from cvelake.llm import huffman, licenses, packing, secrets
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -39,6 +39,24 @@ def op7_huffman_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(spark, out)
 
 
+def op8_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    starts = F.transform("base", lambda b: b["start"].cast("long"))
+    base_labels, labels = F.col("base.label"), F.concat(F.col("base.label"), F.col("spans.label"))
+    joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
+    best = F.coalesce(F.array_max(F.col("spans.share")), F.lit(0.0))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base_labels).alias("base_labels"),
+        joined(labels).alias("labels"),
+        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.least(best, F.lit(1.0))).alias("score"),
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, public_tokenizers.path(WORD_BPE), WORD_END)
@@ -47,6 +65,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_secret_ownership": op3_secret_ownership,
     "op7_huffman_token_ids": op7_huffman_token_ids,
+    "op8_license_diagonals": op8_license_diagonals,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
