@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvelake.llm import huffman, licenses, packing, secrets
+from cvelake.llm import decontaminate, huffman, licenses, packing, preferences, secrets, url_rules
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -18,6 +18,38 @@ WORD_BPE, WORD_END = "word_bpe_49k.json", 1
 BYTE_BPE, BYTE_END = "byte_bpe_50k.json", 0
 
 
+def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found, column = decontaminate.matches(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    hits = F.col(column)
+    shown = F.transform(hits, lambda m: F.concat_ws(":", m["item_id"], m["distance"], m["start"], m["end"]))
+    return found.select(
+        "doc_id",
+        (F.size(hits) > 0).alias("contaminated"),
+        F.size(hits).cast("long").alias("n_items"),
+        F.array_min(hits["distance"]).alias("least_distance"),
+        F.array_join(shown, ",").alias("items"),
+    )
+
+
+def op2_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of a page are those of the document that its URL's path names."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    named = F.regexp_extract(url_rules.path_of(F.col("url")), "/([0-9]{1,18})(?:[./]|$)", 1)
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    blocked = ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked")
+    labelled = pages.withColumn("doc_id", named.try_cast("long")).join(labels, "doc_id").select("url", blocked)
+    judged = url_rules.judge(pages, url_rules.mine(labelled))
+    return judged.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict", "confidence", "mined_rule")
+
+
+def op4_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    made = preferences.format_pairs(preferences.sibling_pairs(turns))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return made.withColumns({c: spans(c) for c in ("chosen_mask", "rejected_mask")})
+
+
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
@@ -63,6 +95,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
+    "op2_url_association_rules": op2_url_association_rules,
+    "op4_preference_pairs": op4_preference_pairs,
     "op3_secret_ownership": op3_secret_ownership,
     "op7_huffman_token_ids": op7_huffman_token_ids,
     "op8_license_diagonals": op8_license_diagonals,
