@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvelake.llm import decontaminate, huffman, licenses, packing, preferences, secrets, url_rules
+from cvelake.llm import decontaminate, huffman, licenses, ngram_join, packing, preferences, secrets, url_rules
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -94,6 +94,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_BPE), WORD_END)
 
 
+def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op2_url_association_rules": op2_url_association_rules,
@@ -102,5 +107,6 @@ QUERIES: dict[str, Query] = {
     "op7_huffman_token_ids": op7_huffman_token_ids,
     "op8_license_diagonals": op8_license_diagonals,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_prefix_tree_join": op10_prefix_tree_join,
 }
 ORACLE_SQL: dict[str, str] = {}
