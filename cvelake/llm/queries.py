@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvelake.llm import decontaminate, huffman, licenses, ngram_join, packing, preferences, secrets, url_rules
+from cvelake.llm import ann, decontaminate, huffman, licenses, ngram_join, packing, preferences, secrets, url_rules
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -65,6 +65,11 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_cross_polytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op7_huffman_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "huffman")
     huffman.write(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(BYTE_BPE), BYTE_END, out)
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_association_rules": op2_url_association_rules,
     "op4_preference_pairs": op4_preference_pairs,
     "op3_secret_ownership": op3_secret_ownership,
+    "op6_cross_polytope_search": op6_cross_polytope_search,
     "op7_huffman_token_ids": op7_huffman_token_ids,
     "op8_license_diagonals": op8_license_diagonals,
     "op9_best_fit_packing": op9_best_fit_packing,
