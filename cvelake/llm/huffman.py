@@ -113,15 +113,20 @@ def pack_bits(codes: np.ndarray, lengths: np.ndarray, offsets: np.ndarray, n_bit
 def _tokenize(path: str, drops_space: bool, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path, drops_space)
-        end = np.array([end_id], "<u4")
         for batch in batches:
             texts = batch.column("text")
             for low, high in slices(pc.binary_length(texts).to_pylist()):
                 ids, sizes = encoder.encode(texts.slice(low, high - low).to_pylist())
-                own = [np.concatenate([x, end]).astype("<u4") for x in np.split(ids, np.cumsum(sizes)[:-1])]
-                small = max((int(x.max()) for x in own), default=0) < 1 << 16
-                data = pa.array([x.astype("<u2" if small else "<u4").tobytes() for x in own], pa.binary())
-                columns = [batch.column("doc_id").slice(low, high - low), pa.array(sizes + 1, pa.int64()), data]
+                ends = np.cumsum(sizes + 1)
+                own = np.full(int(ends[-1]), end_id, np.uint32)
+                is_id = np.ones(len(own), bool)
+                is_id[ends - 1] = False
+                own[is_id] = ids
+                kind = "<u2" if own.max() < 1 << 16 else "<u4"
+                width = np.dtype(kind).itemsize
+                places = pa.py_buffer(np.concatenate([[0], ends * width]).astype("<i8"))
+                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), high - low, [None, places, pa.py_buffer(own.astype(kind))])
+                columns = [batch.column("doc_id").slice(low, high - low), pa.array(sizes + 1, pa.int64()), data.cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "ids"])
 
     return run
@@ -135,8 +140,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each id occurs in one task's documents."""
     total = np.zeros(1, np.int64)
     for batch in batches:
-        for n, data in zip(batch.column("n").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-            own = np.bincount(_ids(data, n))
+        counts = batch.column("n").to_pylist()
+        for low, high in slices(counts, 1_000_000):
+            rows = zip(batch.column("ids").slice(low, high - low).to_pylist(), counts[low:high], strict=True)
+            own = np.bincount(np.concatenate([_ids(data, n) for data, n in rows]))
             if len(own) > len(total):
                 total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
             total[: len(own)] += own
