@@ -125,7 +125,11 @@ def _scan(docs: DataFrame, row: Column, text: str, repository: str, owner: str,
         F.count_if(copied).alias("n_copied"),
     )
     none = F.array().cast(_SPAN)
-    return found.join(per_row, "uid", "left").select(
+    # Only rows that hold a candidate are joined; the others stay where they are.
+    holds = F.size("base") + F.size("mixed") > 0
+    counted = found.filter(holds).join(per_row, "uid", "left")
+    clean = found.filter(~holds).withColumns({"owned": none, "n_live": F.lit(0), "n_copied": F.lit(0)})
+    return counted.select(clean.columns).unionByName(clean).select(
         "row",
         F.array_sort("base").alias("base"),
         F.array_sort(F.concat("base", F.coalesce("owned", none))).alias("spans"),
