@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvelake.llm import ann, decontaminate, huffman, licenses, ngram_join, packing, preferences, secrets, url_rules
+from cvelake.llm import ann, decontaminate, huffman, langid, licenses, ngram_join, packing, preferences, secrets, url_rules
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -65,6 +65,13 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    network = langid.fit(langid.sample(docs))
+    found, lang, score = langid.predict(docs.select("doc_id", "text"), network, ["doc_id"])
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
+
+
 def op6_cross_polytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return ann.search(vectors, vectors.filter("vec_id % 100 = 0"))
@@ -109,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_association_rules": op2_url_association_rules,
     "op4_preference_pairs": op4_preference_pairs,
     "op3_secret_ownership": op3_secret_ownership,
+    "op5_language_network": op5_language_network,
     "op6_cross_polytope_search": op6_cross_polytope_search,
     "op7_huffman_token_ids": op7_huffman_token_ids,
     "op8_license_diagonals": op8_license_diagonals,
