@@ -38,7 +38,7 @@ STATES = 8
 DOCS_PER_LABEL = 400
 MOST_LABELS = 200
 PIECES_PER_DOC = 4
-EPOCHS = 16
+STEPS = 400
 BATCH = 256
 RATE = 0.02
 SEED = 7
@@ -171,25 +171,23 @@ class Network:
                 down = down * z + u.T @ state_inputs
         return loss, grads
 
-    def train(self, symbols: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> None:
+    def train(self, symbols: np.ndarray, labels: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> None:
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        steps = epochs * -(-len(labels) // batch)
-        step = 0
-        for _ in range(epochs):
-            order = rng.permutation(len(labels))
-            for at in range(0, len(order), batch):
-                own = order[at : at + batch]
-                _, grads = self.gradients(np.ascontiguousarray(symbols[:, own]), labels[own])
-                norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
-                step += 1
-                pace = rate * (1 - (step - 1) / steps) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-                for k, g in grads.items():
-                    g = g / max(1.0, norm)
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    self.weights[k] = (self.weights[k] - pace * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
+        order = np.zeros(0, np.int64)
+        for step in range(1, steps + 1):
+            while len(order) < min(batch, len(labels)):
+                order = np.concatenate([order, rng.permutation(len(labels))])
+            own, order = order[:batch], order[batch:]
+            _, grads = self.gradients(np.ascontiguousarray(symbols[:, own]), labels[own])
+            norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
+            pace = rate * (1 - (step - 1) / steps) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+            for k, g in grads.items():
+                g = g / max(1.0, norm)
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.999 * second[k] + 0.001 * g * g
+                self.weights[k] = (self.weights[k] - pace * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -213,7 +211,7 @@ def sample(docs: DataFrame, docs_per_label: int = DOCS_PER_LABEL, most_labels: i
     chosen = few.withColumn("rank", rank).filter(F.col("rank") <= docs_per_label).join(labels, "lang", "left_semi").select("doc_id").distinct()
     # At most docs_per_label * most_labels ids.
     found = may.filter(has_letter(F.col("text"))).join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "lang", "text")
-    spread = F.udf(_spread, "string")
+    spread = F.udf(lambda text: _spread(text), "string")
     rows = found.select("doc_id", "lang", spread("text").alias("text")).limit(2 * docs_per_label * most_labels).collect()
     return [(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"], r["text"]))]
 
