@@ -77,7 +77,7 @@ def truncate_text(c: Column, n: int) -> Column:
 
 
 def exact_mean(c: Column, scale: int = 1_000_000) -> Column:
-    """Mean of a score with at most 6 decimals, summed exactly in integer
-    micro-units: the result does not depend on summation order."""
-    units = F.sum(F.round(c * scale).cast("long"))
+    """Mean of a score, summed exactly in millionths as a decimal: the result does
+    not depend on summation order, and the sum can't overflow."""
+    units = F.sum(F.round(c * scale).cast("decimal(20,0)"))
     return units.cast("double") / F.count(c) / scale

@@ -19,9 +19,8 @@ TREND_PHRASES = ("this month", "this week")
 TIER_WORDS = ("critical", "high", "medium", "low")
 KEV_WORDS = ("kev", "exploited", "cisa")
 KEV_PHRASES = ("known exploited",)
-DATE_PHRASES = ("this month", "this week")
-
-INTENTS = ("CVE_LOOKUP", "COMPARISON", "TREND_ANALYSIS", "FILTERED_SEARCH", "SEMANTIC_SEARCH", "UNKNOWN")
+#: Days from year 1 to the year 2021: no date lies further back.
+MOST_DAYS = 738_000
 
 
 def tokens(text: Column) -> Column:
@@ -51,8 +50,32 @@ def cve_ids(text: Column) -> Column:
 
 
 def last_n_days(pad: Column) -> Column:
-    n = F.regexp_extract(pad, r" last ([0-9]{1,5}) days ", 1)
-    return F.when(n != "", n.cast("int"))
+    """The number in ``last N days``; numbers beyond all dates count as MOST_DAYS."""
+    n = F.regexp_extract(pad, r" last ([0-9]+) days ", 1)
+    days = F.least(F.coalesce(n.try_cast("bigint"), F.lit(MOST_DAYS)), F.lit(MOST_DAYS))
+    return F.when(n != "", days.cast("int"))
+
+
+def days_before(day: Column, days: Column) -> Column:
+    """``days`` before ``day``, not before year 1."""
+    return F.greatest(F.date_sub(day, days), F.lit("0001-01-01").cast("date"))
+
+
+def word_key(text: Column) -> Column:
+    """The words of a name, blank-joined: ``Hewlett-Packard`` and
+    ``hewlett_packard`` are both ``hewlett packard``."""
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
+
+
+def word_runs(text: Column, longest: Column) -> Column:
+    """Distinct runs of 1 to ``longest`` words of a text, blank-joined."""
+    words = F.filter(F.split(word_key(text), " "), lambda w: w != "")
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(longest, F.lit(1))),
+        lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))),
+                              lambda i: F.array_join(F.slice(words, i, n), " ")),
+    )
+    return F.array_distinct(F.filter(F.flatten(runs), lambda r: r != ""))
 
 
 def since_date(text: Column) -> Column:

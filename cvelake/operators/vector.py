@@ -4,13 +4,12 @@
   (``zip_with`` + ``aggregate`` in double precision) and cuts with
   ``orderBy().limit()``, which Spark runs as a per-partition top-k plus one
   small merge (TakeOrderedAndProject): nothing but k rows per task moves.
-* :func:`batch_cosine_topk` scores many query vectors at once. The query
-  matrix is size-checked before it is shipped to the tasks (queries beyond
-  the bound are processed in further passes); each Arrow batch is scored by
-  matrix products over blocks of queries (each score block size-bounded)
-  and keeps, per query, every candidate at or above its k-th best score
-  (ties included, so the final cut stays exact). A window per query then
-  takes the final top k, pre-limited map-side by Spark.
+* :func:`batch_cosine_topk` scores many query vectors at once. Queries and
+  candidates are dealt to blocks of bounded size, and every pair of blocks is one
+  task: a matrix product of which only the best k per query leave the task. No
+  vector reaches the driver. A window per query then takes the final top k,
+  pre-limited map-side by Spark. (The work is queries times candidates, since the
+  result is exact; for large corpora an index prunes candidates first.)
 
 Scores are ranked on their value rounded to 9 decimals, then on the id, so
 near-equal scores from different summation orders rank the same way.
@@ -21,12 +20,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-MAX_QUERY_BYTES = 64 << 20  # bound on the query matrix shipped to every task
-MAX_SCORE_BYTES = 64 << 20  # bound on one task's score block (rows x queries)
+QUERY_BLOCK = 1024  # queries of one block
+CANDIDATE_BLOCK = 8192  # candidates of one block: a score block has 64 MB
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -55,32 +55,27 @@ def cosine_topk(candidates: DataFrame, vec_col: str, query: Sequence[float], k:
     return top.withColumn("rank", F.row_number().over(w)).withColumn("score", F.round("_score", 6)).drop("_score")
 
 
-
-def _score_batches(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
-    qn = np.linalg.norm(qmat, axis=1)
-    qn[qn == 0] = np.nan
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            xn = np.linalg.norm(x, axis=1)
-            xn[xn == 0] = np.nan
-            ids = pdf[id_col].to_numpy()
-            n = x.shape[0]
-            kk = min(k, n)
-            # Queries in column blocks so one score block stays under the bound.
-            step = max(1, MAX_SCORE_BYTES // (8 * n))
-            for lo in range(0, len(qids), step):
-                hi = min(lo + step, len(qids))
-                s = (x @ qmat[lo:hi].T) / np.outer(xn, qn[lo:hi])
-                r = np.where(np.isnan(s), -np.inf, np.round(s, 9))
-                # k-th best rounded score per query; keep every row at or above it.
-                kth = np.partition(r, n - kk, axis=0)[n - kk]
-                rows, cols = np.nonzero((r >= kth[None, :]) & np.isfinite(r))
-                if len(rows):
-                    yield pd.DataFrame({"query_id": qids[lo:hi][cols], id_col: ids[rows], "_score": s[rows, cols]})
+def _score_blocks(k: int, id_col: str, vec_col: str, id_type: pa.DataType, qid_type: pa.DataType):
+    def matrix(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+        rows = table.column(column).to_pylist()
+        x = np.array(rows, dtype=np.float64).reshape(len(rows), -1)
+        norm = np.linalg.norm(x, axis=1)
+        norm[norm == 0] = np.nan
+        return x, norm
+
+    def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        schema = pa.schema([("query_id", qid_type), (id_col, id_type), ("_score", pa.float64())])
+        if not len(queries) or not len(candidates):
+            return schema.empty_table()
+        (q, qn), (x, xn) = matrix(queries, "_query"), matrix(candidates, vec_col)
+        score = (x @ q.T) / np.outer(xn, qn)
+        r = np.where(np.isnan(score), -np.inf, np.round(score, 9))
+        # k-th best rounded score per query; keep every row at or above it.
+        kk = min(k, len(x))
+        kth = np.partition(r, len(x) - kk, axis=0)[len(x) - kk]
+        rows, cols = np.nonzero((r >= kth[None, :]) & np.isfinite(r))
+        return pa.table([queries.column("query_id").take(pa.array(cols)), candidates.column(id_col).take(pa.array(rows)),
+                         pa.array(score[rows, cols])], schema=schema)
 
     return run
 
@@ -89,30 +84,26 @@ def batch_cosine_topk(
     candidates: DataFrame, vec_col: str, id_col: str, queries: DataFrame, query_id: str, query_vec: str, k: int,
 ) -> DataFrame:
     """Per query: top ``k`` candidates by cosine (query_id, rank, id, score)."""
-    id_type = dict(candidates.dtypes)[id_col]
-    qid_type = dict(queries.dtypes)[query_id]
-    n_q = queries.count()
-    if n_q == 0:
-        return candidates.sparkSession.createDataFrame(
-            [], f"query_id {qid_type}, rank int, {id_col} {id_type}, score double")
-    dim = len(queries.select(query_vec).first()[0])
-    per_pass = max(1, MAX_QUERY_BYTES // (8 * max(dim, 1)))
-    # Passes split queries by hash, so leave a quarter of margin for uneven chunks.
-    n_pass = -(-n_q // max(1, per_pass * 3 // 4))
-    cands = candidates.select(id_col, vec_col)
-    parts = []
-    for p in range(n_pass):
-        chunk = queries if n_pass == 1 else queries.filter(F.pmod(F.xxhash64(query_id), F.lit(n_pass)) == p)
-        rows = chunk.select(query_id, query_vec).collect()  # bounded by MAX_QUERY_BYTES
-        if not rows:
-            continue
-        qids = np.array([r[0] for r in rows])
-        qmat = np.array([r[1] for r in rows], dtype=np.float64)
-        fn = _score_batches(qids, qmat, k, id_col, vec_col)
-        parts.append(cands.mapInPandas(fn, f"query_id {qid_type}, {id_col} {id_type}, _score double"))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
+    q = queries.filter(F.col(query_vec).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("_query"))
+    c = candidates.filter(F.col(vec_col).isNotNull()).select(id_col, vec_col)
+    # Numbers of blocks as scalar subqueries: no driver round trip.
+    n_q = F.coalesce(q.agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK)).scalar(), F.lit(1))
+    n_c = F.coalesce(c.agg(F.ceil(F.count(F.lit(1)) / CANDIDATE_BLOCK)).scalar(), F.lit(1))
+
+    def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        sized = df.withColumn("_nq", F.greatest(n_q, F.lit(1))).withColumn("_nc", F.greatest(n_c, F.lit(1)))
+        sized = sized.withColumn(own, F.pmod(F.xxhash64(key), F.col("_nq" if own == "_qb" else "_nc")))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq" if other == "_qb" else "_nc") - 1))
+        return sized.withColumn(other, every).drop("_nq", "_nc")
+
+    fields = {f.name: f.dataType for f in [*candidates.schema.fields, *queries.schema.fields]}
+    id_type, qid_type = candidates.schema[id_col].dataType, fields[query_id]
+    fn = _score_blocks(k, id_col, vec_col, to_arrow_type(id_type), to_arrow_type(qid_type))
+    scored = (
+        dealt(q, "query_id", "_qb", "_cb").groupBy("_qb", "_cb")
+        .cogroup(dealt(c, id_col, "_cb", "_qb").groupBy("_qb", "_cb"))
+        .applyInArrow(fn, f"query_id {qid_type.simpleString()}, {id_col} {id_type.simpleString()}, _score double")
+    )
     w = Window.partitionBy("query_id").orderBy(F.round("_score", 9).desc(), F.col(id_col))
     return (
         scored.withColumn("rank", F.row_number().over(w))

@@ -100,13 +100,16 @@ signals{r} AS (
 )"""
     products = f"""
 cpe_k{r} AS (
-  SELECT i.cve_id, i.n, k.k, (i.n * 7 + k.k * 13) % 200 AS pk
+  SELECT i.cve_id, i.n, k.k, (i.n * 7 + k.k * 13) % (SELECT count(*) FROM part) AS pk
   FROM ids i, LATERAL (SELECT unnest(range(0, CAST(i.n % 4 AS INTEGER) + 1)) AS k) k
   WHERE i.n % 89 <> 0 OR (i.n % 4 = 0 AND {v2})
 ),
 cpe_rows{r} AS (
   SELECT c.cve_id, c.n, c.k,
-    CASE WHEN (c.n + c.k) % 11 = 0 THEN '*' ELSE lower(replace(p.p_brand, '#', '_')) END AS vraw,
+    CASE WHEN (c.n + c.k) % 11 = 0 THEN '*'
+         WHEN p.p_partkey % 5 = 1 THEN lower(replace(p.p_brand, '#', '-'))
+         WHEN p.p_partkey % 5 = 3 THEN lower(replace(p.p_brand, '#', '_')) || '_software.inc'
+         ELSE lower(replace(p.p_brand, '#', '_')) END AS vraw,
     CASE WHEN (c.n + c.k) % 13 = 0 THEN '-' ELSE replace(p.p_name, ' ', '_') END AS praw,
     CAST(p.p_size AS VARCHAR) AS version
   FROM cpe_k{r} c JOIN part p ON p.p_partkey = c.pk
@@ -217,19 +220,24 @@ metrics{r} AS (
 )"""
 
 
+_SPOKEN = """CASE conv_id % 3 WHEN 0 THEN 'Brand ' || CAST(conv_id % 25 + 1 AS VARCHAR) || ' Software, Inc.'
+        WHEN 1 THEN 'Brand-' || CAST(conv_id % 25 + 1 AS VARCHAR) ELSE 'brand_' || CAST(conv_id % 25 + 1 AS VARCHAR) END"""
+
 QUESTIONS = f"""
 qraw AS (
-  SELECT conv_id * 1000 + turn AS question_id,
+  SELECT (conv_id * 1000 + turn) * 2 AS question_id, text AS raw_query FROM conversations
+  UNION ALL
+  SELECT (conv_id * 1000 + turn) * 2 + 1,
     CASE (conv_id + turn) % 7
       WHEN 0 THEN 'What is ' || {_cve('conv_id')} || '?'
       WHEN 1 THEN 'Compare ' || {_cve('conv_id')} || ' and ' || {_cve('(conv_id + 1)')}
-      WHEN 2 THEN 'Critical vulns in brand_' || CAST(conv_id % 25 + 1 AS VARCHAR) || ' since 2024-01-'
-                  || printf('%02d', conv_id % 28 + 1)
-      WHEN 3 THEN text
+      WHEN 2 THEN 'Critical vulns in ' || {_SPOKEN} || ' since 2024-01-' || printf('%02d', conv_id % 28 + 1)
+      WHEN 3 THEN 'Latest critical or high vulns in ' || {_SPOKEN} || ' in the last '
+                  || CAST(conv_id % 120 + 1 AS VARCHAR) || ' days'
       WHEN 4 THEN 'What''s exploited this month?'
-      WHEN 5 THEN 'KEV vulnerabilities affecting brand_' || CAST(conv_id % 25 + 1 AS VARCHAR) || ' in the last '
+      WHEN 5 THEN 'KEV vulnerabilities affecting ' || {_SPOKEN} || ' in the last '
                   || CAST(conv_id % 90 + 1 AS VARCHAR) || ' days'
-      ELSE '' END AS raw_query
+      ELSE '' END
   FROM conversations
 ),
 qtok AS (
@@ -241,9 +249,13 @@ qtok AS (
 ),
 qpad AS (SELECT *, ' ' || array_to_string(tok, ' ') || ' ' AS pad FROM qtok),
 known AS (SELECT DISTINCT lower(vendor) AS v FROM products2 WHERE vendor IS NOT NULL),
+qwords AS (
+  SELECT question_id, ' ' || trim(regexp_replace(lower(coalesce(raw_query, '')), '[^a-z0-9]+', ' ', 'g')) || ' ' AS words FROM qraw
+),
 qvend AS (
-  SELECT question_id, list_sort(list(DISTINCT t)) AS vendors
-  FROM (SELECT question_id, unnest(tok) AS t FROM qtok) x JOIN known ON x.t = known.v
+  SELECT question_id, list_sort(list(DISTINCT v)) AS vendors
+  FROM qwords JOIN known ON contains(words, ' ' || trim(regexp_replace(v, '[^a-z0-9]+', ' ', 'g')) || ' ')
+  WHERE trim(regexp_replace(v, '[^a-z0-9]+', ' ', 'g')) <> ''
   GROUP BY question_id
 ),
 qflags AS (
@@ -254,7 +266,7 @@ qflags AS (
     list_has_any(tok, ['kev', 'exploited', 'cisa']) OR pad LIKE '% known exploited %' AS kev_only,
     list_sort(list_transform(list_filter(['critical', 'high', 'medium', 'low'], lambda x: list_contains(tok, x)),
       lambda x: upper(x))) AS risk_tiers,
-    regexp_extract(pad, ' last ([0-9]{{1,5}}) days ', 1) AS last_n,
+    regexp_extract(pad, ' last ([0-9]+) days ', 1) AS last_n,
     regexp_extract(lower(coalesce(raw_query, '')), 'since ([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1) AS since
   FROM qpad q LEFT JOIN qvend qv ON q.question_id = qv.question_id
 ),
@@ -269,7 +281,7 @@ parsed AS (
       ELSE 'SEMANTIC_SEARCH' END AS intent,
     coalesce(
       TRY_CAST(nullif(since, '') AS DATE),
-      CASE WHEN last_n <> '' THEN {AS_OF} - CAST(last_n AS INTEGER) END,
+      CASE WHEN last_n <> '' THEN greatest({AS_OF} - CAST(least(coalesce(TRY_CAST(last_n AS BIGINT), 738000), 738000) AS INTEGER), DATE '0001-01-01') END,
       CASE WHEN pad LIKE '% this week %' THEN {AS_OF} - 7 END,
       CASE WHEN pad LIKE '% this month %' THEN {AS_OF} - 30 END) AS date_from
   FROM qflags
@@ -277,6 +289,11 @@ parsed AS (
 qids AS (SELECT question_id, intent, unnest(cve_ids) AS cve_id FROM parsed WHERE intent IN ('CVE_LOOKUP', 'COMPARISON'))"""
 
 
+TREND_QUESTIONS = f"""
+tq AS (SELECT question_id, coalesce(date_from, {AS_OF} - 30) AS since, vendors, risk_tiers
+       FROM parsed WHERE intent = 'TREND_ANALYSIS')"""
+
+
 def with_(*blocks: str) -> str:
     return "WITH " + ",".join(blocks)
 
@@ -365,7 +382,7 @@ def _vec_topk(where: str) -> str:
  FROM scored ORDER BY round(s, 9) DESC NULLS LAST, cve_id LIMIT 10"""
 
 
-def _tfidf(queries: str) -> str:
+def _tfidf(queries: str, where: str = "TRUE", hit: bool = False) -> str:
     tok = "list_filter(string_split(regexp_replace(lower({x}), '[^a-z0-9_]+', ' ', 'g'), ' '), lambda t: t <> '')"
     return f"""
  , dt AS (SELECT cve_id AS id, unnest({tok.format(x='document_text')}) AS term FROM docs2),
@@ -380,9 +397,18 @@ def _tfidf(queries: str) -> str:
  qtf AS (SELECT qid, term, count(*) AS tf FROM qt GROUP BY 1, 2),
  qw AS (SELECT q.qid, q.term, q.tf * i.idf AS w FROM qtf q JOIN idf i ON q.term = i.term WHERE i.idf > 0),
  qn AS (SELECT qid, term, w / sqrt(sum(w * w) OVER (PARTITION BY qid)) AS w FROM qw),
- sc AS (SELECT qn.qid, dn.id, sum(qn.w * dn.w) AS s FROM qn JOIN dn ON qn.term = dn.term GROUP BY 1, 2),
+ sc AS (SELECT qn.qid, dn.id, sum(qn.w * dn.w) AS s FROM qn JOIN dn ON qn.term = dn.term WHERE {where} GROUP BY 1, 2),
  rk AS (SELECT qid, id, s, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id) AS INTEGER) AS rank FROM sc)
- SELECT qid AS query_id, rank, id AS cve_id, round(s, 6) AS score FROM rk WHERE rank <= 5"""
+ SELECT qid AS query_id, rank, id AS cve_id, round(s, 6) AS score{", e.description, e.risk_tier, e.kev_flag, e.cvss_v3_score" if hit else ""}
+ FROM rk {"LEFT JOIN enriched e ON e.cve_id = rk.id" if hit else ""} WHERE rank <= 5"""
+
+
+_FEED_ROWS = """
+   SELECT 'nvd' AS source, DATE '2024-01-15' AS snapshot_date FROM documents
+   UNION ALL SELECT 'nvd', DATE '2024-01-16' FROM documents WHERE doc_id % 4 = 0
+   UNION ALL SELECT 'kev', DATE '2024-01-15' FROM labels WHERE toxic = 1
+   UNION ALL SELECT 'epss', DATE '2024-01-15' FROM documents WHERE doc_id % 10 <> 9
+   UNION ALL SELECT 'epss', DATE '2024-01-16' FROM documents WHERE doc_id % 10 <> 9 AND doc_id % 6 = 0"""
 
 
 def sql() -> dict[str, str]:
@@ -392,13 +418,8 @@ def sql() -> dict[str, str]:
         "affected_products": with_(*S2) + " SELECT * FROM products2",
         "cve_documents": with_(*S2) + " SELECT * FROM docs2",
         "as_of_core": with_(*S1) + " SELECT * FROM core1",
-        "bronze_ingest": """
- WITH src AS (
-   SELECT 'nvd' AS source, DATE '2024-01-15' AS snapshot_date FROM documents
-   UNION ALL SELECT 'nvd', DATE '2024-01-16' FROM documents WHERE doc_id % 4 = 0
-   UNION ALL SELECT 'kev', DATE '2024-01-15' FROM labels WHERE toxic = 1
-   UNION ALL SELECT 'epss', DATE '2024-01-15' FROM documents WHERE doc_id % 10 <> 9
-   UNION ALL SELECT 'epss', DATE '2024-01-16' FROM documents WHERE doc_id % 10 <> 9 AND doc_id % 6 = 0)
+        "bronze_ingest": f"""
+ WITH src AS ({_FEED_ROWS})
  SELECT source, snapshot_date, count(*) AS records FROM src GROUP BY ROLLUP (source, snapshot_date)""",
         "core_from_files": with_(*S2) + " SELECT * FROM core2",
         "signals_from_files": with_(*S2) + " SELECT * FROM signals2",
@@ -518,13 +539,25 @@ def sql() -> dict[str, str]:
      cve_id, description, risk_score, risk_tier, kev_flag
    FROM cand)
  SELECT * FROM ranked WHERE rank <= 20""",
-        "answer_trends": with_(*Q) + f"""
- , tq AS (SELECT question_id, coalesce(date_from, {AS_OF} - 30) AS since FROM parsed WHERE intent = 'TREND_ANALYSIS'),
- cand AS (
+        "answer_trends": with_(*Q, TREND_QUESTIONS) + f"""
+ , cand AS (
    SELECT tq.question_id, e.cve_id, e.kev_date_added, e.risk_score, e.risk_tier,
      CAST(row_number() OVER (PARTITION BY tq.question_id ORDER BY e.kev_date_added DESC, e.cve_id) AS INTEGER) AS rank
-   FROM tq JOIN enriched e ON e.kev_flag AND e.kev_date_added >= tq.since AND e.kev_date_added <= {AS_OF})
+   FROM tq JOIN enriched e ON e.kev_flag AND e.kev_date_added >= tq.since AND e.kev_date_added <= {AS_OF}
+     AND (len(tq.risk_tiers) = 0 OR list_contains(tq.risk_tiers, e.risk_tier))
+   WHERE len(tq.vendors) = 0 OR EXISTS (
+     SELECT 1 FROM products2 p WHERE p.cve_id = e.cve_id AND list_contains(tq.vendors, lower(p.vendor))))
  SELECT question_id, rank, cve_id, kev_date_added, risk_score, risk_tier FROM cand WHERE rank <= 20""",
+        "answer_trend_vendors": with_(*Q, TREND_QUESTIONS) + f"""
+ , cand AS (
+   SELECT tq.question_id, p.vendor, count(DISTINCT e.cve_id) AS kev_count
+   FROM tq JOIN enriched e ON e.kev_flag AND e.kev_date_added >= tq.since AND e.kev_date_added <= {AS_OF}
+     AND (len(tq.risk_tiers) = 0 OR list_contains(tq.risk_tiers, e.risk_tier))
+   JOIN (SELECT DISTINCT cve_id, lower(vendor) AS vendor FROM products2 WHERE vendor IS NOT NULL) p ON p.cve_id = e.cve_id
+   WHERE len(tq.vendors) = 0 OR list_contains(tq.vendors, p.vendor)
+   GROUP BY 1, 2),
+ rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY kev_count DESC, vendor) AS INTEGER) AS rank FROM cand)
+ SELECT question_id, rank, vendor, kev_count FROM rk WHERE rank <= 5""",
         "trend_vendors": with_(*G) + f"""
  SELECT p.vendor, count(*) AS recent_kev_count
  FROM (SELECT DISTINCT cve_id, vendor FROM products2 WHERE vendor IS NOT NULL) p
@@ -545,18 +578,24 @@ def sql() -> dict[str, str]:
         "vector_topk": _vec_topk("TRUE"),
         "vector_topk_filtered": _vec_topk("c.cvss_v3_score >= 4.0"),
         "vector_topk_batch": with_(*G, VEC) + """
- , firsts AS (SELECT label, min(vec_id) AS vec_id FROM vec GROUP BY label),
- qs AS (SELECT v.label, v.ev AS qv FROM vec v JOIN firsts f ON v.label = f.label AND v.vec_id = f.vec_id),
- scored AS (
-   SELECT q.label, c.cve_id,
-     list_dot_product(c.ev, q.qv) / (sqrt(list_dot_product(c.ev, c.ev)) * sqrt(list_dot_product(q.qv, q.qv))) AS s
-   FROM qs q, cand c),
- rk AS (SELECT label, cve_id, s,
-   CAST(row_number() OVER (PARTITION BY label ORDER BY round(s, 9) DESC, cve_id) AS INTEGER) AS rank FROM scored)
- SELECT label AS query_id, rank, cve_id, round(s, 6) AS score FROM rk WHERE rank <= 5""",
+ , scored AS (
+   SELECT q.vec_id, c.cve_id, c.description, c.risk_tier, c.kev_flag, c.cvss_v3_score,
+     list_dot_product(c.ev, q.ev) / (sqrt(list_dot_product(c.ev, c.ev)) * sqrt(list_dot_product(q.ev, q.ev))) AS s
+   FROM vec q, cand c),
+ rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, cve_id) AS INTEGER) AS rank FROM scored)
+ SELECT vec_id AS query_id, rank, cve_id, round(s, 6) AS score, description, risk_tier, kev_flag, cvss_v3_score
+ FROM rk WHERE rank <= 5""",
         "tfidf_search": with_(*S2) + _tfidf("SELECT item_id AS qid, text AS qtext FROM benchmark"),
         "answer_semantic": with_(*Q) + _tfidf(
             "SELECT question_id AS qid, coalesce(raw_query, '') AS qtext FROM parsed WHERE intent = 'SEMANTIC_SEARCH'"),
+        "text_search_filtered": with_(*G) + _tfidf(
+            "SELECT item_id AS qid, text AS qtext FROM benchmark",
+            "id IN (SELECT cve_id FROM docs2 WHERE kev_flag AND cvss_v3_score >= 4.0)", hit=True),
+        "search_fallback": with_(*G) + """
+ , hits AS (
+   SELECT e.*, CAST(row_number() OVER (ORDER BY risk_score DESC NULLS LAST, cve_id) AS INTEGER) AS rank FROM enriched e
+   WHERE cve_id IN (SELECT cve_id FROM docs2 WHERE contains(lower(document_text), 'weakness: cwe-1') AND cvss_v3_score >= 2.0))
+ SELECT rank, cve_id, CAST(NULL AS DOUBLE) AS score, description, risk_tier, kev_flag, cvss_v3_score FROM hits WHERE rank <= 10""",
         "keyword_fallback": with_(*G) + """
  SELECT cve_id, description, risk_score, risk_tier, kev_flag FROM enriched
  WHERE cve_id IN (SELECT cve_id FROM docs2 WHERE contains(lower(document_text), 'weakness: cwe-1'))
@@ -567,9 +606,46 @@ def sql() -> dict[str, str]:
         "incremental_events": """
  SELECT user_id, event_id, ts, event_type, value FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
-        "stream_ingest": """
- SELECT DATE '2024-01-15' AS snapshot_date, count(*) AS records, CAST(1 AS BIGINT) AS runs FROM documents
- UNION ALL SELECT DATE '2024-01-16', count(*), CAST(1 AS BIGINT) FROM documents WHERE doc_id % 4 = 0""",
+        "stream_ingest": f"""
+ WITH src AS ({_FEED_ROWS})
+ SELECT source, snapshot_date, count(*) AS records, CAST(1 AS BIGINT) AS runs FROM src GROUP BY 1, 2""",
+        "ingest_odd_files": f"""
+ WITH src AS ({_FEED_ROWS}
+   UNION ALL SELECT 'nvd', NULL UNION ALL SELECT 'epss', DATE '2024-01-20')
+ SELECT source, snapshot_date, count(*) AS records FROM src GROUP BY ROLLUP (source, snapshot_date)""",
+        "ingest_report": """
+ SELECT * FROM (VALUES
+   ('nvd', 'nvd_modified_2024-01-20.json.gz', 'unreadable'),
+   ('kev', 'cisa_kev_2024-01-20.json', 'invalid JSON'),
+   ('kev', 'cisa_kev_2024-01-21.json', 'missing or non-list ' || chr(39) || 'vulnerabilities' || chr(39)),
+   ('epss', 'epss_2024-01-21.csv', 'header lacks cve, epss or percentile')) AS t(kind, source_file, reason)""",
+        "build_history": with_(*S12, metrics_block(1), metrics_block(2)) + " SELECT * FROM metrics1 UNION ALL SELECT * FROM metrics2",
+        "build_changes": with_(*S12) + f" SELECT _change_type, count(*) AS rows FROM ({_diff()}) GROUP BY 1",
+        "catalog_tables": with_(*G) + f"""
+ SELECT 'silver' AS schema, 'cve_core' AS "table", 'Core CVE metadata from NVD; latest record per CVE' AS comment, 'silver' AS quality, (SELECT count(*) FROM core2) AS rows
+ UNION ALL SELECT 'silver', 'cve_signals', 'EPSS scores and KEV status per CVE', 'silver', (SELECT count(*) FROM signals2)
+ UNION ALL SELECT 'silver', 'cve_affected_products', 'Vulnerable vendor/product/version per CVE from CPE configurations', 'silver', (SELECT count(*) FROM products2)
+ UNION ALL SELECT 'silver', 'cve_documents', 'Denormalized searchable text per CVE', 'silver', (SELECT count(*) FROM docs2)
+ UNION ALL SELECT 'gold', 'vuln_enriched', 'CVE records with primary vendor/product, risk score and tier', 'gold', (SELECT count(*) FROM enriched)
+ UNION ALL SELECT 'gold', 'vendor_risk_agg', 'Risk aggregate per vendor', 'gold', (SELECT count(*) FROM vra)
+ UNION ALL SELECT 'gold', 'kev_recent', 'KEV additions of the last 30 days', 'gold',
+   (SELECT count(*) FROM enriched WHERE kev_flag AND kev_date_added BETWEEN {AS_OF} - 30 AND {AS_OF})
+ UNION ALL SELECT 'bronze', 'nvd_raw', 'NVD items as loaded', 'bronze', (SELECT 2 * count(*) FROM documents) + (SELECT count(*) FROM documents WHERE doc_id % 4 = 0)
+ UNION ALL SELECT 'bronze', 'kev_raw', 'KEV entries as loaded', 'bronze', (SELECT 2 * count(*) FROM labels WHERE toxic = 1)
+ UNION ALL SELECT 'bronze', 'epss_raw', 'EPSS rows as loaded', 'bronze', (SELECT 2 * count(*) FROM documents WHERE doc_id % 10 <> 9)
+   + (SELECT count(*) FROM documents WHERE doc_id % 10 <> 9 AND doc_id % 6 = 0)""",
+        "table_inspection": with_(*S2) + """
+ SELECT count(*) AS rows, 'struct<cve_id:string,published:timestamp,last_modified:timestamp,description:string,cvss_v3_score:double,cvss_v3_severity:string,cvss_v3_vector:string,cvss_v2_score:double,cwe_id:string>' AS schema,
+   least(count(*), 5) AS sample FROM core2""",
+        "csv_export": with_(*G) + """
+ SELECT cve_id, risk_score, risk_tier, kev_flag FROM enriched
+ WHERE kev_flag AND cvss_v3_score >= 5.0
+ ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 50""",
+        "fail_rule": with_(*S2) + """
+ SELECT 'cve_core' AS "table", 'id_present' AS rule, bool_or(cve_id IS NULL) AS stopped FROM core2
+ UNION ALL SELECT 'cve_core', 'id_upper_case', bool_or(NOT starts_with(cve_id, 'CVE-')) FROM core2
+ UNION ALL SELECT 'cve_signals', 'id_present', bool_or(cve_id IS NULL) FROM signals2
+ UNION ALL SELECT 'cve_signals', 'id_upper_case', bool_or(NOT starts_with(cve_id, 'CVE-')) FROM signals2""",
         "stream_dedup_events": """
  SELECT DISTINCT user_id, event_id, ts, event_type, value FROM events""",
         "latest_event_per_user": """

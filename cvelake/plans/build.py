@@ -46,6 +46,9 @@ TABLE_COMMENTS = {
     "vuln_enriched": "CVE records with primary vendor/product, risk score and tier",
     "vendor_risk_agg": "Risk aggregate per vendor",
     "kev_recent": "KEV additions of the last 30 days",
+    "nvd_raw": "NVD items as loaded",
+    "kev_raw": "KEV entries as loaded",
+    "epss_raw": "EPSS rows as loaded",
 }
 
 
@@ -63,17 +66,21 @@ def register(spark: SparkSession, schema: str, table: str, path: str) -> None:
     spark.catalog.createTable(f"{schema}.{table}", path=path, source="parquet")
     if table in TABLE_COMMENTS:
         spark.sql(f"COMMENT ON TABLE {schema}.{table} IS '{TABLE_COMMENTS[table]}'")
+    spark.sql(f"ALTER TABLE {schema}.{table} SET TBLPROPERTIES ('quality' = '{schema}')")
 
 
 def register_run(spark: SparkSession, root: str, run_id: str) -> list[str]:
-    """Expose a run's Silver and Gold folders as ``silver.*`` / ``gold.*``
-    tables (with their comments); returns the table names."""
+    """Expose Bronze and a run's Silver and Gold folders as tables of their
+    schemas, with comments and properties; returns the table names."""
     names = []
     for schema, tables in (("silver", ("cve_core", "cve_signals", "cve_affected_products", "cve_documents")),
                            ("gold", ("vuln_enriched", "vendor_risk_agg", "kev_recent"))):
         for t in tables:
             register(spark, schema, t, f"{root}/{schema}/run={run_id}/{t}")
             names.append(f"{schema}.{t}")
+    for t in ("nvd_raw", "kev_raw", "epss_raw"):
+        register(spark, "bronze", t, f"{root}/bronze/{t}")
+        names.append(f"bronze.{t}")
     return names
 
 
@@ -164,7 +171,8 @@ def partition_by_month(df: DataFrame, ts_col: str = "published") -> DataFrame:
 def write_by_month(df: DataFrame, path: str, ts_col: str = "published") -> None:
     """Write a Silver table partitioned by year/month: a date filter on read
     then prunes whole folders."""
-    partition_by_month(df, ts_col).write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    # Clustered first, so that a month is written by few tasks, not by all.
+    partition_by_month(df, ts_col).hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -4,12 +4,11 @@ Input: a DataFrame ``(question_id, raw_query)``. Routing is rule-based and
 deterministic; each tool is a keyed join against the Gold tables:
 
 * lookup / compare / not-found: equi-join on ``cve_id``;
-* filtered search: questions are reduced to their distinct filter sets, each
-  set is answered through an equi-join on its most selective key (vendor
-  via affected products, else risk tier, else the KEV flag) and cut to its
-  ``limit`` by a per-set window that Spark pre-limits map-side, then joined
-  back to the questions that share it;
-* trends: one recent-KEV list and vendor breakdown serve every trend question.
+* filtered search: rows are cut to the best few of each (vendor, tier, KEV flag,
+  day) cell, questions are reduced to their distinct filter sets, and sets meet
+  cells on their most selective key (vendor, else tier, else KEV);
+* trends: KEV rows are cut to the newest few per (vendor, tier) key, or counted by
+  vendor, tier and day, and the distinct filter sets join those on their keys.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from pyspark.sql import functions as F
 from cvelake.functions import text as tx
 from cvelake.functions.columns import truncate_text
 from cvelake.plans.gold import as_of_date, recent_kev_filter
-from cvelake.session import stage
 
 RESULT_COLUMNS = ["cve_id", "description", "risk_score", "risk_tier", "kev_flag"]
 SUMMARY_CHARS = 300  # description length shown in a lookup summary
@@ -35,8 +33,8 @@ def classify_questions(questions: DataFrame, vendors: DataFrame, as_of: str | Co
     date_from, search_text (plus question_id, raw_query).
 
     ``vendors`` is a one-column DataFrame of known vendor names (e.g. the
-    distinct vendors of the affected-products table); it is matched against
-    question tokens with an equi-join, never collected to the driver.
+    distinct vendors of the affected-products table); its names are matched with
+    the word runs of the questions by an equi-join, never collected to the driver.
     """
     d = as_of_date(as_of)
     raw = F.coalesce(F.col("raw_query"), F.lit(""))
@@ -46,12 +44,19 @@ def classify_questions(questions: DataFrame, vendors: DataFrame, as_of: str | Co
         tx.cve_ids(raw).alias("cve_ids"),
     ).withColumn("_pad", tx.padded(F.col("_tok")))
 
-    known = vendors.select(F.lower(F.col(vendors.columns[0])).alias("_token")).distinct()
+    # A vendor is found where its words stand in the question, however they are
+    # joined: question word runs, up to the longest vendor, equi-join vendor names.
+    known = (
+        vendors.select(F.lower(F.col(vendors.columns[0])).alias("vendor")).distinct()
+        .withColumn("run", tx.word_key(F.col("vendor"))).filter(F.col("run") != "")
+    )
+    longest = known.agg(F.max(F.size(F.split("run", " ")))).scalar()
+    runs = parsed.withColumn("_longest", F.coalesce(longest, F.lit(1)))
     hits = (
-        parsed.select("question_id", F.explode(F.array_distinct("_tok")).alias("_token"))
-        .join(known, "_token", "left_semi")
+        runs.select("question_id", F.explode(tx.word_runs(F.coalesce("raw_query", F.lit("")), F.col("_longest"))).alias("run"))
+        .join(known, "run")
         .groupBy("question_id")
-        .agg(F.array_sort(F.collect_set("_token")).alias("vendors"))
+        .agg(F.array_sort(F.collect_set("vendor")).alias("vendors"))
     )
     p = parsed.join(hits, "question_id", "left").withColumn(
         "vendors", F.coalesce(F.col("vendors"), F.array().cast("array<string>"))
@@ -78,7 +83,7 @@ def classify_questions(questions: DataFrame, vendors: DataFrame, as_of: str | Co
     days = tx.last_n_days(pad)
     date_from = F.coalesce(
         tx.since_date(raw),
-        F.when(days.isNotNull(), F.date_sub(d, days)),
+        F.when(days.isNotNull(), tx.days_before(d, days)),
         F.when(pad.contains(" this week "), F.date_sub(d, 7)),
         F.when(pad.contains(" this month "), F.date_sub(d, 30)),
     )
@@ -111,7 +116,9 @@ def lookup_cves(ids: DataFrame, enriched: DataFrame, products: DataFrame) -> Dat
         "cve_id", "description", "cvss_v3_score", "epss_score", "kev_flag", "risk_score", "risk_tier",
         "published", "cwe_id", truncate_text(F.col("description"), SUMMARY_CHARS).alias("description_short"),
     )
-    return ids.join(rec, "cve_id").join(product_arrays(products), "cve_id", "left")
+    # Only the products of the requested ids are collected.
+    asked = products.join(ids.select("cve_id").distinct(), "cve_id", "left_semi")
+    return ids.join(rec, "cve_id").join(product_arrays(asked), "cve_id", "left")
 
 
 def question_ids(parsed: DataFrame, intents=("CVE_LOOKUP", "COMPARISON")) -> DataFrame:
@@ -203,81 +210,135 @@ def filtered_search(enriched: DataFrame, products: DataFrame, f: QueryFilters) -
     return e.orderBy(F.col("risk_score").desc_nulls_last(), F.col("cve_id")).limit(f.limit).select(*RESULT_COLUMNS)
 
 
-def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame, limit: int = 20) -> DataFrame:
-    """Best ``limit`` CVEs for every FILTERED_SEARCH question, ranked."""
-    sig_cols = ["vendors", "risk_tiers", "kev_only", "date_from"]
-    # Written once: the three routes below and the final join all read it.
-    q = stage(
-        parsed.filter(F.col("intent") == "FILTERED_SEARCH")
-        .select("question_id", *sig_cols)
-        .withColumn("_sig", F.xxhash64(*sig_cols)),
-        "filtered-questions",
-    )
-    sigs = q.select("_sig", *sig_cols).dropDuplicates(["_sig"])
-
-    e = enriched.select(*RESULT_COLUMNS, "published")
-    # Route each filter set through one equi-join key.
-    by_vendor = sigs.filter(F.size("vendors") > 0)
-    by_tier = sigs.filter((F.size("vendors") == 0) & (F.size("risk_tiers") > 0))
-    by_kev = sigs.filter((F.size("vendors") == 0) & (F.size("risk_tiers") == 0) & F.col("kev_only"))
-
-    vend_pairs = (
-        by_vendor.select("_sig", F.explode("vendors").alias("vendor_lc"))
-        .join(products.select("cve_id", F.lower("vendor").alias("vendor_lc")), "vendor_lc")
-        .select("_sig", "cve_id")
-        .join(by_vendor, "_sig")
-        .join(e, "cve_id")
-    )
-    tier_pairs = (
-        by_tier.select("_sig", F.explode("risk_tiers").alias("risk_tier"))
-        .join(e, "risk_tier")
-        .join(by_tier, "_sig")
+def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame, limit: int) -> DataFrame:
+    """Best ``limit`` CVEs for every FILTERED_SEARCH question, ranked.
+
+    Exact pre-reduction: a filter set passes or fails all rows of one (vendor, tier,
+    KEV flag, published day) cell alike, so only a cell's best ``limit`` rows can be
+    in an answer. Questions are reduced to their distinct filter sets, sets meet
+    cells (never all rows of a tier) on their key, and each set takes its best rows.
+    """
+    set_cols = ["vendors", "risk_tiers", "kev_only", "date_from"]
+    q = parsed.filter(F.col("intent") == "FILTERED_SEARCH").select("question_id", *set_cols)
+    # The one nullable filter gets a value, so that sets join on their columns.
+    q = q.withColumn("date_from", F.coalesce("date_from", F.lit("0001-01-01").cast("date")))
+    sets = q.select(*set_cols).distinct()
+    no_date = F.col("date_from") == F.lit("0001-01-01").cast("date")
+
+    e = enriched.select(*RESULT_COLUMNS, "published").withColumn("day", F.to_date("published"))
+    best = [F.col("risk_score").desc_nulls_last(), F.col("cve_id")]
+
+    def cells(rows: DataFrame, *key: str) -> DataFrame:
+        # Spark limits each cell map-side before the window's shuffle.
+        w = Window.partitionBy(*key, "risk_tier", "kev_flag", "day").orderBy(*best)
+        return rows.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= limit).drop("place")
+
+    pairs = products.filter(F.col("vendor").isNotNull()).select("cve_id", F.lower("vendor").alias("key")).distinct()
+    by_vendor = cells(e.join(pairs, "cve_id"), "key")
+    plain = cells(e)
+    by_tier = plain.withColumn("key", F.col("risk_tier"))
+    by_kev = plain.filter("kev_flag").withColumn("key", F.lit("KEV"))
+
+    keyed_vendor = sets.filter(F.size("vendors") > 0).withColumn("key", F.explode("vendors"))
+    keyed_tier = sets.filter((F.size("vendors") == 0) & (F.size("risk_tiers") > 0)).withColumn("key", F.explode("risk_tiers"))
+    keyed_kev = sets.filter((F.size("vendors") == 0) & (F.size("risk_tiers") == 0)).withColumn(
+        "key", F.when(F.col("kev_only"), F.lit("KEV")))
+    cols = [*set_cols, *RESULT_COLUMNS, "day"]
+    met = (
+        keyed_vendor.join(by_vendor, "key").select(*cols)
+        .unionByName(keyed_tier.join(by_tier, "key").select(*cols))
+        .unionByName(keyed_kev.join(by_kev, "key").select(*cols))
     )
-    # Tier and KEV keys are few and hot: the filter-set side is tiny (distinct
-    # sets), so AQE turns these into broadcast joins at run time, or splits
-    # the hot partition with its skew-join handling. The KEV route joins on
-    # the data column kev_only (true for these sets): a literal key would be
-    # constant-folded into a filter, leaving a join without keys.
-    kev_pairs = by_kev.join(e, by_kev["kev_only"] == e["kev_flag"])
-    cols = ["_sig", *sig_cols, *RESULT_COLUMNS, "published"]
-    cand = vend_pairs.select(*cols).unionByName(tier_pairs.select(*cols)).unionByName(kev_pairs.select(*cols))
     ok = (
         ((F.size("risk_tiers") == 0) | F.array_contains("risk_tiers", F.col("risk_tier")))
         & (~F.col("kev_only") | F.col("kev_flag"))
-        & (F.col("date_from").isNull() | (F.col("published") >= F.col("date_from").cast("timestamp")))
+        & (no_date | (F.col("day") >= F.col("date_from")))
     )
     # A CVE may match several vendors of one set: keep it once.
-    cand = cand.filter(ok).dropDuplicates(["_sig", "cve_id"])
-    w = Window.partitionBy("_sig").orderBy(F.col("risk_score").desc_nulls_last(), F.col("cve_id"))
-    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
-    return q.select("question_id", "_sig").join(top.select("_sig", "rank", *RESULT_COLUMNS), "_sig").drop("_sig")
+    met = met.filter(ok).dropDuplicates([*set_cols, "cve_id"])
+    w = Window.partitionBy(*set_cols).orderBy(*best)
+    top = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).drop("day")
+    return q.join(top, set_cols).select("question_id", "rank", *RESULT_COLUMNS)
 
 
 # ------------------------------------------------------------------ trends
 
-def answer_trends(parsed: DataFrame, enriched: DataFrame, as_of: str | Column | None = None,
-                  days: int = 30, limit: int = 20) -> DataFrame:
-    """Per TREND_ANALYSIS question: the newest KEV additions since its date
-    (its parsed date phrase, else the last ``days`` days), up to ``limit``.
+ANY = "*"  # stands for "no filter" in the trend keys
 
-    Questions are reduced to their distinct start dates; each date is
-    answered once against the KEV rows and joined back to its questions.
-    """
-    d = as_of_date(as_of)
+
+def _trend_sets(parsed: DataFrame, as_of: str | Column | None, days: int) -> tuple[DataFrame, DataFrame]:
+    """(questions with their start date and filters, the distinct filter sets)."""
     q = parsed.filter(F.col("intent") == "TREND_ANALYSIS").select(
-        "question_id", F.coalesce(F.col("date_from"), F.date_sub(d, days)).alias("since")
+        "question_id", F.coalesce(F.col("date_from"), F.date_sub(as_of_date(as_of), days)).alias("since"), "vendors", "risk_tiers"
+    )
+    return q, q.select("since", "vendors", "risk_tiers").distinct()
+
+
+def _any_or(values: str) -> Column:
+    return F.explode(F.when(F.size(values) > 0, F.col(values)).otherwise(F.array(F.lit(ANY))))
+
+
+def _kev_rows(enriched: DataFrame, as_of: str | Column | None) -> DataFrame:
+    return enriched.filter(F.col("kev_flag") & (F.col("kev_date_added") <= as_of_date(as_of))).select(
+        "cve_id", "kev_date_added", "risk_score", "risk_tier"
+    )
+
+
+def answer_trends(parsed: DataFrame, enriched: DataFrame, products: DataFrame, limit: int,
+                  as_of: str | Column | None = None, days: int = 30) -> DataFrame:
+    """Per TREND_ANALYSIS question: the newest ``limit`` KEV additions since its
+    date (its parsed date phrase, else the last ``days`` days) that meet its vendor
+    and tier filters.
+
+    Exact pre-reduction: KEV rows are filed under (vendor or any, tier or any) and
+    only the newest ``limit`` of each key are kept, since a start date merely cuts
+    such a list short. A question's list is the merge of its keys' lists.
+    """
+    q, sets = _trend_sets(parsed, as_of, days)
+    kev = _kev_rows(enriched, as_of)
+    vendors = products.filter(F.col("vendor").isNotNull()).select("cve_id", F.lower("vendor").alias("vendor_key")).distinct()
+    by_vendor = kev.join(vendors, "cve_id").unionByName(kev.withColumn("vendor_key", F.lit(ANY)))
+    filed = by_vendor.withColumn("tier_key", F.explode(F.array(F.col("risk_tier"), F.lit(ANY))))
+    # Spark limits each key map-side before the window's shuffle.
+    newest = Window.partitionBy("vendor_key", "tier_key").orderBy(F.col("kev_date_added").desc(), F.col("cve_id"))
+    lists = filed.withColumn("place", F.row_number().over(newest)).filter(F.col("place") <= limit).drop("place")
+    set_cols = ["since", "vendors", "risk_tiers"]
+    keyed = sets.select(*set_cols, _any_or("vendors").alias("vendor_key")).select("*", _any_or("risk_tiers").alias("tier_key"))
+    found = (
+        keyed.join(lists, ["vendor_key", "tier_key"])
+        .filter(F.col("kev_date_added") >= F.col("since"))
+        .dropDuplicates([*set_cols, "cve_id"])
     )
-    starts = q.select("since").distinct().withColumn("_kev", F.col("since").isNotNull())
-    kev = enriched.filter(F.col("kev_flag") & (F.col("kev_date_added") <= d)).select(
-        "cve_id", "kev_date_added", "risk_score", "risk_tier", "kev_flag"
+    w = Window.partitionBy(*set_cols).orderBy(F.col("kev_date_added").desc(), F.col("cve_id"))
+    top = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+    return q.join(top, set_cols).select("question_id", "rank", "cve_id", "kev_date_added", "risk_score", "risk_tier")
+
+
+def answer_trend_vendors(parsed: DataFrame, enriched: DataFrame, products: DataFrame, limit: int,
+                         as_of: str | Column | None = None, days: int = 30) -> DataFrame:
+    """Per TREND_ANALYSIS question: the ``limit`` vendors with most KEV additions
+    since its date in its tiers; only its own vendors, if it names any.
+
+    KEV rows are first counted by vendor, tier and day, so filter sets meet
+    counts, never rows."""
+    q, sets = _trend_sets(parsed, as_of, days)
+    pairs = products.filter(F.col("vendor").isNotNull()).select("cve_id", F.lower("vendor").alias("vendor")).distinct()
+    daily = (
+        _kev_rows(enriched, as_of).join(pairs, "cve_id")
+        .groupBy("vendor", "risk_tier", "kev_date_added").agg(F.count(F.lit(1)).alias("n"))
     )
-    # Equi-join on a data column (true for every start date), then the range test.
-    cand = starts.join(kev, starts["_kev"] == kev["kev_flag"]).filter(F.col("kev_date_added") >= F.col("since"))
-    w = Window.partitionBy("since").orderBy(F.col("kev_date_added").desc(), F.col("cve_id"))
-    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
-    return q.join(top.drop("_kev", "kev_flag"), "since").select(
-        "question_id", "rank", "cve_id", "kev_date_added", "risk_score", "risk_tier",
+    filed = daily.withColumn("vendor_key", F.explode(F.array(F.col("vendor"), F.lit(ANY)))).withColumn(
+        "tier_key", F.explode(F.array(F.col("risk_tier"), F.lit(ANY))))
+    set_cols = ["since", "vendors", "risk_tiers"]
+    keyed = sets.select(*set_cols, _any_or("vendors").alias("vendor_key")).select("*", _any_or("risk_tiers").alias("tier_key"))
+    counts = (
+        keyed.join(filed, ["vendor_key", "tier_key"])
+        .filter(F.col("kev_date_added") >= F.col("since"))
+        .groupBy(*set_cols, "vendor").agg(F.sum("n").alias("kev_count"))
     )
+    w = Window.partitionBy(*set_cols).orderBy(F.col("kev_count").desc(), F.col("vendor"))
+    top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+    return q.join(top, set_cols).select("question_id", "rank", "vendor", "kev_count")
 
 
 def trend_vendors(enriched: DataFrame, products: DataFrame, as_of: str | Column | None = None, days: int = 30) -> DataFrame:
@@ -305,7 +366,7 @@ TOOLS = {
 
 
 def answer_questions(parsed: DataFrame, enriched: DataFrame, products: DataFrame, semantic_hits: DataFrame,
-                     as_of: str | Column | None = None) -> DataFrame:
+                     filtered_limit: int, trend_limit: int, as_of: str | Column | None = None) -> DataFrame:
     """Per question: intent, the tool that answered it and how many result
     rows it returned (0 when nothing matched; UNKNOWN gets no tool).
 
@@ -318,8 +379,8 @@ def answer_questions(parsed: DataFrame, enriched: DataFrame, products: DataFrame
     per_tool = (
         counts(lookup_cves(question_ids(parsed, ["CVE_LOOKUP"]), enriched, products))
         .unionByName(counts(question_ids(parsed, ["COMPARISON"]).join(enriched.select("cve_id"), "cve_id")))
-        .unionByName(counts(answer_filtered(parsed, enriched, products)))
-        .unionByName(counts(answer_trends(parsed, enriched, as_of)))
+        .unionByName(counts(answer_filtered(parsed, enriched, products, filtered_limit)))
+        .unionByName(counts(answer_trends(parsed, enriched, products, trend_limit, as_of)))
         .unionByName(counts(semantic_hits, "query_id"))
     )
     tool = F.lit(None).cast("string")

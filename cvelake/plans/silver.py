@@ -248,6 +248,8 @@ def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: Da
     clean tables both read it instead of re-parsing Bronze. ``keep`` carries
     provenance columns (e.g. source_file) on core and products records."""
     parsed = parse_nvd(bronze_nvd)
+    if staged:  # both branches read the parsed rows, not the payload
+        parsed = stage(parsed, "nvd-parsed")
     r = Records(cve_core_records(parsed, keep=keep), cve_signals_records(bronze_epss, bronze_kev),
                 affected_products_records(parsed, keep=keep))
     if staged:

@@ -8,6 +8,7 @@ strings so they compare across engines.
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from cvelake.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUNS = (fx.RUN_1, fx.RUN_2)
+FILTERED_ROWS, TREND_ROWS, TREND_VENDORS = 20, 20, 5  # rows of one answer: top-k reports
 
 
 def _bronze(spark: SparkSession, sf_dir: str, run_ts: str | None = None):
@@ -38,12 +40,21 @@ def _bronze(spark: SparkSession, sf_dir: str, run_ts: str | None = None):
     return b if run_ts is None else tuple(qr.as_of_run(x, run_ts) for x in b)
 
 
-def silver(spark: SparkSession, sf_dir: str, run_ts: str | None = None, staged: bool = False) -> sv.Silver:
-    """The Silver tables as one lazy plan; with ``staged`` the affected
-    products (read by several later steps) are first written to the shared
-    folder, so those steps read the table instead of re-parsing Bronze."""
+def parsed_nvd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All NVD Bronze rows, parsed once and written: every branch and every version
+    of a query reads the columns it needs instead of the payload."""
+    prepare(spark)
+    return stage(sv.parse_nvd(fx.bronze_nvd(spark, sf_dir)), "nvd-parsed")
+
+
+def silver(spark: SparkSession, sf_dir: str, run_ts: str | None = None, staged: bool = False,
+           parsed: DataFrame | None = None) -> sv.Silver:
+    """The Silver tables after the run at ``run_ts`` (all runs if not given). With
+    ``staged`` the affected products, which several later steps read, are written."""
     nvd, epss, kev = _bronze(spark, sf_dir, run_ts)
-    parsed = sv.parse_nvd(nvd)
+    parsed = parsed_nvd(spark, sf_dir) if parsed is None else parsed
+    if run_ts is not None:
+        parsed = qr.as_of_run(parsed, run_ts)
     core = sv.cve_core(nvd, parsed)
     signals = sv.cve_signals(epss, kev)
     products = sv.cve_affected_products(nvd, parsed)
@@ -89,26 +100,64 @@ def q_as_of_core(spark, sf_dir):
 
 def q_snapshot_diff(spark, sf_dir):
     """Change feed of cve_documents between run 1 and run 2."""
-    return snapshot_diff(silver(spark, sf_dir, fx.RUN_1).documents, silver(spark, sf_dir).documents, ["cve_id"])
+    parsed = parsed_nvd(spark, sf_dir)
+    old, new = silver(spark, sf_dir, fx.RUN_1, parsed=parsed), silver(spark, sf_dir, parsed=parsed)
+    return snapshot_diff(old.documents, new.documents, ["cve_id"])
 
 
 # ------------------------------------------------------------------ feed files
 
-def feed_files(spark: SparkSession, sf_dir: str) -> str:
-    """Write the fixture snapshots as feed files under the shared scratch folder."""
+def feed_files(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("nvd", "kev", "epss")) -> str:
+    """Write the fixture snapshots of ``kinds`` as feed files under the shared scratch folder."""
     prepare(spark)
     root = scratch_dir(spark, "feeds")
-    feeds.write_nvd_files(fx.nvd_items(spark, sf_dir), f"{root}/nvd")
-    feeds.write_kev_files(fx.kev_entries(spark, sf_dir), f"{root}/kev", fx.SNAP_1)
-    feeds.write_epss_files(fx.epss_rows(spark, sf_dir), f"{root}/epss")
+    if "nvd" in kinds:
+        feeds.write_nvd_files(fx.nvd_items(spark, sf_dir), f"{root}/nvd")
+    if "kev" in kinds:
+        feeds.write_kev_files(fx.kev_entries(spark, sf_dir), f"{root}/kev", fx.SNAP_1)
+    if "epss" in kinds:
+        feeds.write_epss_files(fx.epss_rows(spark, sf_dir), f"{root}/epss")
     return root
 
 
 def _read_feeds(spark, root: str, run_ts: str = fx.RUN_2):
-    g = feeds.WRITTEN_GLOBS
-    return (feeds.read_nvd(spark, f"{root}/nvd", run_ts, g["nvd"]),
-            feeds.read_kev(spark, f"{root}/kev", run_ts, g["kev"]),
-            feeds.read_epss(spark, f"{root}/epss", run_ts, g["epss"]))
+    return (feeds.read_nvd(spark, f"{root}/nvd", run_ts),
+            feeds.read_kev(spark, f"{root}/kev", run_ts),
+            feeds.read_epss(spark, f"{root}/epss", run_ts))
+
+
+# Files that an ingest must skip or read with care, next to the fixture's own.
+ODD_FILES = {
+    "nvd/nvd_modified_2024-01-20.json.gz": b"this is not gzip",
+    "nvd/nvd_undated.json.gz": gzip.compress(b'{"CVE_data_numberOfCVEs":1,"CVE_Items":[{"cve":{"id":"CVE-1999-0001"}}]}', mtime=0),
+    "kev/cisa_kev_2024-01-20.json": b'{"vulnerabilities": [{"cveID": ',
+    "kev/cisa_kev_2024-01-21.json": b'{"entries": []}',
+    "epss/epss_2024-01-20.csv": b"#model:v1\npercentile,epss,cve\n0.25,0.5,CVE-1999-0001\n",
+    "epss/epss_2024-01-21.csv": b"id,score\nfoo,bar\n",
+    "epss/deeper/epss_2024-01-22.csv": b"cve,epss,percentile\nCVE-1999-0002,0.1,0.1\n",
+}
+
+
+def _odd_feeds(spark, sf_dir) -> str:
+    root = feed_files(spark, sf_dir)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name, content in ODD_FILES.items():
+        at = path(f"{root}/{name}")
+        out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+        out.write(bytearray(content))
+        out.close()
+    return root
+
+
+def q_ingest_odd_files(spark, sf_dir):
+    """Bronze rows per source and snapshot date, from a folder that also holds
+    corrupt, malformed, undated and reordered files."""
+    return feeds.ingest_summary(*_read_feeds(spark, _odd_feeds(spark, sf_dir)))
+
+
+def q_ingest_report(spark, sf_dir):
+    """The files that ingest skips, and why."""
+    return feeds.ingest_report(spark, _odd_feeds(spark, sf_dir))
 
 
 def q_bronze_ingest(spark, sf_dir):
@@ -119,13 +168,13 @@ def q_bronze_ingest(spark, sf_dir):
 def q_core_from_files(spark, sf_dir):
     """cve_core from feed files loaded in one run (both snapshots share the
     run's ingest_ts; the newer snapshot date wins)."""
-    nvd, _, _ = _read_feeds(spark, feed_files(spark, sf_dir))
-    return sv.cve_core(nvd)
+    root = feed_files(spark, sf_dir, ("nvd",))
+    return sv.cve_core(feeds.read_nvd(spark, f"{root}/nvd", fx.RUN_2))
 
 
 def q_signals_from_files(spark, sf_dir):
-    _, kev, epss = _read_feeds(spark, feed_files(spark, sf_dir))
-    return sv.cve_signals(epss, kev)
+    root = feed_files(spark, sf_dir, ("kev", "epss"))
+    return sv.cve_signals(feeds.read_epss(spark, f"{root}/epss", fx.RUN_2), feeds.read_kev(spark, f"{root}/kev", fx.RUN_2))
 
 
 def q_build_job(spark, sf_dir):
@@ -135,17 +184,16 @@ def q_build_job(spark, sf_dir):
 
     root = feed_files(spark, sf_dir)
     tables = f"{root}/tables"
-    build.ingest(spark, tables, root, fx.RUN_2, feeds.WRITTEN_GLOBS).count()
+    build.ingest(spark, tables, root, fx.RUN_2).count()
     build.build_run(spark, tables, "r2", fx.RUN_2, fx.AS_OF, buckets=8)
     return spark.read.parquet(f"{tables}/gold/run=r2/vendor_risk_agg")
 
 
 def q_file_validation(spark, sf_dir):
     root = feed_files(spark, sf_dir)
-    g = feeds.WRITTEN_GLOBS
-    v = (feeds.validate_files(spark, f"{root}/nvd", "nvd", g["nvd"])
-         .unionByName(feeds.validate_files(spark, f"{root}/kev", "kev", g["kev"]))
-         .unionByName(feeds.validate_files(spark, f"{root}/epss", "epss", g["epss"])))
+    v = (feeds.validate_files(spark, f"{root}/nvd", "nvd")
+         .unionByName(feeds.validate_files(spark, f"{root}/kev", "kev"))
+         .unionByName(feeds.validate_files(spark, f"{root}/epss", "epss")))
     return v.groupBy("kind").agg(
         F.bool_and("ok").alias("all_ok"),
         F.bool_and("count_matches").alias("counts_match"),
@@ -153,6 +201,81 @@ def q_file_validation(spark, sf_dir):
     )
 
 
+def _two_runs(spark, sf_dir) -> str:
+    """Two production runs over growing Bronze: the state after snapshot 1, then
+    both snapshots. Returns the root of the written tables."""
+    from cvelake.plans import build
+
+    prepare(spark)
+    root = scratch_dir(spark, "two-runs")
+    nvd, epss, kev = _bronze(spark, sf_dir)
+    for n, run in enumerate(RUNS, 1):
+        for name, df in (("nvd_raw", nvd), ("kev_raw", kev), ("epss_raw", epss)):
+            df.filter(F.col("ingest_ts") == F.lit(run).cast("timestamp")).write.mode("append").parquet(f"{root}/bronze/{name}")
+        build.build_run(spark, root, f"r{n}", run, fx.AS_OF, previous_run_id=f"r{n - 1}" if n > 1 else None)
+    return root
+
+
+def q_build_history(spark, sf_dir):
+    """Expectation metrics that two runs appended, newest run first."""
+    from cvelake.plans import build
+
+    return build.quality_history(spark, _two_runs(spark, sf_dir)).drop("run")
+
+
+def q_build_changes(spark, sf_dir):
+    """The change feed that the second run wrote, counted by kind of change."""
+    root = _two_runs(spark, sf_dir)
+    return spark.read.parquet(f"{root}/silver/cve_documents_changes").groupBy("_change_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_catalog_tables(spark, sf_dir):
+    """A run's tables in the catalog: schema, table, comment, quality property, rows."""
+    from cvelake.plans import build
+
+    root = _two_runs(spark, sf_dir)
+    build.create_schemas(spark)
+    rows = []
+    for name in build.register_run(spark, root, "r2"):  # the fixed list of tables
+        schema, table = name.split(".")
+        info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        quality = spark.sql(f"SHOW TBLPROPERTIES {name} ('quality')").first()["value"]
+        rows.append((schema, table, info.get("Comment"), quality, spark.table(name).count()))
+    return spark.createDataFrame(rows, "schema string, table string, comment string, quality string, rows long")
+
+
+def q_table_inspection(spark, sf_dir):
+    """Row count, schema and sample size of the core table."""
+    from cvelake.plans import build
+
+    rows, schema, sample = build.inspect(stage(q_cve_core_latest(spark, sf_dir), "inspected"))
+    return spark.createDataFrame([(rows, schema, sample.count())], "rows long, schema string, sample long")
+
+
+def q_csv_export(spark, sf_dir):
+    """The priority list, written as CSV with a header and read back."""
+    from cvelake.plans import build
+
+    path = scratch_dir(spark, "csv")
+    build.export_csv(q_priority_list(spark, sf_dir).select("cve_id", "risk_score", "risk_tier", "kev_flag"), path)
+    return spark.read.option("header", True).schema("cve_id string, risk_score double, risk_tier string, kev_flag boolean").csv(path)
+
+
+def q_fail_rule(spark, sf_dir):
+    """Which tables a ``fail`` rule on the id format would stop before they are written."""
+    s = silver(spark, sf_dir)
+    rows = []
+    for name, df in (("cve_core", s.core), ("cve_signals", s.signals)):
+        for rule in (q.Expectation("id_present", "cve_id IS NOT NULL", "fail"),
+                     q.Expectation("id_upper_case", "cve_id RLIKE '^CVE-'", "fail")):
+            try:
+                q.enforce(q.expectation_metrics(df, [rule], name, fx.RUN_2))
+                rows.append((name, rule.name, False))
+            except q.ExpectationFailed:
+                rows.append((name, rule.name, True))
+    return spark.createDataFrame(rows, "table string, rule string, stopped boolean")
+
+
 # ------------------------------------------------------------------ quality
 
 def q_dq_metrics(spark, sf_dir):
@@ -219,8 +342,9 @@ def q_index_sync(spark, sf_dir):
     from cvelake.operators.changes import apply_changes
 
     # Each version is read twice (diff and index): write each once.
-    old = stage(silver(spark, sf_dir, fx.RUN_1).documents, "documents-run1")
-    new = stage(silver(spark, sf_dir).documents, "documents-run2")
+    parsed = parsed_nvd(spark, sf_dir)
+    old = stage(silver(spark, sf_dir, fx.RUN_1, parsed=parsed).documents, "documents-run1")
+    new = stage(silver(spark, sf_dir, parsed=parsed).documents, "documents-run2")
     changes = snapshot_diff(old, new, ["cve_id"])
     return apply_changes(doc_index(old), changes, ["cve_id"], doc_index(new))
 
@@ -296,12 +420,17 @@ def q_filtered_search(spark, sf_dir):
 
 def q_answer_filtered(spark, sf_dir):
     s, e = enriched(spark, sf_dir, staged=True)
-    return qs.answer_filtered(_parsed(spark, sf_dir, s), e, s.products)
+    return qs.answer_filtered(_parsed(spark, sf_dir, s), e, s.products, FILTERED_ROWS)
 
 
 def q_answer_trends(spark, sf_dir):
     s, e = enriched(spark, sf_dir, staged=True)
-    return qs.answer_trends(_parsed(spark, sf_dir, s), e, fx.AS_OF)
+    return qs.answer_trends(_parsed(spark, sf_dir, s), e, s.products, TREND_ROWS, fx.AS_OF)
+
+
+def q_answer_trend_vendors(spark, sf_dir):
+    s, e = enriched(spark, sf_dir, staged=True)
+    return qs.answer_trend_vendors(_parsed(spark, sf_dir, s), e, s.products, TREND_VENDORS, fx.AS_OF)
 
 
 def q_answer_questions(spark, sf_dir):
@@ -310,7 +439,7 @@ def q_answer_questions(spark, sf_dir):
     p = stage(_parsed(spark, sf_dir, s), "parsed-questions")
     sem = se.tfidf_search(s.documents, "cve_id", "document_text", p.filter(F.col("intent") == "SEMANTIC_SEARCH"),
                           "question_id", "raw_query", 5)
-    return qs.answer_questions(p, e, s.products, sem, fx.AS_OF)
+    return qs.answer_questions(p, e, s.products, sem, FILTERED_ROWS, TREND_ROWS, fx.AS_OF)
 
 
 def q_trend_vendors(spark, sf_dir):
@@ -344,9 +473,10 @@ def q_priority_list(spark, sf_dir):
 
 # ------------------------------------------------------------------ search
 
-def _vector_frame(spark, sf_dir):
+def _search_tables(spark, sf_dir):
+    """(vectors, documents, enriched): Gold is written once, since a search reads it last."""
     s, e = enriched(spark, sf_dir, staged=True)
-    return se.hits_frame(fx.query_vectors(spark, sf_dir), s.documents, e), s, e
+    return fx.query_vectors(spark, sf_dir), s.documents, e
 
 
 def _query_vector(spark, sf_dir, vec_id: int = 0):
@@ -355,22 +485,30 @@ def _query_vector(spark, sf_dir, vec_id: int = 0):
 
 
 def q_vector_topk(spark, sf_dir):
-    frame, _, _ = _vector_frame(spark, sf_dir)
-    return se.semantic_search(frame, _query_vector(spark, sf_dir), 10)
+    return se.semantic_search(*_search_tables(spark, sf_dir), _query_vector(spark, sf_dir), 10)
 
 
 def q_vector_topk_filtered(spark, sf_dir):
-    frame, _, _ = _vector_frame(spark, sf_dir)
-    return se.semantic_search(frame, _query_vector(spark, sf_dir), 10, kev_only=False, min_cvss=4.0)
+    return se.semantic_search(*_search_tables(spark, sf_dir), _query_vector(spark, sf_dir), 10, min_cvss=4.0)
 
 
 def q_vector_topk_batch(spark, sf_dir):
-    """Top 5 documents for each label's first vector (one query per label)."""
-    frame, _, _ = _vector_frame(spark, sf_dir)
-    emb = fx.table(spark, sf_dir, "embeddings")
-    firsts = emb.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
-    queries = emb.join(firsts, ["label", "vec_id"]).select("label", "embedding")
-    return se.batch_search(frame, queries, "label", 5)
+    """Top 5 documents for every vector of the table."""
+    queries = fx.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return se.batch_search(*_search_tables(spark, sf_dir), queries, "vec_id", 5)
+
+
+def q_text_search_filtered(spark, sf_dir):
+    """Top 5 exploited documents of CVSS 4 or more for each benchmark passage."""
+    s, e = enriched(spark, sf_dir, staged=True)
+    bench = fx.table(spark, sf_dir, "benchmark")
+    return se.text_search(s.documents, e, bench, "item_id", "text", 5, kev_only=True, min_cvss=4.0)
+
+
+def q_search_fallback(spark, sf_dir):
+    """The search without vectors: keyword hits in the form of search hits."""
+    s, e = enriched(spark, sf_dir, staged=True)
+    return se.search_or_fallback(None, s.documents, e, None, "Weakness: CWE-1", 10, min_cvss=2.0)
 
 
 def q_tfidf_search(spark, sf_dir):
@@ -480,17 +618,19 @@ def q_incremental_events(spark, sf_dir):
 
 
 def q_stream_ingest(spark, sf_dir):
-    """Feed files ingested by a stream, run twice: the second run finds no
-    new file, so Bronze holds every item exactly once."""
+    """Feed files of all three kinds ingested by a stream, run twice: the second
+    run finds no new file, so Bronze holds every item exactly once."""
     root = feed_files(spark, sf_dir)
-    bronze, ck = f"{root}/bronze_nvd", f"{root}/ingest-ckpt"
-    for run in RUNS:
-        inc.stream_ingest_nvd(spark, f"{root}/nvd", bronze, ck, run, feeds.WRITTEN_GLOBS["nvd"])
-    b = spark.read.schema(BRONZE_JSON).parquet(bronze)
-    return b.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_distinct("ingest_ts").alias("runs"),
-    )
+    found = None
+    for kind in feeds.GLOBS:
+        bronze = f"{root}/bronze_{kind}"
+        for run in RUNS:
+            inc.stream_ingest(spark, kind, f"{root}/{kind}", bronze, f"{root}/ckpt-{kind}", run)
+        counts = spark.read.parquet(bronze).groupBy("snapshot_date").agg(
+            F.count(F.lit(1)).alias("records"), F.count_distinct("ingest_ts").alias("runs"))
+        counts = counts.select(F.lit(kind).alias("source"), "snapshot_date", "records", "runs")
+        found = counts if found is None else found.unionByName(counts)
+    return found
 
 
 def q_stream_dedup_events(spark, sf_dir):
@@ -544,6 +684,7 @@ QUERIES: dict[str, Query] = {
     "answer_filtered": q_answer_filtered,
     "trend_vendors": q_trend_vendors,
     "answer_trends": q_answer_trends,
+    "answer_trend_vendors": q_answer_trend_vendors,
     "answer_questions": q_answer_questions,
     "tier_distribution": q_tier_distribution,
     "data_stats": q_data_stats,
@@ -555,6 +696,8 @@ QUERIES: dict[str, Query] = {
     "tfidf_search": q_tfidf_search,
     "answer_semantic": q_answer_semantic,
     "keyword_fallback": q_keyword_fallback,
+    "text_search_filtered": q_text_search_filtered,
+    "search_fallback": q_search_fallback,
     "latest_event_per_user": q_latest_event_per_user,
     "incremental_core": q_incremental_core,
     "incremental_products": q_incremental_products,
@@ -562,4 +705,12 @@ QUERIES: dict[str, Query] = {
     "incremental_events": q_incremental_events,
     "stream_dedup_events": q_stream_dedup_events,
     "stream_ingest": q_stream_ingest,
+    "ingest_odd_files": q_ingest_odd_files,
+    "ingest_report": q_ingest_report,
+    "build_history": q_build_history,
+    "build_changes": q_build_changes,
+    "catalog_tables": q_catalog_tables,
+    "table_inspection": q_table_inspection,
+    "csv_export": q_csv_export,
+    "fail_rule": q_fail_rule,
 }

@@ -81,6 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cvelake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

@@ -4,17 +4,17 @@
   one document per file (gzip is unsplittable: parallelism = number of
   files; rows are spread again after the explode).
 * KEV: JSON envelope with a ``vulnerabilities`` array.
-* EPSS: CSV with header ``cve,epss,percentile``; ``#`` comment lines skipped.
+* EPSS: CSV with a header line; ``cve``, ``epss`` and ``percentile`` are found by
+  name, in any order; ``#`` comment lines and blank lines are skipped.
 
 Each item keeps its own JSON text (``array<string>`` under ``from_json``),
 the CVE id is read from the current or the legacy layout, rows without an
 id are dropped, and provenance is attached: one ``ingest_ts`` per run, the
-file's base name, and the first ``yyyy-MM-dd`` in the file name (else in
-its folder path; NULL when there is none).
+file's base name, and the first ``yyyy-MM-dd`` in the file name (NULL when there
+is none). Only the plain files of one folder are read, not its sub-folders.
 
-Unreadable files (e.g. a broken gzip) are skipped by the reader and
-reported by :func:`validate_files`, which checks every file's structure
-in one Spark job.
+Unreadable files (e.g. a broken gzip) are skipped by the readers;
+:func:`ingest_report` lists them with their reasons, in one Spark job.
 """
 
 from __future__ import annotations
@@ -27,25 +27,21 @@ from pyspark.sql import functions as F
 # suffixes, and the NVD page size (items per file).
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 NVD_GLOB, KEV_GLOB, EPSS_GLOB = "*.json.gz", "*.json", "*.csv"
-# Globs of the files Spark's text/csv writers produce (write_*_files).
-WRITTEN_GLOBS = {"nvd": "*.txt.gz", "kev": "*.txt", "epss": "*.csv"}
+GLOBS = {"nvd": NVD_GLOB, "kev": KEV_GLOB, "epss": EPSS_GLOB}
 PAGE_SIZE = 2000
-
-
-def _date_from(c: Column) -> Column:
-    d = F.regexp_extract(c, DATE_IN_NAME, 1)
-    return F.try_to_date(F.when(d != "", d), "yyyy-MM-dd")
+EPSS_PAGE = 100_000
 
 
 def snapshot_date() -> Column:
-    """First yyyy-MM-dd in the file name, else in its path; NULL when none."""
-    return F.coalesce(_date_from(F.col("_metadata.file_name")), _date_from(F.col("_metadata.file_path")))
+    """First yyyy-MM-dd in the file name; NULL when there is none."""
+    d = F.regexp_extract(F.col("_metadata.file_name"), DATE_IN_NAME, 1)
+    return F.try_to_date(F.when(d != "", d), "yyyy-MM-dd")
 
 
-def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def feed_lines(reader, path: str, glob: str) -> DataFrame:
+    """Whole feed files of one folder, by a batch or a stream ``reader``."""
     return (
-        spark.read.option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
+        reader.option("pathGlobFilter", glob)
         .option("ignoreCorruptFiles", True)
         # text()'s own wholetext argument overrides an .option() of that name.
         .text(path, wholetext=True)
@@ -72,38 +68,79 @@ def _bronze(items: DataFrame, cve_id: Column, run_ts: str) -> DataFrame:
     )
 
 
+def bronze_of(files: DataFrame, kind: str, run_ts: str) -> DataFrame:
+    """Bronze rows of whole files of one ``kind``, in a batch or a stream."""
+    if kind == "nvd":  # the id is in the current or in the legacy layout
+        cid = F.coalesce(F.get_json_object("raw_json", "$.cve.id"), F.get_json_object("raw_json", "$.cve.CVE_data_meta.ID"))
+        return _bronze(_items(files, "CVE_Items"), cid, run_ts)
+    if kind == "kev":
+        return _bronze(_items(files, "vulnerabilities"), F.get_json_object("raw_json", "$.cveID"), run_ts)
+    if kind != "epss":
+        raise ValueError(kind)
+    lines = _data_lines(F.col("value"))
+    header = F.transform(F.split(F.lower(F.get(lines, 0)), ","), lambda x: F.trim(x))
+    rows = files.select("source_file", "snapshot_date", lines.alias("lines"), header.alias("header")).filter(_has_columns(F.col("header")))
+    rows = rows.select("source_file", "snapshot_date", "header", F.explode(F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line"))
+    return _epss_rows(rows, run_ts)
+
+
+def _data_lines(value: Column) -> Column:
+    return F.filter(F.split(value, r"\R"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("#"))
+
+
+def _has_columns(header: Column) -> Column:
+    return F.array_contains(header, "cve") & F.array_contains(header, "epss") & F.array_contains(header, "percentile")
+
+
+def _epss_rows(rows: DataFrame, run_ts: str) -> DataFrame:
+    """(header, line, ...) -> Bronze rows, columns found by name."""
+    fields = F.transform(F.split("line", ","), lambda x: F.trim(x))
+    named = lambda c: F.get(fields, F.array_position("header", c).cast("int") - 1)
+    return rows.select(
+        named("cve").alias("cve_id"),
+        named("epss").try_cast("double").alias("epss_score"),
+        named("percentile").try_cast("double").alias("epss_percentile"),
+        F.lit(run_ts).cast("timestamp").alias("ingest_ts"),
+        "source_file",
+        "snapshot_date",
+    )
+
+
 def read_nvd(spark: SparkSession, path: str, run_ts: str, glob: str = NVD_GLOB) -> DataFrame:
     """NVD feed files -> Bronze rows (one per item with an id; legacy layout accepted)."""
-    items = _items(_whole_files(spark, path, glob), "CVE_Items")
-    cid = F.coalesce(F.get_json_object("raw_json", "$.cve.id"), F.get_json_object("raw_json", "$.cve.CVE_data_meta.ID"))
-    return _bronze(items, cid, run_ts)
+    return bronze_of(feed_lines(spark.read, path, glob), "nvd", run_ts)
 
 
 def read_kev(spark: SparkSession, path: str, run_ts: str, glob: str = KEV_GLOB) -> DataFrame:
     """KEV feed files -> Bronze rows (one per catalog entry with an id)."""
-    items = _items(_whole_files(spark, path, glob), "vulnerabilities")
-    return _bronze(items, F.get_json_object("raw_json", "$.cveID"), run_ts)
+    return bronze_of(feed_lines(spark.read, path, glob), "kev", run_ts)
 
 
 def read_epss(spark: SparkSession, path: str, run_ts: str, glob: str = EPSS_GLOB) -> DataFrame:
-    """EPSS CSV files -> Bronze rows with scores cast to double (bad values become NULL)."""
-    raw = (
-        spark.read.option("header", True)
-        .option("comment", "#")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
+    """EPSS CSV files -> Bronze rows with scores cast to double (bad values become
+    NULL). Lines are read as they are split; each file's header, its first line
+    that is no comment, tells where its columns are."""
+    lines = (
+        spark.read.option("pathGlobFilter", glob)
         .option("ignoreCorruptFiles", True)
-        .schema("cve string, epss string, percentile string")
-        .csv(path)
+        .text(path)
+        .select(
+            F.trim("value").alias("line"),
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+            F.col("_metadata.file_name").alias("source_file"),
+            snapshot_date().alias("snapshot_date"),
+        )
+        .filter((F.col("line") != "") & ~F.col("line").startswith("#"))
     )
-    return raw.select(
-        F.col("cve").alias("cve_id"),
-        F.col("epss").try_cast("double").alias("epss_score"),
-        F.col("percentile").try_cast("double").alias("epss_percentile"),
-        F.lit(run_ts).cast("timestamp").alias("ingest_ts"),
-        F.col("_metadata.file_name").alias("source_file"),
-        snapshot_date().alias("snapshot_date"),
+    first = F.min(F.struct("block", "at", "line"))
+    headers = lines.groupBy("file_path").agg(first.alias("first")).select(
+        "file_path", F.transform(F.split(F.lower("first.line"), ","), lambda x: F.trim(x)).alias("header")
     )
+    rows = lines.join(headers.filter(_has_columns(F.col("header"))), "file_path")
+    is_header = F.transform(F.split(F.lower("line"), ","), lambda x: F.trim(x)) == F.col("header")
+    return _epss_rows(rows.filter(~is_header), run_ts)
 
 
 def ingest_summary(nvd: DataFrame, kev: DataFrame, epss: DataFrame) -> DataFrame:
@@ -124,26 +161,23 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     lists: content is not read when only path and length are selected."""
     try:
         return (
-            spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+            spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .load(path).select(F.col("path").alias("file_path"), "length")
         )
     except AnalysisException:
         return spark.createDataFrame([], "file_path string, length long")
 
 
-_inventory = list_files
-
-
 def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None = None) -> DataFrame:
     """One row per file: (file_path, kind, ok, reason, n_records, declared_records).
 
     nvd: readable gzip, JSON, ``CVE_Items`` present and a list;
     kev: JSON, ``vulnerabilities`` present and a list;
     epss: at least 2 lines (blank and ``#`` lines ignored), header names
-    ``cve`` and ``epss``, first data row has 2+ fields and starts with ``CVE-``.
+    ``cve``, ``epss`` and ``percentile``, first data row has 2+ fields and a CVE id.
     """
-    glob = glob or {"nvd": NVD_GLOB, "kev": KEV_GLOB, "epss": EPSS_GLOB}[kind]
-    files = _whole_files(spark, path, glob)
+    glob = glob or GLOBS[kind]
+    files = feed_lines(spark.read, path, glob)
     v = F.col("value")
     if kind in ("nvd", "kev"):
         key = "CVE_Items" if kind == "nvd" else "vulnerabilities"
@@ -165,15 +199,16 @@ def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None =
         )
     elif kind == "epss":
         # Blank and '#' comment lines are skipped, as the reader skips them.
-        lines = F.filter(F.split(v, r"\R"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("#"))
-        header = F.lower(F.trim(F.get(lines, 0)))
+        lines = _data_lines(v)
+        header = F.transform(F.split(F.lower(F.get(lines, 0)), ","), lambda x: F.trim(x))
         first = F.split(F.trim(F.get(lines, 1)), ",")
+        first_id = F.trim(F.get(first, F.array_position(header, "cve").cast("int") - 1))
         checked = files.select(
             "file_path",
-            F.when(F.size(lines) < 2, F.lit("no data rows"))
-            .when(~(header.contains("cve") & header.contains("epss")), F.lit("missing expected columns"))
+            F.when(F.size(lines) < 2, F.lit("header without rows, or empty"))
+            .when(~_has_columns(header), F.lit("header lacks cve, epss or percentile"))
             .when(F.size(first) < 2, F.lit("rows have too few columns"))
-            .when(~F.upper(F.get(first, 0)).startswith("CVE-"), F.lit("first column is not a CVE id"))
+            .when(~F.upper(first_id).startswith("CVE-"), F.lit("first row has no CVE id"))
             .alias("reason"),
             (F.size(lines) - 1).cast("long").alias("n_records"),
             F.lit(None).cast("long").alias("declared_records"),
@@ -181,7 +216,7 @@ def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None =
         checked = checked.withColumn("n_records", F.when(F.col("reason").isNull(), F.col("n_records")))
     else:
         raise ValueError(kind)
-    inv = _inventory(spark, path, glob)
+    inv = list_files(spark, path, glob)
     out = inv.join(checked, "file_path", "left")
     reason = F.when(F.col("n_records").isNull() & F.col("reason").isNull(), F.lit("unreadable")).otherwise(F.col("reason"))
     return out.select(
@@ -191,44 +226,70 @@ def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None =
     )
 
 
+def ingest_report(spark: SparkSession, feed_dir: str, globs: dict[str, str] | None = None) -> DataFrame:
+    """The files under ``feed_dir`` that an ingest skips, and why: (kind,
+    source_file, reason)."""
+    found = None
+    for kind, glob in (globs or GLOBS).items():
+        bad = validate_files(spark, f"{feed_dir}/{kind}", kind, glob).filter(~F.col("ok"))
+        bad = bad.select("kind", F.element_at(F.split("file_path", "/"), -1).alias("source_file"), "reason")
+        found = bad if found is None else found.unionByName(bad)
+    return found
+
+
 # ------------------------------------------------------------------ writing feed files
 
+def _publish(spark: SparkSession, staged: str, out_dir: str, suffix: str) -> None:
+    """Gives the one part file of each ``file=<stem>`` folder its feed name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(out_dir))
+    for folder in fs.listStatus(path(staged)):
+        stem = folder.getPath().getName()
+        if stem.startswith("file="):
+            for part in fs.listStatus(folder.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    fs.rename(part.getPath(), path(f"{out_dir}/{stem[5:]}{suffix}"))
+    fs.delete(path(staged), True)
+
+
+def _write_envelopes(items: DataFrame, stem: Column, head: Column, key: str, out_dir: str, suffix: str) -> None:
+    grouped = items.groupBy(stem.alias("file")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("cve_id", "raw_json"))), lambda x: x["raw_json"]).alias("items")
+    )
+    doc = F.concat(F.lit("{"), head, F.lit(f'"{key}":['), F.array_join("items", ","), F.lit("]}"))
+    staged = out_dir.rstrip("/") + "-staged"
+    writer = grouped.select("file", doc.alias("value")).repartition("file").write.mode("overwrite").partitionBy("file")
+    (writer.option("compression", "gzip") if suffix.endswith(".gz") else writer).text(staged)
+    _publish(items.sparkSession, staged, out_dir, suffix)
+
+
 def write_nvd_files(items: DataFrame, out_dir: str, page_size: int = PAGE_SIZE) -> None:
     """Write (n, cve_id, snapshot_date, raw_json) items as gzip envelopes of
     at most ``page_size`` items, one file per page, named by snapshot date."""
-    page = F.floor(F.col("n") / page_size)
     stem = F.concat(F.lit("nvd_modified_"), F.date_format("snapshot_date", "yyyy-MM-dd"), F.lit("_p"),
-                    F.format_string("%06d", page))
-    grouped = items.groupBy(stem.alias("file")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("cve_id", "raw_json"))), lambda x: x["raw_json"]).alias("items")
-    )
-    doc = F.concat(
-        F.lit('{"CVE_data_type":"CVE","CVE_data_format":"MITRE","CVE_data_version":"4.0","CVE_data_numberOfCVEs":'),
-        F.size("items").cast("string"),
-        F.lit(',"CVE_Items":['), F.array_join("items", ","), F.lit("]}"),
-    )
-    (grouped.select("file", doc.alias("value")).repartition("file")
-     .write.mode("overwrite").partitionBy("file").option("compression", "gzip").text(out_dir))
+                    F.format_string("%06d", F.floor(F.col("n") / page_size)))
+    head = F.concat(F.lit('"CVE_data_type":"CVE","CVE_data_format":"MITRE","CVE_data_version":"4.0","CVE_data_numberOfCVEs":'),
+                    F.size("items").cast("string"), F.lit(","))
+    _write_envelopes(items, stem, head, "CVE_Items", out_dir, ".json.gz")
 
 
 def write_kev_files(entries: DataFrame, out_dir: str, snapshot: str, page_size: int = PAGE_SIZE) -> None:
     """Write KEV entries as JSON envelopes of at most ``page_size`` entries per file."""
-    page = F.floor(F.col("n") / page_size)
-    stem = F.concat(F.lit(f"cisa_kev_{snapshot}_p"), F.format_string("%06d", page))
-    grouped = entries.groupBy(stem.alias("file")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("cve_id", "raw_json"))), lambda x: x["raw_json"]).alias("items")
-    )
-    doc = F.concat(F.lit('{"catalogVersion":"' + snapshot + '","vulnerabilities":['),
-                   F.array_join("items", ","), F.lit("]}"))
-    grouped.select("file", doc.alias("value")).repartition("file").write.mode("overwrite").partitionBy("file").text(out_dir)
+    stem = F.concat(F.lit(f"cisa_kev_{snapshot}_p"), F.format_string("%06d", F.floor(F.col("n") / page_size)))
+    _write_envelopes(entries, stem, F.lit(f'"catalogVersion":"{snapshot}",'), "vulnerabilities", out_dir, ".json")
 
 
-def write_epss_files(rows: DataFrame, out_dir: str) -> None:
-    """Write EPSS rows as CSV with header, one folder per snapshot date."""
+def write_epss_files(rows: DataFrame, out_dir: str, page_size: int = EPSS_PAGE) -> None:
+    """Write EPSS rows as CSV with header, at most ``page_size`` rows a file,
+    named by snapshot date."""
     out = rows.select(
-        F.concat(F.lit("epss_"), F.date_format("snapshot_date", "yyyy-MM-dd")).alias("file"),
+        F.concat(F.lit("epss_"), F.date_format("snapshot_date", "yyyy-MM-dd"), F.lit("_p"),
+                 F.format_string("%06d", F.floor(F.col("n") / page_size))).alias("file"),
         F.col("cve_id").alias("cve"),
         F.col("epss_score").cast("string").alias("epss"),
         F.col("epss_percentile").cast("string").alias("percentile"),
     )
-    out.write.mode("overwrite").partitionBy("file").option("header", True).csv(out_dir)
+    staged = out_dir.rstrip("/") + "-staged"
+    out.repartition("file").write.mode("overwrite").partitionBy("file").option("header", True).csv(staged)
+    _publish(rows.sparkSession, staged, out_dir, ".csv")

@@ -8,7 +8,7 @@ oracle does exactly that). ``n`` is ``documents.doc_id``:
   language as its description, CVSS metrics, weaknesses and CPE
   configurations built from ``part`` rows;
 * EPSS rows per document, KEV entries per ``labels`` row with ``toxic = 1``;
-* questions per ``conversations`` turn.
+* two questions per ``conversations`` turn, its text and a template.
 
 Two runs are simulated the way the feeds are loaded: run 1 loads snapshot 1,
 run 2 re-reads the folder and appends snapshot 1 again plus snapshot 2, so
@@ -30,7 +30,6 @@ RUN_2 = "2024-01-16 06:00:00"
 SNAP_1 = "2024-01-15"
 SNAP_2 = "2024-01-16"
 AS_OF = "2024-03-01"
-N_PARTS = 200  # CPEs point at part keys 0..199: a lookup of proven size
 
 NVD_FILES = {SNAP_1: "nvd_modified_2024-01-15.json.gz", SNAP_2: "nvd_modified_2024-01-16.json.gz"}
 EPSS_FILES = {SNAP_1: "epss_2024-01-15.csv", SNAP_2: "epss_2024-01-16.csv"}
@@ -38,21 +37,11 @@ KEV_FILE = "cisa_kev_2024-01-15.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. With ``spread``, a scan that yields fewer partitions
-    than the session's parallelism (one row group = one task) is rebalanced
-    first, so the per-row work after it (JSON building and parsing, text
-    tokenising) uses every core. Large inputs already have enough splits
-    and are read as they are."""
+    """A driver table. With ``spread``, its rows are rebalanced first, so that
+    the per-row work after it (JSON building and parsing, text tokenising) uses
+    every core even if the file has one row group; AQE sizes the partitions."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:
-            if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-                # rebalance: AQE sizes the partitions from the data (small
-                # inputs get up to one per core, never thousands of slivers).
-                df = df.hint("rebalance")
-        except Exception:  # no RDD access on this session (e.g. Spark Connect): read as is
-            pass
-    return df
+    return df.hint("rebalance") if spread else df
 
 
 def cve_id_of(n: Column) -> Column:
@@ -72,38 +61,41 @@ def _severity(score: Column) -> Column:
     )
 
 
-def _part_lookup(part: DataFrame) -> Column:
-    """part key -> (brand, name, size) for keys 0..N_PARTS-1, as one map-valued
-    scalar subquery: computed once, shipped to every task with the plan, so
-    building CPE lists needs no join and no shuffle of the document rows."""
-    lk = part.filter(F.col("p_partkey") < N_PARTS).agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("p_partkey"),
-        F.struct(
-            F.lower(F.regexp_replace("p_brand", "#", "_")).alias("brand"),
-            F.regexp_replace("p_name", " ", "_").alias("pname"),
-            F.col("p_size").cast("string").alias("psize"),
-        ),
-    ))))
-    return lk.scalar()
-
-
-def _cpe_list(n: Column, lookup: Column) -> Column:
-    """1..4 CPE match entries for document ``n`` (entries whose part key is
-    absent from ``part`` are left out)."""
-    def entry(k: Column) -> Column:
-        p = F.try_element_at(lookup, (n * 7 + k * 13) % N_PARTS)
-        vendor = F.when((n + k) % 11 == 0, F.lit("*")).otherwise(p["brand"])
-        product = F.when((n + k) % 13 == 0, F.lit("-")).otherwise(p["pname"])
-        criteria = F.concat_ws(":", F.lit("cpe"), F.lit("2.3"), F.lit("a"), vendor, product, p["psize"],
-                               *[F.lit("*")] * 7)
-        return F.when(p.isNotNull(), F.struct(
-            ((n + k) % 5 != 0).alias("vulnerable"),
-            criteria.alias("criteria"),
-            F.concat(F.lit("m-"), n.cast("string"), F.lit("-"), k.cast("string")).alias("matchCriteriaId"),
-        ))
-
-    ks = F.sequence(F.lit(0).cast("long"), n % 4)
-    return F.filter(F.transform(ks, entry), lambda c: c.isNotNull())
+def _vendor(part_key: Column, brand: Column) -> Column:
+    """Vendor of a part: its brand as one word (``brand_13``), hyphenated
+    (``brand-13``) or of several words (``brand_13_software.inc``)."""
+    name = F.lower(F.regexp_replace(brand, "#", "_"))
+    return (
+        F.when(part_key % 5 == 1, F.regexp_replace(name, "_", "-"))
+        .when(part_key % 5 == 3, F.concat(name, F.lit("_software.inc")))
+        .otherwise(name)
+    )
+
+
+def cpe_lists(docs: DataFrame, part: DataFrame) -> DataFrame:
+    """(n, cpes): 1..4 CPE match entries for each document ``n``. Entry k points
+    at part key (7 n + 13 k) mod the number of parts; entries whose key is
+    absent are left out. Only keys meet ``part``, so no text is moved."""
+    n, k = F.col("n"), F.col("k")
+    n_parts = part.agg(F.count(F.lit(1))).scalar()
+    wanted = docs.select("n", F.explode(F.sequence(F.lit(0).cast("long"), n % 4)).alias("k"))
+    wanted = wanted.withColumn("_parts", n_parts).withColumn("p_partkey", (n * 7 + k * 13) % F.col("_parts"))
+    p = part.select(
+        "p_partkey",
+        _vendor(F.col("p_partkey"), F.col("p_brand")).alias("brand"),
+        F.regexp_replace("p_name", " ", "_").alias("pname"),
+        F.col("p_size").cast("string").alias("psize"),
+    )
+    vendor = F.when((n + k) % 11 == 0, F.lit("*")).otherwise(F.col("brand"))
+    product = F.when((n + k) % 13 == 0, F.lit("-")).otherwise(F.col("pname"))
+    criteria = F.concat_ws(":", F.lit("cpe"), F.lit("2.3"), F.lit("a"), vendor, product, F.col("psize"), *[F.lit("*")] * 7)
+    entry = F.struct(
+        ((n + k) % 5 != 0).alias("vulnerable"),
+        criteria.alias("criteria"),
+        F.concat(F.lit("m-"), n.cast("string"), F.lit("-"), k.cast("string")).alias("matchCriteriaId"),
+    )
+    found = wanted.join(p, "p_partkey").groupBy("n").agg(F.array_sort(F.collect_list(F.struct("k", entry.alias("entry")))).alias("found"))
+    return found.select("n", F.transform("found", lambda x: x["entry"]).alias("cpes"))
 
 
 def _snapshots(has_v2: Column) -> Column:
@@ -116,9 +108,10 @@ def nvd_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One NVD item per document and snapshot: (n, cve_id, snapshot_date, raw_json)."""
     n = F.col("n")
     docs = table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").alias("n"), "text", "lang")
-    # A subquery cannot sit inside a lambda: project it first, then use the column.
-    docs = docs.withColumn("_lk", _part_lookup(table(spark, sf_dir, "part")))
-    docs = docs.withColumn("cpes", _cpe_list(n, F.col("_lk"))).drop("_lk")
+    keys = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"))
+    lists = cpe_lists(keys, table(spark, sf_dir, "part"))
+    no_cpes = F.array().cast("array<struct<vulnerable:boolean,criteria:string,matchCriteriaId:string>>")
+    docs = docs.join(lists, "n", "left").withColumn("cpes", F.coalesce("cpes", no_cpes))
     rows = docs.select("*", F.inline(_snapshots(n % 4 == 0)))
     v = F.col("v")
     cid = cve_id_of(n)
@@ -240,24 +233,33 @@ def bronze_kev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One question per conversation turn: (question_id, raw_query)."""
+    """Two questions per conversation turn, (question_id, raw_query): the turn's
+    whole text, and a template question made from the turn's keys."""
     c = table(spark, sf_dir, "conversations", spread=True)
     conv, turn = F.col("conv_id"), F.col("turn")
     m = (conv + turn) % 7
     x, y = cve_id_of(conv), cve_id_of(conv + 1)
-    brand = F.concat(F.lit("brand_"), (conv % 25 + 1).cast("string"))
-    q = (
+    number = (conv % 25 + 1).cast("string")
+    brand = F.concat(F.lit("brand_"), number)
+    # The same vendors the way people write them.
+    spoken = F.when(conv % 3 == 0, F.concat(F.lit("Brand "), number, F.lit(" Software, Inc."))).when(
+        conv % 3 == 1, F.concat(F.lit("Brand-"), number)).otherwise(brand)
+    since = F.concat(F.lit(" since 2024-01-"), F.format_string("%02d", conv % 28 + 1))
+    template = (
         F.when(m == 0, F.concat(F.lit("What is "), x, F.lit("?")))
         .when(m == 1, F.concat(F.lit("Compare "), x, F.lit(" and "), y))
-        .when(m == 2, F.concat(F.lit("Critical vulns in "), brand, F.lit(" since 2024-01-"),
-                               F.format_string("%02d", conv % 28 + 1)))
-        .when(m == 3, F.col("text"))
+        .when(m == 2, F.concat(F.lit("Critical vulns in "), spoken, since))
+        .when(m == 3, F.concat(F.lit("Latest critical or high vulns in "), spoken, F.lit(" in the last "),
+                               (conv % 120 + 1).cast("string"), F.lit(" days")))
         .when(m == 4, F.lit("What's exploited this month?"))
-        .when(m == 5, F.concat(F.lit("KEV vulnerabilities affecting "), brand, F.lit(" in the last "),
+        .when(m == 5, F.concat(F.lit("KEV vulnerabilities affecting "), spoken, F.lit(" in the last "),
                                (conv % 90 + 1).cast("string"), F.lit(" days")))
         .otherwise(F.lit(""))
     )
-    return c.select((conv * 1000 + turn).alias("question_id"), q.alias("raw_query"))
+    both = F.array(F.struct(F.lit(0).cast("long").alias("k"), F.col("text").alias("raw_query")),
+                   F.struct(F.lit(1).cast("long").alias("k"), template.alias("raw_query")))
+    asked = c.select("conv_id", "turn", F.inline(both))
+    return asked.select(((conv * 1000 + turn) * 2 + F.col("k")).alias("question_id"), "raw_query")
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,12 +5,19 @@ query reads new files only (the file source's checkpoint remembers what was
 read, so a file is never processed twice), maps rows to keyed records, and
 upserts each micro-batch into a keyed state table in ``foreachBatch``:
 
-* the state table is partitioned by ``bucket = pmod(xxhash64(keys), B)``;
-* a batch reads only the buckets it touches (partition pruning), keeps the
-  latest record per key over (state + batch), stages the result and
-  overwrites just those buckets (dynamic partition overwrite);
-* the upsert is idempotent, so a micro-batch replayed after a lost executor
-  or driver gives the same state.
+* records are dealt to ``bucket = pmod(xxhash64(keys), B)``; a batch rewrites
+  only the buckets it touches, as new files ``data-<version>/bucket=<b>``,
+  clustered so that a bucket is written by one task;
+* the files in force are listed in a small manifest (one row per bucket) that is
+  written last, as ``manifest/version=<n>``: readers take the newest complete
+  manifest, so a batch is visible wholly or not at all, and nothing in force is
+  ever overwritten;
+* the manifest names the query and epoch that made it, so an epoch that is
+  replayed after it was published changes nothing, and one that was cut off
+  before that starts again from the version in force;
+* data that neither of the last two versions names is removed;
+* a batch with more columns than the state adds them (older rows hold NULL),
+  and only a missing state counts as empty: any other error stops the batch.
 
 Latest-wins needs the full ordering, so it cannot use
 ``dropDuplicatesWithinWatermark`` (which keeps the first row); that operator
@@ -21,11 +28,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cvelake.operators.dedup import latest_per_key
+from cvelake.sources import feeds
 
 BUCKET = "bucket"
 
@@ -34,33 +41,78 @@ def _bucket(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
 
 
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system of ``path``, the path): any store Spark writes to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _published(spark: SparkSession, target: str) -> list[int]:
+    """Versions whose manifest is complete, ascending."""
+    fs, root = _fs(spark, f"{target}/manifest")
+    if not fs.exists(root):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(root)]
+    done = [n for n in names if n.startswith("version=") and fs.exists(_fs(spark, f"{target}/manifest/{n}/_SUCCESS")[1])]
+    return sorted(int(n.split("=")[1]) for n in done)
+
+
+def _manifest(spark: SparkSession, target: str, version: int) -> tuple[tuple[str, int], dict[int, str]]:
+    """((query, epoch) that made a version, bucket -> folder of its files); at most
+    one row per bucket, and one (bucket -1) that stands for the version itself."""
+    rows = spark.read.parquet(f"{target}/manifest/version={version}").collect()
+    made = next((r["folder"], r["epoch"]) for r in rows if r["bucket"] < 0)
+    return made, {r["bucket"]: r["folder"] for r in rows if r["bucket"] >= 0}
+
+
 def upsert_latest(
-    target: str, keys: Sequence[str], order: Callable[[], Sequence[Column]], buckets: int, staging: str,
+    target: str, keys: Sequence[str], order: Callable[[], Sequence[Column]], buckets: int,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function merging each batch into ``target``."""
 
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        versions = _published(spark, target)
+        made, force = _manifest(spark, target, versions[-1]) if versions else (None, {})
+        if query and made == (query, epoch):
+            return  # published before the stream could note it
+        version = versions[-1] + 1 if versions else 0
         b = batch.withColumn(BUCKET, _bucket(keys, buckets))
         # Distinct bucket ids: at most ``buckets`` small ints.
         touched = [r[0] for r in b.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        merged = b
-        try:
-            current = spark.read.parquet(target).filter(F.col(BUCKET).isin(touched))
-            merged = b.unionByName(current.select(*b.columns))
-        except AnalysisException:  # first batch: no state yet
-            pass
-        latest = latest_per_key(merged, keys, order())
-        stage = f"{staging}/epoch={epoch}"
-        latest.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-        (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(target))
+        if touched:
+            old = [force[x] for x in touched if x in force]
+            merged = b
+            if old:
+                current = spark.read.option("mergeSchema", True).parquet(*[f"{target}/{f}" for f in old])
+                merged = b.unionByName(current.withColumn(BUCKET, _bucket(keys, buckets)), allowMissingColumns=True)
+            latest = latest_per_key(merged, keys, order())
+            (latest.repartition(len(touched), BUCKET)
+             .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{target}/data-{version}"))
+            force |= {x: f"data-{version}/{BUCKET}={x}" for x in touched}
+        rows = [(-1, query, epoch), *((k, f, epoch) for k, f in sorted(force.items()))]
+        (spark.createDataFrame(rows, "bucket int, folder string, epoch long").coalesce(1)
+         .write.mode("overwrite").parquet(f"{target}/manifest/version={version}"))
+        _remove_old(spark, target, [*versions, version])
 
     return run
 
 
+def _remove_old(spark: SparkSession, target: str, versions: list[int]) -> None:
+    """Drops manifests but the last two, and data that neither of those names."""
+    kept = versions[-2:]
+    named = {f.split("/")[0] for v in kept for f in _manifest(spark, target, v)[1].values()}
+    for v in versions[:-2]:
+        fs, p = _fs(spark, f"{target}/manifest/version={v}")
+        fs.delete(p, True)
+    fs, root = _fs(spark, target)
+    for x in fs.listStatus(root):
+        name = x.getPath().getName()
+        if name.startswith("data-") and name not in named and int(name[5:]) < kept[-1]:
+            fs.delete(x.getPath(), True)
+
+
 def run_latest_wins(
     spark: SparkSession,
     source_dir: str,
@@ -70,7 +122,7 @@ def run_latest_wins(
     checkpoint: str,
     keys: Sequence[str],
     order: Callable[[], Sequence[Column]],
-    buckets: int = 64,
+    buckets: int,
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
 ):
@@ -84,7 +136,7 @@ def run_latest_wins(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     records = to_records(reader.load(source_dir))
     w = (
-        records.writeStream.foreachBatch(upsert_latest(target, keys, order, buckets, f"{checkpoint}/staging"))
+        records.writeStream.foreachBatch(upsert_latest(target, keys, order, buckets))
         .option("checkpointLocation", f"{checkpoint}/offsets")
     )
     if processing_time:
@@ -95,8 +147,12 @@ def run_latest_wins(
 
 
 def read_state(spark: SparkSession, target: str) -> DataFrame:
-    """The current state table, without its bucket column."""
-    return spark.read.parquet(target).drop(BUCKET)
+    """The state table in force, without its bucket column."""
+    versions = _published(spark, target)
+    if not versions:
+        raise ValueError(f"no state in {target}")
+    folders = _manifest(spark, target, versions[-1])[1].values()
+    return spark.read.option("mergeSchema", True).parquet(*[f"{target}/{f}" for f in folders])
 
 
 def dedup_replayed(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
@@ -104,28 +160,13 @@ def dedup_replayed(stream: DataFrame, keys: Sequence[str], event_time: str, dela
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_ingest_nvd(spark: SparkSession, feed_dir: str, bronze_dir: str, checkpoint: str, run_ts: str,
-                      glob: str = "*.json.gz") -> None:
-    """Append NVD feed files not ingested before to Bronze (opt-in skip of
-    files already loaded): the file source's checkpoint remembers every file
-    it has read, so a rerun over the same folder adds only new files. The
-    parquet sink commits each micro-batch exactly once."""
-    from cvelake.sources.feeds import snapshot_date
-
-    raw = (
-        spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-        .text(feed_dir, wholetext=True)
-        .select("value", F.col("_metadata.file_name").alias("source_file"), snapshot_date().alias("snapshot_date"))
-    )
-    env = F.from_json("value", "CVE_Items array<string>")
-    items = raw.select(F.explode(env["CVE_Items"]).alias("raw_json"), "source_file", "snapshot_date")
-    cid = F.coalesce(F.get_json_object("raw_json", "$.cve.id"), F.get_json_object("raw_json", "$.cve.CVE_data_meta.ID"))
-    bronze = (
-        items.withColumn("cve_id", cid)
-        .filter(F.col("cve_id").isNotNull() & (F.col("cve_id") != ""))
-        .select("cve_id", "raw_json", F.lit(run_ts).cast("timestamp").alias("ingest_ts"), "source_file",
-                "snapshot_date")
-    )
-    q = (bronze.writeStream.format("parquet").option("path", bronze_dir)
+def stream_ingest(spark: SparkSession, kind: str, feed_dir: str, bronze_dir: str, checkpoint: str, run_ts: str,
+                  glob: str | None = None) -> None:
+    """Append feed files of one ``kind`` (nvd, kev, epss) not ingested before to
+    Bronze: the file source's checkpoint remembers every file it has read, so a
+    rerun over the same folder adds only new files. The parquet sink commits each
+    micro-batch exactly once."""
+    raw = feeds.feed_lines(spark.readStream, feed_dir, glob or feeds.GLOBS[kind])
+    q = (feeds.bronze_of(raw, kind, run_ts).writeStream.format("parquet").option("path", bronze_dir)
          .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()

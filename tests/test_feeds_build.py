@@ -58,6 +58,32 @@ def test_readers(spark, tmp):
     assert epss["CVE-2024-0001"]["epss_score"] == 0.9 and epss["CVE-2024-0002"]["epss_score"] is None
 
 
+def test_epss_columns_are_found_by_name_and_dates_in_file_names_only(spark, tmp):
+    folder = f"{tmp}/2023-05-05/epss"
+    os.makedirs(f"{folder}/deeper")
+    with open(f"{folder}/scores.csv", "w") as f:
+        f.write("# c\n\n percentile ,EPSS,cve\n0.5,0.25,CVE-2024-0001\n,,CVE-2024-0002\n")
+    with open(f"{folder}/epss_2024-02-02.csv", "w") as f:
+        f.write("cve,epss,percentile\nCVE-2024-0003,1,0\n")
+    with open(f"{folder}/deeper/epss_2024-02-03.csv", "w") as f:
+        f.write("cve,epss,percentile\nCVE-2024-0009,1,0\n")
+    want = [("CVE-2024-0001", 0.25, 0.5, "None"), ("CVE-2024-0002", None, None, "None"), ("CVE-2024-0003", 1.0, 0.0, "2024-02-02")]
+    whole = feeds.bronze_of(feeds.feed_lines(spark.read, folder, "*.csv"), "epss", RUN1)
+    for df in (feeds.read_epss(spark, folder, RUN1), whole):
+        got = sorted((r["cve_id"], r["epss_score"], r["epss_percentile"], str(r["snapshot_date"])) for r in df.collect())
+        assert got == want
+
+
+def test_ingest_report_names_skipped_files(spark, tmp):
+    _feeds(tmp)
+    got = {(r["kind"], r["source_file"], r["reason"]) for r in feeds.ingest_report(spark, tmp).collect()}
+    assert got == {
+        ("nvd", "nvd_modified_2024-01-17.json.gz", "unreadable"),
+        ("kev", "cisa_kev_2024-01-16.json", "missing or non-list 'vulnerabilities'"),
+        ("epss", "epss_2024-01-16.csv", "header lacks cve, epss or percentile"),
+    }
+
+
 def test_validation_reports_broken_files(spark, tmp):
     _feeds(tmp)
     v = {os.path.basename(r["file_path"]): r for r in
@@ -69,7 +95,7 @@ def test_validation_reports_broken_files(spark, tmp):
     assert v["nvd_modified_2024-01-17.json.gz"]["reason"] == "unreadable"
     assert not v["cisa_kev_2024-01-16.json"]["ok"]
     assert v["cisa_kev_2024-01-15.json"]["n_records"] == 1
-    assert v["epss_2024-01-16.csv"]["reason"] == "missing expected columns"
+    assert v["epss_2024-01-16.csv"]["reason"] == "header lacks cve, epss or percentile"
     # comment and blank lines are skipped, as the reader skips them
     assert v["epss_2024-01-15.csv"]["ok"] and v["epss_2024-01-15.csv"]["n_records"] == 2
 

@@ -1,6 +1,7 @@
 """Plan properties that matter at scale, checked on the physical plans."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from cvelake.queries import QUERIES
 
@@ -18,6 +19,57 @@ def test_no_cartesian_products(spark, name):
     assert "BatchEvalPython" not in p  # no row-at-a-time Python UDFs
 
 
+def test_no_join_on_a_constant(spark):
+    """A join key that is a literal, or a column equal to one, hides a product."""
+    import re
+
+    for name in ("answer_trends", "answer_trend_vendors", "answer_filtered", "vector_topk_batch", "text_search_filtered"):
+        for keys in re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[([^\]]*)\]", _plan(QUERIES[name](spark, SF))):
+            assert not re.search(r"\b(true|false)\b", keys) and re.search(r"#\d+", keys), (name, keys)
+
+
+def test_cpes_reach_every_part(spark):
+    from cvelake.sources import fixtures as fx
+
+    part = fx.table(spark, SF, "part")
+    docs = spark.range(3000).withColumnRenamed("id", "n")
+    for n_parts in (50, 200):
+        some = part.filter(F.col("p_partkey") < n_parts)
+        n_uris = fx.cpe_lists(docs, some).select(F.explode("cpes.matchCriteriaId")).count()
+        names = fx.cpe_lists(docs, some).select(F.explode("cpes.criteria").alias("c")).select(F.split("c", ":")[4].alias("p")).distinct()
+        want = some.select(F.regexp_replace("p_name", " ", "_").alias("p")).distinct()
+        assert n_uris == sum(n % 4 + 1 for n in range(3000)) and want.subtract(names).count() == 0
+
+
+def test_payload_is_parsed_once(spark):
+    for name in ("cve_documents", "vuln_enriched", "snapshot_diff"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert "cvssMetricV31" not in "".join(line for line in plan.splitlines() if "from_json" in line)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from cvelake.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+
+
 def test_dedup_is_prelimited_before_the_shuffle(spark):
     p = _plan(QUERIES["cve_core_latest"](spark, SF))
     assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p

@@ -110,11 +110,13 @@ def test_semantic_search_prefilters(spark):
     ]
     f = spark.createDataFrame(rows, "cve_id string, embedding array<float>, cvss_v3_score double, "
                               "cvss_v3_severity string, epss_score double, kev_flag boolean, vendors_str string, "
-                              "products_str string, cwe_id string").withColumn(
-        "description", F.lit("d")).withColumn("risk_tier", F.lit("HIGH"))
+                              "products_str string, cwe_id string")
+    vectors, documents = f.select("cve_id", "embedding"), f.drop("embedding").withColumn("document_text", F.lit("anvil text"))
+    gold = f.select("cve_id", "kev_flag", "cvss_v3_score").withColumns(
+        {"description": F.lit("d"), "risk_tier": F.lit("HIGH"), "risk_score": F.col("cvss_v3_score") * 10})
 
     def ids(**kw):
-        return [r["cve_id"] for r in se.semantic_search(f, [1.0, 0.0], 10, **kw).orderBy("rank").collect()]
+        return [r["cve_id"] for r in se.semantic_search(vectors, documents, gold, [1.0, 0.0], 10, **kw).orderBy("rank").collect()]
 
     assert ids() == ["C1", "C2", "C3"]
     assert ids(kev_only=True) == ["C1", "C3"]
@@ -122,18 +124,54 @@ def test_semantic_search_prefilters(spark):
     assert ids(vendors=["ACME"]) == ["C1", "C2"]
     assert ids(products=["anvil"], min_epss=0.05) == ["C2"]
     assert ids(cwes=["cwe-79"]) == ["C1"]
+    # Without vectors the keyword search answers, in the same form.
+    found = se.search_or_fallback(vectors.filter("false"), documents, gold, [1.0, 0.0], "ANVIL", 10, min_cvss=7.0)
+    assert [(r["cve_id"], r["score"], r["risk_tier"]) for r in found.orderBy("rank").collect()] == [("C1", None, "HIGH"), ("C3", None, "HIGH")]
+    queries = spark.createDataFrame([(1, "anvil"), (2, "zebra")], "qid int, q string")
+    hits = se.text_search(documents.withColumn("document_text", F.concat("cve_id", F.lit(" "), "products_str")), gold, queries, "qid", "q", 5, kev_only=False)
+    assert [(r["query_id"], r["cve_id"], r["risk_tier"]) for r in hits.collect()] == [(1, "C2", "HIGH")]
 
 
-def test_batch_search_in_several_passes_and_blocks(spark, monkeypatch):
+def test_batch_search_in_blocks_keeps_vectors_off_the_driver(spark, monkeypatch):
     import cvelake.operators.vector as vec
 
     rng = np.random.default_rng(11)
     x = rng.normal(size=(200, 8)).astype(np.float32)
-    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(200)], "id int, embedding array<float>")
-    qdf = spark.createDataFrame([(j, x[j].tolist()) for j in range(12)], "qid int, embedding array<float>")
-    monkeypatch.setattr(vec, "MAX_QUERY_BYTES", 8 * 8 * 3)  # 3 queries per pass -> 6 passes with margin
-    monkeypatch.setattr(vec, "MAX_SCORE_BYTES", 8 * 200 * 2)  # 2 queries per score block
-    b = batch_cosine_topk(df.repartition(3), "embedding", "id", qdf, "qid", "embedding", 4).collect()
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(200)] + [(900, None)], "id int, embedding array<float>")
+    qdf = spark.createDataFrame([(j, x[j].tolist()) for j in range(12)] + [(99, None)], "qid int, embedding array<float>")
+    monkeypatch.setattr(vec, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(vec, "CANDIDATE_BLOCK", 60)
+    plan = batch_cosine_topk(df.repartition(3), "embedding", "id", qdf, "qid", "embedding", 4)
+    assert "_query" not in str(plan.schema)  # lazy: nothing was collected to build it
+    b = plan.collect()
+    assert {r["query_id"] for r in b} == set(range(12))
     for j in range(12):
         ids = [r["id"] for r in sorted((r for r in b if r["query_id"] == j), key=lambda r: r["rank"])]
         assert ids == _brute(x.astype(np.float64), x[j].astype(np.float64), 4)
+    assert batch_cosine_topk(df, "embedding", "id", qdf.filter("false"), "qid", "embedding", 4).count() == 0
+
+
+def test_vendors_of_several_words_and_far_dates(spark):
+    qdf = spark.createDataFrame([
+        (1, "Latest in Hewlett-Packard"), (2, "high vulns of Palo Alto Networks, Inc."), (3, "palo alto high"),
+        (4, "new in the last 99999999999 days"), (5, "apache_tomcat high"), (6, None),
+    ], "question_id long, raw_query string")
+    vendors = spark.createDataFrame([("hewlett-packard",), ("palo_alto_networks",), ("Apache.Tomcat",), ("-",), (None,)], "vendor string")
+    p = {r["question_id"]: r for r in qs.classify_questions(qdf, vendors, "2024-03-01").collect()}
+    assert [p[i]["vendors"] for i in range(1, 7)] == [["hewlett-packard"], ["palo_alto_networks"], [], [], ["apache.tomcat"], []]
+    assert str(p[4]["date_from"]) == "0003-07-12" or p[4]["date_from"].year < 100
+
+
+def test_trends_honour_filters(spark):
+    gold = spark.createDataFrame(
+        [("C%d" % i, True, f"2024-02-{i:02d}", 50.0, "HIGH" if i % 2 else "LOW") for i in range(1, 21)] + [("C99", False, None, 1.0, "LOW")],
+        "cve_id string, kev_flag boolean, d string, risk_score double, risk_tier string").withColumn("kev_date_added", F.to_date("d"))
+    products = spark.createDataFrame([("C%d" % i, "Acme" if i % 3 else "Globex") for i in range(1, 21)] + [("C3", "acme"), ("C4", None)], "cve_id string, vendor string")
+    qdf = spark.createDataFrame([
+        (1, "TREND_ANALYSIS", [], [], None), (2, "TREND_ANALYSIS", ["globex"], ["HIGH"], "2024-02-05"),
+        (3, "TREND_ANALYSIS", ["acme", "globex"], [], "2024-02-19"), (4, "CVE_LOOKUP", [], [], None),
+    ], "question_id long, intent string, vendors array<string>, risk_tiers array<string>, d string").withColumn("date_from", F.to_date("d"))
+    rows = qs.answer_trends(qdf, gold, products, 3, "2024-03-01").orderBy("question_id", "rank").collect()
+    assert [(r["question_id"], r["cve_id"]) for r in rows] == [(1, "C20"), (1, "C19"), (1, "C18"), (2, "C15"), (2, "C9"), (3, "C20"), (3, "C19")]
+    counts = qs.answer_trend_vendors(qdf, gold, products, 2, "2024-03-01").orderBy("question_id", "rank").collect()
+    assert [(r["question_id"], r["vendor"], r["kev_count"]) for r in counts] == [(1, "acme", 15), (1, "globex", 6), (2, "globex", 2), (3, "acme", 2)]
