@@ -6,7 +6,7 @@ deterministic; each tool is a keyed join against the Gold tables:
 * lookup / compare / not-found: equi-join on ``cve_id``;
 * filtered search: rows are cut to the best few of each (vendor, tier, KEV flag,
   day) cell, questions are reduced to their distinct filter sets, and sets meet
-  cells on their most selective key (vendor, else tier, else KEV);
+  cells on their vendors, else on their tiers;
 * trends: KEV rows are cut to the newest few per (vendor, tier) key, or counted by
   vendor, tier and day, and the distinct filter sets join those on their keys.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cvelake.functions import text as tx
-from cvelake.functions.columns import truncate_text
+from cvelake.functions.columns import TIERS, truncate_text
 from cvelake.plans.gold import as_of_date, recent_kev_filter
 
 RESULT_COLUMNS = ["cve_id", "description", "risk_score", "risk_tier", "kev_flag"]
@@ -237,17 +237,15 @@ def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame,
     by_vendor = cells(e.join(pairs, "cve_id"), "key")
     plain = cells(e)
     by_tier = plain.withColumn("key", F.col("risk_tier"))
-    by_kev = plain.filter("kev_flag").withColumn("key", F.lit("KEV"))
 
     keyed_vendor = sets.filter(F.size("vendors") > 0).withColumn("key", F.explode("vendors"))
-    keyed_tier = sets.filter((F.size("vendors") == 0) & (F.size("risk_tiers") > 0)).withColumn("key", F.explode("risk_tiers"))
-    keyed_kev = sets.filter((F.size("vendors") == 0) & (F.size("risk_tiers") == 0)).withColumn(
-        "key", F.when(F.col("kev_only"), F.lit("KEV")))
+    every_tier = F.array(*[F.lit(t) for t in (*(name for _, name in TIERS), "LOW")])
+    keyed_tier = sets.filter(F.size("vendors") == 0).withColumn(
+        "key", F.explode(F.when(F.size("risk_tiers") > 0, F.col("risk_tiers")).otherwise(every_tier)))
     cols = [*set_cols, *RESULT_COLUMNS, "day"]
     met = (
         keyed_vendor.join(by_vendor, "key").select(*cols)
         .unionByName(keyed_tier.join(by_tier, "key").select(*cols))
-        .unionByName(keyed_kev.join(by_kev, "key").select(*cols))
     )
     ok = (
         ((F.size("risk_tiers") == 0) | F.array_contains("risk_tiers", F.col("risk_tier")))
