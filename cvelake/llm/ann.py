@@ -40,8 +40,6 @@ USUAL_VECTORS = 10_000
 AXES = 40
 #: Vectors of one task's block.
 BLOCK = 16_384
-#: Equal vectors are thinned to their smallest ids in so many salted steps.
-SALTS = 256
 SEED = 20_240_601
 
 _INDEX = "table int, first int, second int, rep long, embedding array<float>"
@@ -164,8 +162,32 @@ def _rerank(k: int):
     return run
 
 
+def _thin(keep: int):
+    """Equal vectors of a batch as one row with their ``keep`` smallest ids."""
+
+    def run(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, ids = _matrix(batch.column("embedding")) + np.float32(0), batch.column("vec_id").to_numpy()  # -0.0 is 0.0
+            rows: dict[bytes, int] = {}
+            found: dict[bytes, list[int]] = {}
+            for i in np.argsort(ids, kind="stable").tolist():
+                key = x[i].tobytes()
+                rows.setdefault(key, i)
+                own = found.setdefault(key, [])
+                if len(own) < keep and (not own or own[-1] != ids[i]):
+                    own.append(int(ids[i]))
+            at = pa.array(list(rows.values()), pa.int64())
+            columns = [batch.column("embedding").take(at), pa.array(list(found.values()), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["embedding", "ids"])
+
+    return run
+
+
 def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
-    """embedding, ids (its ``keep`` smallest vec_ids), rep (the smallest)."""
+    """embedding, ids (its ``keep`` smallest vec_ids), rep (the smallest). Batches are
+    thinned before the shuffle, so a group holds at most ``keep`` ids of each batch."""
     good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).filter(
         F.col("vec_id").isNotNull()
         & F.col("embedding").isNotNull()
@@ -174,11 +196,8 @@ def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     )
     usual = good.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1)
     dim = (usual.first() or [0])[0]
-    good = good.filter(F.size("embedding") == dim).distinct()
-    salted = good.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
-    rank = F.row_number().over(Window.partitionBy("embedding", "salt").orderBy("vec_id"))
-    few = salted.withColumn("rank", rank).filter(F.col("rank") <= keep)
-    ids = F.slice(F.array_sort(F.collect_list("vec_id")), 1, keep)
+    few = good.filter(F.size("embedding") == dim).mapInArrow(_thin(keep), "embedding array<float>, ids array<long>")
+    ids = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep)
     return few.groupBy("embedding").agg(ids.alias("ids")).withColumn("rep", F.get("ids", F.lit(0)))
 
 
