@@ -16,16 +16,15 @@ def components(edges: DataFrame) -> DataFrame:
     diameter. Rounds are written tables: joins run on plain exchanges, whose hot
     keys (the centre of a star) Spark splits, and minima are pre-aggregated. Nothing
     but a count comes to the driver."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
     both = stage(both, "edges")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
     while True:
-        told = both.join(labels, F.col("a") == F.col("node")).select(F.col("b").alias("node"), "label")
-        least = labels.union(told).groupBy("node").agg(F.min("label").alias("label"))
-        least = stage(least, "labels")
+        told = both.join(labels, F.col("a") == F.col("node")).select(F.col("b").alias("node"), "label", F.lit(None).cast("long").alias("before"))
+        least = labels.select("node", "label", F.col("label").alias("before")).union(told)
+        least = stage(least.groupBy("node").agg(F.min("label").alias("label"), F.max("before").alias("before")), "labels")
         of_label = least.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        further = stage(least.join(of_label, "label").select("node", F.least("label", "further").alias("label")), "labels")
-        changed = further.join(labels.withColumnRenamed("label", "before"), "node").filter(F.col("label") < F.col("before"))
-        if changed.isEmpty():
-            return further
-        labels = further
+        further = stage(least.join(of_label, "label").select("node", F.least("label", "further").alias("label"), "before"), "labels")
+        labels = further.select("node", "label")
+        if further.filter("label < before").isEmpty():
+            return labels

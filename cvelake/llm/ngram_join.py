@@ -9,14 +9,17 @@ Nothing is lost: every reduction below is exact.
    with all of its shingles. Most documents go this way without leaving more than
    a few numbers.
 2. Prefixes: two linked classes share a shingle among the first n - ceil(0.8 n) + 1
-   of each, in any order common to all. The order puts shingles that many classes
-   hold last, so lists stay short. Connected lists form candidate groups.
+   of each, in any order common to all. The order is by the number of classes that
+   hold a shingle, rarest first, so the prefix is filled with shingles of the class's
+   own and of its near copies, and passages that many documents share stay out of
+   it. Shingles of one class alone match nothing and are left out of the lists.
+   Connected lists form candidate groups.
 3. Within a group the sets, in one common order with the most frequent shingles
    first, are stored in a prefix tree. A set walks the tree, nodes share the overlap
    up to them, and a subtree is left as soon as the overlap so far and what remains
    of either side can't reach the bound. Sets that are linked leave the tree and walk
    it in turn, so a group of n near copies takes about n walks, not n * n checks.
-4. A group beyond ``BLOCK_SETS`` is split into blocks, each a tree of its own. One
+4. A group beyond ``BLOCK_SETS`` sets or ``BLOCK_SHINGLES`` shingles is split into blocks, each a tree of its own. One
    set walks all blocks of its group; sets that are not yet in its component walk
    all blocks too, as probes, so a pair goes unchecked only if it is connected.
 
@@ -32,25 +35,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cvelake.llm.common import fresh_column, ship
 from cvelake.llm.components import components
 from cvelake.llm.shingles import set_id, shingle_sets
+from cvelake.llm.tokens import forget
 from cvelake.session import stage
 
 #: Two sets link at this many hundredths.
 PERCENT = 80
 #: Share of the hash space whose shingles are counted first.
-RANGE = 0.3
-#: A shingle of more classes than this is put last in the order; of those only the
-#: MOST_LATE most frequent are (any choice gives the same links).
-LATE_CLASSES = 32
-MOST_LATE = 1 << 17
-#: Sets of one tree.
-BLOCK_SETS = 512
+RANGE = 0.35
+#: So many open classes are sent to the tasks that read the texts; more are joined
+#: by a shuffle.
+MOST_SENT = 1_000_000
+#: Sets, and shingles in them, of one tree.
+BLOCK_SETS = 4096
+BLOCK_SHINGLES = 4_000_000
 #: Tokens of a tree's node that are compared between two looks at the bounds.
 STEP = 64
 
@@ -69,6 +73,7 @@ def slack(n) -> F.Column:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         sizes, ids = [], []
         for own in shingle_sets(batch.column("text")):
@@ -78,10 +83,27 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "class"])
 
 
+def _ends(tokens: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token its smallest and, if there are several, its largest owner: what
+    of a batch matters to whether a token has one owner."""
+    if not len(tokens):
+        return tokens, owners
+    order = np.lexsort((owners, tokens))
+    tokens, owners = tokens[order], owners[order]
+    new = tokens[1:] != tokens[:-1]
+    first, last = np.concatenate([[True], new]), np.concatenate([new, [True]])
+    keep = first | (last & np.concatenate([[False], owners[1:] != owners[:-1]]))
+    # A last row that equals the first one's owner says nothing new.
+    start = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), 0))
+    keep &= first | (owners != owners[start])
+    return tokens[keep], owners[keep]
+
+
 def _in_range(share: float):
-    most = np.uint64(min(1.0, share) * (2**64 - 1)) if share < 1 else np.uint64(2**64 - 1)
+    most = np.uint64(int(min(1.0, share) * (2**64 - 2**12)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen: set[int] = set()  # copies in one task count once
         for batch in batches:
             tokens, owners = [], []
@@ -93,8 +115,8 @@ def _in_range(share: float):
                 tokens.append(low)
                 owners.append(np.full(len(low), key, np.int64))
             if tokens:
-                found = [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))]
-                yield pa.RecordBatch.from_arrays(found, names=["token", "class"])
+                found = _ends(np.concatenate(tokens).view(np.int64), np.concatenate(owners))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["token", "class"])
 
     return run
 
@@ -103,12 +125,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sets of rows whose class is the one asked for."""
     for batch in batches:
         rows = []
-        for key, own in zip(batch.column("class").to_pylist(), shingle_sets(batch.column("text")), strict=True):
+        asked = zip(batch.column("class").to_pylist(), batch.column("copies").to_pylist(), shingle_sets(batch.column("text")), strict=True)
+        for key, copies, own in asked:
             if len(own) and set_id(own) == key:
-                rows.append((key, len(own), own.astype("<u8").tobytes()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
-        kinds = [pa.int64(), pa.int64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["class", "n", "tokens"])
+                rows.append((key, len(own), copies, own.astype("<u8").tobytes()))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["class", "n", "copies", "tokens"])
 
 
 def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,28 +139,9 @@ def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = batch.column("class").to_numpy(), batch.column("n").to_numpy()
         for first in range(0, len(keys), 512):
             data = b"".join(batch.column("tokens").slice(first, 512).to_pylist())
-            owners = np.repeat(keys[first : first + 512], counts[first : first + 512])
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(data, "<i8")), pa.array(owners)], names=["token", "class"])
-
-
-def _prefixes(late: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, owners = [], []
-            for key, data in zip(batch.column("class").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
-                own = np.frombuffer(data, "<u8")
-                if len(late):
-                    at = np.minimum(np.searchsorted(late, own), len(late) - 1)
-                    is_late = late[at] == own
-                    own = np.concatenate([own[~is_late], own[is_late]])
-                prefix = own[: len(own) - least_overlap(len(own)) + 1]
-                tokens.append(prefix)
-                owners.append(np.full(len(prefix), key, np.int64))
-            if tokens:
-                found = [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))]
-                yield pa.RecordBatch.from_arrays(found, names=["token", "class"])
-
-    return run
+            sizes = counts[first : first + 512]
+            columns = [np.frombuffer(data, "<i8"), np.repeat(keys[first : first + 512], sizes), np.repeat(sizes, sizes).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "class", "n"])
 
 
 # ---------------------------------------------------------------- the prefix tree
@@ -292,9 +296,9 @@ def _join_probes(group: pa.Table) -> pa.Table:
     return _as_links(found)
 
 
-def _block_links(members: DataFrame, sizes: DataFrame, block_sets: int) -> DataFrame:
+def _block_links(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Links within groups that are too large for one tree."""
-    blocks = sizes.select("label", F.ceil(F.col("members") / block_sets).cast("int").alias("blocks"))
+    blocks = sizes.select("label", "blocks")
     dealt = members.join(blocks, "label").withColumn("block", F.expr("cast(pmod(xxhash64(class), blocks) as int)"))
     dealt = stage(dealt, "blocks")
     inside = stage(dealt.groupBy("label", "block").applyInArrow(_join_group, _LINKS), "links")
@@ -329,52 +333,56 @@ def classes_of(docs: DataFrame) -> DataFrame:
     return read.mapInArrow(_classes, "doc_id long, n long, class long")
 
 
-def _own_counts(tokens: DataFrame, late_classes: int | None = None) -> DataFrame:
-    """From (token, class): how many tokens only that class has, as rows (class, own);
-    with ``late_classes`` also a row (token, uses) for each token of more classes."""
-    held = tokens.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("uses"))
-    alone = F.col("low") == F.col("high")
-    keep, columns = alone, [F.when(alone, F.col("low")).alias("class")]
-    if late_classes is not None:
-        late = F.col("uses") > late_classes
-        keep = alone | late
-        columns.append(F.when(~alone & late, F.col("token")).alias("token"))
-    found = held.filter(keep).select(*columns, "uses")
-    names = [c for c in found.columns if c != "uses"]
-    return stage(found.groupBy(*names).agg(F.count("*").alias("own"), F.max("uses").alias("uses")), "own_tokens")
+def _sets_of(read: DataFrame, asked: DataFrame) -> DataFrame:
+    """class, n, tokens of every class in ``asked`` (doc_id, class, copies), once each."""
+    if asked.count() <= MOST_SENT:
+        asked = F.broadcast(asked)
+    found = read.join(asked, "doc_id").select("class", "copies", "text").mapInArrow(_sets, "class long, n long, copies long, tokens binary")
+    found = stage(found, "sets")
+    # Only rows that share both id and text can give a class twice.
+    once, several = found.filter("copies = 1"), found.filter("copies > 1").dropDuplicates(["class"])
+    return once.unionByName(several).drop("copies")
 
 
-def links(docs: DataFrame, classes: DataFrame, block_sets: int = BLOCK_SETS, share: float = RANGE, late_classes: int = LATE_CLASSES) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, block_sets: int = BLOCK_SETS, share: float = RANGE) -> DataFrame:
     """Links between classes (a, b) that connect all linked classes of ``docs``."""
-    spark = docs.sparkSession
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    own = _own_counts(read.select("text").mapInArrow(_in_range(share), "token long, class long"))
-    known = classes.filter("class is not null and doc_id is not null").groupBy("class", "n").agg(F.min("doc_id").alias("doc_id"))
-    open_classes = known.join(own.select("class", "own"), "class", "left").filter(F.coalesce("own", F.lit(0)) <= slack("n"))
-    asked = stage(open_classes.select("doc_id", "class"), "open_classes")
-    sets = stage(read.join(asked, "doc_id").select("class", "text").mapInArrow(_sets, "class long, n long, tokens binary"), "sets")
-
-    counted = _own_counts(sets.mapInArrow(_all_tokens, "token long, class long"), late_classes)
-    late = counted.filter("token is not null").orderBy(F.desc("uses"), "token").limit(MOST_LATE).select("token").toPandas()["token"]
-    late = np.sort(late.to_numpy(np.int64).view(np.uint64))
-    own = counted.filter("class is not null").select("class", "own")
-    sets = sets.join(own, "class", "left").filter(F.coalesce("own", F.lit(0)) <= slack("n")).drop("own")
-    sets = stage(sets, "sets")
-
-    entries = stage(sets.mapInArrow(_prefixes(late), "token long, class long"), "prefixes")
+    ranged = read.select("text").mapInArrow(_in_range(share), "token long, class long")
+    # Batches are combined before the shuffle (_ends), so a partial aggregate would add nothing.
+    ends = ranged.repartition("token").groupBy("token").agg(F.min("class").alias("class"), F.max("class").alias("last"))
+    own = stage(ends.filter("class = last").groupBy("class").agg(F.count("*").alias("own")), "own_tokens")
+
+    rows = classes.filter("class is not null and doc_id is not null").groupBy("class", "n", "doc_id").agg(F.count("*").alias("copies"))
+    known = rows.groupBy("class", "n").agg(F.min(F.struct("doc_id", "copies")).alias("row"))
+    open_classes = known.join(own, "class", "left").filter(F.coalesce("own", F.lit(0)) <= slack("n"))
+    asked = stage(open_classes.select("row.doc_id", "class", "row.copies"), "open_classes")
+    sets = _sets_of(read, asked)
+
+    tokens = sets.mapInArrow(_all_tokens, "token long, class long, n int")
+    uses = tokens.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("uses"))
+    shared = tokens.join(stage(uses.filter("low < high").select("token", "uses"), "shared_tokens"), "token")
+    # A class's own shingles come first in its prefix; what is left of it goes to
+    # the rarest shared ones, and a class that has none left is out.
+    of_class = Window.partitionBy("class")
+    placed = shared.withColumn("shared", F.count("*").over(of_class)).withColumn("place", F.row_number().over(of_class.orderBy("uses", "token")))
+    least = F.ceil(F.col("n") * PERCENT / F.lit(100))
+    entries = stage(placed.filter(F.col("place") <= F.col("shared") - least + 1).select("token", "class"), "prefixes")
+
     heads = entries.groupBy("token").agg(F.min("class").alias("head"), F.max("class").alias("last")).filter("head < last")
     heads = stage(heads.select("token", "head"), "heads")
     candidates = entries.join(heads, "token").filter("class <> head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct()
     groups = components(candidates).select(F.col("node").alias("class"), "label")
-    sizes = groups.groupBy("label").agg(F.count("*").alias("members"))
-    members = stage(sets.join(groups, "class").join(sizes, "label").select("label", "class", "n", "tokens", "members"), "members")
-    small = members.filter(F.col("members") <= block_sets).drop("members")
-    large = members.filter(F.col("members") > block_sets).drop("members")
-    found = stage(small.groupBy("label").applyInArrow(_join_group, _LINKS), "links")
-    large_sizes = stage(sizes.filter(F.col("members") > block_sets), "large_groups")
+    grouped = sets.join(groups, "class").select("label", "class", "n", "tokens")
+    grouped = stage(grouped, "members")
+    needed = F.ceil(F.greatest(F.count("*") / F.lit(block_sets), F.sum("n") / F.lit(BLOCK_SHINGLES)))
+    sizes = stage(grouped.groupBy("label").agg(needed.cast("int").alias("blocks")), "group_sizes")
+    large_sizes = sizes.filter("blocks > 1")
     if large_sizes.isEmpty():
-        return found
-    return found.union(_block_links(large, large_sizes, block_sets))
+        return stage(grouped.groupBy("label").applyInArrow(_join_group, _LINKS), "links")
+    small = grouped.join(sizes.filter("blocks = 1").select("label"), "label", "left_semi")
+    large = grouped.join(large_sizes.select("label"), "label", "left_semi")
+    found = stage(small.groupBy("label").applyInArrow(_join_group, _LINKS), "links")
+    return found.union(_block_links(large, large_sizes))
 
 
 def groups(docs: DataFrame, **options) -> DataFrame:

@@ -42,7 +42,7 @@ def test_groups_match_all_pairs(spark, block_sets):
     rows = families(random.Random(block_sets), 14, 9)
     rows += [(1000, None), (1001, ""), (1002, "one two"), (1003, "ONE two"), (1004, "one"), (1005, rows[0][1]), (2000 - 1, rows[1][1].upper())]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("class", F.lit("x")).withColumn("n", F.lit(0)).repartition(3)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.groups(df, block_sets=block_sets, late_classes=4).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.groups(df, block_sets=block_sets).collect()}
     want = link_groups(rows)
     assert got == {i: (len(shingles(t)), want[i]) for i, t in rows}
 
@@ -60,7 +60,7 @@ def test_large_group_of_near_copies_in_blocks(spark):
         far[at] = f"f{at}"  # links with some members only
     rows += [(60, " ".join(far)), (61, " ".join(far[:-3])), (62, " ".join(reversed(base)))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in J.groups(df, block_sets=7, late_classes=4).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in J.groups(df, block_sets=7).collect()}
     assert got == link_groups(rows)
 
 
@@ -100,6 +100,11 @@ def test_tree_finds_just_the_links():
             assert sorted(tree.linked(s)) == [j for j, t in enumerate(plain) if 100 * len(plain[i] & t) >= 80 * len(plain[i] | t)]
 
 
+def test_ends_keep_what_tells_owners_apart():
+    tokens, owners = J._ends(np.array([5, 3, 5, 5, 9, 9, 3]), np.array([2, 7, 4, 1, 6, 6, 7]))
+    assert sorted(zip(tokens.tolist(), owners.tolist())) == [(3, 7), (5, 1), (5, 4), (9, 6)]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (105, 105), (200, 199)]
     df = spark.createDataFrame(chain, "a long, b long")
