@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cvelake.llm.common import fresh_column, ship
+from cvelake.llm.tokens import forget
 
 #: Edits allowed, as a share of an item's characters.
 EDIT_RATE = 0.08
@@ -159,6 +160,7 @@ def budget_of(text: str, rate: float = EDIT_RATE) -> int:
 
 def _find(items: list[tuple[int, str]], text_column: str, out: str, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         finder = Finder(items)
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
         names = ("item_id", "distance", "start", "end")

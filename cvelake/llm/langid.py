@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cvelake.llm.common import fresh_column, ship, slices
+from cvelake.llm.tokens import forget
 
 PIECE = 64
 STATES = 8
@@ -244,6 +245,7 @@ def fit(rows: list[tuple[str, str]], **options) -> Network | None:
 
 def _predict(network: Network, letter: str, kept: list[str], names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts, good = batch.column("text"), batch.column(letter).to_pylist()
             langs, scores = [], []

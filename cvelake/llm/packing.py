@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cvelake.llm.common import ship, slices, text_or_empty
-from cvelake.llm.tokens import tokenizer
+from cvelake.llm.tokens import CACHE_CHUNKS, tokenizer
 from cvelake.session import stage
 
 #: Open bins of one task.
@@ -87,12 +87,12 @@ class OpenBins:
     def remaining(self) -> set[int]:
         return {b for same in self.by_free.values() for b in same}
 
-def _pack_documents(path: str, drops_space: bool, end_id: int, capacity: int, open_bins: int):
+def _pack_documents(path: str, drops_space: bool, end_id: int, capacity: int, open_bins: int, cache_chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() * TASK_SPAN
         waiting: dict[int, list[tuple]] = {}  # rows of the open bins
-        encoder = tokenizer(path, drops_space)
+        encoder = tokenizer(path, drops_space, cache_chunks)
         end = np.array([end_id], np.uint32)
 
         def rows(found: list[tuple], is_open: bool) -> pa.RecordBatch:
@@ -149,15 +149,18 @@ def pack(
     drops_space: bool = True,
     open_bins: int = OPEN_BINS,
     tasks_per_repack: int = TASKS_PER_REPACK,
+    cache_chunks: int = CACHE_CHUNKS,
 ) -> DataFrame:
     """``docs`` (doc_id, text) as pieces in sequences of at most ``capacity`` ids.
 
-    Each document is its ids and ``end_id``; only longer ones are cut. Returns per
+    Each document is its ids and ``end_id``; only longer ones are cut. ``cache_chunks``
+    bounds what a worker remembers of the tokenization (less memory, more time, the
+    same ids). Returns per
     piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     ship(docs.sparkSession)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     placed = stage(
-        read.mapInArrow(_pack_documents(tokenizer_path, drops_space, end_id, capacity, open_bins), _PIECES), "packed"
+        read.mapInArrow(_pack_documents(tokenizer_path, drops_space, end_id, capacity, open_bins, cache_chunks), _PIECES), "packed"
     )
     # The left-over bins number at most open_bins per task; each group of tasks
     # packs its own again, so no task gets more than a fixed number of them.

@@ -23,7 +23,7 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 _RUNS = ("  ", "\n\n", " \n", "\n ")
 #: Letters below this code point have one-to-one case and a fixed class.
 _LATIN_END = "\u0250"
-_LOADED: dict[tuple[str, bool], "ChunkTokenizer"] = {}
+_LOADED: dict[tuple[str, bool, int], "ChunkTokenizer"] = {}
 
 
 class _Index(dict):
@@ -149,10 +149,16 @@ class ChunkTokenizer:
         return ids, sizes
 
 
-def tokenizer(path: str, drops_space: bool) -> ChunkTokenizer:
+def tokenizer(path: str, drops_space: bool, cache_chunks: int = CACHE_CHUNKS) -> ChunkTokenizer:
     """The worker's own tokenizer for ``path``; kept between tasks."""
-    key = (path, drops_space)
+    key = (path, drops_space, cache_chunks)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = ChunkTokenizer(path, drops_space)
+        _LOADED[key] = ChunkTokenizer(path, drops_space, cache_chunks)
     return _LOADED[key]
+
+
+def forget() -> None:
+    """Frees a tokenizer that an earlier task left in this worker; operators that
+    need the memory for something else call it."""
+    _LOADED.clear()
