@@ -4,8 +4,10 @@ Every text becomes words; the hash of every run of ``K`` words joins the hashes
 the templates' runs. A hit at word p of the text and word q of the template votes
 for the diagonal p - q; votes are added up by diagonal, diagonals at most ``SHIFT``
 apart are merged (a word more or less moves the rest of a license by one), and a
-merged span counts if its hits cover enough of the template. Hits are compared word
-by word, so equal hashes of different words don't count.
+merged span counts if its hits cover enough of the template. A template of at most
+``WHOLE_RUNS`` runs is a short notice, in which one other word may name another
+license, and counts only if it stands whole. Hits are compared word by word, so
+equal hashes of different words don't count.
 
 Fixed phrases are found beside it, as words that stand consecutively.
 
@@ -31,23 +33,72 @@ from cvelake.session import stage
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# Opening words of common licenses and notices, by label.
+# Opening words of common licenses and notices, by label, then short notices.
 TEMPLATES = {
-    "apache-2.0": ["licensed under the apache license version 2 0"],
+    "apache-2.0": [
+        "licensed under the apache license version 2 0",
+        "the apache license 2 0",
+        "apache license version 2 0",
+        "apache 2 0 license",
+        "under apache 2 0",
+        "spdx license identifier apache 2 0",
+    ],
     "gpl": [
         "this work is licensed under the gnu general public license version 3",
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+        "under the gpl",
+        "the gnu gpl",
+        "under gnu gpl",
+        "spdx license identifier gpl",
+    ],
+    "cc-by-nc": [
+        "licensed under cc by nc 4 0",
+        "creative commons attribution noncommercial 4 0 international license",
+        "cc by nc",
+        "creative commons attribution noncommercial",
+        "creative commons attribution non commercial",
+    ],
+    "cc-by": [
+        "licensed under a creative commons attribution 4 0 international license",
+        "creative commons attribution 4 0",
+        "creative commons attribution license",
+        "under cc by 4 0",
+    ],
+    "mit": [
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+        "under the mit license",
+        "under an mit license",
+        "under mit license",
+        "of the mit license",
+        "the mit license mit",
+        "spdx license identifier mit",
+    ],
+    "bsd": [
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "under the bsd license",
+        "under a bsd license",
+        "under bsd license",
+        "of the bsd license",
+        "clause bsd license",
+        "bsd 2 clause",
+        "bsd 3 clause",
+    ],
+    "mpl-2.0": [
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "mozilla public license 2 0",
+        "mozilla public license v 2 0",
+        "mozilla public license version 2 0",
+        "under mpl 2 0",
+        "under the mpl 2 0",
+        "spdx license identifier mpl 2 0",
     ],
-    "cc-by-nc": ["licensed under cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"],
-    "cc-by": ["licensed under a creative commons attribution 4 0 international license"],
-    "mit": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
-    "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
 K = 3
 SHIFT = 2
 #: Share of a template's runs that a span must hold.
 LEAST_SHARE = 0.6
+#: One word changed in the middle breaks ``K`` runs, most of so short a template.
+WHOLE_RUNS = 4
 MOST_TEMPLATE_WORDS = 200_000
 
 
@@ -148,7 +199,7 @@ def scan(
         .groupBy("uid", "label", "template", "runs", "group")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list("q")))).alias("votes"), F.min("start").alias("start"), F.max("end").alias("end"))
         .withColumn("share", F.col("votes") / F.col("runs"))
-        .filter(F.col("share") >= least_share)
+        .filter((F.col("share") >= least_share) & ((F.col("runs") > WHOLE_RUNS) | (F.col("votes") == F.col("runs"))))
     )
     per_doc = merged.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "label", "share"))).alias("spans"))
     empty = F.array().cast("array<struct<start:int,end:int,label:string,share:double>>")

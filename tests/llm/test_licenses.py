@@ -69,3 +69,49 @@ def test_template_bounds(spark, monkeypatch):
     monkeypatch.setattr(licenses, "MOST_TEMPLATE_WORDS", 3)
     with pytest.raises(ValueError):
         licenses.scan(df)
+
+
+def test_every_license_line_of_the_table(spark):
+    lines = {
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "All rights reserved.": "reserved",
+        "Released under the MIT License.": "mit",
+    }
+    sf = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in QUERIES["op8_license_diagonals"](spark, sf).select("doc_id", "labels", "score").collect()}
+    seen = set()
+    for d in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        want = {label for line, label in lines.items() if line in (d["text"] or "")}
+        seen |= want
+        found = set(got[d["doc_id"]]["labels"].split(",")) - {""}
+        assert found - {"cc-by"} == want  # the phrase "cc by" stands in the line of cc-by-nc, too
+        assert (got[d["doc_id"]]["score"] > 0) == bool(want)
+    assert seen == set(lines.values())
+
+
+def test_short_notices(spark):
+    texts = {
+        "Released under the MIT License.": {"mit"},
+        "It is licensed under the MIT license": {"mit"},
+        "under the terms of the MIT License": {"mit"},
+        "SPDX-License-Identifier: MIT": {"mit"},
+        "Released under the Apache License 2.0": {"apache-2.0"},
+        "Released under Apache-2.0": {"apache-2.0"},
+        "Released under the GPL, v3": {"gpl"},
+        "Released under the BSD License": {"bsd"},
+        "the 3-clause BSD license": {"bsd"},
+        "Released under the Mozilla Public License, version 2.0": {"mpl-2.0"},
+        "Released under CC-BY-4.0": {"cc-by"},
+        "Creative Commons Attribution 4.0": {"cc-by"},
+        "Creative Commons Attribution-NonCommercial 4.0": {"cc-by-nc"},
+        # Not these licenses, or none.
+        "released under the MIT OpenCourseWare name": set(),
+        "Released under the Mozilla Public License, version 1.1": set(),
+        "Released under the General Public License, version 2.0": set(),
+        "released under the license of the house": set(),
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["row"]["doc_id"]: {s["label"] for s in r["spans"]} for r in licenses.scan(df).collect()}
+    assert got == dict(enumerate(texts.values()))
