@@ -62,6 +62,7 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.span_text(F.col("spans")).alias("spans"),
         "n_live",
         "n_copied",
+        "most_repositories",
     )
 
 

@@ -3,9 +3,11 @@
 Base kinds are found by pattern in each whole text. The method takes every base
 find and every other long mixed string as a candidate, hashes it, and counts over
 the whole corpus in how many repositories and by how many owners it is found.
-What several owners hold is a widely copied example; a string that stays with its
-owner and looks random is a live-looking credential. Owner-specific strings that no
-base find covers are spans of their own, of kind ``owned``.
+What several owners hold, or very many repositories of whatever owners, is a widely
+copied example; a string that stays with its owner and looks random is a live-looking
+credential, a base find like any other (``password=changeme`` is a base find, but not
+live). Owner-specific strings that no base find covers are spans of their own, of
+kind ``owned``.
 
 Positions: the text is split at the pattern, so a match starts where the pieces
 and matches before it end; positions count code points, ends are exclusive.
@@ -37,8 +39,10 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 PLACEHOLDERS = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0000|1234567"
 #: A hash that so many owners hold is a copied example.
 COPIED_OWNERS = 3
+#: So is one that so many repositories hold, be they of one owner.
+COPIED_REPOSITORIES = 10
 
-_SPAN = "array<struct<start:int,kind:int,end:int,hash:string>>"
+_SPAN = "array<struct<start:int,kind:int,end:int,hash:string,live:boolean>>"
 
 
 def _spans(text: Column, pattern: str, kind: int, group: int, keep) -> Column:
@@ -51,7 +55,7 @@ def _spans(text: Column, pattern: str, kind: int, group: int, keep) -> Column:
     def step(acc: Column, m: Column) -> Column:
         start = acc["at"] + m["gap"]
         end = start + F.length(m["whole"])
-        found = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.sha2(m["value"], 256).alias("hash"))
+        found = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.sha2(m["value"], 256).alias("hash"), _live_looking(m["value"]).alias("live"))
         return F.struct(end.alias("at"), F.when(keep(m), F.concat(acc["found"], F.array(found))).otherwise(acc["found"]).alias("found"))
 
     none = F.array().cast(_SPAN)
@@ -73,18 +77,20 @@ def base_spans(text: Column) -> Column:
     )
 
 
-def scan(docs: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source", copied_owners: int = COPIED_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source", copied_owners: int = COPIED_OWNERS, copied_repositories: int = COPIED_REPOSITORIES) -> DataFrame:
     """Columns: ``row`` (a struct of the columns of ``docs`` other than the text),
-    ``base`` and ``spans`` (arrays of (start, kind, end, hash) by start, then kind),
-    ``n_live`` and ``n_copied`` (candidates that are owner-specific, or copied)."""
+    ``base`` and ``spans`` (arrays of (start, kind, end, hash, live) by start, then
+    kind), ``n_live`` and ``n_copied`` (candidates that are owner-specific and look
+    live, or are copied) and ``most_repositories`` (those that hold the candidate that
+    is found in most; 0 without a candidate)."""
     carried = [c for c in docs.columns if c.lower() != text.lower()]
-    return _scan(docs, F.struct(*[F.col(f"`{c}`") for c in carried]), text, repository, owner, copied_owners)
+    return _scan(docs, F.struct(*[F.col(f"`{c}`") for c in carried]), text, repository, owner, copied_owners, copied_repositories)
 
 
 def redact(docs: DataFrame, repository: str = "doc_id", owner: str = "source", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mark``; overlapping spans
     become one mark. Null texts stay null; clean texts stay as they are."""
-    found = _scan(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text", repository, owner, COPIED_OWNERS)
+    found = _scan(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text", repository, owner, COPIED_OWNERS, COPIED_REPOSITORIES)
     text = F.col("row.text")
 
     def step(acc: Column, s: Column) -> Column:
@@ -98,7 +104,7 @@ def redact(docs: DataFrame, repository: str = "doc_id", owner: str = "source", m
     return found.select(*[hidden.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
-def _scan(docs: DataFrame, row: Column, text: str, repository: str, owner: str, copied_owners: int) -> DataFrame:
+def _scan(docs: DataFrame, row: Column, text: str, repository: str, owner: str, copied_owners: int, copied_repositories: int) -> DataFrame:
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     found = docs.select(
@@ -118,23 +124,25 @@ def _scan(docs: DataFrame, row: Column, text: str, repository: str, owner: str,
     held = stage(by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories")), "secret_owners")
 
     judged = candidates.select("uid", "span", F.col("span.hash").alias("hash")).join(held, "hash")
-    copied = F.col("owners") >= copied_owners
+    copied = (F.col("owners") >= copied_owners) | (F.col("repositories") >= copied_repositories)
     per_row = judged.groupBy("uid").agg(
         F.collect_list(F.when(~copied & (F.col("span.kind") == 3), F.col("span"))).alias("owned"),
-        F.count_if(~copied).alias("n_live"),
+        F.count_if(~copied & F.col("span.live")).alias("n_live"),
         F.count_if(copied).alias("n_copied"),
+        F.max("repositories").alias("most_repositories"),
     )
     none = F.array().cast(_SPAN)
     # Only rows that hold a candidate are joined; the others stay where they are.
     holds = F.size("base") + F.size("mixed") > 0
     counted = found.filter(holds).join(per_row, "uid", "left")
-    clean = found.filter(~holds).withColumns({"owned": none, "n_live": F.lit(0), "n_copied": F.lit(0)})
+    clean = found.filter(~holds).withColumns({"owned": none, "n_live": F.lit(0), "n_copied": F.lit(0), "most_repositories": F.lit(0)})
     return counted.select(clean.columns).unionByName(clean).select(
         "row",
         F.array_sort("base").alias("base"),
         F.array_sort(F.concat("base", F.coalesce("owned", none))).alias("spans"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
+        F.coalesce("most_repositories", F.lit(0)).cast("long").alias("most_repositories"),
     )
 
 

@@ -72,3 +72,18 @@ def test_redaction(spark):
     assert out.columns == df.columns
     got = {r["doc_id"]: r["text"] for r in out.collect()}
     assert got == {1: 'x [SECRET]" y', 2: None, 3: "clean 𝒳 text", 4: "[SECRET]"}
+
+
+def test_many_repositories_of_one_owner_are_copies_and_base_finds_must_look_live(spark):
+    hot, two, own = "Qa1Ws2Ed3Rf4Tg5Yh6Uj7Ik", "Zx81bQ77ruLw0Pk3Vn5d9T", "Mn4Bv7Cx2Zl9Kj5Hg8Fd3S"
+    rows = [(i, f"key {hot}", "hot") for i in range(40)] + [(100 + i, f"key {two}", f"s{i % 2}") for i in range(secrets.COPIED_REPOSITORIES)]
+    rows += [(200 + i, f"key {own}", "a") for i in range(3)] + [(300, "password=changeme", "a"), (301, "password=hunter", "a"), (302, f"password={own[::-1]}", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.scan(df).select(F.col("row.doc_id").alias("id"), secrets.span_text(F.col("spans")).alias("s"), "n_live", "n_copied", "most_repositories")
+    got = {r["id"]: tuple(r)[1:] for r in found.collect()}
+    want = {i: ("", 0, 1, 40) for i in range(40)} | {100 + i: ("", 0, 1, secrets.COPIED_REPOSITORIES) for i in range(secrets.COPIED_REPOSITORIES)}
+    want |= {200 + i: ("owned:4:26", 1, 0, 3) for i in range(3)}
+    want |= {300: ("assign:0:17", 0, 0, 1), 301: ("assign:0:15", 0, 0, 1), 302: ("assign:0:31", 1, 0, 1)}
+    assert got == want
+    redacted = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert redacted[0] == f"key {hot}" and redacted[200] == "key [SECRET]" and redacted[300] == "[SECRET]"
