@@ -2,9 +2,12 @@
 
 A fast pseudo-rotation is three rounds of random signs and a Hadamard transform; the
 hash of a unit vector is the signed axis it then lies nearest to. Every table joins
-two such hashes. A query probes, in each table, the axis pairs that it is nearest to
-(``PROBES``, more if the vectors are few), and what it meets there is reranked by Euclidean distance on the original
-vectors in double precision. Queries that meet fewer than they ask for are compared
+two such hashes. A hash sees directions only, so vectors are dealt to bands of nearly
+equal length, each with tables of its own: within a band the order by direction is
+the order by distance. A query probes, in each table of each band, the axis pairs
+that it is nearest to (``PROBES``, more if the band holds few vectors), and what it
+meets there is reranked by Euclidean distance on the original vectors in double
+precision. Queries that meet fewer than they ask for are compared
 with all vectors, in blocks, so every query gets its number of neighbours.
 
 Equal vectors are indexed once, with the few smallest of their ids (more can't be
@@ -13,8 +16,9 @@ a table that share the first axis are one task, or several blocks if they are ma
 a query is sent once to each with the second axes it probes. Random signs come from a
 fixed seed, so tasks agree and results repeat.
 
-Recall on the test tables is measured in tests/llm; on uniformly random unit vectors
-in 64 dimensions, the hardest case, the defaults find over 0.9 of the 10 nearest.
+Recall on the test tables is measured in tests/llm; on uniformly random directions
+in 64 dimensions, the hardest case, the defaults find over 0.9 of the 10 nearest,
+whether the vectors are of equal length or not.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components
 take no part, nor do rows without an id or vectors of another length than most;
@@ -34,8 +38,11 @@ from cvelake.session import stage
 
 TABLES = 24
 PROBES = 100
-#: Fewer vectors than these lie thinner in the tables; queries then probe more pairs.
+#: Fewer vectors of a band than these lie thinner in its tables; queries then probe more pairs.
 USUAL_VECTORS = 10_000
+#: Longest to shortest vector of a band; bands beyond ``BANDS`` are merged, smallest first.
+BAND_RATIO = 1.1
+BANDS = 16
 #: First and second axes from which the nearest pairs are chosen.
 AXES = 40
 #: Vectors of one task's block.
@@ -87,16 +94,18 @@ def _hash_vectors(tables: int, seed: int):
             x = _unit(_matrix(batch.column("embedding")))
             if not len(x):
                 continue
+            band = batch.column("band").to_numpy()
             for t in range(tables):
                 first, second = (nearest_axis(rotate(x, seed + 2 * t + h)) for h in (0, 1))
-                columns = [pa.array(np.full(len(x), t, np.int32)), pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32))]
+                columns = [pa.array((t + tables * band).astype(np.int32)), pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays([*columns, batch.column("rep"), batch.column("embedding")], names=["table", "first", "second", "rep", "embedding"])
 
     return run
 
 
-def _probe(tables: int, probes: int, axes: int, seed: int):
-    """For each query and table, the first axes it probes and the second axes with each."""
+def _probe(tables: int, probes: list[int], axes: int, seed: int):
+    """For each query and table of each band (``probes`` has the number of probes by
+    band), the first axes it probes and the second axes with each."""
 
     def run(batches):
         for batch in batches:
@@ -114,14 +123,16 @@ def _probe(tables: int, probes: int, axes: int, seed: int):
                     best = np.take_along_axis(v, o, 1)
                     gap.append((best[:, :1] - best) ** 2)
                 cost = (gap[0][:, :, None] + gap[1][:, None, :]).reshape(len(x), -1)
-                chosen = np.argsort(cost, axis=1, kind="stable")[:, :probes]
+                chosen = np.argsort(cost, axis=1, kind="stable")[:, : max(probes)]
                 width = gap[1].shape[1]
-                for i in range(len(x)):
-                    firsts, seconds = names[near[0][i][chosen[i] // width]], names[near[1][i][chosen[i] % width]]
-                    order = np.argsort(firsts, kind="stable")
-                    values, at = np.unique(firsts[order], return_index=True)
-                    for value, own in zip(values.tolist(), np.split(seconds[order], at[1:]), strict=True):
-                        rows.append((t, value, own.tolist(), i))
+                for band, n in enumerate(probes):
+                    for i in range(len(x)):
+                        pairs = chosen[i, :n]
+                        firsts, seconds = names[near[0][i][pairs // width]], names[near[1][i][pairs % width]]
+                        order = np.argsort(firsts, kind="stable")
+                        values, at = np.unique(firsts[order], return_index=True)
+                        for value, own in zip(values.tolist(), np.split(seconds[order], at[1:]), strict=True):
+                            rows.append((t + tables * band, value, own.tolist(), i))
             if rows:
                 t, first, seconds, i = zip(*rows, strict=True)
                 at = pa.array(i, pa.int64())
@@ -201,6 +212,16 @@ def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     return few.groupBy("embedding").agg(ids.alias("ids")).withColumn("rep", F.get("ids", F.lit(0)))
 
 
+def bands_of(counts: dict[int, int], most: int = BANDS) -> list[tuple[int, int]]:
+    """(first step of length, vectors) of each band; ``counts`` is by step. Steps are
+    bands until they are too many; then the two neighbours with the fewest vectors merge."""
+    bands = sorted(counts.items())
+    while len(bands) > most:
+        at = min(range(len(bands) - 1), key=lambda i: bands[i][1] + bands[i + 1][1])
+        bands[at : at + 2] = [(bands[at][0], bands[at][1] + bands[at + 1][1])]
+    return bands
+
+
 def search(
     vectors: DataFrame, queries: DataFrame, k: int = 10, tables: int = TABLES, probes: int = PROBES, axes: int = AXES, block: int = BLOCK, seed: int = SEED
 ) -> DataFrame:
@@ -213,14 +234,20 @@ def search(
     own = queries.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<float>").alias("embedding"))
     asked = stage(own.filter("query_id is not null").join(entries, "embedding").select("query_id", "rep").distinct(), "queries")
     counts = entries.count()
-    probes = max(probes, min(axes * axes, probes * USUAL_VECTORS // max(1, counts)))
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
+    shortest = entries.agg(F.min(length)).first()[0] or 1.0
+    step = F.floor(F.log(length / shortest) / float(np.log(BAND_RATIO))).cast("int")
+    # Lengths are finite numbers, so the steps are a few thousand at most.
+    bands = bands_of({r["step"]: r["count"] for r in entries.groupBy(step.alias("step")).count().collect()}) or [(0, 0)]
+    own_probes = [max(probes, min(axes * axes, probes * USUAL_VECTORS // max(1, n))) for _, n in bands]
+    band = sum(((step >= low).cast("int") for low, _ in bands[1:]), F.lit(0))
     once = stage(entries.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "embedding"), "query_vectors")
 
-    index = entries.select("rep", "embedding").mapInArrow(_hash_vectors(tables, seed), _INDEX)
+    index = entries.select("rep", "embedding", band.alias("band")).mapInArrow(_hash_vectors(tables, seed), _INDEX)
     # A first axis with many vectors is dealt to several blocks; queries meet them all.
-    # At most two rows for each table and dimension.
+    # At most two rows for each band, table and dimension.
     blocks = stage(index.groupBy("table", "first").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")
-    probed = once.mapInArrow(_probe(tables, probes, axes, seed), _PROBES)
+    probed = once.mapInArrow(_probe(tables, own_probes, axes, seed), _PROBES)
     index = index.join(blocks, ["table", "first"]).withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")).drop("blocks")
     probed = probed.join(blocks, ["table", "first"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     keys = ["table", "first", "block"]

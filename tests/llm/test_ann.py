@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cvelake.llm import ann
@@ -45,6 +46,31 @@ def test_recall_on_random_vectors_in_blocks(spark):
     assert sum(len(set(found) & {v for _, v in want[q]}) for q, found in got) >= 0.9 * 300
 
 
+@pytest.mark.parametrize("lengths", ["unit", "uniform", "lognormal"])
+def test_recall_with_production_probes_and_unequal_lengths(spark, lengths):
+    """More vectors than USUAL_VECTORS, so that equal lengths don't widen the search."""
+    rng = np.random.default_rng(2)
+    n = ann.USUAL_VECTORS + 500
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"unit": np.ones(n), "uniform": rng.uniform(0.5, 2, n), "lognormal": rng.lognormal(0, 0.3, n)}[lengths][:, None]
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    got = ann.search(df, df.filter("vec_id % 350 = 0")).groupBy("query_id").agg(F.collect_set("vec_id")).collect()
+    asked = range(0, n, 350)
+    want = brute(list(range(n)), x.astype(np.float64), asked)
+    assert len(got) == len(asked)
+    recall = sum(len(set(found) & {v for _, v in want[q]}) for q, found in got) / (10 * len(asked))
+    print(f"recall {lengths} {recall:.3f}")
+    assert recall >= 0.9
+
+
+def test_bands_beyond_the_bound_merge_the_smallest():
+    assert ann.bands_of({3: 5, 0: 1, 1: 2, 9: 9}, 4) == [(0, 1), (1, 2), (3, 5), (9, 9)]
+    assert ann.bands_of({3: 5, 0: 1, 1: 2, 9: 9}, 2) == [(0, 8), (9, 9)]
+    assert ann.bands_of({}) == []
+
+
 def test_copies_ties_and_vectors_that_take_no_part(spark):
     a, b, c = [1.0, 0.0, 0.0], [0.0, 2.0, 0.0], [0.0, 0.0, -3.0]
     rows = [(i, a) for i in range(40)] + [(100, b), (101, b), (102, c), (102, c)]
