@@ -17,7 +17,8 @@ Texts and items are compared in lower case with every run of ASCII characters ot
 than letters and digits as one blank; spans are positions in that form.
 
 Defined results: null and empty texts match nothing; items with fewer than
-``LEAST_WORDS`` words are no test passages and match nothing; a repeated item
+``LEAST_WORDS`` words, and fewer than ``LEAST_LETTERS`` letters of scripts that put no
+blanks between words, are no test passages and match nothing; a repeated item
 matches under each of its ids, a null item_id is left out; an empty benchmark
 leaves all texts clean; an empty table gives no rows. The column ``matches`` gets
 another name if the table has one of that name.
@@ -26,6 +27,7 @@ another name if the table has one of that name.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,6 +41,8 @@ from cvelake.llm.tokens import forget
 #: Edits allowed, as a share of an item's characters.
 EDIT_RATE = 0.08
 LEAST_WORDS = 5
+#: Letters that count as a passage where no blanks part the words.
+LEAST_LETTERS = 20
 #: Characters of the items that one pass looks for.
 BLOCK_CHARS = 1_000_000
 
@@ -46,6 +50,15 @@ _MATCH = "array<struct<item_id:bigint,distance:int,start:int,end:int>>"
 _SIGNS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
 
+#: Thai, Lao, Tibetan, Myanmar, Khmer, Tai scripts, Chinese and Japanese.
+_NO_BLANKS = re.compile("[\u0e00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def is_passage(item: str) -> bool:
+    """Whether a normalized item is long enough to be looked for."""
+    return item.count(" ") + 1 >= LEAST_WORDS or len(_NO_BLANKS.findall(item)) >= LEAST_LETTERS
+
+
 def normalize(text: str) -> str:
     words = text.lower().encode("utf-8", "surrogatepass").translate(_SIGNS).split()
     return b" ".join(words).decode("utf-8", "surrogatepass")
@@ -184,7 +197,7 @@ def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").toLocalIterator():
         text = normalize(row["text"])
-        if text.count(" ") + 1 < LEAST_WORDS:
+        if not is_passage(text):
             continue
         block.append((row["item_id"], text))
         size += len(text)

@@ -88,6 +88,18 @@ def test_edges_and_passes(spark, monkeypatch):
     assert D.drop_contaminated(df.filter(F.lit(False)), benchmark).count() == 0
 
 
+def test_long_items_without_blanks_are_found(spark):
+    items = ["下列哪一个选项正确地描述了光合作用的主要过程和产物", "ข้อใดต่อไปนี้อธิบายการสังเคราะห์ด้วยแสงได้ถูกต้อง", "次のうち光合成について正しい説明はどれですか答えなさい"]
+    short = ["光合作用", "united states supreme court"]
+    benchmark = spark.createDataFrame(list(enumerate(items + short)), "item_id long, text string")
+    texts = [f"前文{t}后文" for t in items] + [items[0].replace("描述", "叙述"), f"{short[0]} {short[1]}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, name = D.matches(df, benchmark)
+    got = {r["doc_id"]: [(m["item_id"], m["distance"]) for m in r[name]] for r in found.collect()}
+    assert got == {0: [(0, 0)], 1: [(1, 0)], 2: [(2, 0)], 3: [(0, 1)], 4: []}  # 25 letters allow two edits
+    assert [r["doc_id"] for r in D.drop_contaminated(df, benchmark).collect()] == [4]
+
+
 def test_query_finds_every_exact_passage(spark):
     bench = {r["item_id"]: D.normalize(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     got = {r["doc_id"]: r for r in QUERIES["op1_pigeonhole_decontamination"](spark, SF).collect()}
