@@ -10,8 +10,8 @@ hit climbs from its leaf to the whole item and most false hits end after one sho
 node. No occurrence within the budget is missed.
 
 Items reach the tasks in blocks of a bounded number of characters; a larger
-benchmark makes more passes over a batch of texts, not more memory. Texts are never
-moved: the matches are one more column.
+benchmark makes more passes over a batch of texts. The passes are chained, so the
+driver and each task hold all blocks at once. Texts are never moved: the matches are one more column.
 
 Texts and items are compared in lower case with every run of ASCII characters other
 than letters and digits as one blank; spans are positions in that form.
@@ -193,7 +193,7 @@ def _find(items: list[tuple[int, str]], text_column: str, out: str, kept: list[s
 
 def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The items (item_id, normalized text) in blocks of about BLOCK_CHARS characters;
-    the driver holds one block at a time while it builds the plan's closures."""
+    the plan's closures keep all of them on the driver."""
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").toLocalIterator():
         text = normalize(row["text"])
