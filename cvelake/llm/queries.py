@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvelake.llm import ann, decontaminate, huffman, langid, licenses, ngram_join, packing, preferences, secrets, url_rules
+from cvelake.llm import ann, centroids, decontaminate, huffman, langid, licenses, merkle, ngram_join, packing, preferences, secrets, toxicity, url_rules
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -112,6 +112,25 @@ def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", *merkle.FIELDS)
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    tampered = F.when(F.coalesce(key % 2 == 0, F.lit(False)), F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.verify(docs, tampered)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_naive_bayes_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    found, score = toxicity.score(docs, model)
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.5).cast("int").alias("predicted"))
+
+
+def op13_threshold_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op2_url_association_rules": op2_url_association_rules,
@@ -123,5 +142,8 @@ QUERIES: dict[str, Query] = {
     "op8_license_diagonals": op8_license_diagonals,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_prefix_tree_join": op10_prefix_tree_join,
+    "op11_merkle_climb": op11_merkle_climb,
+    "op12_naive_bayes_toxicity": op12_naive_bayes_toxicity,
+    "op13_threshold_centroids": op13_threshold_centroids,
 }
 ORACLE_SQL: dict[str, str] = {}
