@@ -67,9 +67,13 @@ def word_key(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
-def word_runs(text: Column, longest: Column) -> Column:
-    """Distinct runs of 1 to ``longest`` words of a text, blank-joined."""
-    words = F.filter(F.split(word_key(text), " "), lambda w: w != "")
+def words(text: Column) -> Column:
+    return F.filter(F.split(word_key(text), " "), lambda w: w != "")
+
+
+def word_runs(words: Column, longest: Column) -> Column:
+    """Distinct runs of 1 to ``longest`` words, blank-joined. ``words`` has to be a
+    column of its own (an expression would be evaluated anew for every run)."""
     runs = F.transform(
         F.sequence(F.lit(1), F.greatest(longest, F.lit(1))),
         lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))),

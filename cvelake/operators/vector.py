@@ -9,7 +9,7 @@
   task: a matrix product of which only the best k per query leave the task. No
   vector reaches the driver. A window per query then takes the final top k,
   pre-limited map-side by Spark. (The work is queries times candidates, since the
-  result is exact; for large corpora an index prunes candidates first.)
+  result is exact; :mod:`.ivf` has an index for large corpora.)
 
 Scores are ranked on their value rounded to 9 decimals, then on the id, so
 near-equal scores from different summation orders rank the same way.
@@ -55,7 +55,7 @@ def cosine_topk(candidates: DataFrame, vec_col: str, query: Sequence[float], k:
     return top.withColumn("rank", F.row_number().over(w)).withColumn("score", F.round("_score", 6)).drop("_score")
 
 
-def _score_blocks(k: int, id_col: str, vec_col: str, id_type: pa.DataType, qid_type: pa.DataType):
+def score_blocks(k: int, id_col: str, vec_col: str, id_type: pa.DataType, qid_type: pa.DataType):
     def matrix(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
         rows = table.column(column).to_pylist()
         x = np.array(rows, dtype=np.float64).reshape(len(rows), -1)
@@ -98,7 +98,7 @@ def batch_cosine_topk(
 
     fields = {f.name: f.dataType for f in [*candidates.schema.fields, *queries.schema.fields]}
     id_type, qid_type = candidates.schema[id_col].dataType, fields[query_id]
-    fn = _score_blocks(k, id_col, vec_col, to_arrow_type(id_type), to_arrow_type(qid_type))
+    fn = score_blocks(k, id_col, vec_col, to_arrow_type(id_type), to_arrow_type(qid_type))
     scored = (
         dealt(q, "query_id", "_qb", "_cb").groupBy("_qb", "_cb")
         .cogroup(dealt(c, id_col, "_cb", "_qb").groupBy("_qb", "_cb"))

@@ -403,6 +403,28 @@ def _tfidf(queries: str, where: str = "TRUE", hit: bool = False) -> str:
  FROM rk {"LEFT JOIN enriched e ON e.cve_id = rk.id" if hit else ""} WHERE rank <= 5"""
 
 
+def _text_vectors(queries: str) -> str:
+    """dv and qv: (id, place, w), the unit vectors of documents and queries."""
+    tok = "list_filter(string_split(regexp_replace(lower({x}), '[^a-z0-9_]+', ' ', 'g'), ' '), lambda t: t <> '')"
+    sums = """
+ SELECT {id}, CAST(('0x' || substr(md5(term), 1, 8))::BIGINT % 256 AS INTEGER) AS place,
+   sum(CASE WHEN substr(md5(term), 9, 1) < '8' THEN w ELSE -w END) AS v FROM {of} GROUP BY 1, 2"""
+    return f"""
+ , dt AS (SELECT cve_id AS id, unnest({tok.format(x='document_text')}) AS term FROM docs2),
+ dtf AS (SELECT id, term, count(*) AS tf FROM dt GROUP BY 1, 2),
+ idf AS (
+   SELECT term, ln(CAST((SELECT count(*) FROM docs2) + 1 AS DOUBLE) / (count(*) + 1)) AS idf
+   FROM dtf GROUP BY term),
+ dw AS (SELECT d.id, d.term, d.tf * i.idf AS w FROM dtf d JOIN idf i ON d.term = i.term WHERE i.idf > 0),
+ qsrc AS ({queries}),
+ qt AS (SELECT qid, unnest({tok.format(x='qtext')}) AS term FROM qsrc),
+ qtf AS (SELECT qid, term, count(*) AS tf FROM qt GROUP BY 1, 2),
+ qw AS (SELECT q.qid, q.term, q.tf * i.idf AS w FROM qtf q JOIN idf i ON q.term = i.term WHERE i.idf > 0),
+ ds AS ({sums.format(id="id", of="dw")}), qs AS ({sums.format(id="qid", of="qw")}),
+ dv AS (SELECT id, place, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM ds WHERE v <> 0),
+ qv AS (SELECT qid, place, v / sqrt(sum(v * v) OVER (PARTITION BY qid)) AS w FROM qs WHERE v <> 0)"""
+
+
 _FEED_ROWS = """
    SELECT 'nvd' AS source, DATE '2024-01-15' AS snapshot_date FROM documents
    UNION ALL SELECT 'nvd', DATE '2024-01-16' FROM documents WHERE doc_id % 4 = 0
@@ -475,6 +497,7 @@ def sql() -> dict[str, str]:
  SELECT CAST(year(published) AS INTEGER) AS year, CAST(month(published) AS INTEGER) AS month, count(*) AS cves
  FROM core2 GROUP BY 1, 2""",
         "index_sync": with_(*S2) + " SELECT cve_id, CAST(length(document_text) AS INTEGER) AS text_length, kev_flag, cvss_v3_score FROM docs2",
+        "continuous_index_sync": with_(*S2) + " SELECT cve_id, CAST(length(document_text) AS INTEGER) AS text_length, kev_flag, cvss_v3_score FROM docs2",
         "vuln_enriched": with_(*G) + " SELECT * FROM enriched",
         "vendor_risk_agg": with_(*G) + " SELECT * FROM vra",
         "build_job": with_(*G) + " SELECT * FROM vra",
@@ -523,6 +546,14 @@ def sql() -> dict[str, str]:
  WHERE risk_tier IN ('HIGH', 'CRITICAL', 'MEDIUM')
    AND cve_id IN (SELECT cve_id FROM products2 WHERE lower(vendor) IN ('brand_3', 'brand_11'))
  ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 25""",
+        "filtered_search_all": with_(*G) + """
+ SELECT cve_id, description, risk_score, risk_tier, kev_flag FROM enriched
+ WHERE risk_tier IN ('LOW', 'MEDIUM', 'HIGH') AND cvss_v3_score >= 2.0 AND epss_score >= 0.1
+   AND published >= TIMESTAMP '2024-02-01' AND published < TIMESTAMP '2024-11-16'
+   AND cve_id IN (SELECT cve_id FROM products2
+     WHERE lower(vendor) IN ('brand_19', 'brand_16', 'brand_21', 'brand_9', 'brand_17', 'brand_15')
+       AND lower(product) IN ('red_plate', 'hot_bolt', 'small_ring', 'hot_rod', 'large_gear', 'blue_gear', 'cold_gear'))
+ ORDER BY risk_score DESC NULLS LAST, cve_id LIMIT 40""",
         "answer_filtered": with_(*Q) + """
  , cand AS (
    SELECT p.question_id, e.cve_id, e.description, e.risk_score, e.risk_tier, e.kev_flag
@@ -585,6 +616,24 @@ def sql() -> dict[str, str]:
  rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, cve_id) AS INTEGER) AS rank FROM scored)
  SELECT vec_id AS query_id, rank, cve_id, round(s, 6) AS score, description, risk_tier, kev_flag, cvss_v3_score
  FROM rk WHERE rank <= 5""",
+        "vector_topk_indexed": with_(*G, VEC) + """
+ , scored AS (
+   SELECT q.vec_id, c.cve_id, c.description, c.risk_tier, c.kev_flag, c.cvss_v3_score,
+     list_dot_product(c.ev, q.ev) / (sqrt(list_dot_product(c.ev, c.ev)) * sqrt(list_dot_product(q.ev, q.ev))) AS s
+   FROM vec q, cand c),
+ rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, cve_id) AS INTEGER) AS rank FROM scored)
+ SELECT vec_id AS query_id, rank, cve_id, round(s, 6) AS score, description, risk_tier, kev_flag, cvss_v3_score
+ FROM rk WHERE rank <= 5""",
+        "document_vectors": with_(*S2) + _text_vectors("SELECT CAST(NULL AS BIGINT) AS qid, '' AS qtext WHERE false") + """
+ SELECT id AS cve_id, place, round(w, 6) AS weight FROM dv WHERE round(w, 6) <> 0""",
+        "semantic_text_search": with_(*G) + _text_vectors("SELECT item_id AS qid, text AS qtext FROM benchmark") + """,
+ ok AS (SELECT cve_id AS id FROM docs2 WHERE cvss_v3_score >= 2.0),
+ sc AS (SELECT qid, dv.id, sum(qv.w * dv.w) AS s FROM qv JOIN dv ON qv.place = dv.place JOIN ok ON ok.id = dv.id GROUP BY 1, 2),
+ every AS (SELECT q.qid, ok.id, coalesce(sc.s, 0.0) AS s FROM (SELECT DISTINCT qid FROM qv) q CROSS JOIN
+   (SELECT id FROM ok WHERE id IN (SELECT id FROM dv)) ok LEFT JOIN sc ON sc.qid = q.qid AND sc.id = ok.id),
+ rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id) AS INTEGER) AS rank FROM every)
+ SELECT qid AS query_id, rank, id AS cve_id, round(s, 6) AS score, e.description, e.risk_tier, e.kev_flag, e.cvss_v3_score
+ FROM rk LEFT JOIN enriched e ON e.cve_id = rk.id WHERE rank <= 5""",
         "tfidf_search": with_(*S2) + _tfidf("SELECT item_id AS qid, text AS qtext FROM benchmark"),
         "answer_semantic": with_(*Q) + _tfidf(
             "SELECT question_id AS qid, coalesce(raw_query, '') AS qtext FROM parsed WHERE intent = 'SEMANTIC_SEARCH'"),
@@ -652,6 +701,10 @@ def sql() -> dict[str, str]:
  SELECT user_id, event_id, ts, event_type, value FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     }
+    out["catalog_schemas"] = f"""
+ WITH t AS ({out['catalog_tables']})
+ SELECT s.schema, count(t.schema) AS tables, coalesce(sum(t.rows), 0)::BIGINT AS rows
+ FROM (VALUES ('bronze'), ('silver'), ('gold'), ('agent')) AS s(schema) LEFT JOIN t ON t.schema = s.schema GROUP BY 1"""
     per_tool = " UNION ALL ".join(
         f"SELECT question_id, count(*) AS n FROM ({out[k]}) GROUP BY 1"
         for k in ("lookup_cve", "compare_cves", "answer_filtered", "answer_trends")

@@ -59,6 +59,11 @@ def create_schemas(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 
 
+def list_schemas(spark: SparkSession) -> DataFrame:
+    """The build's schemas that the catalog holds: (schema)."""
+    return spark.sql("SHOW DATABASES").select(F.col("namespace").alias("schema")).filter(F.col("schema").isin(*SCHEMAS))
+
+
 def register(spark: SparkSession, schema: str, table: str, path: str) -> None:
     """Expose a folder as ``schema.table`` in the session catalog."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
@@ -87,19 +92,28 @@ def register_run(spark: SparkSession, root: str, run_id: str) -> list[str]:
 def ingest(spark: SparkSession, root: str, feed_dir: str, run_ts: str, globs: dict[str, str] | None = None) -> DataFrame:
     """Append every feed file in ``feed_dir`` to Bronze (each run re-reads the
     whole folder, as the original loader does). Returns the run's summary."""
-    g = globs or {"nvd": feeds.NVD_GLOB, "kev": feeds.KEV_GLOB, "epss": feeds.EPSS_GLOB}
-    nvd = feeds.read_nvd(spark, f"{feed_dir}/nvd", run_ts, g["nvd"])
-    kev = feeds.read_kev(spark, f"{feed_dir}/kev", run_ts, g["kev"])
-    epss = feeds.read_epss(spark, f"{feed_dir}/epss", run_ts, g["epss"])
-    # gzip files are unsplittable: spread the exploded items before writing
-    # (rebalance: even partitions, skewed ones split by AQE).
-    nvd.hint("rebalance").write.mode("append").parquet(f"{root}/bronze/nvd_raw")
-    kev.write.mode("append").parquet(f"{root}/bronze/kev_raw")
-    epss.write.mode("append").parquet(f"{root}/bronze/epss_raw")
+    stamp = F.lit(run_ts).cast("timestamp").alias("ingest_ts")
+    for kind, glob in (globs or feeds.GLOBS).items():
+        rows, outcomes = feeds.read_files(spark, f"{feed_dir}/{kind}", kind, run_ts, glob)
+        # gzip files are unsplittable: spread the items before writing
+        # (rebalance: even partitions, skewed ones split by AQE).
+        rows = rows.hint("rebalance") if kind == "nvd" else rows
+        rows.write.mode("append").parquet(f"{root}/bronze/{kind}_raw")
+        # What became of each file, from the same pass.
+        outcomes.select(stamp, "*").write.mode("append").parquet(f"{root}/bronze/ingest_files")
     b = bronze(spark, root)
     return feeds.ingest_summary(*[x.filter(F.col("ingest_ts") == F.lit(run_ts).cast("timestamp")) for x in b])
 
 
+def skipped_files(spark: SparkSession, root: str, run_ts: str | None = None) -> DataFrame:
+    """The files that ingests (or the one at ``run_ts``) skipped, as they noted them:
+    (kind, source_file, reason)."""
+    noted = spark.read.parquet(f"{root}/bronze/ingest_files")
+    if run_ts is not None:
+        noted = noted.filter(F.col("ingest_ts") == F.lit(run_ts).cast("timestamp"))
+    return feeds.skipped_files(noted)
+
+
 def bronze(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(spark.read.parquet(f"{root}/bronze/{t}") for t in ("nvd_raw", "kev_raw", "epss_raw"))
 
@@ -183,8 +197,12 @@ def export_csv(df: DataFrame, path: str) -> None:
 def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "cve_id") -> DataFrame:
     """Write ``df`` as an external table bucketed and sorted by ``key`` at
     ``path`` (in the shared folder) and return the table. Tables bucketed the
-    same way join and group on ``key`` without any shuffle."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    same way join and group on ``key`` without any shuffle.
+
+    The rows are dealt by the key to as many partitions as buckets first: that is the
+    hash that buckets go by, so each task writes one file, and there are as many files
+    as buckets instead of tasks times buckets."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 

@@ -51,9 +51,14 @@ def classify_questions(questions: DataFrame, vendors: DataFrame, as_of: str | Co
         .withColumn("run", tx.word_key(F.col("vendor"))).filter(F.col("run") != "")
     )
     longest = known.agg(F.max(F.size(F.split("run", " ")))).scalar()
-    runs = parsed.withColumn("_longest", F.coalesce(longest, F.lit(1)))
+    # The words are split once, and the runs are slices of that column. Most words
+    # begin no vendor's name: runs are dealt to the join only from the rest.
+    split = questions.select("question_id", tx.words(raw).alias("_words"), F.coalesce(longest, F.lit(1)).alias("_longest"))
+    runs = split.select("question_id", F.explode(tx.word_runs(F.col("_words"), F.col("_longest"))).alias("run"))
+    first = lambda: F.substring_index("run", " ", 1)
+    begins = known.select(first().alias("_first")).distinct()
     hits = (
-        runs.select("question_id", F.explode(tx.word_runs(F.coalesce("raw_query", F.lit("")), F.col("_longest"))).alias("run"))
+        runs.withColumn("_first", first()).join(begins, "_first", "left_semi").drop("_first")
         .join(known, "run")
         .groupBy("question_id")
         .agg(F.array_sort(F.collect_set("vendor")).alias("vendors"))

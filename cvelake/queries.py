@@ -156,8 +156,12 @@ def q_ingest_odd_files(spark, sf_dir):
 
 
 def q_ingest_report(spark, sf_dir):
-    """The files that ingest skips, and why."""
-    return feeds.ingest_report(spark, _odd_feeds(spark, sf_dir))
+    """The files that an ingest skipped, and why, as it noted them itself."""
+    from cvelake.plans import build
+
+    root = _odd_feeds(spark, sf_dir)
+    build.ingest(spark, f"{root}/tables", root, fx.RUN_2)
+    return build.skipped_files(spark, f"{root}/tables")
 
 
 def q_bronze_ingest(spark, sf_dir):
@@ -244,6 +248,15 @@ def q_catalog_tables(spark, sf_dir):
     return spark.createDataFrame(rows, "schema string, table string, comment string, quality string, rows long")
 
 
+def q_catalog_schemas(spark, sf_dir):
+    """The catalog's schemas after a run, with their tables and rows."""
+    from cvelake.plans import build
+
+    tables = q_catalog_tables(spark, sf_dir).groupBy("schema").agg(F.count("*").alias("tables"), F.sum("rows").alias("rows"))
+    listed = build.list_schemas(spark).join(tables, "schema", "left")
+    return listed.select("schema", F.coalesce("tables", F.lit(0)).cast("long").alias("tables"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+
+
 def q_table_inspection(spark, sf_dir):
     """Row count, schema and sample size of the core table."""
     from cvelake.plans import build
@@ -349,6 +362,31 @@ def q_index_sync(spark, sf_dir):
     return apply_changes(doc_index(old), changes, ["cve_id"], doc_index(new))
 
 
+def q_continuous_index_sync(spark, sf_dir):
+    """The index kept by a running query: run 1's documents arrive as its first
+    changes, then the changes of run 2."""
+    parsed = parsed_nvd(spark, sf_dir)
+    old = stage(silver(spark, sf_dir, fx.RUN_1, parsed=parsed).documents, "documents-run1")
+    new = silver(spark, sf_dir, parsed=parsed).documents
+    root = scratch_dir(spark, "continuous-index")
+    arrivals = ((fx.RUN_1, snapshot_diff(old.limit(0), old, ["cve_id"])), (fx.RUN_2, snapshot_diff(old, new, ["cve_id"])))
+    index = lambda feed: feed.select("*", F.length("document_text").alias("text_length")).select(
+        "cve_id", "text_length", "kev_flag", "cvss_v3_score", "_change_type", "_commit_ts")
+    running = None
+    try:
+        for run, changes in arrivals:
+            feed = changes.withColumn("_commit_ts", F.lit(run).cast("timestamp"))
+            feed.write.mode("append").parquet(f"{root}/changes")
+            if running is None:
+                running = inc.continuous_sync(spark, f"{root}/changes", feed.schema, index, f"{root}/index", f"{root}/ckpt",
+                                              ["cve_id"], buckets=16, processing_time="1 second")
+            running.processAllAvailable()
+    finally:
+        if running is not None:
+            running.stop()
+    return inc.read_index(spark, f"{root}/index", ["cve_id"])
+
+
 # ------------------------------------------------------------------ Gold
 
 def q_vuln_enriched(spark, sf_dir):
@@ -418,6 +456,19 @@ def q_filtered_search(spark, sf_dir):
     return qs.filtered_search(e, s.products, FILTERS)
 
 
+ALL_FILTERS = qs.QueryFilters(
+    vendors=("Brand_19", "brand_16", "brand_21", "brand_9", "brand_17", "brand_15"),
+    products=("red_plate", "HOT_bolt", "small_ring", "hot_rod", "large_gear", "blue_gear", "cold_gear"),
+    risk_tiers=("low", "medium", "high"), min_cvss=2.0, min_epss=0.1, date_from="2024-02-01", date_to="2024-11-15", limit=40,
+)
+
+
+def q_filtered_search_all(spark, sf_dir):
+    """A search with all filters but the KEV flag."""
+    s, e = enriched(spark, sf_dir)
+    return qs.filtered_search(e, s.products, ALL_FILTERS)
+
+
 def q_answer_filtered(spark, sf_dir):
     s, e = enriched(spark, sf_dir, staged=True)
     return qs.answer_filtered(_parsed(spark, sf_dir, s), e, s.products, FILTERED_ROWS)
@@ -498,6 +549,26 @@ def q_vector_topk_batch(spark, sf_dir):
     return se.batch_search(*_search_tables(spark, sf_dir), queries, "vec_id", 5)
 
 
+def q_vector_topk_indexed(spark, sf_dir):
+    """The same over a cell index, with the round that makes it exact."""
+    queries = fx.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return se.indexed_search(*_search_tables(spark, sf_dir), queries, "vec_id", 5)
+
+
+def q_document_vectors(spark, sf_dir):
+    """The text vector of every CVE document, as its components that aren't 0."""
+    vectors, _ = se.document_vectors(silver(spark, sf_dir).documents, "cve_id", "document_text")
+    places = vectors.select("cve_id", F.posexplode("embedding").alias("place", "weight"))
+    return places.select("cve_id", "place", F.round("weight", 6).alias("weight")).filter("weight <> 0")
+
+
+def q_semantic_text_search(spark, sf_dir):
+    """Top 5 CVE documents for each benchmark passage by text vectors."""
+    s, e = enriched(spark, sf_dir, staged=True)
+    bench = fx.table(spark, sf_dir, "benchmark")
+    return se.semantic_text_search(s.documents, e, bench, "item_id", "text", 5, min_cvss=2.0)
+
+
 def q_text_search_filtered(spark, sf_dir):
     """Top 5 exploited documents of CVSS 4 or more for each benchmark passage."""
     s, e = enriched(spark, sf_dir, staged=True)
@@ -565,7 +636,7 @@ def q_incremental_core(spark, sf_dir):
             spark, src, BRONZE_JSON, lambda df: sv.core_rows(sv.parse_nvd(df)), state, f"{root}/ckpt",
             ["cve_id"], bronze_recency, buckets=16,
         )
-    return q.apply_expectations(inc.read_state(spark, state).select(*CVE_CORE_COLUMNS), sv.CORE_RULES)
+    return q.apply_expectations(inc.read_state(spark, state, ["cve_id"], bronze_recency).select(*CVE_CORE_COLUMNS), sv.CORE_RULES)
 
 
 def q_incremental_products(spark, sf_dir):
@@ -581,7 +652,7 @@ def q_incremental_products(spark, sf_dir):
             spark, src, BRONZE_JSON, lambda df: sv.product_rows(sv.parse_nvd(df)), state, f"{root}/ckpt",
             ["cve_id", "cpe_uri"], bronze_recency, buckets=16,
         )
-    return q.apply_expectations(inc.read_state(spark, state).select(*AFFECTED_PRODUCTS_COLUMNS), sv.PRODUCTS_RULES)
+    return q.apply_expectations(inc.read_state(spark, state, ["cve_id", "cpe_uri"], bronze_recency).select(*AFFECTED_PRODUCTS_COLUMNS), sv.PRODUCTS_RULES)
 
 
 def q_incremental_signals(spark, sf_dir):
@@ -597,7 +668,8 @@ def q_incremental_signals(spark, sf_dir):
                             f"{root}/ckpt-epss", ["cve_id"], bronze_recency, buckets=16)
         inc.run_latest_wins(spark, f"{root}/bronze_kev", kev.schema, sv.kev_rows, f"{root}/kev_state",
                             f"{root}/ckpt-kev", ["cve_id"], bronze_recency, buckets=16)
-    rec = sv.signals_from_latest(inc.read_state(spark, f"{root}/epss_state"), inc.read_state(spark, f"{root}/kev_state"))
+    epss_now, kev_now = (inc.read_state(spark, f"{root}/{t}_state", ["cve_id"], bronze_recency) for t in ("epss", "kev"))
+    rec = sv.signals_from_latest(epss_now, kev_now)
     return q.apply_expectations(rec, sv.SIGNALS_RULES)
 
 
@@ -608,13 +680,14 @@ def q_incremental_events(spark, sf_dir):
     ev = _events(spark, sf_dir)
     src, state = f"{root}/events", f"{root}/state"
     cut = F.lit(EVENT_SPLIT).cast("timestamp")
+    order = lambda: [F.col("ts").desc(), F.col("event_id").desc()]
     for part in (ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)):
         part.write.mode("append").parquet(src)
         inc.run_latest_wins(
             spark, src, ev.schema, lambda df: df, state, f"{root}/ckpt", ["user_id"],
-            lambda: [F.col("ts").desc(), F.col("event_id").desc()], buckets=16,
+            order, buckets=16,
         )
-    return inc.read_state(spark, state).select(*EVENT_COLUMNS)
+    return inc.read_state(spark, state, ["user_id"], order).select(*EVENT_COLUMNS)
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -672,6 +745,7 @@ QUERIES: dict[str, Query] = {
     "distinct_vendors": q_distinct_vendors,
     "core_by_month": q_core_by_month,
     "index_sync": q_index_sync,
+    "continuous_index_sync": q_continuous_index_sync,
     "vuln_enriched": q_vuln_enriched,
     "vendor_risk_agg": q_vendor_risk_agg,
     "kev_recent": q_kev_recent,
@@ -681,6 +755,7 @@ QUERIES: dict[str, Query] = {
     "compare_cves": q_compare_cves,
     "not_found_ids": q_not_found_ids,
     "filtered_search": q_filtered_search,
+    "filtered_search_all": q_filtered_search_all,
     "answer_filtered": q_answer_filtered,
     "trend_vendors": q_trend_vendors,
     "answer_trends": q_answer_trends,
@@ -693,6 +768,9 @@ QUERIES: dict[str, Query] = {
     "vector_topk": q_vector_topk,
     "vector_topk_filtered": q_vector_topk_filtered,
     "vector_topk_batch": q_vector_topk_batch,
+    "vector_topk_indexed": q_vector_topk_indexed,
+    "document_vectors": q_document_vectors,
+    "semantic_text_search": q_semantic_text_search,
     "tfidf_search": q_tfidf_search,
     "answer_semantic": q_answer_semantic,
     "keyword_fallback": q_keyword_fallback,
@@ -710,6 +788,7 @@ QUERIES: dict[str, Query] = {
     "build_history": q_build_history,
     "build_changes": q_build_changes,
     "catalog_tables": q_catalog_tables,
+    "catalog_schemas": q_catalog_schemas,
     "table_inspection": q_table_inspection,
     "csv_export": q_csv_export,
     "fail_rule": q_fail_rule,

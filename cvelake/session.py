@@ -8,8 +8,11 @@ handling for the keyed shuffles.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -107,3 +110,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared checkpoint folder for one job's output."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in the executors' Python, once per application;
+    the driver serves it to them."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cvelake_shipped", False):
+        return
+    root = Path(__file__).parent
+    path = os.path.join(tempfile.mkdtemp(prefix="cvelake-code-"), "cvelake_code.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(root.rglob("*.py")):
+            out.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    sc._cvelake_shipped = True

@@ -1,20 +1,20 @@
 """Feed files -> Bronze rows, parsed on the executors.
 
-* NVD: gzip JSON envelopes ``{..., "CVE_data_numberOfCVEs": n, "CVE_Items": [...]}``,
-  one document per file (gzip is unsplittable: parallelism = number of
-  files; rows are spread again after the explode).
+* NVD: gzip JSON envelopes ``{..., "CVE_data_numberOfCVEs": n, "CVE_Items": [...]}``.
 * KEV: JSON envelope with a ``vulnerabilities`` array.
 * EPSS: CSV with a header line; ``cve``, ``epss`` and ``percentile`` are found by
   name, in any order; ``#`` comment lines and blank lines are skipped.
 
-Each item keeps its own JSON text (``array<string>`` under ``from_json``),
-the CVE id is read from the current or the legacy layout, rows without an
-id are dropped, and provenance is attached: one ``ingest_ts`` per run, the
-file's base name, and the first ``yyyy-MM-dd`` in the file name (NULL when there
-is none). Only the plain files of one folder are read, not its sub-folders.
+No file is ever held whole: envelopes are read item by item (:mod:`.envelopes`), CSV
+files line by line. Each item keeps its own JSON text, the CVE id is read from the
+current or the legacy layout, rows without an id are dropped, and provenance is
+attached: one ``ingest_ts`` per run, the file's base name, and the first ``yyyy-MM-dd``
+in the file name (NULL when there is none). Only the plain files of one folder are read,
+not its sub-folders.
 
-Unreadable files (e.g. a broken gzip) are skipped by the readers;
-:func:`ingest_report` lists them with their reasons, in one Spark job.
+A file is taken whole or not at all. Whether it is well formed is known at its end, so
+:func:`read_files` writes what it has read, with one outcome row a file, and drops the
+items of files that failed; the same rows say what was skipped and why.
 """
 
 from __future__ import annotations
@@ -23,11 +23,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cvelake.session import stage
+from cvelake.sources import envelopes
+
 # The snapshot date pattern in file names, the feed file
 # suffixes, and the NVD page size (items per file).
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 NVD_GLOB, KEV_GLOB, EPSS_GLOB = "*.json.gz", "*.json", "*.csv"
 GLOBS = {"nvd": NVD_GLOB, "kev": KEV_GLOB, "epss": EPSS_GLOB}
+#: Name of an envelope's list, and of its declared length.
+ENVELOPES = {"nvd": ("CVE_Items", "CVE_data_numberOfCVEs"), "kev": ("vulnerabilities", None)}
 PAGE_SIZE = 2000
 EPSS_PAGE = 100_000
 
@@ -38,25 +43,68 @@ def snapshot_date() -> Column:
     return F.try_to_date(F.when(d != "", d), "yyyy-MM-dd")
 
 
-def feed_lines(reader, path: str, glob: str) -> DataFrame:
-    """Whole feed files of one folder, by a batch or a stream ``reader``."""
-    return (
-        reader.option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", True)
-        # text()'s own wholetext argument overrides an .option() of that name.
-        .text(path, wholetext=True)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("source_file"),
-            snapshot_date().alias("snapshot_date"),
-        )
+def feed_lines(reader, path: str, glob: str, separator: str | None = None) -> DataFrame:
+    """The lines of the feed files of one folder, by a batch or a stream ``reader``;
+    with ``separator`` the pieces between its occurrences. Unreadable files end where
+    they can't be read further."""
+    reader = reader.option("pathGlobFilter", glob).option("ignoreCorruptFiles", True)
+    if separator:
+        reader = reader.option("lineSep", separator)
+    return reader.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_name").alias("source_file"),
+        snapshot_date().alias("snapshot_date"),
+    )
+
+
+def feed_pieces(reader, path: str, kind: str, glob: str | None = None) -> DataFrame:
+    """What :func:`parse_files` takes, of the files of one ``kind``."""
+    return feed_lines(reader, path, glob or GLOBS[kind], envelopes.SEPARATOR if kind in ENVELOPES else None)
+
+
+def parse_files(pieces: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(items of the files that are well formed, one outcome row for each file that
+    could be opened: file_path, source_file, reason, n_records, declared_records)."""
+    if kind == "epss":
+        return _parse_csv(pieces)
+    if kind not in ENVELOPES:
+        raise ValueError(kind)
+    # A gzip file is one stream, so one task reads it from its beginning to its end.
+    found = stage(envelopes.scan(pieces, *ENVELOPES[kind], in_order=kind == "nvd"), f"{kind}-items")
+    outcomes = found.filter("at_end").select("file_path", "source_file", "reason", "n_records", "declared_records")
+    good = outcomes.filter(F.col("reason").isNull()).select("file_path")
+    return found.filter("NOT at_end").join(good, "file_path", "left_semi"), outcomes
+
+
+def _parse_csv(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    lines = lines.withColumn("at", F.monotonically_increasing_id()).withColumn("line", F.trim("value"))
+    lines = stage(lines.filter((F.col("line") != "") & ~F.col("line").startswith("#")).drop("value"), "epss-lines")
+    # The two first lines of a file, without sorting it: each task sends two at most.
+    place = F.struct("block", "at", "line")
+    header = lines.groupBy("file_path", "source_file").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    header = header.withColumn("header", _names(F.col("first.line")))
+    headed = lines.join(header.select("file_path", "header", "first"), "file_path")
+    rows = headed.filter(_names(F.col("line")) != F.col("header"))
+    second = rows.groupBy("file_path").agg(F.min(place)["line"].alias("line"))
+    cells = F.split("line", ",")
+    first_id = F.trim(F.get(cells, F.array_position("header", "cve").cast("int") - 1))
+    checked = header.join(second, "file_path", "left")
+    reason = (
+        F.when(F.col("n") < 2, "header without rows, or empty")
+        .when(~_has_columns(F.col("header")), "header lacks cve, epss or percentile")
+        .when(F.size(cells) < 2, "rows have too few columns")
+        .when(~F.upper(first_id).startswith("CVE-"), "first row has no CVE id")
     )
+    none = F.lit(None).cast("long").alias("declared_records")
+    outcomes = checked.select("file_path", "source_file", reason.alias("reason"), (F.col("n") - 1).alias("n"), none)
+    outcomes = outcomes.select("file_path", "source_file", "reason", F.when(F.col("reason").isNull(), F.col("n")).alias("n_records"), "declared_records")
+    return rows.filter(_has_columns(F.col("header"))), outcomes
 
 
-def _items(files: DataFrame, key: str) -> DataFrame:
-    env = F.from_json("value", f"`{key}` array<string>")
-    return files.select(F.explode(env[key]).alias("raw_json"), "source_file", "snapshot_date")
+def _names(line: Column) -> Column:
+    return F.transform(F.split(F.lower(line), ","), lambda x: F.trim(x))
 
 
 def _bronze(items: DataFrame, cve_id: Column, run_ts: str) -> DataFrame:
@@ -68,24 +116,19 @@ def _bronze(items: DataFrame, cve_id: Column, run_ts: str) -> DataFrame:
     )
 
 
-def bronze_of(files: DataFrame, kind: str, run_ts: str) -> DataFrame:
-    """Bronze rows of whole files of one ``kind``, in a batch or a stream."""
-    if kind == "nvd":  # the id is in the current or in the legacy layout
-        cid = F.coalesce(F.get_json_object("raw_json", "$.cve.id"), F.get_json_object("raw_json", "$.cve.CVE_data_meta.ID"))
-        return _bronze(_items(files, "CVE_Items"), cid, run_ts)
-    if kind == "kev":
-        return _bronze(_items(files, "vulnerabilities"), F.get_json_object("raw_json", "$.cveID"), run_ts)
-    if kind != "epss":
-        raise ValueError(kind)
-    lines = _data_lines(F.col("value"))
-    header = F.transform(F.split(F.lower(F.get(lines, 0)), ","), lambda x: F.trim(x))
-    rows = files.select("source_file", "snapshot_date", lines.alias("lines"), header.alias("header")).filter(_has_columns(F.col("header")))
-    rows = rows.select("source_file", "snapshot_date", "header", F.explode(F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line"))
-    return _epss_rows(rows, run_ts)
+def bronze_of(pieces: DataFrame, kind: str, run_ts: str) -> DataFrame:
+    """Bronze rows of the pieces of feed files of one ``kind``."""
+    return bronze_items(parse_files(pieces, kind)[0], kind, run_ts)
 
 
-def _data_lines(value: Column) -> Column:
-    return F.filter(F.split(value, r"\R"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("#"))
+def bronze_items(items: DataFrame, kind: str, run_ts: str) -> DataFrame:
+    if kind == "epss":
+        return _epss_rows(items, run_ts)
+    if kind == "nvd":  # the id is in the current or in the legacy layout
+        cid = F.coalesce(F.get_json_object("raw_json", "$.cve.id"), F.get_json_object("raw_json", "$.cve.CVE_data_meta.ID"))
+    else:
+        cid = F.get_json_object("raw_json", "$.cveID")
+    return _bronze(items, cid, run_ts)
 
 
 def _has_columns(header: Column) -> Column:
@@ -106,41 +149,28 @@ def _epss_rows(rows: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
+def read_files(spark: SparkSession, path: str, kind: str, run_ts: str, glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(Bronze rows, outcomes of all files) of one pass over a folder's feed files;
+    outcomes: one row a file, as :func:`file_outcomes` gives them."""
+    items, found = parse_files(feed_pieces(spark.read, path, kind, glob), kind)
+    return bronze_items(items, kind, run_ts), file_outcomes(list_files(spark, path, glob or GLOBS[kind]), found, kind)
+
+
 def read_nvd(spark: SparkSession, path: str, run_ts: str, glob: str = NVD_GLOB) -> DataFrame:
     """NVD feed files -> Bronze rows (one per item with an id; legacy layout accepted)."""
-    return bronze_of(feed_lines(spark.read, path, glob), "nvd", run_ts)
+    return bronze_of(feed_pieces(spark.read, path, "nvd", glob), "nvd", run_ts)
 
 
 def read_kev(spark: SparkSession, path: str, run_ts: str, glob: str = KEV_GLOB) -> DataFrame:
     """KEV feed files -> Bronze rows (one per catalog entry with an id)."""
-    return bronze_of(feed_lines(spark.read, path, glob), "kev", run_ts)
+    return bronze_of(feed_pieces(spark.read, path, "kev", glob), "kev", run_ts)
 
 
 def read_epss(spark: SparkSession, path: str, run_ts: str, glob: str = EPSS_GLOB) -> DataFrame:
     """EPSS CSV files -> Bronze rows with scores cast to double (bad values become
     NULL). Lines are read as they are split; each file's header, its first line
     that is no comment, tells where its columns are."""
-    lines = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", True)
-        .text(path)
-        .select(
-            F.trim("value").alias("line"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("at"),
-            F.col("_metadata.file_name").alias("source_file"),
-            snapshot_date().alias("snapshot_date"),
-        )
-        .filter((F.col("line") != "") & ~F.col("line").startswith("#"))
-    )
-    first = F.min(F.struct("block", "at", "line"))
-    headers = lines.groupBy("file_path").agg(first.alias("first")).select(
-        "file_path", F.transform(F.split(F.lower("first.line"), ","), lambda x: F.trim(x)).alias("header")
-    )
-    rows = lines.join(headers.filter(_has_columns(F.col("header"))), "file_path")
-    is_header = F.transform(F.split(F.lower("line"), ","), lambda x: F.trim(x)) == F.col("header")
-    return _epss_rows(rows.filter(~is_header), run_ts)
+    return bronze_of(feed_pieces(spark.read, path, "epss", glob), "epss", run_ts)
 
 
 def ingest_summary(nvd: DataFrame, kev: DataFrame, epss: DataFrame) -> DataFrame:
@@ -168,71 +198,40 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         return spark.createDataFrame([], "file_path string, length long")
 
 
+def file_outcomes(listed: DataFrame, found: DataFrame, kind: str) -> DataFrame:
+    """One row for each listed file: (file_path, kind, ok, reason, n_records,
+    declared_records, count_matches); a file of which nothing was read is unreadable."""
+    out = listed.select("file_path").join(found, "file_path", "left")
+    reason = F.when(F.col("source_file").isNull(), F.lit("unreadable")).otherwise(F.col("reason"))
+    return out.select(
+        "file_path", F.lit(kind).alias("kind"), reason.isNull().alias("ok"), reason.alias("reason"),
+        "n_records", "declared_records",
+        (F.col("declared_records").isNull() | (F.col("declared_records") == F.col("n_records"))).alias("count_matches"),
+    )
+
+
 def validate_files(spark: SparkSession, path: str, kind: str, glob: str | None = None) -> DataFrame:
-    """One row per file: (file_path, kind, ok, reason, n_records, declared_records).
+    """The outcomes of reading a folder's files, without Bronze rows.
 
     nvd: readable gzip, JSON, ``CVE_Items`` present and a list;
     kev: JSON, ``vulnerabilities`` present and a list;
     epss: at least 2 lines (blank and ``#`` lines ignored), header names
     ``cve``, ``epss`` and ``percentile``, first data row has 2+ fields and a CVE id.
     """
-    glob = glob or GLOBS[kind]
-    files = feed_lines(spark.read, path, glob)
-    v = F.col("value")
-    if kind in ("nvd", "kev"):
-        key = "CVE_Items" if kind == "nvd" else "vulnerabilities"
-        env = F.from_json(v, f"`{key}` array<string>, CVE_data_numberOfCVEs long")
-        checked = files.select(
-            "file_path",
-            F.size(env[key]).alias("n"),
-            env["CVE_data_numberOfCVEs"].alias("declared_records"),
-            # NULL for text that is not a JSON object (from_json would give a
-            # struct of NULLs instead, indistinguishable from a missing key).
-            F.json_object_keys(v).isNull().alias("bad_json"),
-        ).select(
-            "file_path",
-            F.when(F.col("n").isNotNull() & (F.col("n") >= 0), F.lit(None))
-            .when(F.col("bad_json"), F.lit("invalid JSON"))
-            .otherwise(F.lit(f"missing or non-list '{key}'")).alias("reason"),
-            F.when(F.col("n") >= 0, F.col("n")).alias("n_records"),
-            "declared_records",
-        )
-    elif kind == "epss":
-        # Blank and '#' comment lines are skipped, as the reader skips them.
-        lines = _data_lines(v)
-        header = F.transform(F.split(F.lower(F.get(lines, 0)), ","), lambda x: F.trim(x))
-        first = F.split(F.trim(F.get(lines, 1)), ",")
-        first_id = F.trim(F.get(first, F.array_position(header, "cve").cast("int") - 1))
-        checked = files.select(
-            "file_path",
-            F.when(F.size(lines) < 2, F.lit("header without rows, or empty"))
-            .when(~_has_columns(header), F.lit("header lacks cve, epss or percentile"))
-            .when(F.size(first) < 2, F.lit("rows have too few columns"))
-            .when(~F.upper(first_id).startswith("CVE-"), F.lit("first row has no CVE id"))
-            .alias("reason"),
-            (F.size(lines) - 1).cast("long").alias("n_records"),
-            F.lit(None).cast("long").alias("declared_records"),
-        )
-        checked = checked.withColumn("n_records", F.when(F.col("reason").isNull(), F.col("n_records")))
-    else:
-        raise ValueError(kind)
-    inv = list_files(spark, path, glob)
-    out = inv.join(checked, "file_path", "left")
-    reason = F.when(F.col("n_records").isNull() & F.col("reason").isNull(), F.lit("unreadable")).otherwise(F.col("reason"))
-    return out.select(
-        "file_path", F.lit(kind).alias("kind"), reason.isNull().alias("ok"), reason.alias("reason"),
-        "n_records", "declared_records",
-        (F.col("declared_records").isNull() | (F.col("declared_records") == F.col("n_records"))).alias("count_matches"),
-    )
+    return read_files(spark, path, kind, "1970-01-01", glob)[1]
+
+
+def skipped_files(outcomes: DataFrame) -> DataFrame:
+    """(kind, source_file, reason) of the files that were not taken."""
+    return outcomes.filter(~F.col("ok")).select("kind", F.element_at(F.split("file_path", "/"), -1).alias("source_file"), "reason")
 
 
 def ingest_report(spark: SparkSession, feed_dir: str, globs: dict[str, str] | None = None) -> DataFrame:
     """The files under ``feed_dir`` that an ingest skips, and why: (kind,
-    source_file, reason)."""
+    source_file, reason). An ingest reports them itself (``build.skipped_files``)."""
     found = None
     for kind, glob in (globs or GLOBS).items():
-        bad = validate_files(spark, f"{feed_dir}/{kind}", kind, glob).filter(~F.col("ok"))
-        bad = bad.select("kind", F.element_at(F.split("file_path", "/"), -1).alias("source_file"), "reason")
+        bad = skipped_files(validate_files(spark, f"{feed_dir}/{kind}", kind, glob))
         found = bad if found is None else found.unionByName(bad)
     return found
 

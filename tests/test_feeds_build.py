@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from cvelake.operators.quality import ExpectationFailed
 from cvelake.plans import build
@@ -171,3 +172,13 @@ def test_bucketed_silver_joins_without_shuffle(spark, tmp):
     assert not re.search(r"Exchange hashpartitioning\(cve_id", plan)
     want = gd.vuln_enriched(s.core, s.signals, s.products)
     assert sorted(map(tuple, e.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_bucketed_table_has_a_file_for_each_bucket(spark, tmp):
+    df = spark.range(5000).select(F.concat(F.lit("CVE-"), F.col("id").cast("string")).alias("cve_id")).repartition(7)
+    build.save_bucketed(df, "files_of_buckets", f"{tmp}/b", 6)
+    try:
+        assert len([f for f in os.listdir(f"{tmp}/b") if f.endswith(".parquet")]) == 6
+        assert spark.table("files_of_buckets").count() == 5000
+    finally:
+        spark.sql("DROP TABLE files_of_buckets")

@@ -93,3 +93,34 @@ def test_file_listing_of_missing_folder_is_empty(spark, tmp):
     from cvelake.sources.feeds import list_files
 
     assert list_files(spark, f"{tmp}/nope").count() == 0
+
+
+def test_vendor_matching_is_linear_in_the_text(spark):
+    """Twice the words may cost three times at most; the words are split once, outside
+    of the functions over their runs."""
+    import time
+
+    from cvelake.plans import questions as qs
+
+    vendors = spark.createDataFrame([("acme",), ("big_corp-inc",), ("w7",)], "vendor string")
+
+    def seconds(n):
+        text = " ".join(f"w{i % 50}" for i in range(n)) + " Big Corp, INC"
+        asked = spark.createDataFrame([(i, text) for i in range(4)], "question_id long, raw_query string").coalesce(1)
+        best = 1e9
+        for _ in range(2):
+            start = time.monotonic()
+            found = qs.classify_questions(asked, vendors, "2024-03-01").select("vendors").collect()
+            best = min(best, time.monotonic() - start)
+        assert {tuple(r[0]) for r in found} == {("big_corp-inc", "w7")}
+        return best
+
+    seconds(10)
+    short, long = seconds(2000), seconds(4000)
+    assert long < 3 * short + 0.5 and long < 20, (short, long)
+    asked = spark.createDataFrame([(1, "a b")], "question_id long, raw_query string")
+    plan = qs.classify_questions(asked, vendors)._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "slice(" in line:
+            assert "regexp_replace" not in line.split("slice(", 1)[1].split(")")[0], line
+
