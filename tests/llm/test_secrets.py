@@ -87,3 +87,40 @@ def test_many_repositories_of_one_owner_are_copies_and_base_finds_must_look_live
     assert got == want
     redacted = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
     assert redacted[0] == f"key {hot}" and redacted[200] == "key [SECRET]" and redacted[300] == "[SECRET]"
+
+
+def test_many_finds_in_one_text_take_linear_time(spark):
+    import time
+
+    def text(n):
+        return " ".join(f"{i:032x}" for i in range(n))
+
+    seconds = []
+    for n in (5_000, 50_000):
+        df = spark.createDataFrame([(1, text(n), "a"), (2, "x password=abcdefg", "b")], "doc_id long, text string, source string")
+        start = time.monotonic()
+        r = next(r for r in secrets.scan(df).select(F.col("row.doc_id").alias("id"), F.size("base").alias("n"), F.try_element_at("base", F.lit(-1)).alias("last")).collect() if r["id"] == 1)
+        assert (r["n"], r["last"]["start"], r["last"]["end"]) == (n, 33 * (n - 1), 33 * n - 1)
+        got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+        assert got[1] == " ".join(["[SECRET]"] * n) and got[2] == "x [SECRET]"
+        seconds.append(time.monotonic() - start)
+    print("seconds", seconds)
+    assert seconds[1] < 40
+
+
+def test_redaction_across_pieces(spark):
+    p = secrets.PIECE
+    long = "password=" + "k9" * p
+    texts = ["𝒳" * (p - 3) + " " + long + " end", "a " * (p // 2) + "token=abcdef1 " * 400, "x" * p + " password=abcdefg", "é\n" * p]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+
+    def plain(t):
+        spans, out, at = base(t), "", 0
+        for start, _, end in spans:
+            if start >= at:
+                out += t[at:start] + "[SECRET]"
+            at = max(at, end)
+        return out + t[at:]
+
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
