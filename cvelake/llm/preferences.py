@@ -6,8 +6,10 @@ side is that side's completion. Each completion comes with its loss mask: the sp
 of its rendered text, in characters, that hold assistant words; markers and the
 turns of others are left out of the loss.
 
-The turns of one conversation meet in one row (a conversation is one training
-example); pairs need a single shuffle on the pair's key.
+The turns of one conversation meet in one row, since a conversation is one training
+example and one row of the result; all its turns and twice its text have to fit one row
+(under 2 GB). Of a sibling only the one turn that is needed is found, by a maximum that
+is combined before the shuffle, and joined.
 
 Defined results: null roles and texts count as empty and are equal to each other;
 turns are ordered by turn, then role, then text, null turns first, and repeated rows
@@ -88,15 +90,19 @@ def sibling_pairs(turns: DataFrame) -> DataFrame:
     by the last assistant turn of its sibling (conv_id 2k and 2k + 1 are siblings).
     Without a sibling's answer, rejected ends before the answer. Conversations
     without a conv_id, or without an assistant turn, make no pair."""
-    whole = conversations(turns.filter("conv_id is not null"))
+    known = turns.filter("conv_id is not null").withColumn("conv_id", F.col("conv_id").cast("long"))
+    whole = conversations(known)
     last = F.aggregate(
         F.sequence(F.lit(0), F.size("turns") - 1),
         F.lit(-1),
         lambda acc, i: F.when(F.get("turns", i)["role"] == ASSISTANT, i).otherwise(acc),
     )
-    answered = whole.withColumn("last", last).withColumn("answer", F.when(F.col("last") >= 0, F.get("turns", F.col("last"))))
-    two = answered.groupBy(F.floor(F.col("conv_id") / 2).alias("family")).agg(F.collect_list(F.struct("conv_id", "turns", "last", "answer")).alias("members"))
-    one = two.select("members", F.explode("members").alias("own")).filter("own.last >= 0")
-    others = F.filter("members", lambda m: (m["conv_id"] != F.col("own.conv_id")) & m["answer"].isNotNull())
-    rejected = F.concat(F.slice("own.turns", 1, F.col("own.last")), F.transform(others, lambda m: m["answer"]))
-    return one.select(F.col("own.conv_id").alias("pair_id"), F.col("own.turns").alias("chosen"), rejected.alias("rejected"))
+    own = whole.withColumn("last", last).filter(F.col("last") >= 0)
+    # The last answer in the order of conversations(); null turns are the smallest.
+    text = F.coalesce("text", F.lit(""))
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").alias("role"), text.alias("text"))
+    answers = known.filter(F.col("role") == ASSISTANT).groupBy(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("of")).agg(F.max(turn).alias("answer"))
+    met = own.join(answers, F.col("conv_id") == F.col("of"), "left")
+    other = F.when(F.col("answer").isNotNull(), F.array("answer")).otherwise(F.array().cast(_TURNS))
+    rejected = F.concat(F.slice("turns", 1, F.col("last")), other)
+    return met.select(F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"), rejected.alias("rejected"))

@@ -72,3 +72,23 @@ def test_odd_conversations(spark):
     got = {r["pair_id"]: ([tuple(t)[1:] for t in r["chosen"]], [tuple(t)[1:] for t in r["rejected"]]) for r in preferences.sibling_pairs(df).collect()}
     assert got == {c: (v, r) for c, v, r in sibling_pairs(rows)}
     assert preferences.format_pairs(preferences.sibling_pairs(df.filter("false"))).count() == 0
+
+
+def test_siblings_of_large_and_negative_ids(spark):
+    rows = []
+    for first in (2**60, 2**53 - 2, -4, 2**62):
+        for c in range(first, first + 4):
+            rows += [(c, 0, "user", f"q{c // 2}"), (c, 1, "assistant", f"a{c}")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["pair_id"]: ([tuple(t)[1:] for t in r["chosen"]], [tuple(t)[1:] for t in r["rejected"]]) for r in preferences.sibling_pairs(df).collect()}
+    assert got == {c: (v, r) for c, v, r in sibling_pairs(rows)}
+    assert all(len(r) == 2 for _, r in got.values())
+
+
+def test_a_conversation_with_a_third_of_all_rows(spark):
+    rows = [(2, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(20_000)]
+    rows += [(c, i, "assistant" if i % 2 else "user", f"turn {i}") for c in range(3, 10_003) for i in range(4)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(8)
+    made = {r["pair_id"]: r for r in preferences.format_pairs(preferences.sibling_pairs(df)).filter("pair_id in (2, 3)").collect()}
+    assert made[2]["n_prompt"] == 19_999 and made[2]["rejected"] == render([("assistant", "turn 3")])
+    assert made[3]["n_prompt"] == 3 and made[3]["rejected"] == render([("assistant", "turn 19999")])
