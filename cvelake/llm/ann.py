@@ -3,22 +3,23 @@
 A fast pseudo-rotation is three rounds of random signs and a Hadamard transform; the
 hash of a unit vector is the signed axis it then lies nearest to. Every table joins
 two such hashes. A hash sees directions only, so vectors are dealt to bands of nearly
-equal length, each with tables of its own: within a band the order by direction is
-the order by distance. A query probes, in each table of each band, the axis pairs
-that it is nearest to (``PROBES``, more if the band holds few vectors), and what it
-meets there is reranked by Euclidean distance on the original vectors in double
-precision. Queries that meet fewer than they ask for are compared
-with all vectors, in blocks, so every query gets its number of neighbours.
+equal length: within a band the order by direction is the order by distance.
+
+Vectors are dealt once to blocks of at most ``BLOCK`` or so, and a block keeps its own
+tables: hashing is done where the vectors lie, so no copy of a vector goes to each
+table. A query visits every block, and in each table of each band it probes the axis
+pairs in the order of their distance to it until it has met ``MET`` vectors (and all
+of the last pair probed). That rule is the same for tables of any size. What a query
+met in any of a block's tables is reranked by Euclidean distance on the original
+vectors in double precision, and the block sends its nearest on.
 
 Equal vectors are indexed once, with the few smallest of their ids (more can't be
-among the nearest): a vector that a third of all rows share is one entry. The rows of
-a table that share the first axis are one task, or several blocks if they are many;
-a query is sent once to each with the second axes it probes. Random signs come from a
-fixed seed, so tasks agree and results repeat.
+among the nearest): a vector that a third of all rows share is one entry. Random signs
+come from a fixed seed, so tasks agree and results repeat.
 
-Recall on the test tables is measured in tests/llm; on uniformly random directions
-in 64 dimensions, the hardest case, the defaults find over 0.9 of the 10 nearest,
-whether the vectors are of equal length or not.
+Recall on the test tables is measured in tests/llm, below and above ``MET`` vectors a
+band; on uniformly random directions in 64 dimensions, the hardest case, the defaults
+find over 0.9 of the 10 nearest, whether the vectors are of equal length or not.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components
 take no part, nor do rows without an id or vectors of another length than most;
@@ -37,25 +38,25 @@ from cvelake.llm.common import ship
 from cvelake.session import stage
 
 TABLES = 24
-PROBES = 100
-#: Fewer vectors of a band than these lie thinner in its tables; queries then probe more pairs.
-USUAL_VECTORS = 10_000
+#: Vectors that a query meets in a table of a band before it stops probing.
+MET = 128
 #: Longest to shortest vector of a band; bands beyond ``BANDS`` are merged, smallest first.
 BAND_RATIO = 1.1
 BANDS = 16
-#: First and second axes from which the nearest pairs are chosen.
-AXES = 40
-#: Vectors of one task's block.
+#: Vectors of a block, and queries that visit it in one task.
 BLOCK = 16_384
+QUERIES = 8_192
+#: Rows rotated at once; sized for the processor's cache.
+ROWS = 1_024
 SEED = 20_240_601
 
-_INDEX = "table int, first int, second int, rep long, embedding array<float>"
-_PROBES = "table int, first int, seconds array<int>, rep long, embedding array<float>"
 _FOUND = "query long, rep long, score double"
 
 
 def rotate(x: np.ndarray, seed: int) -> np.ndarray:
     """Pseudo-rotation of the rows of ``x``, padded to a power of two."""
+    if len(x) > ROWS:
+        return np.concatenate([rotate(x[at : at + ROWS], seed) for at in range(0, len(x), ROWS)])
     dim = 1 << max(0, x.shape[1] - 1).bit_length()
     out = np.zeros((len(x), dim), np.float32)
     out[:, : x.shape[1]] = x
@@ -88,85 +89,63 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def _hash_vectors(tables: int, seed: int):
-    def run(batches):
-        for batch in batches:
-            x = _unit(_matrix(batch.column("embedding")))
-            if not len(x):
-                continue
-            band = batch.column("band").to_numpy()
-            for t in range(tables):
-                first, second = (nearest_axis(rotate(x, seed + 2 * t + h)) for h in (0, 1))
-                columns = [pa.array((t + tables * band).astype(np.int32)), pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*columns, batch.column("rep"), batch.column("embedding")], names=["table", "first", "second", "rep", "embedding"])
-
-    return run
-
-
-def _probe(tables: int, probes: list[int], axes: int, seed: int):
-    """For each query and table of each band (``probes`` has the number of probes by
-    band), the first axes it probes and the second axes with each."""
-
-    def run(batches):
-        for batch in batches:
-            x = _unit(_matrix(batch.column("embedding")))
-            rows = []
-            for t in range(tables if len(x) else 0):
-                both = [rotate(x, seed + 2 * t + h) for h in (0, 1)]
-                # Distance to a signed axis: smaller as the component grows along it.
-                toward = [np.concatenate([b, -b], axis=1) for b in both]
-                dim = both[0].shape[1]
-                names = np.concatenate([2 * np.arange(dim), 2 * np.arange(dim) + 1])
-                near = [np.argsort(-v, axis=1)[:, :axes] for v in toward]
-                gap = []
-                for v, o in zip(toward, near, strict=True):
-                    best = np.take_along_axis(v, o, 1)
-                    gap.append((best[:, :1] - best) ** 2)
-                cost = (gap[0][:, :, None] + gap[1][:, None, :]).reshape(len(x), -1)
-                chosen = np.argsort(cost, axis=1, kind="stable")[:, : max(probes)]
-                width = gap[1].shape[1]
-                for band, n in enumerate(probes):
-                    for i in range(len(x)):
-                        pairs = chosen[i, :n]
-                        firsts, seconds = names[near[0][i][pairs // width]], names[near[1][i][pairs % width]]
-                        order = np.argsort(firsts, kind="stable")
-                        values, at = np.unique(firsts[order], return_index=True)
-                        for value, own in zip(values.tolist(), np.split(seconds[order], at[1:]), strict=True):
-                            rows.append((t + tables * band, value, own.tolist(), i))
-            if rows:
-                t, first, seconds, i = zip(*rows, strict=True)
-                at = pa.array(i, pa.int64())
-                columns = [pa.array(t, pa.int32()), pa.array(first, pa.int32()), pa.array(seconds, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays([*columns, batch.column("rep").take(at), batch.column("embedding").take(at)], names=["table", "first", "seconds", "rep", "embedding"])
-
-    return run
-
-
-def _rerank(k: int):
-    def run(queries: pa.Table, index: pa.Table) -> pa.Table:
+class Tables:
+    """The tables of one block: for each, the axis pair of every vector."""
+
+    def __init__(self, x: np.ndarray, tables: int, seed: int):
+        self.units, self.tables, self.seed = _unit(x), tables, seed
+        axes = [[nearest_axis(rotate(self.units, seed + 2 * t + h)) for h in (0, 1)] for t in range(tables)]
+        self.axes = np.array(axes, np.int64).reshape(tables, 2, len(x))
+
+    def costs(self, queries: np.ndarray) -> np.ndarray:
+        """Squared distance of each query to each axis, less that to its nearest, by
+        table, hash, query and axis."""
+        units, out = _unit(queries), []
+        for t in range(self.tables):
+            for h in (0, 1):
+                r = rotate(units, self.seed + 2 * t + h)
+                toward = np.stack([r, -r], axis=2).reshape(len(r), -1)  # axis 2a, then 2a + 1
+                out.append(np.square(toward.max(axis=1, keepdims=True) - toward))
+        return np.array(out).reshape(self.tables, 2, len(queries), -1)
+
+    def met(self, costs: np.ndarray, bands: list[np.ndarray], least: int) -> np.ndarray:
+        """Numbers of the vectors that one query meets; ``costs``: (table, hash, axis),
+        ``bands``: the vectors of each band."""
+        found = np.zeros(self.axes.shape[2], bool)
+        for t in range(self.tables):
+            cost = costs[t, 0][self.axes[t, 0]] + costs[t, 1][self.axes[t, 1]]
+            for own in bands:
+                if len(own) <= least:
+                    found[own] = True
+                else:  # all pairs up to the one that makes the number full
+                    part = cost[own]
+                    found[own[part <= np.partition(part, least - 1)[least - 1]]] = True
+        return np.flatnonzero(found)
+
+
+def _search_block(k: int, tables: int, least: int, seed: int):
+    def run(queries: pa.Table, block: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(queries) and len(index):
-            x, reps = _matrix(index.column("embedding")).astype(np.float64), index.column("rep").to_numpy()
-            order = np.argsort(index.column("second").to_numpy(), kind="stable")
-            seconds = index.column("second").to_numpy()[order]
+        if len(queries) and len(block):
+            x, reps = _matrix(block.column("embedding")).astype(np.float64), block.column("rep").to_numpy()
+            band = block.column("band").to_numpy()
+            bands = [np.flatnonzero(band == b) for b in np.unique(band)]
+            hashed = Tables(x, tables, seed)
             asked = _matrix(queries.column("embedding")).astype(np.float64)
-            for q, rep, own in zip(asked, queries.column("rep").to_pylist(), queries.column("seconds").to_pylist(), strict=True):
-                if own is None:
-                    at = np.arange(len(x))
-                else:
-                    spans = zip(np.searchsorted(seconds, own, "left"), np.searchsorted(seconds, own, "right"), strict=True)
-                    at = np.concatenate([order[a:b] for a, b in spans])
-                if not len(at):
-                    continue
-                gap = x[at] - q
-                score = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-                if len(score) > k:  # all that tie with the k-th stay in
-                    near = np.flatnonzero(score <= np.partition(score, k - 1)[k - 1])
-                    at, score = at[near], score[near]
-                    if len(at) > k:
-                        near = np.lexsort((reps[at], score))[:k]
+            names = queries.column("rep").to_pylist()
+            for first in range(0, len(asked), 64):
+                costs = hashed.costs(asked[first : first + 64])
+                for i, (q, rep) in enumerate(zip(asked[first : first + 64], names[first : first + 64], strict=True)):
+                    at = hashed.met(costs[:, :, i], bands, least)
+                    gap = x[at] - q
+                    score = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+                    if len(score) > k:  # all that tie with the k-th stay in
+                        near = np.flatnonzero(score <= np.partition(score, k - 1)[k - 1])
                         at, score = at[near], score[near]
-                found.append((np.full(len(at), rep), reps[at], score))
+                        if len(at) > k:
+                            near = np.lexsort((reps[at], score))[:k]
+                            at, score = at[near], score[near]
+                    found.append((np.full(len(at), rep), reps[at], score))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table(dict(zip(("query", "rep", "score"), map(pa.array, columns), strict=True)))
 
@@ -180,7 +159,8 @@ def _thin(keep: int):
         for batch in batches:
             if not len(batch):
                 continue
-            x, ids = _matrix(batch.column("embedding")) + np.float32(0), batch.column("vec_id").to_numpy()  # -0.0 is 0.0
+            x, ids = _matrix(batch.column("embedding")), batch.column("vec_id").to_numpy()
+            x = x + x.dtype.type(0)  # -0.0 is 0.0
             rows: dict[bytes, int] = {}
             found: dict[bytes, list[int]] = {}
             for i in np.argsort(ids, kind="stable").tolist():
@@ -197,9 +177,11 @@ def _thin(keep: int):
 
 
 def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
-    """embedding, ids (its ``keep`` smallest vec_ids), rep (the smallest). Batches are
-    thinned before the shuffle, so a group holds at most ``keep`` ids of each batch."""
-    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).filter(
+    """embedding (floats stay floats, others become doubles), ids (its ``keep``
+    smallest vec_ids), rep (the smallest). Batches are thinned before the shuffle, so a
+    group holds at most ``keep`` ids of each batch."""
+    kind = _kind(vectors)
+    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).filter(
         F.col("vec_id").isNotNull()
         & F.col("embedding").isNotNull()
         & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -207,11 +189,16 @@ def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     )
     usual = good.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1)
     dim = (usual.first() or [0])[0]
-    few = good.filter(F.size("embedding") == dim).mapInArrow(_thin(keep), "embedding array<float>, ids array<long>")
+    few = good.filter(F.size("embedding") == dim).mapInArrow(_thin(keep), f"embedding {kind}, ids array<long>")
     ids = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep)
     return few.groupBy("embedding").agg(ids.alias("ids")).withColumn("rep", F.get("ids", F.lit(0)))
 
 
+def _kind(vectors: DataFrame) -> str:
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    return kind if kind == "array<float>" else "array<double>"
+
+
 def bands_of(counts: dict[int, int], most: int = BANDS) -> list[tuple[int, int]]:
     """(first step of length, vectors) of each band; ``counts`` is by step. Steps are
     bands until they are too many; then the two neighbours with the fewest vectors merge."""
@@ -223,7 +210,7 @@ def bands_of(counts: dict[int, int], most: int = BANDS) -> list[tuple[int, int]]
 
 
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = 10, tables: int = TABLES, probes: int = PROBES, axes: int = AXES, block: int = BLOCK, seed: int = SEED
+    vectors: DataFrame, queries: DataFrame, k: int = 10, tables: int = TABLES, met: int = MET, block: int = BLOCK, seed: int = SEED
 ) -> DataFrame:
     """For each query (rows vec_id, embedding of ``queries``) its ``k`` nearest among
     the rows of ``vectors`` (vec_id, embedding) other than its own:
@@ -231,7 +218,7 @@ def search(
     ship(vectors.sparkSession)
     entries = stage(distinct_vectors(vectors, k + 1), "vectors")
     # Queries with the same vector are searched for once.
-    own = queries.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    own = queries.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast(_kind(vectors)).alias("embedding"))
     asked = stage(own.filter("query_id is not null").join(entries, "embedding").select("query_id", "rep").distinct(), "queries")
     counts = entries.count()
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
@@ -239,33 +226,18 @@ def search(
     step = F.floor(F.log(length / shortest) / float(np.log(BAND_RATIO))).cast("int")
     # Lengths are finite numbers, so the steps are a few thousand at most.
     bands = bands_of({r["step"]: r["count"] for r in entries.groupBy(step.alias("step")).count().collect()}) or [(0, 0)]
-    own_probes = [max(probes, min(axes * axes, probes * USUAL_VECTORS // max(1, n))) for _, n in bands]
     band = sum(((step >= low).cast("int") for low, _ in bands[1:]), F.lit(0))
     once = stage(entries.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "embedding"), "query_vectors")
 
-    index = entries.select("rep", "embedding", band.alias("band")).mapInArrow(_hash_vectors(tables, seed), _INDEX)
-    # A first axis with many vectors is dealt to several blocks; queries meet them all.
-    # At most two rows for each band, table and dimension.
-    blocks = stage(index.groupBy("table", "first").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")
-    probed = once.mapInArrow(_probe(tables, own_probes, axes, seed), _PROBES)
-    index = index.join(blocks, ["table", "first"]).withColumn("block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")).drop("blocks")
-    probed = probed.join(blocks, ["table", "first"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    keys = ["table", "first", "block"]
-    met = probed.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(_rerank(k + 1), _FOUND)
-    met = stage(met.distinct(), "met")
-
-    # The exact way for queries that met too few.
-    few = once.join(met.groupBy("query").count().filter(F.col("count") > k).select(F.col("query").alias("rep")), "rep", "left_anti")
-    few = stage(few, "few")
-    if not few.isEmpty():
-        spans = max(1, -(-counts // block))
-        all_blocks = few.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(spans - 1)))).withColumn("seconds", F.lit(None).cast("array<int>"))
-        whole = entries.select("rep", "embedding").withColumn("second", F.lit(0)).withColumn("block", F.expr(f"cast(pmod(xxhash64(rep), {spans}) as int)"))
-        more = all_blocks.groupBy("block").cogroup(whole.groupBy("block")).applyInArrow(_rerank(k + 1), _FOUND)
-        met = met.unionByName(more).distinct()
+    blocks, parts = max(1, -(-counts // block)), max(1, -(-once.count() // QUERIES))
+    dealt = lambda c, n: F.expr(f"cast(pmod(xxhash64({c}), {n}) as int)")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    index = entries.select("rep", "embedding", band.alias("band"), dealt("rep", blocks).alias("block")).withColumn("part", every(parts))
+    visits = once.select("rep", "embedding", dealt("rep", parts).alias("part")).withColumn("block", every(blocks))
+    found = visits.groupBy("block", "part").cogroup(index.groupBy("block", "part")).applyInArrow(_search_block(k + 1, tables, met, seed), _FOUND)
 
     near = Window.partitionBy("query").orderBy("score", "rep")
-    best = met.withColumn("place", F.row_number().over(near)).filter(F.col("place") <= k + 1)
+    best = found.withColumn("place", F.row_number().over(near)).filter(F.col("place") <= k + 1)
     listed = best.join(entries.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id"))
     # At most (k + 1)^2 per query vector.
     lists = listed.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("near"))

@@ -41,16 +41,16 @@ def test_recall_on_random_vectors_in_blocks(spark):
     x = rng.normal(size=(3000, 48))
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
-    got = ann.search(df, df.filter("vec_id % 100 = 0"), tables=12, block=20).groupBy("query_id").agg(F.collect_set("vec_id")).collect()
+    got = ann.search(df, df.filter("vec_id % 100 = 0"), tables=12, block=700).groupBy("query_id").agg(F.collect_set("vec_id")).collect()
     want = brute(list(range(3000)), x.astype(np.float64), range(0, 3000, 100))
     assert sum(len(set(found) & {v for _, v in want[q]}) for q, found in got) >= 0.9 * 300
 
 
 @pytest.mark.parametrize("lengths", ["unit", "uniform", "lognormal"])
 def test_recall_with_production_probes_and_unequal_lengths(spark, lengths):
-    """More vectors than USUAL_VECTORS, so that equal lengths don't widen the search."""
+    """One block, about 80 times as many vectors as a query meets in a table."""
     rng = np.random.default_rng(2)
-    n = ann.USUAL_VECTORS + 500
+    n = 10_500
     x = rng.normal(size=(n, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     x *= {"unit": np.ones(n), "uniform": rng.uniform(0.5, 2, n), "lognormal": rng.lognormal(0, 0.3, n)}[lengths][:, None]
@@ -65,6 +65,30 @@ def test_recall_with_production_probes_and_unequal_lengths(spark, lengths):
     assert recall >= 0.9
 
 
+def test_recall_of_full_blocks(spark):
+    """Over 10,000 vectors in each band of each block, for unit lengths and two lengths."""
+    rng = np.random.default_rng(6)
+    n = 2 * ann.BLOCK
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    got = ann.search(df, df.filter("vec_id % 800 = 0")).groupBy("query_id").agg(F.collect_set("vec_id")).collect()
+    want = brute(list(range(n)), x.astype(np.float64), range(0, n, 800))
+    recall = sum(len(set(found) & {v for _, v in want[q]}) for q, found in got) / (10 * len(want))
+    print(f"recall full blocks {recall:.3f}")
+    assert recall >= 0.9
+
+
+def test_doubles_keep_their_precision(spark):
+    base = [0.1 + 1e-12 * i for i in range(6)]
+    rows = [(i, [b, 1.0 / 3.0]) for i, b in enumerate(base)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, df.filter("vec_id = 0")).orderBy("rank").collect()
+    x = np.array([v for _, v in rows])
+    assert [(r["vec_id"], r["score"]) for r in got] == [(i, float(np.sqrt(((x[i] - x[0]) ** 2).sum()))) for i in range(1, 6)]
+
+
 def test_bands_beyond_the_bound_merge_the_smallest():
     assert ann.bands_of({3: 5, 0: 1, 1: 2, 9: 9}, 4) == [(0, 1), (1, 2), (3, 5), (9, 9)]
     assert ann.bands_of({3: 5, 0: 1, 1: 2, 9: 9}, 2) == [(0, 8), (9, 9)]
