@@ -9,16 +9,19 @@ edits is within b // 2 edits, or the other half is within b - b // 2 - 1), so a
 hit climbs from its leaf to the whole item and most false hits end after one short
 node. No occurrence within the budget is missed.
 
-Items reach the tasks in blocks of a bounded number of characters; a larger
-benchmark makes more passes over a batch of texts. The passes are chained, so the
-driver and each task hold all blocks at once. Texts are never moved: the matches are one more column.
+Items are normalized in tasks, written to the shared folder and dealt to blocks of
+about ``BLOCK_CHARS`` characters; driver and tasks hold one block at a time. With a
+single block, which most benchmarks are, the matches are one more column of the texts,
+which don't move. With more, the rows are written with a number, each block is a pass
+over them of which only the matches are written, and these are joined at the end.
 
 Texts and items are compared in lower case with every run of ASCII characters other
 than letters and digits as one blank; spans are positions in that form.
 
 Defined results: null and empty texts match nothing; items with fewer than
-``LEAST_WORDS`` words, and fewer than ``LEAST_LETTERS`` letters of scripts that put no
-blanks between words, are no test passages and match nothing; a repeated item
+``LEAST_WORDS`` words (an argument of ``matches``), and fewer than ``LEAST_LETTERS``
+letters of scripts that put no blanks between words, are no test passages and match
+nothing (``left_out`` lists them); a repeated item
 matches under each of its ids, a null item_id is left out; an empty benchmark
 leaves all texts clean; an empty table gives no rows. The column ``matches`` gets
 another name if the table has one of that name.
@@ -37,6 +40,7 @@ from pyspark.sql import types as T
 
 from cvelake.llm.common import fresh_column, ship
 from cvelake.llm.tokens import forget
+from cvelake.session import stage
 
 #: Edits allowed, as a share of an item's characters.
 EDIT_RATE = 0.08
@@ -54,9 +58,9 @@ _SIGNS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 _NO_BLANKS = re.compile("[\u0e00-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
-def is_passage(item: str) -> bool:
+def is_passage(item: str, least_words: int = LEAST_WORDS) -> bool:
     """Whether a normalized item is long enough to be looked for."""
-    return item.count(" ") + 1 >= LEAST_WORDS or len(_NO_BLANKS.findall(item)) >= LEAST_LETTERS
+    return item.count(" ") + 1 >= least_words or len(_NO_BLANKS.findall(item)) >= LEAST_LETTERS
 
 
 def normalize(text: str) -> str:
@@ -178,47 +182,60 @@ def _find(items: list[tuple[int, str]], text_column: str, out: str, kept: list[s
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
         names = ("item_id", "distance", "start", "end")
         for batch in batches:
-            texts = batch.column(text_column)
-            before = batch.column(out).to_pylist() if out in batch.schema.names else [[]] * len(texts)
             rows = []
-            for text, old in zip(texts, before, strict=True):
+            for text in batch.column(text_column):
                 value = text.as_py()
-                new = [dict(zip(names, m, strict=True)) for m in finder.find(normalize(value))] if value else []
-                rows.append(old + new)
-            columns = [batch.column(c) for c in kept] + [pa.array(rows, kind)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, out])
+                rows.append([dict(zip(names, m, strict=True)) for m in finder.find(normalize(value))] if value else [])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(rows, kind)], names=[*kept, out])
 
     return run
 
 
-def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items (item_id, normalized text) in blocks of about BLOCK_CHARS characters;
-    the plan's closures keep all of them on the driver."""
-    block, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").toLocalIterator():
-        text = normalize(row["text"])
-        if not is_passage(text):
-            continue
-        block.append((row["item_id"], text))
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
-def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with a column of matches (item_id, distance, start, end), and its name."""
+def items_of(benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(item_id, item: normalized text, passage: whether it is looked for)."""
+    ship(benchmark.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = [normalize(t) for t in batch.column("text").to_pylist()]
+            good = pa.array([is_passage(i, least_words) for i in items], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(items, pa.string()), good], names=["item_id", "item", "passage"])
+
+    known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null")
+    return known.mapInArrow(run, "item_id long, item string, passage boolean")
+
+
+def left_out(benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The item_ids of a benchmark that are too short to be looked for."""
+    return items_of(benchmark, least_words).filter(~F.col("passage")).select("item_id")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", least_words: int = LEAST_WORDS) -> tuple[DataFrame, str]:
+    """``docs`` with a column of matches (item_id, distance, start, end) by item_id, and
+    its name."""
     ship(docs.sparkSession)
-    kept, out = docs.columns, fresh_column(docs, "matches")
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T._parse_datatype_string(_MATCH))])
-    found = docs
-    for block in blocks_of(benchmark):
-        found = found.mapInArrow(_find(block, text, out, kept), schema)
-    if found is docs:
-        found = docs.withColumn(out, F.array().cast(_MATCH))
-    return found, out
+    out = fresh_column(docs, "matches")
+    kind = T.StructField(out, T._parse_datatype_string(_MATCH))
+    items = stage(items_of(benchmark, least_words).filter("passage").drop("passage"), "benchmark_items")
+    size = items.agg(F.sum(F.length("item"))).first()[0]
+    if not size:
+        return docs.withColumn(out, F.array().cast(_MATCH)), out
+    blocks = 1 + size // BLOCK_CHARS
+    block_of = F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks))
+    block = lambda b: [tuple(r) for r in items.filter(block_of == b).orderBy("item_id", "item").collect()]
+    if blocks == 1:
+        return docs.mapInArrow(_find(block(0), text, out, docs.columns), T.StructType([*docs.schema.fields, kind])), out
+    uid = fresh_column(docs, "uid")
+    rows = stage(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered_texts")
+    read = rows.select(uid, text)
+    found = None
+    for b in range(blocks):
+        own = read.mapInArrow(_find(block(b), text, out, [uid]), T.StructType([read.schema[uid], kind]))
+        own = stage(own.filter(F.size(out) > 0), f"matches_{b}")
+        found = own if found is None else found.unionAll(own)
+    found = found.groupBy(uid).agg(F.array_sort(F.flatten(F.collect_list(out))).alias(out))
+    joined = rows.join(found, uid, "left").withColumn(out, F.coalesce(out, F.array().cast(_MATCH)))
+    return joined.drop(uid), out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -81,7 +81,10 @@ def test_edges_and_passes(spark, monkeypatch):
     assert name == "matches_" and found.columns == [*df.columns, name]
     got = [(r["doc_id"], sorted((m["item_id"], m["distance"]) for m in r[name])) for r in found.collect()]
     hit = [(7, 0), (8, 0)]
-    assert got == [(1, []), (2, []), (3, hit), (3, hit), (4, [(7, 1), (8, 1)]), (5, []), (None, hit), (6, hit)]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(got, key=key) == [(1, []), (2, []), (3, hit), (3, hit), (4, [(7, 1), (8, 1)]), (5, []), (6, hit), (None, hit)]
+    assert sorted(r["item_id"] for r in D.left_out(benchmark).collect()) == [10, 11]
+    assert D.left_out(benchmark, 3).collect()[0]["item_id"] == 10
     kept = D.drop_contaminated(df, benchmark)
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5]
     assert D.drop_contaminated(df, benchmark.filter("false")).count() == len(docs)
@@ -111,3 +114,16 @@ def test_query_finds_every_exact_passage(spark):
         found = {int(x.split(":")[0]): int(x.split(":")[1]) for x in got[d["doc_id"]]["items"].split(",") if x}
         assert exact == {i for i, n in found.items() if n == 0}
         assert got[d["doc_id"]]["contaminated"] == bool(found)
+
+
+def test_blocks_change_no_match(spark, monkeypatch):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    once = {r["doc_id"]: r["matches"] for r in D.matches(docs, benchmark)[0].collect()}
+    monkeypatch.setattr(D, "BLOCK_CHARS", 700)
+    held = []
+    find = D._find
+    monkeypatch.setattr(D, "_find", lambda items, *rest: held.append(sum(len(t) for _, t in items)) or find(items, *rest))
+    assert {r["doc_id"]: r["matches"] for r in D.matches(docs, benchmark)[0].collect()} == once
+    assert len(held) > 5 and any(once.values())
+    assert max(held) < sum(held) / 2
