@@ -27,6 +27,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cvelake.llm.license_texts import TEXTS
 from cvelake.session import stage
 
 # Phrases and labels, and what stands between words.
@@ -93,6 +94,8 @@ TEMPLATES = {
         "spdx license identifier mpl 2 0",
     ],
 }
+#: The short notices, and the whole texts of short licenses.
+TEMPLATES = {label: TEMPLATES.get(label, []) + TEXTS.get(label, []) for label in sorted({*TEMPLATES, *TEXTS})}
 K = 3
 SHIFT = 2
 #: Share of a template's runs that a span must hold.

@@ -115,3 +115,26 @@ def test_short_notices(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["row"]["doc_id"]: {s["label"] for s in r["spans"]} for r in licenses.scan(df).collect()}
     assert got == dict(enumerate(texts.values()))
+
+
+def test_whole_texts_are_found_through_edits(spark):
+    """A few words changed, dropped and added in every whole text; the span is the text's."""
+    import random
+
+    from cvelake.llm.license_texts import TEXTS
+
+    rng = random.Random(2)
+    rows, want = [], {}
+    for label, texts in TEXTS.items():
+        for text in texts:
+            words = words_of(text)
+            for at in sorted(rng.sample(range(5, len(words) - 5), len(words) // 25), reverse=True):
+                words[at : at + 1] = rng.choice([["other"], [], [words[at], "added"]])
+            i = len(rows)
+            rows.append((i, " ".join(["before"] * (7 + i) + words + ["after"] * 9)))
+            want[i] = (label, 7 + i, 7 + i + len(words))
+    got = {r["row"]["doc_id"]: r["spans"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, start, end) in want.items():
+        assert {s["label"] for s in got[i]} == {label}
+        widest = max(got[i], key=lambda s: s["end"] - s["start"])
+        assert start <= widest["start"] <= start + 4 and end - 4 <= widest["end"] <= end and 0.6 <= widest["share"] < 1
