@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvelake.llm import ann, centroids, decontaminate, huffman, langid, licenses, merkle, ngram_join, packing, preferences, secrets, toxicity, url_rules
+from cvelake.llm import ann, centroids, decontaminate, huffman, langid, licenses, merkle, ngram_join, oracle, packing, preferences, secrets, toxicity, url_rules
 from cvelake.llm.common import table
 from cvelake.session import scratch_dir
 
@@ -146,4 +146,4 @@ QUERIES: dict[str, Query] = {
     "op12_naive_bayes_toxicity": op12_naive_bayes_toxicity,
     "op13_threshold_centroids": op13_threshold_centroids,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.sql()
