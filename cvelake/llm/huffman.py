@@ -41,10 +41,11 @@ MAX_BITS = 16
 LANE_IDS = 256
 #: A block closes after the document that brings it to so many ids.
 BLOCK_IDS = 1 << 16
-#: A part of the doc_id range holds about so many ids, in at most MAX_PARTS parts
-#: (a part is sorted by Spark and read as a stream, so its size isn't bounded by memory).
+#: A part of the doc_id range holds about so many ids, whatever their number (a part
+#: is sorted by Spark and read as a stream, so rows of a single doc_id may exceed it).
 PART_IDS = 1 << 22
-MAX_PARTS = 2000
+#: Percentiles taken at once; of more parts than that, percentiles of each range.
+CUTS = 2000
 
 _BLOCKS = "part int, block long, n_ids long, doc_ids array<long>, doc_sizes array<long>, checkpoints binary, payload binary"
 _DECODED = "part int, block long, doc_id long, n_tokens long, ids_crc32 long, in_block long"
@@ -262,6 +263,30 @@ def _decode(ids: np.ndarray, lengths: np.ndarray):
     return run
 
 
+def bounds_of(keys: DataFrame, parts: int) -> list[int]:
+    """The last doc_id of each of about ``parts`` equal parts but the last, ascending; 8
+    bytes for each part on the driver and in a task."""
+
+    def cuts(n: int):
+        return F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)
+
+    if parts < 2:
+        return []
+    first = sorted(set(keys.agg(cuts(min(parts, CUTS))).first()[0] or []))
+    inner = -(-parts // CUTS)
+    if inner < 2 or not first:
+        return first
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = batch.column("doc_id").drop_null()
+            at = np.searchsorted(first, known.to_numpy(zero_copy_only=False), side="left")
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), known], names=["range", "doc_id"])
+
+    found = keys.mapInArrow(ranges, "range int, doc_id long").groupBy("range").agg(cuts(inner).alias("cuts")).collect()
+    return sorted({*first, *(c for r in found for c in r["cuts"])})
+
+
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, out: str, drops_space: bool = False) -> None:
     """Encodes every whole text of ``docs`` (doc_id, text) into files under ``out``."""
     spark = docs.sparkSession
@@ -282,11 +307,10 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, out: str, drops_spa
         spark.createDataFrame([], _BLOCKS).write.parquet(f"{out}/blocks")
         return
 
-    parts = int(min(MAX_PARTS, 1 + code["uses"].sum() // PART_IDS))
-    cuts = [i / parts for i in range(1, parts)]
-    bounds = tokens.agg(F.percentile_approx("doc_id", cuts, 10 * MAX_PARTS)).first()[0] if cuts else []
-    coded = tokens.mapInArrow(_encode(ids, lengths, sorted(set(bounds or []))), "part int, doc_id long, n long, checkpoints binary, payload binary")
-    ordered = coded.repartition(parts, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n", "payload")
+    bounds = bounds_of(tokens.select("doc_id"), int(1 + code["uses"].sum() // PART_IDS))
+    coded = tokens.mapInArrow(_encode(ids, lengths, bounds), "part int, doc_id long, n long, checkpoints binary, payload binary")
+    # One part to a task.
+    ordered = coded.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "n", "payload")
     ordered.mapInArrow(_blocks, _BLOCKS).write.parquet(f"{out}/blocks")
 
 
@@ -301,7 +325,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     decoded = blocks.mapInArrow(_decode(ids, lengths), _DECODED)
     before = lambda w: F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1))
     sizes = blocks.select("part", "block", "n_ids")
-    # At most MAX_PARTS rows meet in the first window.
+    # One row for each part meets in the first window.
     of_part = sizes.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).select("part", F.coalesce(before(Window.orderBy("part")), F.lit(0)).alias("part_start"))
     in_part = sizes.select("part", "block", F.coalesce(before(Window.partitionBy("part").orderBy("block")), F.lit(0)).alias("block_start"))
     at = in_part.join(of_part, "part").select("part", "block", (F.col("part_start") + F.col("block_start")).alias("base"))

@@ -42,6 +42,23 @@ def test_parts_and_edges(spark, monkeypatch):
     assert huffman.read(spark, empty).count() == 0
 
 
+def test_parts_beyond_one_round_of_percentiles(spark, monkeypatch):
+    monkeypatch.setattr(huffman, "CUTS", 4)
+    keys = spark.createDataFrame([(i * i,) for i in range(400)] + [(None,)] * 50, "doc_id long").repartition(3)
+    for parts in (1, 3, 4, 5, 20):
+        bounds = huffman.bounds_of(keys, parts)
+        assert bounds == sorted(set(bounds)) and parts - 1 <= len(bounds) + 1 <= parts + 4
+        sizes = np.bincount(np.searchsorted(bounds, [i * i for i in range(400)], side="left"), minlength=len(bounds) + 1)
+        assert sizes.max() <= 2 * 400 / parts + 2
+    monkeypatch.setattr(huffman, "PART_IDS", 40)
+    docs = [(None, "no id"), (7, None)] + [(100 - i, f"text {i} " * (i % 5)) for i in range(80)]
+    out = scratch_dir(spark, "test-huffman")
+    huffman.write(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), PATH, 0, out)
+    assert as_rows(huffman.read(spark, out)) == expected(docs)
+    per_task = spark.read.parquet(f"{out}/blocks").select("part", F.input_file_name().alias("f")).groupBy("f").agg(F.count_distinct("part").alias("n"))
+    assert {r["n"] for r in per_task.collect()} == {1}  # one part to a task
+
+
 def huffman_cost(weights):
     heap = list(weights)
     heapq.heapify(heap)
