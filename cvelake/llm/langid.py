@@ -243,6 +243,17 @@ def fit(rows: list[tuple[str, str]], **options) -> Network | None:
     return network
 
 
+def least_score(network: Network, rows: list[tuple[str, str]]) -> float:
+    """A bound below which a score says that a text is in none of the labels' languages:
+    a third of the way from chance (one over the number of labels) to the score that
+    all but a hundredth of the training rows reach. It so follows the number of labels
+    and how sure the network is of its own sample."""
+    data = [x for _, text in rows if (x := letters_of(text))]
+    chance = 1 / len(network.labels)
+    sure = float(np.quantile(network.document_means(*pieces_of(data)).max(axis=1), 0.01))
+    return chance + max(0.0, sure - chance) / 3
+
+
 def _predict(network: Network, letter: str, kept: list[str], names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
