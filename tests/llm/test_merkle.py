@@ -79,9 +79,9 @@ def test_query_equals_plain_version(spark):
     assert {r["verified"] for r in found} == {True, False}
 
 
-@pytest.mark.parametrize("hop,spread", [(1, 20_000), (1, 4), (2, 30), (3, 10)])
+@pytest.mark.parametrize("hop,spread", [(1, 4), (3, 30)])
 def test_hops_and_the_share_of_broadcast_nodes_change_nothing(spark, hop, spread):
-    rows = [(i, f"a\nb{i}", "en", ["hot", "hot", f"s{i % 17}"][i % 3], i) for i in range(300)]
+    rows = [(i, f"a\nb{i}", "en", ["hot", "hot", f"s{i % 17}"][i % 3], i) for i in range(200)]
     docs = spark.createDataFrame(rows, DOCS)
     found = verify(docs, hop=hop, spread=spread).collect()
     assert in_order(found) == in_order(plain([r.asDict() for r in docs.collect()]))
@@ -103,14 +103,21 @@ def test_nulls_ties_repeated_rows_and_clashing_columns(spark):
     assert in_order(verify(wide).collect()) == in_order(plain([r.asDict() for r in docs.collect()]))
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 9, 10, 27, 28, 82])
-def test_sizes_of_a_single_source(spark, n):
+@pytest.mark.parametrize("n", [0, 1, 5])
+def test_a_single_source(spark, n):
     docs = spark.createDataFrame([(i, f"{i}\n", "en", "s", 2) for i in range(n)], DOCS)
     found = verify(docs)
     assert found.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
     assert in_order(found.collect()) == in_order(plain([r.asDict() for r in docs.collect()]) if n else [])
 
 
+def test_trees_of_many_sizes(spark):
+    sizes = [1, 2, 3, 4, 8, 9, 10, 26, 27, 28, 81, 82]
+    rows = [(1000 * k + i, f"{i}\n", "en", f"s{k}", 2) for k, n in enumerate(sizes) for i in range(n)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert in_order(verify(docs).collect()) == in_order(plain([r.asDict() for r in docs.collect()]))
+
+
 def test_equal_rows_of_one_source_are_spread_over_tasks(spark):
     docs = spark.createDataFrame([(7, "same", "en", "hot", 4)] * 5000, DOCS).repartition(8)
     found = merkle.numbered(docs.withColumn("row", F.monotonically_increasing_id()), ["source", "doc_id", "row"], "number")

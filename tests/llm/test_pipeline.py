@@ -21,11 +21,13 @@ def test_stages_are_the_dealt_ones():
 
 def test_run_matches_a_plain_version(spark):
     docs = documents(spark)
-    network = langid.fit(langid.sample(docs))
+    rows = langid.sample(docs)
+    network = langid.fit(rows)
+    least = langid.least_score(network, rows)
     kept = []
     for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
         data = langid.letters_of(r["text"])
-        if data and network.document_means(*langid.pieces_of([data]))[0].max() >= corpus_pipeline.LEAST_SCORE:
+        if data and network.document_means(*langid.pieces_of([data]))[0].max() >= least:
             kept.append((r["doc_id"], r["text"]))
     groups = link_groups(kept)
     kept = [(i, t) for i, t in kept if groups[i] == i]
@@ -56,3 +58,29 @@ def test_stages_keep_the_columns_and_survive_odd_rows(spark):
             assert out.columns == docs.columns
             out.collect()
         corpus_pipeline.STAGES[-1][1](spark, df, SF).collect()
+
+
+def test_noise_goes_and_clean_documents_stay(spark):
+    import random
+
+    rng = random.Random(1)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*documents(spark).columns)
+    noise = [(10**6 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(4000)), "en", "noise", 4000) for i in range(60)]
+    whole = docs.unionAll(spark.createDataFrame(noise, docs.schema))
+    rows = langid.sample(docs)
+    network = langid.fit(rows)
+    least = langid.least_score(network, rows)
+    found, _, score = langid.predict(whole, network)
+    scores = {r["doc_id"]: r[score] for r in found.collect()}
+    clean = [s for i, s in scores.items() if i < 10**6]
+    # Texts of a few letters aside, all documents of the table have a language.
+    assert sum(s >= least for s in clean) >= 0.998 * len(clean)
+    assert sum(scores[i] < least for i, *_ in noise) >= 40  # most of 60
+    assert 1 / len(network.labels) < least < 1
+
+
+def test_the_bound_follows_the_number_of_labels():
+    rows = [(label, f"{word} " * 30) for label, word in zip("abcdefgh", ["banana", "kiwi", "plum", "fig", "oxyz", "quince", "melon", "grape"], strict=True)]
+    for n in (2, 8):
+        network = langid.fit(rows[:n], steps=60)
+        assert 1 / n < langid.least_score(network, rows[:n]) < 1
