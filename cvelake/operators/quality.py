@@ -9,15 +9,17 @@ An :class:`Expectation` is a named SQL predicate plus an action:
 A NULL predicate result counts as a violation. Every rule is counted over
 the same full input (before any drop) in one aggregate pass: the aggregate
 is partial per partition, so the metrics cost one small row per task in the
-shuffle regardless of table size.
+shuffle regardless of table size. Where the rows are written anyway, the same
+counts are observed on the write and cost no scan.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 ACTIONS = ("warn", "drop", "fail")
@@ -46,13 +48,33 @@ class ExpectationFailed(RuntimeError):
     pass
 
 
+def _counts(rules: Sequence[Expectation]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total"), *[F.count_if(r.holds()).alias(f"p{i}") for i, r in enumerate(rules)]]
+
+
 def expectation_metrics(df: DataFrame, rules: Sequence[Expectation], table: str, run_ts: str | Column) -> DataFrame:
     """One row per rule: total, passed, failed, dropped, pass_rate."""
+    return _metric_rows(df.agg(*_counts(rules)), rules, table, run_ts)
+
+
+def counted(df: DataFrame, rules: Sequence[Expectation], table: str) -> tuple[DataFrame, Observation]:
+    """``df``, whose rows are counted by rule while it is written: the counts of
+    :func:`expectation_metrics` without a scan of their own. Write it as it is, or
+    after steps that need no shuffle, so that a retried task isn't counted twice."""
+    seen = Observation(f"{table}-{uuid.uuid4().hex[:8]}")
+    return df.observe(seen, *_counts(rules)), seen
+
+
+def counted_metrics(spark: SparkSession, seen: Observation, rules: Sequence[Expectation], table: str, run_ts: str | Column) -> DataFrame:
+    """:func:`expectation_metrics` of a frame that was written as :func:`counted`."""
+    names = ["total", *[f"p{i}" for i in range(len(rules))]]
+    found = seen.get  # empty where there was nothing to write
+    row = spark.createDataFrame([tuple(found.get(n, 0) for n in names)], ", ".join(f"{n} long" for n in names))
+    return _metric_rows(row, rules, table, run_ts)
+
+
+def _metric_rows(agg: DataFrame, rules: Sequence[Expectation], table: str, run_ts: str | Column) -> DataFrame:
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")
-    agg = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(r.holds()).alias(f"p{i}") for i, r in enumerate(rules)],
-    )
     rows = F.array(*[
         F.struct(
             F.lit(r.name).alias("rule"),

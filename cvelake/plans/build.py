@@ -133,9 +133,12 @@ def build_run(
     from those: their joins and per-CVE aggregates then need no shuffle.
     """
     nvd, kev, epss = bronze(spark, root)
-    # Bronze is parsed once; the pre-rule records feed both metrics and tables.
+    # Bronze is parsed once; the pre-rule records feed the tables, and their rows are
+    # counted by rule as they are written.
     records = sv.silver_records(nvd, epss, kev, staged=True)
-    metrics = sv.metrics_from_records(records, run_ts)
+    metrics = sv.record_metrics(records, run_ts)
+    if any(r.action == "fail" for r in sv.DOCUMENTS_RULES):  # has to be known before any table is written
+        metrics = sv.metrics_from_records(records, run_ts)
     q.enforce(metrics)  # raise before writing if an expect_or_fail rule is violated
     s = sv.tables_from_records(records)
     for name, df in (("cve_core", s.core), ("cve_signals", s.signals), ("cve_affected_products", s.products)):
@@ -148,8 +151,10 @@ def build_run(
     if buckets:
         b = bucketed_silver(spark, sv.Silver(core, signals, products, None), root, run_id, buckets)
         core, signals, products = b.core, b.signals, b.products
-    docs = sv.cve_documents(core, signals, products)
-    docs.write.mode("overwrite").parquet(silver_path(root, run_id, "cve_documents"))
+    docs, seen = q.counted(sv.cve_documents_records(core, signals, products), sv.DOCUMENTS_RULES, "cve_documents")
+    q.apply_expectations(docs, sv.DOCUMENTS_RULES).write.mode("overwrite").parquet(silver_path(root, run_id, "cve_documents"))
+    if not any(r.action == "fail" for r in sv.DOCUMENTS_RULES):
+        metrics = metrics.unionByName(q.counted_metrics(spark, seen, sv.DOCUMENTS_RULES, "cve_documents", run_ts))
     docs = spark.read.parquet(silver_path(root, run_id, "cve_documents"))
     metrics.withColumn("run", F.lit(run_id)).write.mode("append").partitionBy("run").parquet(f"{root}/silver/dq_metrics")
     if previous_run_id is not None:

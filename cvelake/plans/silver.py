@@ -16,14 +16,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cvelake.functions.columns import (
     CPE_PRODUCT, CPE_VENDOR, CPE_VERSION, cpe_field, cpe_parts, first_value, labelled, pipe_joined,
 )
 from cvelake.operators.dedup import TIEBREAK, content_hash, latest_per_key
-from cvelake.operators.quality import Expectation, apply_expectations, expectation_metrics
+from cvelake.operators.quality import Expectation, apply_expectations, counted, counted_metrics, expectation_metrics
 from cvelake.schemas import (
     AFFECTED_PRODUCTS_COLUMNS, CVE_CORE_COLUMNS, CVE_DOCUMENTS_COLUMNS, CVE_SIGNALS_COLUMNS, KEV_ITEM, NVD_ITEM,
 )
@@ -239,13 +239,19 @@ class Records(NamedTuple):
     core: DataFrame
     signals: DataFrame
     products: DataFrame
+    #: The counts by rule that were taken while the records were written.
+    seen: tuple[Observation, ...] = ()
+
+
+RECORD_RULES = (("cve_core", CORE_RULES), ("cve_signals", SIGNALS_RULES), ("cve_affected_products", PRODUCTS_RULES))
 
 
 def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame,
                    staged: bool = False, keep: Sequence[str] = ()) -> Records:
     """Pre-rule records of core, signals and products (Bronze parsed once).
-    With ``staged`` each is written once to the shared folder, so metrics and
-    clean tables both read it instead of re-parsing Bronze. ``keep`` carries
+    With ``staged`` each is written once to the shared folder, and its rows are counted
+    by rule meanwhile, so the clean tables read it instead of re-parsing Bronze and the
+    metrics read nothing. ``keep`` carries
     provenance columns (e.g. source_file) on core and products records."""
     parsed = parse_nvd(bronze_nvd)
     if staged:  # both branches read the parsed rows, not the payload
@@ -253,7 +259,12 @@ def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: Da
     r = Records(cve_core_records(parsed, keep=keep), cve_signals_records(bronze_epss, bronze_kev),
                 affected_products_records(parsed, keep=keep))
     if staged:
-        r = Records(*(stage(x, f"records-{n}") for x, n in zip(r, r._fields)))
+        written, seen = [], []
+        for df, (name, rules) in zip((r.core, r.signals, r.products), RECORD_RULES, strict=True):
+            df, counts = counted(df, rules, name)
+            written.append(stage(df, f"records-{name}"))
+            seen.append(counts)
+        r = Records(*written, seen=tuple(seen))
     return r
 
 
@@ -265,20 +276,21 @@ def tables_from_records(r: Records) -> Silver:
     return Silver(core, signals, products, cve_documents(core, signals, products))
 
 
+def record_metrics(r: Records, run_ts: str) -> DataFrame:
+    """Expectation metrics of core, signals and products: as counted while they were
+    written, else by a scan of each."""
+    if r.seen:
+        parts = [counted_metrics(r.core.sparkSession, seen, rules, name, run_ts) for seen, (name, rules) in zip(r.seen, RECORD_RULES, strict=True)]
+    else:
+        parts = [expectation_metrics(df, rules, name, run_ts) for df, (name, rules) in zip((r.core, r.signals, r.products), RECORD_RULES, strict=True)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def metrics_from_records(r: Records, run_ts: str) -> DataFrame:
     """Expectation metrics of all four Silver tables for one run."""
     t = tables_from_records(r)
-    parts = [
-        expectation_metrics(r.core, CORE_RULES, "cve_core", run_ts),
-        expectation_metrics(r.signals, SIGNALS_RULES, "cve_signals", run_ts),
-        expectation_metrics(r.products, PRODUCTS_RULES, "cve_affected_products", run_ts),
-        expectation_metrics(cve_documents_records(t.core, t.signals, t.products), DOCUMENTS_RULES,
-                            "cve_documents", run_ts),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    documents = cve_documents_records(t.core, t.signals, t.products)
+    return record_metrics(r, run_ts).unionByName(expectation_metrics(documents, DOCUMENTS_RULES, "cve_documents", run_ts))
 
 
 def silver_metrics(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame, run_ts: str,

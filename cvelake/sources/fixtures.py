@@ -75,7 +75,8 @@ def _vendor(part_key: Column, brand: Column) -> Column:
 def cpe_lists(docs: DataFrame, part: DataFrame) -> DataFrame:
     """(n, cpes): 1..4 CPE match entries for each document ``n``. Entry k points
     at part key (7 n + 13 k) mod the number of parts; entries whose key is
-    absent are left out. Only keys meet ``part``, so no text is moved."""
+    absent are left out. Only keys meet ``part``; texts are dealt once by ``n``,
+    where they meet these lists."""
     n, k = F.col("n"), F.col("k")
     n_parts = part.agg(F.count(F.lit(1))).scalar()
     wanted = docs.select("n", F.explode(F.sequence(F.lit(0).cast("long"), n % 4)).alias("k"))

@@ -89,3 +89,25 @@ def test_expectation_actions(spark):
         enforce(expectation_metrics(df, [Expectation("must", "x IS NOT NULL", "fail")], "t", RUN))
     with pytest.raises(ValueError):
         Expectation("bad", "x", "explode")
+
+
+def test_counts_taken_on_a_write_equal_those_of_a_scan(spark, tmp):
+    from cvelake.operators.quality import counted, counted_metrics
+    from cvelake.plans import silver as plans
+
+    rules = [Expectation("some", "x IS NOT NULL"), Expectation("small", "x < 50", "drop"), Expectation("even", "x % 2 = 0", "fail")]
+    df = spark.range(300).selectExpr("if(id % 7 = 0, null, id) AS x").repartition(5)
+    for n, frame in enumerate((df, df.filter("x < 0"), spark.createDataFrame([], "x long"))):
+        seen, counts = counted(frame, rules, "t")
+        apply_expectations(seen, rules).write.parquet(f"{tmp}/{n}")
+        got = counted_metrics(spark, counts, rules, "t", RUN)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expectation_metrics(frame, rules, "t", RUN).collect()))
+        assert spark.read.parquet(f"{tmp}/{n}").count() == apply_expectations(frame, rules).count()
+
+    from cvelake.sources import fixtures as fx
+
+    bronze = [f(spark, "/root/testdata/sf0.001") for f in (fx.bronze_nvd, fx.bronze_epss, fx.bronze_kev)]
+    written = plans.record_metrics(plans.silver_records(*bronze, staged=True), RUN)
+    assert "FileScan" not in written._jdf.queryExecution().executedPlan().toString()  # no scan of the records
+    scanned = plans.record_metrics(plans.silver_records(*bronze), RUN)
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, scanned.collect()))

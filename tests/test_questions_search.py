@@ -175,3 +175,48 @@ def test_trends_honour_filters(spark):
     assert [(r["question_id"], r["cve_id"]) for r in rows] == [(1, "C20"), (1, "C19"), (1, "C18"), (2, "C15"), (2, "C9"), (3, "C20"), (3, "C19")]
     counts = qs.answer_trend_vendors(qdf, gold, products, 2, "2024-03-01").orderBy("question_id", "rank").collect()
     assert [(r["question_id"], r["vendor"], r["kev_count"]) for r in counts] == [(1, "acme", 15), (1, "globex", 6), (2, "globex", 2), (3, "acme", 2)]
+
+
+def test_pruned_postings_give_the_same_answers(spark):
+    """All pairs in plain Python; common words' postings are mostly left alone."""
+    import math
+    import random
+    from collections import Counter
+
+    from cvelake.plans import search as se
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+    texts = [" ".join(rng.choices(words, weights, k=rng.randint(5, 60))) for _ in range(600)] + ["w0 w1", "", "w399"]
+    asked = [" ".join(rng.choices(words, weights, k=12)) + f" w{300 + i}" for i in range(25)] + ["w0", "unknown", "w0 w1 w2 w3"]
+    tf = [Counter(t.split()) for t in texts]
+    df = Counter(w for t in tf for w in t)
+    idf = {w: math.log((len(texts) + 1) / (n + 1)) for w, n in df.items()}
+
+    def unit(counts):
+        v = {w: n * idf[w] for w, n in counts.items() if idf.get(w, 0) > 0}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    docs = [unit(t) for t in tf]
+    want = []
+    for q, text in enumerate(asked):
+        v = unit(Counter(text.split()))
+        scored = sorted((-round(s, 9), i) for i, d in enumerate(docs) if (s := sum(x * d.get(w, 0) for w, x in v.items())))
+        want += [(q, r, i, round(-s, 6)) for r, (s, i) in enumerate(scored[:5], 1)]
+    d = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    a = spark.createDataFrame(list(enumerate(asked)), "q long, t string")
+    for first in (1, 2_000):  # few or all first candidates
+        se.FIRST_POSTINGS, before = first, se.FIRST_POSTINGS
+        try:
+            got = se.tfidf_search(d, "id", "t", a, "q", "t", 5).collect()
+        finally:
+            se.FIRST_POSTINGS = before
+        assert sorted((r["query_id"], r["rank"], r["id"], round(r["score"], 6)) for r in got) == sorted(want)
+    postings = spark.createDataFrame([(i, w, x) for i, v in enumerate(docs) for w, x in v.items()], "_id long, term string, w double")
+    facts = postings.groupBy("term").agg(F.max("w").alias("most"), F.count("*").alias("df"))
+    qn = spark.createDataFrame([(q, w, x) for q, t in enumerate(asked) for w, x in unit(Counter(t.split())).items()], "query_id long, term string, qw double")
+    terms = qn.join(facts, "term").withColumn("bound", F.col("qw") * F.col("most")).drop("most")
+    needed, spare = se.needed_terms(terms, postings, 5)
+    assert needed.agg(F.sum("df")).first()[0] < 0.6 * terms.agg(F.sum("df")).first()[0] and spare.count() > 0
