@@ -29,6 +29,7 @@ from cvelake.operators import quality as q
 from cvelake.operators.changes import snapshot_diff
 from cvelake.plans import gold as gd
 from cvelake.plans import silver as sv
+from cvelake.session import stage
 from cvelake.sources import feeds
 
 # Schema names and comments of the catalog layout.
@@ -133,9 +134,12 @@ def build_run(
     from those: their joins and per-CVE aggregates then need no shuffle.
     """
     nvd, kev, epss = bronze(spark, root)
-    # Bronze is parsed once; the pre-rule records feed the tables, and their rows are
-    # counted by rule as they are written.
-    records = sv.silver_records(nvd, epss, kev, staged=True)
+    # The pre-rule records feed the tables, and their rows are counted by rule as they
+    # are written. Where no rule can stop the run, the core table is written right then:
+    # its rows, one for each CVE with its text, come dealt by cve_id from their dedup.
+    free = not any(r.action == "fail" for _, rules in (*sv.RECORD_RULES, ("", sv.DOCUMENTS_RULES)) for r in rules)
+    records = sv.silver_records(nvd, epss, kev, staged=True, written=True,
+                                core_path=silver_path(root, run_id, "cve_core") if free else None)
     metrics = sv.record_metrics(records, run_ts)
     if any(r.action == "fail" for r in sv.DOCUMENTS_RULES):  # has to be known before any table is written
         metrics = sv.metrics_from_records(records, run_ts)
@@ -144,6 +148,8 @@ def build_run(
     for name, df in (("cve_core", s.core), ("cve_signals", s.signals), ("cve_affected_products", s.products)):
         # Clustered by cve_id; AQE splits a skewed partition (a CVE with a
         # huge CPE list) instead of writing it from one task.
+        if name == "cve_core" and free:
+            continue
         df.hint("rebalance", "cve_id").write.mode("overwrite").parquet(silver_path(root, run_id, name))
     # Documents read the three written tables, as separate tables would.
     core, signals, products = (spark.read.parquet(silver_path(root, run_id, t))
@@ -151,7 +157,13 @@ def build_run(
     if buckets:
         b = bucketed_silver(spark, sv.Silver(core, signals, products, None), root, run_id, buckets)
         core, signals, products = b.core, b.signals, b.products
-    docs, seen = q.counted(sv.cve_documents_records(core, signals, products), sv.DOCUMENTS_RULES, "cve_documents")
+        records, gold = sv.cve_documents_records(core, signals, products), gd.vuln_enriched(core, signals, products)
+    else:
+        # Documents and Gold join the same rows: texts are dealt once for both.
+        facts = sv.product_lists(products).join(gd.primary_products(products), "cve_id")
+        joined = stage(core.join(signals, "cve_id", "left").join(facts, "cve_id", "left"), "core-joined")
+        records, gold = sv.document_columns(joined), gd.enriched_columns(joined)
+    docs, seen = q.counted(records, sv.DOCUMENTS_RULES, "cve_documents")
     q.apply_expectations(docs, sv.DOCUMENTS_RULES).write.mode("overwrite").parquet(silver_path(root, run_id, "cve_documents"))
     if not any(r.action == "fail" for r in sv.DOCUMENTS_RULES):
         metrics = metrics.unionByName(q.counted_metrics(spark, seen, sv.DOCUMENTS_RULES, "cve_documents", run_ts))
@@ -162,8 +174,7 @@ def build_run(
         (snapshot_diff(old, docs, ["cve_id"]).withColumn("_commit_ts", F.lit(run_ts).cast("timestamp"))
          .withColumn("run", F.lit(run_id))
          .write.mode("append").partitionBy("run").parquet(f"{root}/silver/cve_documents_changes"))
-    e = gd.vuln_enriched(core, signals, products)
-    e.write.mode("overwrite").parquet(f"{root}/gold/run={run_id}/vuln_enriched")
+    gold.write.mode("overwrite").parquet(f"{root}/gold/run={run_id}/vuln_enriched")
     e = spark.read.parquet(f"{root}/gold/run={run_id}/vuln_enriched")
     gd.vendor_risk_agg(products, e).write.mode("overwrite").parquet(f"{root}/gold/run={run_id}/vendor_risk_agg")
     gd.kev_recent(e, as_of).write.mode("overwrite").parquet(f"{root}/gold/run={run_id}/kev_recent")

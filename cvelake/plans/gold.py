@@ -46,7 +46,11 @@ def primary_products(products: DataFrame) -> DataFrame:
 
 def vuln_enriched(core: DataFrame, signals: DataFrame, products: DataFrame) -> DataFrame:
     """Core + signals + primary vendor/product per CVE, with risk score and tier."""
-    j = core.join(signals, "cve_id", "left").join(primary_products(products), "cve_id", "left")
+    return enriched_columns(core.join(signals, "cve_id", "left").join(primary_products(products), "cve_id", "left"))
+
+
+def enriched_columns(j: DataFrame) -> DataFrame:
+    """The Gold columns of core joined with signals and primary products."""
     j = j.withColumn("kev_flag", F.coalesce(F.col("kev_flag"), F.lit(False)))
     score = risk_score(F.col("kev_flag"), F.col("epss_score"), F.col("cvss_v3_score"))
     return j.withColumn("risk_score", score).withColumn("risk_tier", risk_tier(F.col("risk_score"))).select(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from cvelake.functions import text as tx
 from cvelake.functions.columns import TIERS, truncate_text
 from cvelake.plans.gold import as_of_date, recent_kev_filter
+from cvelake.session import stage
 
 RESULT_COLUMNS = ["cve_id", "description", "risk_score", "risk_tier", "kev_flag"]
 SUMMARY_CHARS = 300  # description length shown in a lookup summary
@@ -230,7 +231,9 @@ def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame,
     sets = q.select(*set_cols).distinct()
     no_date = F.col("date_from") == F.lit("0001-01-01").cast("date")
 
-    e = enriched.select(*RESULT_COLUMNS, "published").withColumn("day", F.to_date("published"))
+    # Texts don't take part: they are joined to the hits at the end.
+    shown = [c for c in RESULT_COLUMNS if c != "description"]
+    e = enriched.select(*shown, "published").withColumn("day", F.to_date("published")).drop("published")
     best = [F.col("risk_score").desc_nulls_last(), F.col("cve_id")]
 
     def cells(rows: DataFrame, *key: str) -> DataFrame:
@@ -247,7 +250,7 @@ def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame,
     every_tier = F.array(*[F.lit(t) for t in (*(name for _, name in TIERS), "LOW")])
     keyed_tier = sets.filter(F.size("vendors") == 0).withColumn(
         "key", F.explode(F.when(F.size("risk_tiers") > 0, F.col("risk_tiers")).otherwise(every_tier)))
-    cols = [*set_cols, *RESULT_COLUMNS, "day"]
+    cols = [*set_cols, *shown, "day"]
     met = (
         keyed_vendor.join(by_vendor, "key").select(*cols)
         .unionByName(keyed_tier.join(by_tier, "key").select(*cols))
@@ -260,7 +263,11 @@ def answer_filtered(parsed: DataFrame, enriched: DataFrame, products: DataFrame,
     # A CVE may match several vendors of one set: keep it once.
     met = met.filter(ok).dropDuplicates([*set_cols, "cve_id"])
     w = Window.partitionBy(*set_cols).orderBy(*best)
-    top = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).drop("day")
+    top = stage(met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).drop("day"), "filtered-hits")
+    hit = top.select(F.col("cve_id").alias("_hit")).distinct()
+    texts = enriched.join(hit, F.col("cve_id").eqNullSafe(F.col("_hit")), "left_semi").groupBy(F.col("cve_id").alias("_of"))
+    texts = texts.agg(F.first("description").alias("description"))
+    top = top.join(texts, F.col("cve_id").eqNullSafe(F.col("_of")), "left")
     return q.join(top, set_cols).select("question_id", "rank", *RESULT_COLUMNS)
 
 

@@ -199,7 +199,11 @@ def product_lists(products: DataFrame) -> DataFrame:
 
 def cve_documents_records(core: DataFrame, signals: DataFrame, products: DataFrame) -> DataFrame:
     """Core, signals and product lists joined into one searchable text per CVE."""
-    j = core.join(signals, "cve_id", "left").join(product_lists(products), "cve_id", "left")
+    return document_columns(core.join(signals, "cve_id", "left").join(product_lists(products), "cve_id", "left"))
+
+
+def document_columns(j: DataFrame) -> DataFrame:
+    """The documents' columns of core joined with signals and product lists."""
     text = F.concat_ws(
         " | ",
         F.col("description"),
@@ -247,24 +251,31 @@ RECORD_RULES = (("cve_core", CORE_RULES), ("cve_signals", SIGNALS_RULES), ("cve_
 
 
 def silver_records(bronze_nvd: DataFrame, bronze_epss: DataFrame, bronze_kev: DataFrame,
-                   staged: bool = False, keep: Sequence[str] = ()) -> Records:
-    """Pre-rule records of core, signals and products (Bronze parsed once).
+                   staged: bool = False, keep: Sequence[str] = (), written: bool = False,
+                   core_path: str | None = None) -> Records:
+    """Pre-rule records of core, signals and products. Bronze is parsed once and written;
+    if it is a ``written`` table itself, both branches parse what they need of it instead.
     With ``staged`` each is written once to the shared folder, and its rows are counted
     by rule meanwhile, so the clean tables read it instead of re-parsing Bronze and the
-    metrics read nothing. ``keep`` carries
+    metrics read nothing. With ``core_path`` the core records are counted as they are
+    written there as the clean table, which stands for them. ``keep`` carries
     provenance columns (e.g. source_file) on core and products records."""
     parsed = parse_nvd(bronze_nvd)
-    if staged:  # both branches read the parsed rows, not the payload
+    if staged and not written:  # both branches read the parsed rows, not the payload
         parsed = stage(parsed, "nvd-parsed")
     r = Records(cve_core_records(parsed, keep=keep), cve_signals_records(bronze_epss, bronze_kev),
                 affected_products_records(parsed, keep=keep))
     if staged:
-        written, seen = [], []
+        tables, seen = [], []
         for df, (name, rules) in zip((r.core, r.signals, r.products), RECORD_RULES, strict=True):
             df, counts = counted(df, rules, name)
-            written.append(stage(df, f"records-{name}"))
+            if name == "cve_core" and core_path is not None:
+                apply_expectations(df, rules).select(*CVE_CORE_COLUMNS).write.mode("overwrite").parquet(core_path)
+                tables.append(df.sparkSession.read.parquet(core_path))
+            else:
+                tables.append(stage(df, f"records-{name}"))
             seen.append(counts)
-        r = Records(*written, seen=tuple(seen))
+        r = Records(*tables, seen=tuple(seen))
     return r
 
 

@@ -62,6 +62,8 @@ def get_session(master: str | None = None, app: str = "cvelake", **conf: str) ->
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings the table semantics depend on, on any session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Texts are written several times (Bronze, Silver, Gold): smaller files.
+    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
     return spark
 
 

@@ -108,11 +108,12 @@ def _snapshots(has_v2: Column) -> Column:
 def nvd_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One NVD item per document and snapshot: (n, cve_id, snapshot_date, raw_json)."""
     n = F.col("n")
-    docs = table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").alias("n"), "text", "lang")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), "text", "lang")
     keys = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"))
     lists = cpe_lists(keys, table(spark, sf_dir, "part"))
     no_cpes = F.array().cast("array<struct<vulnerable:boolean,criteria:string,matchCriteriaId:string>>")
-    docs = docs.join(lists, "n", "left").withColumn("cpes", F.coalesce("cpes", no_cpes))
+    # Dealt once, by this join, which also spreads the JSON work over all cores.
+    docs = docs.join(lists.hint("shuffle_hash"), "n", "left").withColumn("cpes", F.coalesce("cpes", no_cpes))
     rows = docs.select("*", F.inline(_snapshots(n % 4 == 0)))
     v = F.col("v")
     cid = cve_id_of(n)
