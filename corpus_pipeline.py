@@ -15,18 +15,20 @@ from cvelake.session import stage
 
 #: Chunks that a worker of the last stage remembers: the workers of all stages share
 #: their executors' memory.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 100_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language that the network knows go: those without a letter,
-    and those of which it is less sure than of nearly all its training sample."""
-    rows = langid.sample(docs)
-    network = langid.fit(rows)
+    and those of which it is less sure than of nearly all labelled documents, a bound
+    that is counted over the whole table."""
+    network = langid.fit(langid.sample(docs))
     if network is None:
         return docs
     found, lang, score = langid.predict(docs, network)
-    return found.filter((F.col(lang) != "und") & (F.col(score) >= langid.least_score(network, rows))).select(*[f"`{c}`" for c in docs.columns])
+    found = stage(found, "pipeline_scored")  # read twice
+    least = langid.least_score_of(found, network, lang, score)
+    return found.filter((F.col(lang) != "und") & (F.col(score) >= least)).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,6 +46,8 @@ SEED = 7
 #: Pieces of one pass; sized for the processor's cache.
 COLUMNS = 4096
 SALTS = 64
+#: Steps between 0 and 1 in which a table's scores are counted.
+SCORE_STEPS = 10_000
 
 _LETTERS = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 #: Symbols: 0 padding, 1 blank, then letters and the upper half of the byte range.
@@ -254,6 +256,21 @@ def least_score(network: Network, rows: list[tuple[str, str]]) -> float:
     return chance + max(0.0, sure - chance) / 3
 
 
+def least_score_of(found: DataFrame, network: Network, lang: str, score: str) -> float:
+    """The same bound from a whole table's predictions: what all but a hundredth of its
+    labelled rows with a letter reach, to a ``SCORE_STEPS``-th."""
+    labelled = found.filter(F.col("lang").isNotNull() & (F.col(lang) != "und"))
+    # At most SCORE_STEPS + 1 rows.
+    steps = labelled.groupBy(F.floor(F.col(score) * SCORE_STEPS).alias("step")).count().orderBy("step").collect()
+    chance, below = 1 / len(network.labels), 0
+    most = sum(r["count"] for r in steps) / 100
+    for r in steps:
+        below += r["count"]
+        if below > most:
+            return chance + max(0.0, r["step"] / SCORE_STEPS - chance) / 3
+    return chance
+
+
 def _predict(network: Network, letter: str, kept: list[str], names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()

@@ -76,3 +76,13 @@ def test_edges(spark):
     assert {got[5], got[6], got[7], got[None]} <= {"en", "de"}
     assert L.predict(df.filter(F.lit(False)), network)[0].count() == 0
     assert L.fit([]) is None and L.fit([("en", "12")]) is None
+
+
+def test_the_bound_of_a_table_counts_all_its_labelled_rows(spark):
+    network = L.Network(["a", "b"])
+    scores = [0.8] * 300 + [0.9] * 96 + [0.6] * 3 + [0.7]
+    rows = [("x", "a", s) for s in scores] + [(None, "a", 0.5)] * 50 + [("x", "und", 0.0)] * 50
+    found = spark.createDataFrame(rows, "lang string, lang_pred string, score double").repartition(3)
+    # A hundredth are 4 of 400 rows: the fifth smallest score counts.
+    assert abs(L.least_score_of(found, network, "lang_pred", "score") - (0.5 + 0.3 / 3)) < 1e-4
+    assert L.least_score_of(found.filter("false"), network, "lang_pred", "score") == 0.5
