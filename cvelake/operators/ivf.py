@@ -34,6 +34,8 @@ from cvelake.operators.vector import CANDIDATE_BLOCK, QUERY_BLOCK, score_blocks
 from cvelake.session import ship, stage
 
 PER_CELL = 64
+#: Queries that are sent to a block of vectors together.
+ASKED_BLOCK = 8192
 SAMPLE_FLOATS = 16_000_000
 MOST_CELLS = 4096
 PROBES = 8
@@ -110,10 +112,27 @@ def build(vectors: DataFrame, vec_col: str, id_col: str, cells: int | None = Non
     return CellIndex(filed.drop("near"), id_col, vec_col, centres, angles, sizes)
 
 
-def _visits(index: CellIndex, queries: DataFrame, probes: int, least: str | None) -> DataFrame:
-    """(query_id, _query, cell) of the ``probes`` nearest cells of each query; with
-    ``least``, of the other cells that may hold a score above that column's."""
+def _groups(index: CellIndex) -> dict[int, tuple[int, int]]:
+    """Cell -> (group, blocks of the group): neighbouring numbers share a group until it
+    has a block of vectors, so that a query is sent once for many small cells."""
+    out, group, own, total = {}, 0, [], 0
+    for cell in [*sorted(index.sizes), None]:
+        if own and (cell is None or total + index.sizes[cell] > CANDIDATE_BLOCK):
+            out |= {c: (group, -(-total // CANDIDATE_BLOCK)) for c in own}
+            group, own, total = group + 1, [], 0
+        if cell is not None:
+            own.append(cell)
+            total += index.sizes[cell]
+    return out
+
+
+def _sent(index: CellIndex, queries: DataFrame, probes: int, least: str | None) -> DataFrame:
+    """(query_id, _query, group, cells): the ``probes`` nearest cells of each query, by
+    group; with ``least``, the other cells that may hold a score above that column's."""
     centres, angles = index.centres, index.angles
+    groups = np.full(len(centres), -1)
+    for cell, (group, _) in _groups(index).items():
+        groups[cell] = group
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,38 +147,65 @@ def _visits(index: CellIndex, queries: DataFrame, probes: int, least: str | None
                 bound = np.cos(np.maximum(0, np.arccos(np.clip(near, -1, 1)) - angles))
                 known = np.array([-2.0 if x is None else x for x in batch.column(least).to_pylist()])
                 asked = ~asked & (bound >= known[:, None] - MARGIN)
-            row, cell = np.nonzero(asked & good[:, None])
-            for at in range(0, len(row), QUERY_BLOCK):
-                some = pa.array(row[at : at + QUERY_BLOCK])
+            row, cell = np.nonzero(asked & good[:, None] & (groups >= 0))  # by query and cell, so by group
+            pair = row * (groups.max() + 1) + groups[cell]
+            first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
+            ends = np.concatenate([first, [len(pair)]])
+            for at in range(0, len(first), QUERY_BLOCK):
+                own = first[at : at + QUERY_BLOCK]
+                some, places = pa.array(row[own]), ends[at : at + len(own) + 1]
+                cells = pa.ListArray.from_arrays(pa.array(places - places[0], pa.int32()), pa.array(cell[places[0] : places[-1]], pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("query_id").take(some), batch.column("_query").take(some), pa.array(cell[at : at + QUERY_BLOCK], pa.int32())],
-                    names=["query_id", "_query", "cell"])
+                    [batch.column("query_id").take(some), batch.column("_query").take(some), pa.array(groups[cell[own]], pa.int32()), cells],
+                    names=["query_id", "_query", "group", "cells"])
 
     columns = ["query_id", "_query", *([least] if least else [])]
-    schema = T.StructType([queries.schema["query_id"], queries.schema["_query"], T.StructField("cell", T.IntegerType())])
+    schema = T.StructType([queries.schema["query_id"], queries.schema["_query"], T.StructField("group", T.IntegerType()),
+                           T.StructField("cells", T.ArrayType(T.IntegerType()))])
     return queries.select(*columns).mapInArrow(run, schema)
 
 
+def _visits(index: CellIndex, queries: DataFrame, probes: int, least: str | None) -> DataFrame:
+    """:func:`_sent` as a row for each cell: (query_id, _query, cell)."""
+    return _sent(index, queries, probes, least).select("query_id", "_query", F.explode("cells").alias("cell"))
+
+
 def _scores(index: CellIndex, visits: DataFrame, k: int) -> DataFrame:
     """The k best of each block of a cell for each query that visits it."""
     spark = visits.sparkSession
     visits = stage(visits, "cell-visits")
+    groups = _groups(index)
     # At most MOST_CELLS rows.
-    asked = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-    sizes = [(c, -(-n // CANDIDATE_BLOCK), -(-asked[c] // QUERY_BLOCK)) for c, n in index.sizes.items() if c in asked]
-    blocks = F.broadcast(spark.createDataFrame(sizes, "cell int, _nc long, _nq long"))
+    asked = {r["group"]: r["count"] for r in visits.groupBy("group").count().collect()}
+    blocks = F.broadcast(spark.createDataFrame(
+        sorted({(g, n, -(-asked[g] // ASKED_BLOCK)) for g, n in groups.values() if g in asked}), "group int, _nc long, _nq long"))
+    of_cell = F.broadcast(spark.createDataFrame([(c, g) for c, (g, _) in groups.items()], "cell int, group int"))
 
     def dealt(df: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
-        placed = df.join(blocks, "cell").withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)))
+        placed = df.join(blocks, "group").withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)))
         return placed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_n) - 1))).drop("_nc", "_nq")
 
     kinds = [index.filed.schema[index.id_col].dataType, visits.schema["query_id"].dataType]
-    fn = score_blocks(k, index.id_col, index.vec_col, *map(to_arrow_type, kinds))
-    by = ["cell", "_cb", "_qb"]
+    id_type, qid_type = map(to_arrow_type, kinds)
+    one_cell = score_blocks(k, index.id_col, index.vec_col, id_type, qid_type)
+
+    def score(asked: pa.Table, vectors: pa.Table) -> pa.Table:
+        """Cell by cell, the vectors of a cell and the queries that visit it."""
+        cells = asked.column("cells").combine_chunks()
+        row = np.repeat(np.arange(len(asked)), np.diff(cells.offsets.to_numpy()))
+        wanted, filed = cells.flatten().to_numpy(), vectors.column("cell").to_numpy()
+        found = [one_cell(asked.slice(0, 0), vectors)]
+        for cell in np.unique(filed):
+            some, own = row[wanted == cell], vectors.take(np.flatnonzero(filed == cell))
+            for at in range(0, len(some), QUERY_BLOCK):
+                found.append(one_cell(asked.take(some[at : at + QUERY_BLOCK]), own))
+        return pa.concat_tables(found)
+
+    by = ["group", "_cb", "_qb"]
     return (
         dealt(visits, "query_id", "_qb", "_nq", "_cb", "_nc").groupBy(*by)
-        .cogroup(dealt(index.filed, index.id_col, "_cb", "_nc", "_qb", "_nq").groupBy(*by))
-        .applyInArrow(fn, f"query_id {kinds[1].simpleString()}, {index.id_col} {kinds[0].simpleString()}, _score double")
+        .cogroup(dealt(index.filed.join(of_cell, "cell"), index.id_col, "_cb", "_nc", "_qb", "_nq").groupBy(*by))
+        .applyInArrow(score, f"query_id {kinds[1].simpleString()}, {index.id_col} {kinds[0].simpleString()}, _score double")
     )
 
 
@@ -175,10 +221,10 @@ def search(index: CellIndex, queries: DataFrame, query_id: str, query_vec: str,
     if not len(index.centres):
         kinds = q.schema["query_id"].dataType.simpleString(), index.filed.schema[index.id_col].dataType.simpleString()
         return q.sparkSession.createDataFrame([], f"query_id {kinds[0]}, rank int, `{index.id_col}` {kinds[1]}, score double")
-    found = best(_scores(index, _visits(index, q, probes, None), k))
+    found = best(_scores(index, _sent(index, q, probes, None), k))
     if exact:
         found = stage(found, "cell-first")
         least = found.filter(F.col("rank") == k).select(F.col("query_id").alias("_of"), F.round("_score", 9).alias("_least"))
         asked = q.join(least, F.col("query_id") == F.col("_of"), "left").drop("_of")
-        found = best(found.drop("rank").unionByName(_scores(index, _visits(index, asked, probes, "_least"), k)))
+        found = best(found.drop("rank").unionByName(_scores(index, _sent(index, asked, probes, "_least"), k)))
     return found.select("query_id", "rank", index.id_col, F.round("_score", 6).alias("score"))

@@ -111,3 +111,19 @@ def test_a_search_by_text_is_the_same_over_the_index(spark):
     asked = spark.createDataFrame([(i, docs[i * 7][1][:40]) for i in range(20)], "q long, t string")
     full, indexed = (sorted(map(tuple, se.semantic_text_search(documents, enriched, asked, "q", "t", 4, indexed=x).collect())) for x in (False, True))
     assert full == indexed and len(full) == 80
+
+
+def test_a_query_is_sent_once_for_the_cells_of_a_group(spark, monkeypatch):
+    monkeypatch.setattr(ivf, "CANDIDATE_BLOCK", 300)
+    monkeypatch.setattr(ivf, "ASKED_BLOCK", 16)
+    x = np.random.default_rng(6).normal(size=(900, 16))
+    df = _frame(spark, x)
+    index = ivf.build(df, "v", "id")
+    q = df.filter("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("_query"))
+    sent = ivf._sent(index, q, len(index.centres), None).collect()
+    groups = {g for g, _ in ivf._groups(index).values()}
+    assert len(groups) < len(index.sizes) / 5 and len(sent) == 45 * len(groups)
+    assert sorted(c for r in sent if r["query_id"] == 20 for c in r["cells"]) == sorted(index.sizes)
+    asked = q.select(F.col("query_id").alias("qid"), F.col("_query").alias("v"))
+    found = ivf.search(index, asked, "qid", "v", 5, exact=True)
+    assert _rows(found) == _rows(batch_cosine_topk(df, "v", "id", asked, "qid", "v", 5))
