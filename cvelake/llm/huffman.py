@@ -117,7 +117,7 @@ def _tokenize(path: str, drops_space: bool, end_id: int):
         for batch in batches:
             texts = batch.column("text")
             for low, high in slices(pc.binary_length(texts).to_pylist()):
-                ids, sizes = encoder.encode(texts.slice(low, high - low).to_pylist())
+                ids, sizes = encoder.encode(texts.slice(low, high - low))
                 ends = np.cumsum(sizes + 1)
                 own = np.full(int(ends[-1]), end_id, np.uint32)
                 is_id = np.ones(len(own), bool)
