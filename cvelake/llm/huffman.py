@@ -101,13 +101,12 @@ def pack_bits(codes: np.ndarray, lengths: np.ndarray, offsets: np.ndarray, n_bit
     words = np.zeros(n_bits // 64 + 2, np.uint64)
     if not len(codes):
         return words
-    at = offsets >> 6
-    room = 64 - (offsets & 63) - lengths
-    over = room < 0
-    high = np.where(over, codes >> np.where(over, -room, 0).astype(np.uint64), codes << np.where(over, 0, room).astype(np.uint64))
+    at, bit = offsets >> 6, offsets & 63
+    left = codes << (64 - lengths).astype(np.uint64)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    words[at[first]] = np.bitwise_or.reduceat(high, first)
-    words[at[over] + 1] |= codes[over] << (64 + room[over]).astype(np.uint64)
+    words[at[first]] = np.bitwise_or.reduceat(left >> bit.astype(np.uint64), first)
+    over = np.flatnonzero(bit + lengths > 64)
+    words[at[over] + 1] |= left[over] << (64 - bit[over]).astype(np.uint64)
     return words
 
 
