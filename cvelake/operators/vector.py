@@ -80,6 +80,50 @@ def score_blocks(k: int, id_col: str, vec_col: str, id_type: pa.DataType, qid_ty
     return run
 
 
+class BestScores:
+    """The ``k`` best scores of each query so far, by value: scores below them are no
+    hits any more. ``least``, if given, is a score that a query has ``k`` hits of."""
+
+    def __init__(self, queries: int, k: int, least: np.ndarray | None = None):
+        self.k = k
+        self.top = np.full((queries, k), -np.inf)
+        if least is not None:
+            self.top[:] = least[:, None]
+
+    def take(self, scores: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, column) of the scores that may be hits: at most ``k`` of a row, by their
+        value rounded to 9 decimals, then by column. ``queries`` are the rows' queries."""
+        k, low = self.k, self.top[queries].min(axis=1)
+        found = scores >= (low - 1e-9)[:, None]
+        many = np.flatnonzero(np.count_nonzero(found, axis=1) > 4 * k)
+        for at in range(0, len(many), 256):
+            rows = many[at : at + 256]
+            some, last = scores[rows], scores.shape[1] - k
+            kth = np.partition(some, last, axis=1)[:, last]
+            found[rows] = some >= (np.maximum(low[rows], kth) - 1e-9)[:, None]
+            tied = np.flatnonzero(np.count_nonzero(found[rows], axis=1) > 4 * k)
+            if len(tied):  # copies: the first columns are enough
+                value, least = np.round(some[tied], 9), np.maximum(low[rows[tied]], np.round(kth[tied], 9))[:, None]
+                equal = value == least
+                found[rows[tied]] = (value > least) | (equal & (np.cumsum(equal, axis=1) <= k))
+        row, col = np.nonzero(found)
+        value = np.round(scores[row, col], 9)
+        order = np.lexsort((col, -value, row))
+        row, col, value = row[order], col[order], value[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        good = (place < k) & (value >= low[row])
+        row, col, value, place = row[good], col[good], value[good], place[good]
+        met, at = np.unique(row, return_inverse=True)
+        new = np.full((len(met), k), -np.inf)
+        new[at, place] = value
+        self.top[queries[met]] = np.sort(np.concatenate([self.top[queries[met]], new], axis=1), axis=1)[:, k:]
+        return row, col
+
+    def still(self, queries: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Whether scores that were taken before may be hits still."""
+        return np.round(scores, 9) >= self.top[queries].min(axis=1)
+
+
 def batch_cosine_topk(
     candidates: DataFrame, vec_col: str, id_col: str, queries: DataFrame, query_id: str, query_vec: str, k: int,
 ) -> DataFrame:

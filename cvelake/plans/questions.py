@@ -53,13 +53,19 @@ def classify_questions(questions: DataFrame, vendors: DataFrame, as_of: str | Co
     )
     longest = known.agg(F.max(F.size(F.split("run", " ")))).scalar()
     # The words are split once, and the runs are slices of that column. Most words
-    # begin no vendor's name: runs are dealt to the join only from the rest.
+    # begin no vendor's name: a question's distinct words are dealt to the join with those
+    # that do, and only the runs that begin with one of them are dealt to the join on runs.
     split = questions.select("question_id", tx.words(raw).alias("_words"), F.coalesce(longest, F.lit(1)).alias("_longest"))
-    runs = split.select("question_id", F.explode(tx.word_runs(F.col("_words"), F.col("_longest"))).alias("run"))
     first = lambda: F.substring_index("run", " ", 1)
     begins = known.select(first().alias("_first")).distinct()
+    firsts = (
+        split.select("question_id", F.explode(F.array_distinct("_words")).alias("_first"))
+        .join(begins, "_first", "left_semi")
+        .groupBy("question_id").agg(F.collect_set("_first").alias("_firsts"))
+    )
+    runs = split.join(firsts, "question_id").select("question_id", "_firsts", F.explode(tx.word_runs(F.col("_words"), F.col("_longest"))).alias("run"))
     hits = (
-        runs.withColumn("_first", first()).join(begins, "_first", "left_semi").drop("_first")
+        runs.filter(F.array_contains("_firsts", first())).drop("_firsts")
         .join(known, "run")
         .groupBy("question_id")
         .agg(F.array_sort(F.collect_set("vendor")).alias("vendors"))

@@ -8,10 +8,12 @@ handling for the keyed shuffles.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,12 +101,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str, default: str) -> Iterator[None]:
+    """A session setting for what is run meanwhile."""
+    before = spark.conf.get(key, default)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Materialise ``df`` as Parquet in the shared checkpoint folder and read it
     back: later uses read the written table instead of recomputing the
-    lineage, and a lost executor costs a re-read, not a rebuild."""
+    lineage, and a lost executor costs a re-read, not a rebuild. What the write
+    shuffled is dropped with it, not when the driver collects its garbage."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true", "false"):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

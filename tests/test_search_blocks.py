@@ -4,10 +4,14 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from cvelake.plans import questions as qs
 from cvelake.plans import search as se
+from cvelake.session import stage
 
 
 def _best(docs, queries, k):
@@ -67,3 +71,57 @@ def test_terms_are_counted_without_a_shuffle_of_words(spark):
     assert n == 3
     got = {r["_id"]: dict(zip(r["terms"], r["tfs"], strict=True)) for r in counts.collect()}
     assert got == {1: {"a": 2, "b_1": 1}, 2: {"nder": 1, "x": 1, "y": 1}, None: {}}
+
+
+def test_many_queries_in_rounds_equal_brute_force(spark, monkeypatch):
+    """Copies tie, within a block of documents and across blocks: the smaller id wins."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(200)]
+    weights = [1 / (i + 1) for i in range(200)]
+    docs = [(i, " ".join(rng.choices(words, weights, k=rng.randint(3, 40)))) for i in range(300)]
+    docs += [(1000 - i, "w7 w8 w150") for i in range(200)] + [(3, "w1 w150 again"), (None, "w9"), (2000, None)]
+    asked = [(f"q{i}", " ".join(rng.choices(words, weights, k=8))) for i in range(90)]
+    asked += [("same", "w7 w150"), ("none", "unknown"), (None, "w7"), ("q5", "w33"), ("null", None)]
+    for name, value in {"FEW_QUERIES": 0, "MANY_QUERIES": 0, "ROUND_QUERIES": 20, "SCORED_ROWS": 6, "SCORED_DOCUMENTS": 64, "BLOCK_POSTINGS": 500,
+                        "COMMON_TERMS": 9, "PAIRS": 50}.items():
+        monkeypatch.setattr(se, name, value)
+    got = se.tfidf_search(spark.createDataFrame(docs, "id long, t string").repartition(5), "id", "t", spark.createDataFrame(asked, "q string, t string"), "q", "t", 5)
+    got, want = sorted(map(tuple, got.collect())), _best(docs, asked, 5)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=2e-6)
+
+
+def test_documents_are_not_copied_for_many_queries(spark, monkeypatch):
+    """Rows that a search by rounds shuffles: its best only, whatever the number of queries."""
+    monkeypatch.setattr(se, "ROUND_QUERIES", 1000)
+    docs = spark.range(2000).selectExpr("id", "concat('common shared words w', id % 500) t")
+    asked = spark.range(se.MANY_QUERIES + 1).selectExpr("id q", "concat('common shared words w', id % 500) t")
+    plans = []
+    monkeypatch.setattr(se, "stage", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or stage(df, name))
+    assert se.tfidf_search(docs, "id", "t", asked, "q", "t", 3).filter("rank = 1").count() == se.MANY_QUERIES + 1
+    rounds = [p for name, p in plans if name == "tfidf-round"]
+    assert len(rounds) == 5
+    for p in rounds:
+        assert "CoGroup" not in p and p.count("Exchange") == 1 and p.index("WindowGroupLimit") < p.index("Exchange") < p.rindex("WindowGroupLimit")
+
+
+def test_shuffle_files_of_a_written_step_are_dropped(spark):
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    held = set(folder.rglob("shuffle_*"))
+    out = stage(spark.range(20_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    assert out.count() == 7
+    assert len([f for f in set(folder.rglob("shuffle_*")) - held if f.stat().st_size > 20_000]) == 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+def test_only_runs_that_may_be_vendors_are_dealt(spark):
+    """Words are dealt to the join with the vendors' first words, not every run of words."""
+    vendors = spark.createDataFrame([("Big_Corp",), ("acme",), (None,)], "vendor string")
+    rows = [(1, "a big corp, and the big one"), (2, "corp big"), (3, None), (None, "acme"), (2, "acme Big-Corp")]
+    parsed = qs.classify_questions(spark.createDataFrame(rows, "question_id long, raw_query string"), vendors, "2024-03-01")
+    assert sorted((r["question_id"] or 0, r["vendors"]) for r in parsed.collect()) == [
+        (0, []), (1, ["big_corp"]), (2, ["acme", "big_corp"]), (2, ["acme", "big_corp"]), (3, [])]
+    lines = parsed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    runs = next(i for i, line in enumerate(lines) if "slice(" in line and "Generate" in line)
+    assert runs < next(i for i, line in enumerate(lines) if "LeftSemi" in line)
