@@ -7,7 +7,9 @@
 * A query visits its ``probes`` nearest cells and scores their vectors exactly. Its work
   follows the cells it visits, not the table. Cells and the queries that visit them are
   cut into blocks of bounded size, so a cell that holds a third of all vectors (one
-  vector repeated) is many tasks.
+  vector repeated) is many tasks. A block's vectors become matrices once, and a cell's
+  scores are a matrix product of which only those that reach the query's k-th best so far
+  are looked at further.
 * With ``exact`` a second round visits every other cell that may still hold a better
   vector: no vector of a cell is nearer to the query than its centre's angle less the
   cell's radius. Where vectors lie in groups that leaves few cells; for directions
@@ -25,17 +27,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cvelake.operators.vector import CANDIDATE_BLOCK, QUERY_BLOCK, score_blocks
+from cvelake.operators.vector import BestScores
 from cvelake.session import ship, stage
 
 PER_CELL = 64
-#: Queries that are sent to a block of vectors together.
-ASKED_BLOCK = 8192
+#: Vectors of a block and queries that are sent to it together, at most, and numbers that
+#: either has at most. A query is sent once for each block that it visits and a vector once
+#: for each block of queries, so what is shuffled falls with the size of the blocks; tables
+#: of fewer than DEALT blocks have smaller ones, so that every core has some.
+CANDIDATE_BLOCK = ASKED_BLOCK = 65_536
+BLOCK_FLOATS, LEAST_BLOCK, DEALT = 4 << 20, 8192, 12
+#: Queries whose scores are taken at a time, with so many vectors of a cell: 8 MB. Rows
+#: that are sent at a time.
+QUERY_BLOCK, SCORED_VECTORS, SENT_ROWS = 1024, 1024, 1024
 SAMPLE_FLOATS = 16_000_000
 MOST_CELLS = 4096
 PROBES = 8
@@ -57,11 +67,19 @@ class CellIndex:
     sizes: dict[int, int]
 
 
-def _units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(unit vectors, whether a row has one)."""
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A row for each vector; zeros where it is null or shorter than others."""
+    sizes, flat = np.diff(column.offsets.to_numpy()), column.flatten()
+    if len(column) and not column.null_count and not flat.null_count and (sizes == sizes[0]).all():
+        return flat.to_numpy().astype(np.float64).reshape(len(column), sizes[0])
     rows = column.to_pylist()
     dims = max((len(r) for r in rows if r is not None), default=0)
-    x = np.array([r if r is not None and len(r) == dims else [0.0] * dims for r in rows], np.float64).reshape(len(rows), dims)
+    return np.array([r if r is not None and len(r) == dims else [0.0] * dims for r in rows], np.float64).reshape(len(rows), dims)
+
+
+def _units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors, whether a row has one)."""
+    x = _matrix(column)
     norm = np.linalg.norm(x, axis=1)
     good = np.isfinite(norm) & (norm > 0)
     return x / np.where(good, norm, 1)[:, None], good
@@ -112,13 +130,19 @@ def build(vectors: DataFrame, vec_col: str, id_col: str, cells: int | None = Non
     return CellIndex(filed.drop("near"), id_col, vec_col, centres, angles, sizes)
 
 
+def _block(most: int, rows: int, dims: int) -> int:
+    """Rows of a block of a table of so many rows."""
+    return max(1, min(most, BLOCK_FLOATS // max(1, dims), max(LEAST_BLOCK, -(-rows // DEALT))))
+
+
 def _groups(index: CellIndex) -> dict[int, tuple[int, int]]:
     """Cell -> (group, blocks of the group): neighbouring numbers share a group until it
     has a block of vectors, so that a query is sent once for many small cells."""
     out, group, own, total = {}, 0, [], 0
+    block = _block(CANDIDATE_BLOCK, sum(index.sizes.values()), index.centres.shape[1])
     for cell in [*sorted(index.sizes), None]:
-        if own and (cell is None or total + index.sizes[cell] > CANDIDATE_BLOCK):
-            out |= {c: (group, -(-total // CANDIDATE_BLOCK)) for c in own}
+        if own and (cell is None or total + index.sizes[cell] > block):
+            out |= {c: (group, -(-total // block)) for c in own}
             group, own, total = group + 1, [], 0
         if cell is not None:
             own.append(cell)
@@ -127,8 +151,9 @@ def _groups(index: CellIndex) -> dict[int, tuple[int, int]]:
 
 
 def _sent(index: CellIndex, queries: DataFrame, probes: int, least: str | None) -> DataFrame:
-    """(query_id, _query, group, cells): the ``probes`` nearest cells of each query, by
-    group; with ``least``, the other cells that may hold a score above that column's."""
+    """(query_id, _query, group, cells, _known): the ``probes`` nearest cells of each query, by
+    group; with ``least``, the other cells that may hold a score above that column's, which
+    is ``_known`` then."""
     centres, angles = index.centres, index.angles
     groups = np.full(len(centres), -1)
     for cell, (group, _) in _groups(index).items():
@@ -143,25 +168,26 @@ def _sent(index: CellIndex, queries: DataFrame, probes: int, least: str | None)
             first = np.argsort(-near, axis=1, kind="stable")[:, :probes]
             asked = np.zeros(near.shape, bool)
             np.put_along_axis(asked, first, True, axis=1)
+            known = batch.column(least) if least else pa.nulls(len(batch), pa.float64())
             if least:
                 bound = np.cos(np.maximum(0, np.arccos(np.clip(near, -1, 1)) - angles))
-                known = np.array([-2.0 if x is None else x for x in batch.column(least).to_pylist()])
-                asked = ~asked & (bound >= known[:, None] - MARGIN)
+                known_or_less = known.fill_null(-2.0).to_numpy()
+                asked = ~asked & (bound >= known_or_less[:, None] - MARGIN)
             row, cell = np.nonzero(asked & good[:, None] & (groups >= 0))  # by query and cell, so by group
             pair = row * (groups.max() + 1) + groups[cell]
             first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
             ends = np.concatenate([first, [len(pair)]])
-            for at in range(0, len(first), QUERY_BLOCK):
-                own = first[at : at + QUERY_BLOCK]
+            for at in range(0, len(first), SENT_ROWS):
+                own = first[at : at + SENT_ROWS]
                 some, places = pa.array(row[own]), ends[at : at + len(own) + 1]
                 cells = pa.ListArray.from_arrays(pa.array(places - places[0], pa.int32()), pa.array(cell[places[0] : places[-1]], pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("query_id").take(some), batch.column("_query").take(some), pa.array(groups[cell[own]], pa.int32()), cells],
-                    names=["query_id", "_query", "group", "cells"])
+                    [batch.column("query_id").take(some), batch.column("_query").take(some), pa.array(groups[cell[own]], pa.int32()), cells, known.take(some)],
+                    names=["query_id", "_query", "group", "cells", "_known"])
 
     columns = ["query_id", "_query", *([least] if least else [])]
     schema = T.StructType([queries.schema["query_id"], queries.schema["_query"], T.StructField("group", T.IntegerType()),
-                           T.StructField("cells", T.ArrayType(T.IntegerType()))])
+                           T.StructField("cells", T.ArrayType(T.IntegerType())), T.StructField("_known", T.DoubleType())])
     return queries.select(*columns).mapInArrow(run, schema)
 
 
@@ -175,10 +201,11 @@ def _scores(index: CellIndex, visits: DataFrame, k: int) -> DataFrame:
     spark = visits.sparkSession
     visits = stage(visits, "cell-visits")
     groups = _groups(index)
+    block = _block(ASKED_BLOCK, sum(index.sizes.values()), index.centres.shape[1])
     # At most MOST_CELLS rows.
     asked = {r["group"]: r["count"] for r in visits.groupBy("group").count().collect()}
     blocks = F.broadcast(spark.createDataFrame(
-        sorted({(g, n, -(-asked[g] // ASKED_BLOCK)) for g, n in groups.values() if g in asked}), "group int, _nc long, _nq long"))
+        sorted({(g, n, -(-asked[g] // block)) for g, n in groups.values() if g in asked}), "group int, _nc long, _nq long"))
     of_cell = F.broadcast(spark.createDataFrame([(c, g) for c, (g, _) in groups.items()], "cell int, group int"))
 
     def dealt(df: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
@@ -187,19 +214,36 @@ def _scores(index: CellIndex, visits: DataFrame, k: int) -> DataFrame:
 
     kinds = [index.filed.schema[index.id_col].dataType, visits.schema["query_id"].dataType]
     id_type, qid_type = map(to_arrow_type, kinds)
-    one_cell = score_blocks(k, index.id_col, index.vec_col, id_type, qid_type)
+    schema = pa.schema([("query_id", qid_type), (index.id_col, id_type), ("_score", pa.float64())])
+    id_col, vec_col = index.id_col, index.vec_col
 
     def score(asked: pa.Table, vectors: pa.Table) -> pa.Table:
         """Cell by cell, the vectors of a cell and the queries that visit it."""
+        if not len(asked) or not len(vectors):
+            return schema.empty_table()
+        vectors = vectors.select(["cell", id_col, vec_col]).take(pc.sort_indices(vectors, sort_keys=[(id_col, "ascending")], null_placement="at_start"))  # a tie goes to the smaller id
+        (q, _), (x, _) = (_units(c.combine_chunks()) for c in (asked.column("_query"), vectors.column(vec_col)))
+        known = asked.column("_known").combine_chunks().fill_null(-np.inf).to_numpy()
+        best = BestScores(len(q), k, known)
         cells = asked.column("cells").combine_chunks()
-        row = np.repeat(np.arange(len(asked)), np.diff(cells.offsets.to_numpy()))
+        row = np.repeat(np.arange(len(q), dtype=np.int32), np.diff(cells.offsets.to_numpy()))
         wanted, filed = cells.flatten().to_numpy(), vectors.column("cell").to_numpy()
-        found = [one_cell(asked.slice(0, 0), vectors)]
+        (by_visit, visits), (by_cell, members) = ((np.argsort(c, kind="stable"), np.sort(c)) for c in (wanted, filed))
+        found = []
         for cell in np.unique(filed):
-            some, own = row[wanted == cell], vectors.take(np.flatnonzero(filed == cell))
-            for at in range(0, len(some), QUERY_BLOCK):
-                found.append(one_cell(asked.take(some[at : at + QUERY_BLOCK]), own))
-        return pa.concat_tables(found)
+            some = row[by_visit[slice(*np.searchsorted(visits, [cell, cell + 1]))]]
+            own = by_cell[slice(*np.searchsorted(members, [cell, cell + 1]))]
+            for low in range(0, len(own), SCORED_VECTORS):
+                part = own[low : low + SCORED_VECTORS]
+                turned = np.ascontiguousarray(x[part].T)
+                for at in range(0, len(some), QUERY_BLOCK):
+                    rows = some[at : at + QUERY_BLOCK]
+                    scores = q[rows] @ turned
+                    r, c = best.take(scores, rows)
+                    found.append((rows[r], part[c], scores[r, c]))
+        r, c, scores = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 2 + (np.zeros(0),)
+        good = best.still(r, scores)
+        return pa.table([asked.column("query_id").take(pa.array(r[good])), vectors.column(id_col).take(pa.array(c[good])), pa.array(scores[good])], schema=schema)
 
     by = ["group", "_cb", "_qb"]
     return (

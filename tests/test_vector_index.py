@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cvelake.operators import ivf
-from cvelake.operators.vector import batch_cosine_topk
+from cvelake.operators.vector import BestScores, batch_cosine_topk
 from cvelake.plans import search as se
 
 
@@ -127,3 +127,40 @@ def test_a_query_is_sent_once_for_the_cells_of_a_group(spark, monkeypatch):
     asked = q.select(F.col("query_id").alias("qid"), F.col("_query").alias("v"))
     found = ivf.search(index, asked, "qid", "v", 5, exact=True)
     assert _rows(found) == _rows(batch_cosine_topk(df, "v", "id", asked, "qid", "v", 5))
+
+
+def test_copies_of_a_vector_are_no_row_for_each_pair(spark):
+    """One vector 300 times, asked 300 times: a block gives a query its k best, by id
+    (a tie from another cell may come along)."""
+    rng = np.random.default_rng(7)
+    x = np.concatenate([np.tile(rng.normal(size=16), (300, 1)), rng.normal(size=(200, 16))])
+    df = _frame(spark, x)
+    index = ivf.build(df, "v", "id")
+    q = df.select(F.col("id").alias("query_id"), F.col("v").alias("_query"))
+    rows = ivf._scores(index, ivf._sent(index, q, len(index.centres), None), 4)
+    assert {g for g, _ in ivf._groups(index).values()} == {0} and rows.count() <= 2 * 500 * 4
+    asked = df.select(F.col("id").alias("qid"), "v")
+    assert _rows(ivf.search(index, asked, "qid", "v", 4, exact=True)) == _rows(batch_cosine_topk(df, "v", "id", asked, "qid", "v", 4))
+
+
+def test_blocks_grow_with_the_table_up_to_a_bound():
+    sizes = [ivf._block(ivf.CANDIDATE_BLOCK, n, 64) for n in (0, 50_000, 500_000, 10**9)]
+    assert sizes == [ivf.LEAST_BLOCK, ivf.LEAST_BLOCK, -(-500_000 // ivf.DEALT), ivf.CANDIDATE_BLOCK]
+    assert ivf._block(ivf.CANDIDATE_BLOCK, 10**9, 1536) * 1536 <= ivf.BLOCK_FLOATS
+
+
+def test_only_scores_that_may_be_hits_are_taken():
+    rng = np.random.default_rng(9)
+    scores = np.round(rng.random((40, 90)), 1)  # many ties
+    scores[:, ::3] = rng.random((40, 30))
+    known = np.where(np.arange(40) % 4 == 0, 0.7, -np.inf)
+    best, rows = BestScores(40, 5, known), np.arange(40)
+    got = []
+    for low in range(0, 90, 30):
+        r, c = best.take(scores[:, low : low + 30], rows)
+        assert np.bincount(r, minlength=40).max() <= 5
+        got += list(zip(r, c + low, strict=True))
+    kept = best.still(np.array([r for r, _ in got]), np.array([scores[x] for x in got]))
+    for i in rows:
+        want = sorted((-scores[i, c], c) for c in range(90) if scores[i, c] >= known[i])[:5]
+        assert sorted((-scores[x], x[1]) for x, good in zip(got, kept, strict=True) if good and x[0] == i)[:5] == want
